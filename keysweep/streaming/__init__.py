@@ -1,0 +1 @@
+"""Streaming: run folders that keep arriving, cleaned one micro-batch at a time."""
