@@ -49,10 +49,15 @@ def kept_rows(manifest: DataFrame, triples: DataFrame, broadcast: bool = False)
 def event_outcome(triples: DataFrame, manifest: DataFrame) -> DataFrame:
     """J3: one row per event with ``deleted`` = the result of its delete call.
 
-    ``triples`` needs a unique ``rid`` per line. Of repeated triples the one
-    with the smallest ``rid`` (read first) is the one whose delete succeeds;
-    the others are skipped, as a second delete of the same row fails.
+    Of repeated triples the one with the smallest ``rid`` (read first) is the
+    one whose delete succeeds; the others are skipped, as a second delete of
+    the same row fails. ``rid`` must be unique and fixed per line: assigned
+    on a file scan before any shuffle, or read from staged data. Without a
+    ``rid`` column one is assigned here and pinned by a checkpoint, since
+    ``triples`` is read twice below.
     """
+    if ROW_ID not in triples.columns:
+        triples = triples.withColumn(ROW_ID, F.monotonically_increasing_id()).checkpoint(eager=True)
     winners = triples.groupBy(*TRIPLE_KEYS).agg(F.min(ROW_ID).alias(ROW_ID))
     matched = (winners.withColumnRenamed(ETL_TSTAMP, ETL_TIME)
                       .join(_manifest(manifest), list(MANIFEST_KEYS), "left_semi")

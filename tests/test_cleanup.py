@@ -1,0 +1,126 @@
+"""Set-form cleanup (J1-J3, A1-A4) against a one-by-one replay of the delete rule."""
+
+from __future__ import annotations
+
+import random
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from keysweep.operators import cleanup_summary, deleted_rows, event_outcome, key_violations, kept_rows
+from keysweep.schemas import MANIFEST, TRIPLES
+
+
+def replay(manifest_rows, triple_rows):
+    """The delete rule applied one event at a time, as a keyed store would."""
+    store = {(e, f): t for e, f, t in manifest_rows}
+    outcome = []
+    for e, f, t in triple_rows:
+        hit = (e, f) in store and store[(e, f)] is not None and store[(e, f)] == t
+        if hit:
+            del store[(e, f)]
+        outcome.append((e, f, t, hit))
+    kept = sorted(((e, f, t) for (e, f), t in store.items()), key=repr)
+    return kept, outcome
+
+
+def frames(spark, manifest_rows, triple_rows):
+    manifest = spark.createDataFrame(manifest_rows, MANIFEST)
+    triples = spark.createDataFrame(triple_rows, TRIPLES)
+    return manifest, triples
+
+
+def with_rid(triples):
+    return triples.withColumn("rid", F.monotonically_increasing_id())
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_edge_cases_e6_e7_e8(spark):
+    manifest_rows = [("a", "fa", 10), ("b", "fb", 5), ("c", "fc", None), ("old", "fo", 1)]
+    triple_rows = [("a", "fa", 10), ("a", "fa", 10),   # E6 repeated triple
+                   ("b", "fb", 10),                     # E7 other etl time
+                   ("z", "fz", 10),                     # E8 absent
+                   ("c", "fc", 10)]                     # null etl time never matches
+    manifest, triples = frames(spark, manifest_rows, triple_rows)
+    assert rows(deleted_rows(manifest, triples)) == [("a", "fa", 10)]
+    assert rows(kept_rows(manifest, triples)) == sorted([("b", "fb", 5), ("c", "fc", None), ("old", "fo", 1)], key=repr)
+    assert tuple(cleanup_summary(manifest, triples).first()) == (1, 4)
+    outcome = rows(event_outcome(with_rid(triples), manifest))
+    assert outcome.count(("a", "fa", 10, True)) == 1
+    assert outcome.count(("a", "fa", 10, False)) == 1
+    assert sum(r[3] for r in outcome) == 1
+
+
+def test_broadcast_and_shuffle_plans_agree(spark):
+    manifest_rows = [(f"e{i}", f"f{i % 7}", i % 5) for i in range(300)]
+    triple_rows = [(f"e{i}", f"f{i % 7}", i % 3) for i in range(0, 600, 2)]
+    manifest, triples = frames(spark, manifest_rows, triple_rows)
+    for fn in (deleted_rows, kept_rows):
+        assert rows(fn(manifest, triples, broadcast=True)) == rows(fn(manifest, triples, broadcast=False))
+    plan = deleted_rows(manifest, triples, broadcast=True)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.data())
+def test_set_form_equals_replay(spark, data):
+    keys = st.sampled_from([f"e{i}" for i in range(12)])
+    fps = st.sampled_from(["f0", "f1", "f2"])
+    times = st.sampled_from([1, 2, 3])
+    pairs = data.draw(st.lists(st.tuples(keys, fps), unique=True, max_size=20))
+    manifest_rows = [(e, f, data.draw(st.one_of(st.none(), times))) for e, f in pairs]
+    triple_rows = data.draw(st.lists(st.tuples(keys, fps, times), max_size=40))
+    manifest, triples = frames(spark, manifest_rows, triple_rows)
+
+    kept, outcome = replay(manifest_rows, triple_rows)
+    deleted = sum(o[3] for o in outcome)
+    assert rows(kept_rows(manifest, triples)) == kept
+    assert len(rows(deleted_rows(manifest, triples))) == deleted
+    assert tuple(cleanup_summary(manifest, triples).first()) == (deleted, len(triple_rows) - deleted)
+    got = rows(event_outcome(with_rid(triples), manifest))
+    assert got == sorted(outcome, key=repr)
+
+
+def test_invariants_hold_for_any_partitioning(spark):
+    rng = random.Random(7)
+    manifest_rows = [(f"e{i}", "f", rng.choice([1, 2])) for i in range(400)]
+    triple_rows = [(f"e{rng.randrange(500)}", "f", rng.choice([1, 2])) for _ in range(700)]
+    manifest, triples = frames(spark, manifest_rows, triple_rows)
+    base = (rows(deleted_rows(manifest, triples)), rows(kept_rows(manifest, triples)))
+    assert len(base[0]) + len(base[1]) == len(manifest_rows)
+    for n in (1, 3, 11):
+        shuffled = triples.repartition(n).orderBy(F.rand(n))
+        again = (rows(deleted_rows(manifest.repartition(n), shuffled)), rows(kept_rows(manifest, shuffled)))
+        assert again == base
+        summary = cleanup_summary(manifest, shuffled).first()
+        assert summary["deleted_events"] + summary["skipped_events"] == len(triple_rows)
+
+
+def test_hot_triple_has_one_winner(spark):
+    """A single triple repeated by a third of all lines: one delete succeeds."""
+    hot = [("hot", "f", 1)] * 3000
+    cold = [(f"e{i}", "f", 1) for i in range(6000)]
+    manifest, triples = frames(spark, [("hot", "f", 1), ("e1", "f", 1)], hot + cold)
+    outcome = event_outcome(with_rid(triples).repartition(8), manifest)
+    got = outcome.groupBy("eventid", "deleted").count().collect()
+    counts = {(r["eventid"], r["deleted"]): r["count"] for r in got}
+    assert counts[("hot", True)] == 1 and counts[("hot", False)] == 2999
+    assert counts[("e1", True)] == 1
+    assert tuple(cleanup_summary(manifest, triples).first()) == (2, 8998)
+
+
+def test_outcome_assigns_and_pins_rid_when_missing(spark):
+    triple_rows = [("a", "f", 1)] * 50 + [(f"e{i}", "f", 1) for i in range(200)]
+    manifest, triples = frames(spark, [("a", "f", 1), ("e3", "f", 1)], triple_rows)
+    outcome = event_outcome(triples.repartition(7), manifest)
+    assert outcome.where("deleted").count() == 2
+    assert outcome.count() == len(triple_rows)
+
+
+def test_key_violations(spark):
+    manifest = spark.createDataFrame([("a", "f", 1), ("a", "f", 2), ("b", "f", 1), ("a", "g", 1)], MANIFEST)
+    assert rows(key_violations(manifest)) == [("a", "f", 2)]
