@@ -34,18 +34,24 @@ def _message(template: str, line: Column) -> Column:
     return F.concat(F.lit(head), line, F.lit(tail))
 
 
-def triple_columns(line: Column, override_seconds: int | None = None) -> list[Column]:
-    """P6 as three columns over a line column.
+_FIELDS = "_fields"
+
+
+def triple_columns(line: Column, fields: Column, override_seconds: int | None = None) -> list[Column]:
+    """P6 as three columns over a line and its field array (see :func:`tsv_fields`).
 
     With ``override_seconds`` (P4) every event gets that ETL time and field 2
     is never read, so its content cannot fail.
     """
-    fields = tsv_fields(line)
     malformed = is_malformed(fields)
     split_error = F.raise_error(_message(MALFORMED_MESSAGE, line))
 
-    def guarded(col: Column) -> Column:
-        return F.when(malformed, split_error).otherwise(col)
+    def guarded(col: Column, unreachable) -> Column:
+        # The coalesce default is never used: past the guards every value is
+        # set. It declares the column non-null, so joins on it do not make
+        # Catalyst infer IS NOT NULL filters and push them, with the whole
+        # split and parse, into the scan a second time.
+        return F.coalesce(F.when(malformed, split_error).otherwise(col), F.lit(unreachable))
 
     if override_seconds is None:
         etl_text = tsv_field(fields, ETL_TSTAMP_FIELD)
@@ -57,16 +63,24 @@ def triple_columns(line: Column, override_seconds: int | None = None) -> list[Co
         etl = F.lit(int(override_seconds)).cast("int")
 
     return [
-        guarded(tsv_field(fields, EVENT_ID_FIELD)).alias(EVENT_ID),
-        guarded(tsv_field(fields, FINGERPRINT_FIELD)).alias(FINGERPRINT),
-        guarded(etl).cast("int").alias(ETL_TSTAMP),
+        guarded(tsv_field(fields, EVENT_ID_FIELD), "").alias(EVENT_ID),
+        guarded(tsv_field(fields, FINGERPRINT_FIELD), "").alias(FINGERPRINT),
+        guarded(etl.cast("int"), 0).alias(ETL_TSTAMP),
     ]
 
 
 def event_triples(lines: DataFrame, override_seconds: int | None = None, line_col: str = LINE) -> DataFrame:
-    """P6: DataFrame with a line column -> (other columns..., eventid, fingerprint, etltstamp)."""
+    """P6: DataFrame with a line column -> (other columns..., eventid, fingerprint, etltstamp).
+
+    Two projections: the field array is computed once per line and the three
+    guarded columns read it. (Inlined into one projection, the split would be
+    repeated in every conditional branch; Catalyst keeps the two apart
+    because the array is referenced several times.)
+    """
     keep = [c for c in lines.columns if c != line_col]
-    return lines.select(*keep, *triple_columns(F.col(line_col), override_seconds))
+    line = F.col(line_col)
+    split = lines.select(*keep, line, tsv_fields(line).alias(_FIELDS))
+    return split.select(*keep, *triple_columns(line, F.col(_FIELDS), override_seconds))
 
 
 def with_override(override_seconds: int):

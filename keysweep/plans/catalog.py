@@ -29,10 +29,11 @@ from keysweep.plans.derived import (
     manifest_with_repeats,
     read_table,
     run_lines,
+    spread,
     write_run_folder,
 )
 from keysweep.plans.job import run_cleanup
-from keysweep.schemas import EVENT_ID, EVENT_ID_FIELD, LINE, ROW_ID, TRIPLE_KEYS
+from keysweep.schemas import EVENT_ID, EVENT_ID_FIELD, LINE
 from keysweep.session import scratch_path
 from keysweep.sinks.snapshot import init_manifest
 from keysweep.sources.enriched import read_enriched
@@ -46,7 +47,7 @@ RUN_FILE_ROWS = 5000
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "events")
+    return spread(read_table(spark, sf_dir, "events"), "event_id")
 
 
 def _triples(spark: SparkSession, sf_dir: str, override: str | None = None) -> DataFrame:
@@ -105,7 +106,7 @@ def q_manifest_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_event_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = run_lines(_events(spark, sf_dir)).withColumn(ROW_ID, F.monotonically_increasing_id())
+    lines = run_lines(_events(spark, sf_dir), with_rid=True)
     return event_outcome(event_triples(lines), _manifest(spark, sf_dir))
 
 

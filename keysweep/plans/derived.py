@@ -24,15 +24,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keysweep.schemas import ETL_TIME, EVENT_ID, FIELD_SEP, FINGERPRINT, FINGERPRINT_FIELD, EVENT_ID_FIELD, LINE
+from keysweep.schemas import ETL_TIME, EVENT_ID, EVENT_ID_FIELD, FIELD_SEP, FINGERPRINT, FINGERPRINT_FIELD, LINE, ROW_ID
 from keysweep.session import scratch_path
 from keysweep.sources import fs
 
-
-def _epoch() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
 _BLANK_RUN = FINGERPRINT_FIELD - EVENT_ID_FIELD - 2   # tabs between the two separators
 
 
@@ -40,10 +35,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` when its scan is narrower than the cluster.
+
+    The test tables are single-row-group files (one scan task). A large table
+    scans in many tasks already and is returned unchanged, without a shuffle.
+    """
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= parallelism:
+        return df
+    return df.repartition(parallelism, key)
+
+
+def _epoch_seconds(ts: Column) -> Column:
+    """Epoch seconds of a zone-free timestamp read as UTC (whole seconds)."""
+    return F.unix_seconds(F.make_timestamp(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
+                                           F.minute(ts), F.second(ts), F.lit("UTC")))
+
+
 def _hour_end(events: DataFrame) -> Column:
     """End of the event's hour as a zone-free timestamp."""
-    seconds = F.timestamp_diff("SECOND", _epoch(), F.col("ts").cast("timestamp_ntz"))
-    return F.timestamp_add("SECOND", (F.call_function("div", seconds, F.lit(3600)) + 1) * 3600, _epoch())
+    ts = F.col("ts").cast("timestamp_ntz")
+    start = F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.lit(0), F.lit(0))
+    return start + F.expr("INTERVAL 1 HOUR")
 
 
 def event_source(events: DataFrame) -> DataFrame:
@@ -56,7 +70,7 @@ def event_source(events: DataFrame) -> DataFrame:
                        F.col("props"))).alias(FINGERPRINT),
         F.concat(F.date_format(hour_end, "yyyy-MM-dd HH:mm:ss"), F.lit(".000")).alias("etl_text"),
         F.date_format(hour_end, "yyyy-MM-dd-HH-mm-ss").alias("run_text"),
-        F.timestamp_diff("SECOND", _epoch(), hour_end).cast("int").alias("etl"),
+        _epoch_seconds(hour_end).cast("int").alias("etl"),
     )
 
 
@@ -67,10 +81,12 @@ def enriched_line(etl_text: Column, eventid: Column, fingerprint: Column, last:
                        F.lit("") if last is None else last)
 
 
-def run_lines(events: DataFrame, variant: str = "clean", copies: bool = True) -> DataFrame:
-    """Enriched lines of the events: DataFrame[value STRING].
+def run_lines(events: DataFrame, variant: str = "clean", copies: bool = True, with_rid: bool = False) -> DataFrame:
+    """Enriched lines of the events: DataFrame[value STRING (, rid BIGINT)].
 
-    ``variant`` is ``clean``, ``malformed`` or ``bad_timestamp``.
+    ``variant`` is ``clean``, ``malformed`` or ``bad_timestamp``. ``rid`` is
+    ``2 * event_id + copy``: unique, and fixed by the data whatever the
+    partitioning, as the per-event outcome needs.
     """
     src = event_source(events)
     id_ = F.col("id")
@@ -86,7 +102,11 @@ def run_lines(events: DataFrame, variant: str = "clean", copies: bool = True) ->
     lines = src.select(id_, enriched_line(etl_text, eventid, fingerprint, last).alias(LINE))
     if copies:
         repeat = F.sequence(F.lit(0), F.when(id_ % 7 == 0, F.lit(1)).otherwise(F.lit(0)))
-        lines = lines.select(LINE, F.explode(repeat).alias("copy"))
+        lines = lines.select(id_, LINE, F.explode(repeat).alias("copy"))
+    else:
+        lines = lines.withColumn("copy", F.lit(0))
+    if with_rid:
+        return lines.select(LINE, (id_ * 2 + F.col("copy")).alias(ROW_ID))
     return lines.select(LINE)
 
 
