@@ -24,6 +24,16 @@ def tsv_field(fields: Column, index: int) -> Column:
     return F.get(fields, index)
 
 
+def leading_field(line: Column | str, index: int) -> Column:
+    """Field ``index`` read by scanning only up to the next tab.
+
+    Equal to ``tsv_field(tsv_fields(line), index)`` on every line that has
+    more than ``index`` fields (all well-formed lines), without splitting the
+    rest of the line.
+    """
+    return F.substring_index(F.substring_index(line, FIELD_SEP, index + 1), FIELD_SEP, -1)
+
+
 def tsv_width(line: Column | str) -> Column:
     """Number of fields of a line after trailing empty fields are dropped."""
     return F.size(tsv_fields(line))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keysweep.functions.timefmt import etl_epoch, parse_etl_tstamp
-from keysweep.functions.tsv import is_malformed, tsv_field, tsv_fields
+from keysweep.functions.tsv import is_malformed, leading_field, tsv_field, tsv_fields
 from keysweep.schemas import (
     ETL_TSTAMP,
     ETL_TSTAMP_FIELD,
@@ -89,18 +89,27 @@ def with_override(override_seconds: int):
 
 
 def malformed_lines(lines: DataFrame, line_col: str = LINE) -> DataFrame:
-    """F1, read-only form: the lines that would fail the job, with their width."""
+    """F1, read-only form: the lines that would fail the job.
+
+    Adds ``n_fields`` (width after trailing blanks are dropped) and
+    ``eventid`` (field 6, null when the line is shorter).
+    """
     fields = tsv_fields(F.col(line_col))
-    return (lines.withColumn("n_fields", F.size(fields))
-                 .where(F.col("n_fields") <= FINGERPRINT_FIELD))
+    return (lines.where(is_malformed(fields))
+                 .withColumn("n_fields", F.size(fields))
+                 .withColumn(EVENT_ID, tsv_field(fields, EVENT_ID_FIELD)))
 
 
 def bad_timestamp_lines(lines: DataFrame, line_col: str = LINE) -> DataFrame:
     """F2, read-only form: well-formed lines whose ETL timestamp does not parse.
 
-    Only relevant without an override; with one, field 2 is never read.
+    Adds ``etl_text`` (field 2) and ``eventid``. Only relevant without an
+    override; with one, field 2 is never read. The timestamp is tested first
+    from the head of the line; only lines that fail it are split in full.
     """
-    fields = tsv_fields(F.col(line_col))
-    etl_text = tsv_field(fields, ETL_TSTAMP_FIELD)
-    return (lines.where(~is_malformed(fields) & parse_etl_tstamp(etl_text).isNull())
-                 .withColumn("etl_text", etl_text))
+    line = F.col(line_col)
+    etl_text = leading_field(line, ETL_TSTAMP_FIELD)
+    bad = parse_etl_tstamp(etl_text).isNull() & ~is_malformed(tsv_fields(line))
+    return (lines.where(bad)
+                 .withColumn("etl_text", etl_text)
+                 .withColumn(EVENT_ID, leading_field(line, EVENT_ID_FIELD)))

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keysweep.functions.timefmt import etl_epoch, run_time_seconds, run_time_value
-from keysweep.functions.tsv import tsv_field, tsv_fields
 from keysweep.operators.cleanup import (
     cleanup_summary,
     deleted_rows,
@@ -33,7 +32,7 @@ from keysweep.plans.derived import (
     write_run_folder,
 )
 from keysweep.plans.job import run_cleanup
-from keysweep.schemas import EVENT_ID, EVENT_ID_FIELD, LINE
+from keysweep.schemas import EVENT_ID, LINE
 from keysweep.session import scratch_path
 from keysweep.sinks.snapshot import init_manifest
 from keysweep.sources.enriched import read_enriched
@@ -87,14 +86,12 @@ def q_run_time_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = run_lines(_events(spark, sf_dir), variant="malformed", copies=False)
-    return malformed_lines(lines).select(tsv_field(tsv_fields(F.col(LINE)), EVENT_ID_FIELD).alias(EVENT_ID),
-                                         "n_fields")
+    return malformed_lines(lines).select(EVENT_ID, "n_fields")
 
 
 def q_bad_timestamp_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = run_lines(_events(spark, sf_dir), variant="bad_timestamp", copies=False)
-    return bad_timestamp_lines(lines).select(tsv_field(tsv_fields(F.col(LINE)), EVENT_ID_FIELD).alias(EVENT_ID),
-                                             "etl_text")
+    return bad_timestamp_lines(lines).select(EVENT_ID, "etl_text")
 
 
 def q_manifest_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:

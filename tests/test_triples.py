@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import lines_df, make_line
-from keysweep.functions import etl_epoch, run_time_seconds, run_time_value, tsv_width
+from keysweep.functions import etl_epoch, leading_field, run_time_seconds, run_time_value, tsv_field, tsv_fields, tsv_width
 from keysweep.operators import bad_timestamp_lines, event_triples, malformed_lines
 
 GOLDEN = ("1799a90f-f570-4414-b91a-b0db8f39cc2e", "e79bef64f3185e9d7c10d5dfdf27b9a3")
@@ -110,3 +112,33 @@ def test_other_columns_pass_through(spark):
     out = event_triples(df)
     assert out.columns == ["rid", "eventid", "fingerprint", "etltstamp"]
     assert out.first()["rid"] == 5
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(alphabet="ab \"{},:\t", max_size=6), min_size=131, max_size=140))
+def test_leading_field_equals_split_field(spark, fields):
+    line = "\t".join(fields)
+    row = lines_df(spark, [line]).select(
+        *[leading_field("value", i).alias(f"l{i}") for i in (2, 6)],
+        *[tsv_field(tsv_fields(F.col("value")), i).alias(f"s{i}") for i in (2, 6)],
+        tsv_width("value").alias("w"),
+    ).first()
+    if row["w"] > 6:
+        assert (row["l2"], row["l6"]) == (row["s2"], row["s6"])
+
+
+def test_fixture_does_not_depend_on_session_zone(spark):
+    from conftest import SF_SMALL
+    from keysweep.plans.catalog import QUERIES
+
+    def snapshot(key):
+        return sorted((tuple(r) for r in QUERIES[key](spark, SF_SMALL).collect()), key=repr)
+
+    keys = ["event_triples", "etl_epoch", "run_time_seconds", "cleanup_summary"]
+    base = {k: snapshot(k) for k in keys}
+    for zone in ["America/New_York", "Australia/Lord_Howe", "Asia/Kathmandu"]:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            assert {k: snapshot(k) for k in keys} == base
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
