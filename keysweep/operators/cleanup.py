@@ -19,7 +19,7 @@ Plan shape, chosen for a large manifest and a run of any size:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keysweep.schemas import ETL_TIME, ETL_TSTAMP, EVENT_ID, FINGERPRINT, MANIFEST_KEYS, ROW_ID, TRIPLE_KEYS
@@ -36,14 +36,39 @@ def _manifest(manifest: DataFrame) -> DataFrame:
     return manifest.select(*MANIFEST_KEYS)
 
 
-def deleted_rows(manifest: DataFrame, triples: DataFrame, broadcast: bool = False) -> DataFrame:
-    """J1: manifest rows whose key pair and ETL time occur in the run."""
-    return _manifest(manifest).join(run_keys(triples, broadcast), list(MANIFEST_KEYS), "left_semi")
+def _in_run_times(etl_times) -> Column:
+    return F.col(ETL_TIME).isin(sorted({int(t) for t in etl_times}))
 
 
-def kept_rows(manifest: DataFrame, triples: DataFrame, broadcast: bool = False) -> DataFrame:
-    """J2: the manifest after the cleanup (complement of J1)."""
-    return _manifest(manifest).join(run_keys(triples, broadcast), list(MANIFEST_KEYS), "left_anti")
+def deleted_rows(manifest: DataFrame, triples: DataFrame, broadcast: bool = False,
+                 etl_times=None) -> DataFrame:
+    """J1: manifest rows whose key pair and ETL time occur in the run.
+
+    ``etl_times``, when known, is the (small) set of the run's ETL times; it
+    becomes a scan filter on the manifest, since no other row can match.
+    """
+    candidates = _manifest(manifest)
+    if etl_times is not None:
+        candidates = candidates.where(_in_run_times(etl_times))
+    return candidates.join(run_keys(triples, broadcast), list(MANIFEST_KEYS), "left_semi")
+
+
+def kept_rows(manifest: DataFrame, triples: DataFrame, broadcast: bool = False,
+              etl_times=None) -> DataFrame:
+    """J2: the manifest after the cleanup (complement of J1).
+
+    With ``etl_times`` the manifest is split: rows of other batches (and rows
+    without an ETL time) pass through untouched, with no shuffle; only rows
+    of the run's batches meet the join. The shuffle then scales with the run,
+    not with the manifest.
+    """
+    rows = _manifest(manifest)
+    if etl_times is None:
+        return rows.join(run_keys(triples, broadcast), list(MANIFEST_KEYS), "left_anti")
+    hit = _in_run_times(etl_times)
+    untouched = rows.where(~hit | F.col(ETL_TIME).isNull())
+    touched = rows.where(hit).join(run_keys(triples, broadcast), list(MANIFEST_KEYS), "left_anti")
+    return untouched.unionByName(touched)
 
 
 def event_outcome(triples: DataFrame, manifest: DataFrame) -> DataFrame:

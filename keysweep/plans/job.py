@@ -5,9 +5,10 @@ Stages, each one Spark job::
     1. scan run folder -> triples -> parquet in the shared scratch folder
        (map only; computes every column of every line, so a malformed line
        or a bad timestamp fails here, before anything is deleted)
-    2. size of the staged triples (aggregate over 3 parquet columns)
+    2. size and ETL times of the staged triples (aggregate per ETL time)
     3. manifest LEFT ANTI JOIN distinct run triples -> next snapshot
-       (broadcast of the run side only when step 2 proved it small)
+       (broadcast of the run side only when step 2 proved it small; rows
+       of other batches bypass the join, so only the run's batches shuffle)
     4. row counts from parquet footers; publish the snapshot
 
 deleted = rows(old snapshot) - rows(new snapshot); skipped = lines - deleted.
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from keysweep.functions.timefmt import run_time_value
 from keysweep.operators.cleanup import deleted_rows, key_violations, kept_rows
 from keysweep.operators.triples import event_triples
-from keysweep.schemas import EVENT_ID, FINGERPRINT, REPORT_LINE, ROW_ID, SUMMARY
+from keysweep.schemas import ETL_TSTAMP, EVENT_ID, FINGERPRINT, REPORT_LINE, ROW_ID, SUMMARY
 from keysweep.session import scratch_path
 from keysweep.sinks.snapshot import PublishError, publish_snapshot
 from keysweep.sources.enriched import read_enriched
@@ -35,13 +36,16 @@ BROADCAST_CONF = "spark.keysweep.broadcastMaxBytes"
 DEFAULT_BROADCAST_MAX_BYTES = 128 * 1024 * 1024
 # Bytes per distinct key in a broadcast hash relation, besides the two strings.
 BROADCAST_ROW_OVERHEAD = 64
+# Most distinct ETL times of a run that are used as a manifest filter.
+MAX_RUN_TIMES = 10_000
 
 
 @dataclass(frozen=True)
 class StagedTriples:
     path: str
     lines: int
-    key_bytes: int          # sum of eventid and fingerprint lengths
+    key_bytes: int                      # sum of eventid and fingerprint lengths
+    etl_times: tuple[int, ...] | None   # distinct ETL times; None when more than MAX_RUN_TIMES
 
     def broadcast_bytes(self) -> int:
         """Upper bound of the in-memory size of the distinct run keys."""
@@ -71,15 +75,26 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 
 def stage_triples(spark: SparkSession, lines: DataFrame, override_seconds: int | None = None) -> StagedTriples:
-    """Steps 1-2: write (rid, eventid, fingerprint, etltstamp) and measure it."""
+    """Steps 1-2: write (rid, eventid, fingerprint, etltstamp) and measure it.
+
+    The measure is one aggregate per ETL time; a run normally holds one
+    batch, so this is a handful of rows. At most MAX_RUN_TIMES + 1 of them
+    reach the driver; past that the totals come from a global aggregate and
+    the ETL times are not used.
+    """
     triples = event_triples(lines.withColumn(ROW_ID, F.monotonically_increasing_id()), override_seconds)
     path = scratch_path(spark, "triples")
     triples.write.parquet(path)
-    stats = spark.read.parquet(path).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.length(EVENT_ID) + F.length(FINGERPRINT)), F.lit(0)).alias("b"),
-    ).first()
-    return StagedTriples(path, int(stats["n"]), int(stats["b"]))
+    staged = spark.read.parquet(path)
+    key_len = F.length(EVENT_ID) + F.length(FINGERPRINT)
+    per_time = (staged.groupBy(ETL_TSTAMP)
+                      .agg(F.count(F.lit(1)).alias("n"), F.sum(key_len).alias("b"))
+                      .limit(MAX_RUN_TIMES + 1).collect())
+    if len(per_time) <= MAX_RUN_TIMES:
+        return StagedTriples(path, sum(int(r["n"]) for r in per_time), sum(int(r["b"] or 0) for r in per_time),
+                             tuple(sorted(int(r[ETL_TSTAMP]) for r in per_time)))
+    totals = staged.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(key_len), F.lit(0)).alias("b")).first()
+    return StagedTriples(path, int(totals["n"]), int(totals["b"]), None)
 
 
 def run_cleanup(spark: SparkSession, run_folder: str, manifest_root: str, override_time: str | None = None,
@@ -108,16 +123,17 @@ def run_cleanup(spark: SparkSession, run_folder: str, manifest_root: str, overri
         raise PublishError(f"manifest {manifest_root} v{version} stores a key pair more than once")
 
     before = row_count(spark, manifest_root, version)
+    times = staged.etl_times
     new_version = None
     if publish:
         expected = None
         if verify:
-            expected = before - deleted_rows(manifest, triples, use_broadcast).count()
-        new_version, after = publish_snapshot(spark, kept_rows(manifest, triples, use_broadcast),
+            expected = before - deleted_rows(manifest, triples, use_broadcast, times).count()
+        new_version, after = publish_snapshot(spark, kept_rows(manifest, triples, use_broadcast, times),
                                               manifest_root, expected_rows=expected)
         deleted = before - after
     else:
-        deleted = deleted_rows(manifest, triples, use_broadcast).count()
+        deleted = deleted_rows(manifest, triples, use_broadcast, times).count()
 
     result = CleanupResult(deleted=deleted, skipped=staged.lines - deleted, lines=staged.lines,
                            manifest_before=before, version=new_version, broadcast=use_broadcast,

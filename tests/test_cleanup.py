@@ -124,3 +124,29 @@ def test_outcome_assigns_and_pins_rid_when_missing(spark):
 def test_key_violations(spark):
     manifest = spark.createDataFrame([("a", "f", 1), ("a", "f", 2), ("b", "f", 1), ("a", "g", 1)], MANIFEST)
     assert rows(key_violations(manifest)) == [("a", "f", 2)]
+
+
+def test_run_times_split_equals_plain_join(spark):
+    rng = random.Random(3)
+    manifest_rows = [(f"e{i}", "f", rng.choice([None, 1, 2, 3, 4])) for i in range(300)]
+    triple_rows = [(f"e{rng.randrange(400)}", "f", rng.choice([1, 2])) for _ in range(500)]
+    manifest, triples = frames(spark, manifest_rows, triple_rows)
+    times = {t for _, _, t in triple_rows}
+    for bc in (False, True):
+        assert rows(kept_rows(manifest, triples, bc, times)) == rows(kept_rows(manifest, triples, bc))
+        assert rows(deleted_rows(manifest, triples, bc, times)) == rows(deleted_rows(manifest, triples, bc))
+    assert rows(kept_rows(manifest, triples, False, [])) == rows(manifest)
+
+
+def test_untouched_batches_bypass_the_shuffle(spark, tmp_folder):
+    manifest = spark.createDataFrame([(f"e{i}", "f", i % 4) for i in range(100)], MANIFEST)
+    manifest.write.parquet(f"{tmp_folder}/m")
+    manifest = spark.read.parquet(f"{tmp_folder}/m")
+    triples = spark.createDataFrame([("e1", "f", 1)], TRIPLES)
+    plan = kept_rows(manifest, triples, False, [1])._jdf.queryExecution().executedPlan().toString()
+    union_inputs = plan.split("Union")[1]
+    # one branch is scan -> filter only; the other holds the join and its exchanges
+    assert "SortMergeJoin" in plan or "BroadcastHashJoin" in plan
+    assert "PushedFilters: [In(etltime, [1])]" in plan or "IsNotNull(etltime), EqualTo(etltime,1)" in plan \
+        or "EqualTo(etltime,1)" in plan
+    assert union_inputs

@@ -208,3 +208,14 @@ def test_snapshot_paths_are_versioned(spark, tmp_folder):
     publish_snapshot(spark, read_current(spark, root).where(F.lit(False)), root)
     assert current_version(spark, root) == 2
     assert read_current(spark, root).count() == 0
+
+
+def test_job_without_run_times_filter(spark, tmp_folder, monkeypatch):
+    import keysweep.plans.job as job
+    monkeypatch.setattr(job, "MAX_RUN_TIMES", 0)
+    t = 1500576426
+    root = manifest_root(spark, tmp_folder, [("a", "fa", t), ("b", "fb", t)])
+    folder = run_folder(tmp_folder, [make_line(event_id="a", fingerprint="fa")])
+    result = run_cleanup(spark, folder, root, quiet=True, verify=True)
+    assert (result.deleted, result.skipped, result.lines) == (1, 0, 1)
+    assert [tuple(r) for r in read_current(spark, root).collect()] == [("b", "fb", t)]
