@@ -1 +1,6 @@
-"""Streaming: run folders that keep arriving, cleaned one micro-batch at a time."""
+"""Streaming: intentionally empty.
+
+The cleanup is a one-shot batch job over one finished run folder; there is
+no stream, watermark or state in what it does, so no streaming operator is
+provided. A run folder that is still being written is not a valid input.
+"""
