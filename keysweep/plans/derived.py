@@ -110,26 +110,40 @@ def run_lines(events: DataFrame, variant: str = "clean", copies: bool = True, wi
     return lines.select(LINE)
 
 
+def _rows(*candidates: Column) -> Column:
+    """Explode the non-null structs among ``candidates`` into rows of their fields."""
+    return F.inline(F.array_compact(F.array(*candidates)))
+
+
 def manifest_table(events: DataFrame) -> DataFrame:
-    """Manifest written by the runs of these events, some rows older or missing."""
+    """Manifest written by the runs of these events, some rows older or missing.
+
+    One pass: each event yields its own row (unless absent) and, for every
+    fifth event, one unrelated row of an old batch. (A union of two scans
+    would let the optimizer copy the constant columns of the unrelated rows
+    into filters on the other side of a join.)
+    """
     src = event_source(events)
     id_ = F.col("id")
-    written = src.where(id_ % 6 != 3).select(
-        EVENT_ID, FINGERPRINT,
-        F.when(id_ % 6 == 0, F.col("etl") - 86400).otherwise(F.col("etl")).cast("int").alias(ETL_TIME))
-    unrelated = events.where(F.col("event_id") % 5 == 0).select(
-        F.md5(F.concat(F.lit("old-"), F.col("event_id").cast("string"))).alias(EVENT_ID),
+    written = F.when(id_ % 6 != 3, F.struct(
+        F.col(EVENT_ID).alias(EVENT_ID),
+        F.col(FINGERPRINT).alias(FINGERPRINT),
+        F.when(id_ % 6 == 0, F.col("etl") - 86400).otherwise(F.col("etl")).cast("int").alias(ETL_TIME)))
+    unrelated = F.when(id_ % 5 == 0, F.struct(
+        F.md5(F.concat(F.lit("old-"), id_.cast("string"))).alias(EVENT_ID),
         F.md5(F.lit("x")).alias(FINGERPRINT),
-        F.lit(0).cast("int").alias(ETL_TIME))
-    return written.unionByName(unrelated)
+        F.lit(0).cast("int").alias(ETL_TIME)))
+    return src.select(_rows(written, unrelated))
 
 
 def manifest_with_repeats(events: DataFrame) -> DataFrame:
     """Manifest with planted key repeats: rows at an even 2-hour ETL time twice."""
     man = manifest_table(events)
-    repeats = man.where(F.col(ETL_TIME) % 7200 == 0).select(
-        EVENT_ID, FINGERPRINT, (F.col(ETL_TIME) + 1).cast("int").alias(ETL_TIME))
-    return man.unionByName(repeats)
+    etl = F.col(ETL_TIME)
+    row = F.struct(F.col(EVENT_ID).alias(EVENT_ID), F.col(FINGERPRINT).alias(FINGERPRINT), etl.alias(ETL_TIME))
+    repeat = F.when(etl % 7200 == 0, F.struct(F.col(EVENT_ID).alias(EVENT_ID), F.col(FINGERPRINT).alias(FINGERPRINT),
+                                            (etl + 1).cast("int").alias(ETL_TIME)))
+    return man.select(_rows(row, repeat))
 
 
 def write_run_folder(spark: SparkSession, lines: DataFrame, compression: str | None = None,
