@@ -14,9 +14,18 @@ from pyspark.sql import functions as F
 from keysweep.schemas import FIELD_SEP, FINGERPRINT_FIELD
 
 
-def tsv_fields(line: Column | str) -> Column:
-    """P1: the field array of a line, trailing empty fields dropped."""
-    return F.split(F.rtrim(line, F.lit(FIELD_SEP)), FIELD_SEP)
+def tsv_fields(line: Column | str, limit: int = -1) -> Column:
+    """P1: the field array of a line, trailing empty fields dropped.
+
+    With ``limit`` the array has at most that many elements, the last one
+    holding the rest of the line; positions below ``limit - 1`` and the test
+    ``size > i`` for ``i < limit - 1`` are unchanged.
+    """
+    return F.split(F.rtrim(line, F.lit(FIELD_SEP)), FIELD_SEP, limit)
+
+
+# Elements the triple extraction needs: fields 0..129 plus one for the rest.
+TRIPLE_SPLIT_LIMIT = FINGERPRINT_FIELD + 2
 
 
 def tsv_field(fields: Column, index: int) -> Column:

@@ -71,7 +71,7 @@ def kept_rows(manifest: DataFrame, triples: DataFrame, broadcast: bool = False,
     return untouched.unionByName(touched)
 
 
-def event_outcome(triples: DataFrame, manifest: DataFrame) -> DataFrame:
+def event_outcome(triples: DataFrame, manifest: DataFrame, etl_times=None) -> DataFrame:
     """J3: one row per event with ``deleted`` = the result of its delete call.
 
     Of repeated triples the one with the smallest ``rid`` (read first) is the
@@ -79,13 +79,17 @@ def event_outcome(triples: DataFrame, manifest: DataFrame) -> DataFrame:
     the same row fails. ``rid`` must be unique and fixed per line: assigned
     on a file scan before any shuffle, or read from staged data. Without a
     ``rid`` column one is assigned here and pinned by a checkpoint, since
-    ``triples`` is read twice below.
+    ``triples`` is read twice below. ``etl_times`` prunes the manifest as in
+    :func:`deleted_rows`.
     """
     if ROW_ID not in triples.columns:
         triples = triples.withColumn(ROW_ID, F.monotonically_increasing_id()).checkpoint(eager=True)
+    candidates = _manifest(manifest)
+    if etl_times is not None:
+        candidates = candidates.where(_in_run_times(etl_times))
     winners = triples.groupBy(*TRIPLE_KEYS).agg(F.min(ROW_ID).alias(ROW_ID))
     matched = (winners.withColumnRenamed(ETL_TSTAMP, ETL_TIME)
-                      .join(_manifest(manifest), list(MANIFEST_KEYS), "left_semi")
+                      .join(candidates, list(MANIFEST_KEYS), "left_semi")
                       .select(ROW_ID, F.lit(True).alias("deleted")))
     return (triples.join(matched, ROW_ID, "left")
                    .select(*TRIPLE_KEYS, F.coalesce(F.col("deleted"), F.lit(False)).alias("deleted")))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keysweep.functions.timefmt import etl_epoch, parse_etl_tstamp
-from keysweep.functions.tsv import is_malformed, leading_field, tsv_field, tsv_fields
+from keysweep.functions.tsv import TRIPLE_SPLIT_LIMIT, is_malformed, leading_field, tsv_field, tsv_fields
 from keysweep.schemas import (
     ETL_TSTAMP,
     ETL_TSTAMP_FIELD,
@@ -79,7 +79,7 @@ def event_triples(lines: DataFrame, override_seconds: int | None = None, line_co
     """
     keep = [c for c in lines.columns if c != line_col]
     line = F.col(line_col)
-    split = lines.select(*keep, line, tsv_fields(line).alias(_FIELDS))
+    split = lines.select(*keep, line, tsv_fields(line, TRIPLE_SPLIT_LIMIT).alias(_FIELDS))
     return split.select(*keep, *triple_columns(line, F.col(_FIELDS), override_seconds))
 
 

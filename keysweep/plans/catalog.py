@@ -31,7 +31,7 @@ from keysweep.plans.derived import (
     spread,
     write_run_folder,
 )
-from keysweep.plans.job import run_cleanup
+from keysweep.plans.job import run_cleanup, run_outcome
 from keysweep.schemas import EVENT_ID, LINE
 from keysweep.session import scratch_path
 from keysweep.sinks.snapshot import init_manifest
@@ -138,6 +138,11 @@ def q_cleanup_job_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.summary(spark)
 
 
+def q_job_event_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result, root = _job(spark, sf_dir)
+    return run_outcome(spark, result, root)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enriched_scan": q_enriched_scan,
     "enriched_scan_gzip": q_enriched_scan_gzip,
@@ -155,6 +160,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "manifest_key_violations": q_manifest_key_violations,
     "manifest_after_publish": q_manifest_after_publish,
     "cleanup_job_summary": q_cleanup_job_summary,
+    "job_event_outcome": q_job_event_outcome,
 }
 
 # ---------------------------------------------------------------------------
@@ -237,4 +243,5 @@ WHERE m.etltime = {OVERRIDE_SECONDS}
 SELECT eventid, fingerprint, count(*) AS n FROM man2 GROUP BY eventid, fingerprint HAVING count(*) > 1"""),
     "manifest_after_publish": _sql(_KEPT),
     "cleanup_job_summary": _sql(_SUMMARY),
+    "job_event_outcome": _sql("SELECT eventid, fingerprint, etltstamp, deleted FROM outcome"),
 }

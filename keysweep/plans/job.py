@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keysweep.functions.timefmt import run_time_value
-from keysweep.operators.cleanup import deleted_rows, key_violations, kept_rows
+from keysweep.operators.cleanup import deleted_rows, event_outcome, key_violations, kept_rows
 from keysweep.operators.triples import event_triples
 from keysweep.schemas import ETL_TSTAMP, EVENT_ID, FINGERPRINT, REPORT_LINE, ROW_ID, SUMMARY
 from keysweep.session import scratch_path
@@ -58,9 +58,11 @@ class CleanupResult:
     skipped: int
     lines: int
     manifest_before: int
+    manifest_version: int   # snapshot the run was checked against
     version: int | None     # published snapshot version; None for a dry run
     broadcast: bool
-    stage: str
+    stage: str              # staged triples (rid, eventid, fingerprint, etltstamp)
+    etl_times: tuple[int, ...] | None
 
     def report(self) -> str:
         return REPORT_LINE.format(deleted=self.deleted, skipped=self.skipped)
@@ -136,8 +138,19 @@ def run_cleanup(spark: SparkSession, run_folder: str, manifest_root: str, overri
         deleted = deleted_rows(manifest, triples, use_broadcast, times).count()
 
     result = CleanupResult(deleted=deleted, skipped=staged.lines - deleted, lines=staged.lines,
-                           manifest_before=before, version=new_version, broadcast=use_broadcast,
-                           stage=staged.path)
+                           manifest_before=before, manifest_version=version, version=new_version,
+                           broadcast=use_broadcast, stage=staged.path, etl_times=times)
     if not quiet:
         print(result.report())
     return result
+
+
+def run_outcome(spark: SparkSession, result: CleanupResult, manifest_root: str) -> DataFrame:
+    """J3 for a finished run: every line with the result of its delete.
+
+    Reads the staged triples (their ``rid`` is fixed on disk) against the
+    snapshot the run was checked against, so it can be asked after publish.
+    """
+    triples = spark.read.parquet(result.stage)
+    manifest = read_snapshot(spark, manifest_root, result.manifest_version)
+    return event_outcome(triples, manifest, result.etl_times)

@@ -150,3 +150,20 @@ def test_untouched_batches_bypass_the_shuffle(spark, tmp_folder):
     assert "PushedFilters: [In(etltime, [1])]" in plan or "IsNotNull(etltime), EqualTo(etltime,1)" in plan \
         or "EqualTo(etltime,1)" in plan
     assert union_inputs
+
+
+def test_lazy_joins_raise_on_a_malformed_line(spark):
+    import pytest
+
+    from conftest import lines_df, make_line
+    from keysweep.operators import event_triples
+
+    lines = lines_df(spark, [make_line(event_id=f"e{i}", fingerprint="f") for i in range(50)] + ["bad"])
+    manifest = spark.createDataFrame([("e1", "f", 1500576426)], MANIFEST)
+    triples = event_triples(lines)
+    for plan in (lambda: deleted_rows(manifest, triples, broadcast=True),
+                 lambda: deleted_rows(manifest.hint("merge"), triples),
+                 lambda: kept_rows(manifest, triples),
+                 lambda: cleanup_summary(manifest, triples)):
+        with pytest.raises(Exception, match="Cannot split TSV"):
+            plan().collect()

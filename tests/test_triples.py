@@ -142,3 +142,10 @@ def test_fixture_does_not_depend_on_session_zone(spark):
             assert {k: snapshot(k) for k in keys} == base
         finally:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_wider_lines_keep_their_fingerprint(spark):
+    wide = make_line() + "\textra\tmore\t\t"
+    assert triples(spark, [wide]) == [(*GOLDEN, 1500576426)]
+    df = lines_df(spark, [wide])
+    assert df.select(tsv_width("value")).first()[0] == 133
