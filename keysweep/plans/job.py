@@ -106,9 +106,12 @@ def run_cleanup(spark: SparkSession, run_folder: str, manifest_root: str, overri
 
     ``override_time`` (``yyyy-MM-dd-HH-mm-ss``, UTC) replaces every event's
     ETL time. ``publish=False`` is a dry run that only counts. ``check_keys``
-    fails when a key pair is stored twice (one extra shuffle of the
-    manifest). ``verify`` recounts the deleted rows with a second join and
-    checks deleted + kept = manifest before publishing.
+    fails when a key pair of the rows to delete is stored more than once
+    (one more run-sized join; the manifest-wide check is
+    :func:`keysweep.operators.key_violations`). ``verify`` recounts the
+    deleted rows with a second join and checks deleted + kept = manifest
+    before publishing. Publishing fails if another cleanup published since
+    this one read the manifest.
     """
     override_seconds = run_time_value(spark, override_time)
     version = current_version(spark, manifest_root)
@@ -121,18 +124,23 @@ def run_cleanup(spark: SparkSession, run_folder: str, manifest_root: str, overri
     limit = broadcast_limit(spark) if broadcast_max_bytes is None else broadcast_max_bytes
     use_broadcast = staged.broadcast_bytes() <= limit
 
-    if check_keys and key_violations(manifest).limit(1).count() > 0:
-        raise PublishError(f"manifest {manifest_root} v{version} stores a key pair more than once")
+    times = staged.etl_times
+    if check_keys:
+        # Only a key pair stored twice among the rows to delete changes the
+        # counts (two rows removed for one event). Checking those rows costs
+        # the run's join, not a shuffle of the whole manifest.
+        doomed = deleted_rows(manifest, triples, use_broadcast, times)
+        if key_violations(doomed).limit(1).count() > 0:
+            raise PublishError(f"manifest {manifest_root} v{version} stores a key pair of this run more than once")
 
     before = row_count(spark, manifest_root, version)
-    times = staged.etl_times
     new_version = None
     if publish:
         expected = None
         if verify:
             expected = before - deleted_rows(manifest, triples, use_broadcast, times).count()
         new_version, after = publish_snapshot(spark, kept_rows(manifest, triples, use_broadcast, times),
-                                              manifest_root, expected_rows=expected)
+                                              manifest_root, expected_rows=expected, base_version=version)
         deleted = before - after
     else:
         deleted = deleted_rows(manifest, triples, use_broadcast, times).count()

@@ -4,7 +4,9 @@ Parquet has no row-level DELETE, and overwriting the folder a query reads
 from destroys it. A cleanup therefore writes the kept rows to the next
 snapshot folder, checks its row count, and only then creates the commit
 marker that makes it current. A failure at any step leaves the previous
-snapshot current and readable.
+snapshot current and readable; the folder it leaves behind is skipped by
+the next publish. Two publishers never both win: the folder write fails if
+the folder exists, and the marker is created exclusively.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from keysweep.schemas import MANIFEST, MANIFEST_KEYS
 from keysweep.sources import fs
-from keysweep.sources.manifest import commit_path, current_version, row_count, snapshot_path
+from keysweep.sources.manifest import commit_path, current_version, row_count, snapshot_path, written_versions
 
 
 class PublishError(RuntimeError):
@@ -21,17 +23,20 @@ class PublishError(RuntimeError):
 
 
 def publish_snapshot(spark: SparkSession, rows: DataFrame, root: str,
-                     expected_rows: int | None = None) -> tuple[int, int]:
+                     expected_rows: int | None = None, base_version: int | None = None) -> tuple[int, int]:
     """Write ``rows`` as version n+1 under ``root`` and make it current.
 
     Returns (version, row count). With ``expected_rows`` the written count
-    must match before the version is published.
+    must match before the version is published. ``base_version`` is the
+    version ``rows`` were computed from: if another job published since,
+    nothing is published (its deletes would otherwise be undone).
     """
     previous = current_version(spark, root) or 0
-    version = previous + 1
+    if base_version is not None and previous != base_version:
+        raise PublishError(f"{root} moved from version {base_version} to {previous}; run the cleanup again")
+    # Folders of failed attempts are never published; the next version skips them.
+    version = max([previous, *written_versions(spark, root)]) + 1
     path = snapshot_path(root, version)
-    if fs.exists(spark, path):
-        raise PublishError(f"{path} exists but is not published; remove it or publish elsewhere")
     rows.select(*MANIFEST_KEYS).write.mode("errorifexists").parquet(path)
     written = row_count(spark, root, version)
     if expected_rows is not None and written != expected_rows:

@@ -19,16 +19,24 @@ from keysweep.schemas import MANIFEST
 from keysweep.sources import fs
 
 COMMITS = "_commits"
+SNAPSHOT_PREFIX = "snapshot-"
 
 
 def snapshot_path(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/snapshot-{version:08d}"
+    return f"{root.rstrip('/')}/{SNAPSHOT_PREFIX}{version:08d}"
 
 
 def commit_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/{COMMITS}/{version:08d}"
 
 
+def written_versions(spark: SparkSession, root: str) -> list[int]:
+    """Versions that have a snapshot folder, published or not."""
+    names = fs.list_names(spark, root)
+    return sorted(int(n[len(SNAPSHOT_PREFIX):]) for n in names
+                  if n.startswith(SNAPSHOT_PREFIX) and n[len(SNAPSHOT_PREFIX):].isdigit())
+
+
 def current_version(spark: SparkSession, root: str) -> int | None:
     versions = [int(n) for n in fs.list_names(spark, f"{root.rstrip('/')}/{COMMITS}") if n.isdigit()]
     return max(versions) if versions else None

@@ -131,16 +131,35 @@ def test_publish_failure_keeps_old_snapshot(spark, tmp_folder):
         publish_snapshot(spark, rows, root, expected_rows=5)
     assert current_version(spark, root) == 1
     assert [tuple(r) for r in read_current(spark, root).collect()] == [("a", "fa", 1)]
-    # the unpublished folder blocks a blind retry of the same version
-    with pytest.raises(PublishError, match="not published"):
-        publish_snapshot(spark, rows, root)
+    # the unpublished folder of the failed attempt is skipped, not reused
+    assert publish_snapshot(spark, rows, root, base_version=1) == (3, 1)
+    assert [tuple(r) for r in read_current(spark, root).collect()] == [("b", "fb", 2)]
 
 
 def test_key_check_stops_the_job(spark, tmp_folder):
-    root = manifest_root(spark, tmp_folder, [("a", "fa", 1), ("a", "fa", 2)])
+    t = 1500576426
+    root = manifest_root(spark, tmp_folder, [("a", "fa", t), ("a", "fa", t), ("b", "fb", 1), ("b", "fb", 2)])
     folder = run_folder(tmp_folder, [make_line(event_id="a", fingerprint="fa")])
     with pytest.raises(PublishError, match="more than once"):
         run_cleanup(spark, folder, root, check_keys=True, quiet=True)
+    assert current_version(spark, root) == 1
+
+
+def test_key_check_ignores_repeats_the_run_does_not_touch(spark, tmp_folder):
+    t = 1500576426
+    root = manifest_root(spark, tmp_folder, [("a", "fa", t), ("b", "fb", 1), ("b", "fb", 2)])
+    folder = run_folder(tmp_folder, [make_line(event_id="a", fingerprint="fa")])
+    result = run_cleanup(spark, folder, root, check_keys=True, quiet=True)
+    assert (result.deleted, result.skipped) == (1, 0)
+
+
+def test_publish_refuses_a_moved_manifest(spark, tmp_folder):
+    root = manifest_root(spark, tmp_folder, [("a", "fa", 1)])
+    rows = spark.createDataFrame([("b", "fb", 2)], MANIFEST)
+    publish_snapshot(spark, rows, root, base_version=1)
+    with pytest.raises(PublishError, match="moved"):
+        publish_snapshot(spark, rows, root, base_version=1)
+    assert current_version(spark, root) == 2
 
 
 def test_forced_shuffle_and_broadcast_jobs_agree(spark, tmp_folder):
