@@ -238,3 +238,31 @@ def test_job_without_run_times_filter(spark, tmp_folder, monkeypatch):
     result = run_cleanup(spark, folder, root, quiet=True, verify=True)
     assert (result.deleted, result.skipped, result.lines) == (1, 0, 1)
     assert [tuple(r) for r in read_current(spark, root).collect()] == [("b", "fb", t)]
+
+
+def test_job_over_gzip_run_folder_equals_plain(spark, tmp_folder):
+    events = read_table(spark, SF_SMALL, "events")
+    results = []
+    for compression in (None, "gzip"):
+        folder = write_run_folder(spark, run_lines(events), compression=compression,
+                                  max_records_per_file=400, gzip_suffix=compression is not None)
+        root = os.path.join(tmp_folder, f"m-{compression}")
+        init_manifest(spark, manifest_table(events), root)
+        result = run_cleanup(spark, folder, root, quiet=True)
+        results.append((result.lines, result.deleted, result.skipped))
+    assert results[0] == results[1]
+    assert results[0][0] == events.count() + events.where("event_id % 7 = 0").count()
+
+
+def test_command_line(spark, tmp_folder, capsys):
+    from keysweep.__main__ import main, parse_args
+
+    t = 1500576426
+    root = manifest_root(spark, tmp_folder, [("a", "fa", t), ("b", "fb", t)])
+    folder = run_folder(tmp_folder, [make_line(event_id="a", fingerprint="fa")])
+    assert parse_args(["--run-folder", "s3://x/y", "--manifest", "m", "--time", "2017-07-20-14-44-13"]).time
+    assert main(["--run-folder", folder, "--manifest", root, "--dry-run"]) == 0
+    assert current_version(spark, root) == 1
+    assert main(["--run-folder", folder, "--manifest", root]) == 0
+    out = capsys.readouterr().out
+    assert "deleted 1 events. 0 events were skipped" in out and "published manifest version 2" in out
