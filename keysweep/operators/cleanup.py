@@ -6,12 +6,13 @@ different ETL time and stays; a null ETL time never matches.
 
 Plan shape, chosen for a large manifest and a run of any size:
 
-* The run side is reduced to distinct triples first. That aggregation is
-  partial (map-side), so a triple repeated by a bot collapses before the
-  shuffle, and its output is already hash-partitioned on the join keys.
 * Semi/anti joins on three keys. Broadcasting the run side is an explicit,
   size-checked choice of the caller (``broadcast=True``); otherwise Spark
   plans a sort-merge join and AQE may still switch with measured sizes.
+* A shuffled run side is reduced to distinct triples first. That
+  aggregation is partial (map-side), so a triple repeated by a bot
+  collapses before the shuffle, and its output is already hash-partitioned
+  on the join keys.
 * The per-event outcome (J3) picks one winner per triple with ``min(rid)``
   (a partial aggregate), then joins back on the unique ``rid``: no window
   over a triple, so a hot triple never lands in a single task.
@@ -26,10 +27,15 @@ from keysweep.schemas import ETL_TIME, ETL_TSTAMP, EVENT_ID, FINGERPRINT, MANIFE
 
 
 def run_keys(triples: DataFrame, broadcast: bool = False) -> DataFrame:
-    """Distinct (eventid, fingerprint, etltime) of a run, named like the manifest."""
-    keys = (triples.select(EVENT_ID, FINGERPRINT, F.col(ETL_TSTAMP).alias(ETL_TIME))
-                   .distinct())
-    return F.broadcast(keys) if broadcast else keys
+    """(eventid, fingerprint, etltime) of a run, named like the manifest.
+
+    Shuffled: made distinct first, so repeats collapse map-side and a hot
+    triple cannot skew the join. Broadcast: taken as is; a hash relation
+    holds repeats fine, the caller's size check already counts every line,
+    and the aggregation would only add a shuffle stage.
+    """
+    keys = triples.select(EVENT_ID, FINGERPRINT, F.col(ETL_TSTAMP).alias(ETL_TIME))
+    return F.broadcast(keys) if broadcast else keys.distinct()
 
 
 def _manifest(manifest: DataFrame) -> DataFrame:
