@@ -101,7 +101,8 @@ def event_outcome(triples: DataFrame, manifest: DataFrame, etl_times=None) -> Da
                    .select(*TRIPLE_KEYS, F.coalesce(F.col("deleted"), F.lit(False)).alias("deleted")))
 
 
-def cleanup_summary(manifest: DataFrame, triples: DataFrame, broadcast: bool = False) -> DataFrame:
+def cleanup_summary(manifest: DataFrame, triples: DataFrame, broadcast: bool = False,
+                    etl_times=None) -> DataFrame:
     """A1-A3: one row (deleted_events, skipped_events).
 
     deleted = manifest rows removed (J1); skipped = lines - deleted. Both
@@ -109,7 +110,7 @@ def cleanup_summary(manifest: DataFrame, triples: DataFrame, broadcast: bool = F
     only counted (partial aggregate), never shuffled.
     """
     lines = triples.select(F.lit(False).alias("is_deleted"))
-    deleted = deleted_rows(manifest, triples, broadcast).select(F.lit(True).alias("is_deleted"))
+    deleted = deleted_rows(manifest, triples, broadcast, etl_times).select(F.lit(True).alias("is_deleted"))
     flag = F.col("is_deleted")
     return lines.unionByName(deleted).agg(
         F.count_if(flag).alias("deleted_events"),

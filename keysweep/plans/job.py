@@ -24,11 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keysweep.functions.timefmt import run_time_value
-from keysweep.operators.cleanup import deleted_rows, event_outcome, key_violations, kept_rows
+from keysweep.operators.cleanup import deleted_rows, event_outcome, key_violations, kept_rows, run_keys
 from keysweep.operators.triples import event_triples
 from keysweep.schemas import ETL_TSTAMP, EVENT_ID, FINGERPRINT, REPORT_LINE, ROW_ID, SUMMARY
 from keysweep.session import scratch_path
 from keysweep.sinks.snapshot import PublishError, publish_snapshot
+from keysweep.sinks.store import delete_from_store
 from keysweep.sources.enriched import read_enriched
 from keysweep.sources.manifest import current_version, read_snapshot, row_count
 
@@ -162,3 +163,39 @@ def run_outcome(spark: SparkSession, result: CleanupResult, manifest_root: str)
     triples = spark.read.parquet(result.stage)
     manifest = read_snapshot(spark, manifest_root, result.manifest_version)
     return event_outcome(triples, manifest, result.etl_times)
+
+
+@dataclass(frozen=True)
+class StoreCleanupResult:
+    deleted: int
+    skipped: int
+    lines: int
+    sent: int               # distinct triples sent to the store
+    stage: str
+
+    def report(self) -> str:
+        return REPORT_LINE.format(deleted=self.deleted, skipped=self.skipped)
+
+
+def run_store_cleanup(spark: SparkSession, run_folder: str, client_factory, override_time: str | None = None,
+                      parallelism: int | None = None, quiet: bool = False) -> StoreCleanupResult:
+    """The cleanup against a manifest held in an external keyed store (K2).
+
+    Every distinct triple of the run is sent once as a conditional delete;
+    the store answers whether a row with that key pair and ETL time existed.
+    A repeated triple could only fail its second delete, so
+    deleted = successful deletes and skipped = lines - deleted, the same
+    totals as one call per line. ``parallelism`` sets the number of tasks
+    (and so of concurrent clients); by default the shuffle partition count.
+    """
+    override_seconds = run_time_value(spark, override_time)
+    staged = stage_triples(spark, read_enriched(spark, run_folder), override_seconds)
+    keys = run_keys(spark.read.parquet(staged.path))
+    if parallelism:
+        keys = keys.repartition(parallelism, *keys.columns)
+    deleted, failed = delete_from_store(keys, client_factory)
+    result = StoreCleanupResult(deleted=deleted, skipped=staged.lines - deleted, lines=staged.lines,
+                                sent=deleted + failed, stage=staged.path)
+    if not quiet:
+        print(result.report())
+    return result

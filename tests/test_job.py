@@ -266,3 +266,39 @@ def test_command_line(spark, tmp_folder, capsys):
     assert main(["--run-folder", folder, "--manifest", root]) == 0
     out = capsys.readouterr().out
     assert "deleted 1 events. 0 events were skipped" in out and "published manifest version 2" in out
+
+
+def test_store_cleanup_matches_snapshot_cleanup(spark, tmp_folder):
+    """The same run against a keyed store (fake, file-backed) and against parquet snapshots."""
+    from keysweep.plans.job import run_store_cleanup
+
+    class JsonStore:
+        def __init__(self, folder):
+            self.folder = folder
+
+        def delete(self, event_id, fingerprint, etl_time):
+            # one marker file per key: exclusive create makes a second delete fail, as in a store
+            path = os.path.join(self.folder, "rows", f"{event_id}|{fingerprint}|{etl_time}")
+            try:
+                os.remove(path)
+                return True
+            except FileNotFoundError:
+                return False
+
+    t = 1500576426
+    rows = [("a", "fa", t), ("b", "fb", t - 86400), ("c", "fc", t), ("x", "fx", 0)]
+    os.makedirs(os.path.join(tmp_folder, "rows"))
+    for e, f, etl in rows:
+        open(os.path.join(tmp_folder, "rows", f"{e}|{f}|{etl}"), "w").close()
+    lines = [make_line(event_id="a", fingerprint="fa"), make_line(event_id="a", fingerprint="fa"),
+             make_line(event_id="b", fingerprint="fb"), make_line(event_id="z", fingerprint="fz"),
+             make_line(event_id="c", fingerprint="fc")]
+    folder = run_folder(tmp_folder, lines)
+    store_dir = tmp_folder
+    result = run_store_cleanup(spark, folder, lambda: JsonStore(store_dir), parallelism=3, quiet=True)
+    assert (result.deleted, result.skipped, result.lines, result.sent) == (2, 3, 5, 4)
+    assert sorted(os.listdir(os.path.join(tmp_folder, "rows"))) == [f"b|fb|{t - 86400}", "x|fx|0"]
+
+    root = manifest_root(spark, tmp_folder, rows)
+    snap = run_cleanup(spark, folder, root, quiet=True)
+    assert (snap.deleted, snap.skipped) == (result.deleted, result.skipped)
