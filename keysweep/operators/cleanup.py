@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keysweep.schemas import ETL_TIME, ETL_TSTAMP, EVENT_ID, FINGERPRINT, MANIFEST_KEYS, ROW_ID, TRIPLE_KEYS
+from keysweep.session import checkpoint_root
 
 
 def run_keys(triples: DataFrame, broadcast: bool = False) -> DataFrame:
@@ -89,6 +90,7 @@ def event_outcome(triples: DataFrame, manifest: DataFrame, etl_times=None) -> Da
     :func:`deleted_rows`.
     """
     if ROW_ID not in triples.columns:
+        checkpoint_root(triples.sparkSession)
         triples = triples.withColumn(ROW_ID, F.monotonically_increasing_id()).checkpoint(eager=True)
     candidates = _manifest(manifest)
     if etl_times is not None:

@@ -302,3 +302,17 @@ def test_store_cleanup_matches_snapshot_cleanup(spark, tmp_folder):
     root = manifest_root(spark, tmp_folder, rows)
     snap = run_cleanup(spark, folder, root, quiet=True)
     assert (snap.deleted, snap.skipped) == (result.deleted, result.skipped)
+
+
+def test_manifest_with_store_column_names_reads(spark, tmp_folder):
+    """A manifest exported with the store's attribute names (eventId, etlTime) reads as is."""
+    root = os.path.join(tmp_folder, "manifest")
+    df = spark.createDataFrame([("a", "fa", 1500576426), ("b", "fb", 7)], "eventId string, fingerprint string, etlTime int")
+    df.write.parquet(snapshot_path(root, 1))
+    from keysweep.sources import fs
+    from keysweep.sources.manifest import commit_path
+    assert fs.create_marker(spark, commit_path(root, 1))
+    folder = run_folder(tmp_folder, [make_line(event_id="a", fingerprint="fa")])
+    result = run_cleanup(spark, folder, root, quiet=True)
+    assert (result.deleted, result.skipped) == (1, 0)
+    assert [tuple(r) for r in read_current(spark, root).collect()] == [("b", "fb", 7)]
