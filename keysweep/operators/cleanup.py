@@ -43,42 +43,46 @@ def _manifest(manifest: DataFrame) -> DataFrame:
     return manifest.select(*MANIFEST_KEYS)
 
 
-def _in_run_times(etl_times) -> Column:
-    return F.col(ETL_TIME).isin(sorted({int(t) for t in etl_times}))
+def _in_run_range(etl_range: tuple[int, int]) -> Column:
+    lo, hi = etl_range
+    return F.col(ETL_TIME).between(int(lo), int(hi))
 
 
 def deleted_rows(manifest: DataFrame, triples: DataFrame, broadcast: bool = False,
-                 etl_times=None) -> DataFrame:
+                 etl_range: tuple[int, int] | None = None) -> DataFrame:
     """J1: manifest rows whose key pair and ETL time occur in the run.
 
-    ``etl_times``, when known, is the (small) set of the run's ETL times; it
-    becomes a scan filter on the manifest, since no other row can match.
+    ``etl_range``, when known, is (min, max) of the run's ETL times; it
+    becomes a scan filter on the manifest (parquet row groups outside it are
+    skipped), since no other row can match.
     """
     candidates = _manifest(manifest)
-    if etl_times is not None:
-        candidates = candidates.where(_in_run_times(etl_times))
+    if etl_range is not None:
+        candidates = candidates.where(_in_run_range(etl_range))
     return candidates.join(run_keys(triples, broadcast), list(MANIFEST_KEYS), "left_semi")
 
 
 def kept_rows(manifest: DataFrame, triples: DataFrame, broadcast: bool = False,
-              etl_times=None) -> DataFrame:
+              etl_range: tuple[int, int] | None = None) -> DataFrame:
     """J2: the manifest after the cleanup (complement of J1).
 
-    With ``etl_times`` the manifest is split: rows of other batches (and rows
+    With ``etl_range`` the manifest is split: rows of other batches (and rows
     without an ETL time) pass through untouched, with no shuffle; only rows
     of the run's batches meet the join. The shuffle then scales with the run,
-    not with the manifest.
+    not with the manifest. (A run normally holds one batch, so the range is
+    one value; a wider range only adds candidates, never changes the result.)
     """
     rows = _manifest(manifest)
-    if etl_times is None:
+    if etl_range is None:
         return rows.join(run_keys(triples, broadcast), list(MANIFEST_KEYS), "left_anti")
-    hit = _in_run_times(etl_times)
+    hit = _in_run_range(etl_range)
     untouched = rows.where(~hit | F.col(ETL_TIME).isNull())
     touched = rows.where(hit).join(run_keys(triples, broadcast), list(MANIFEST_KEYS), "left_anti")
     return untouched.unionByName(touched)
 
 
-def event_outcome(triples: DataFrame, manifest: DataFrame, etl_times=None) -> DataFrame:
+def event_outcome(triples: DataFrame, manifest: DataFrame,
+                  etl_range: tuple[int, int] | None = None) -> DataFrame:
     """J3: one row per event with ``deleted`` = the result of its delete call.
 
     Of repeated triples the one with the smallest ``rid`` (read first) is the
@@ -86,15 +90,15 @@ def event_outcome(triples: DataFrame, manifest: DataFrame, etl_times=None) -> Da
     the same row fails. ``rid`` must be unique and fixed per line: assigned
     on a file scan before any shuffle, or read from staged data. Without a
     ``rid`` column one is assigned here and pinned by a checkpoint, since
-    ``triples`` is read twice below. ``etl_times`` prunes the manifest as in
+    ``triples`` is read twice below. ``etl_range`` prunes the manifest as in
     :func:`deleted_rows`.
     """
     if ROW_ID not in triples.columns:
         checkpoint_root(triples.sparkSession)
         triples = triples.withColumn(ROW_ID, F.monotonically_increasing_id()).checkpoint(eager=True)
     candidates = _manifest(manifest)
-    if etl_times is not None:
-        candidates = candidates.where(_in_run_times(etl_times))
+    if etl_range is not None:
+        candidates = candidates.where(_in_run_range(etl_range))
     winners = triples.groupBy(*TRIPLE_KEYS).agg(F.min(ROW_ID).alias(ROW_ID))
     matched = (winners.withColumnRenamed(ETL_TSTAMP, ETL_TIME)
                       .join(candidates, list(MANIFEST_KEYS), "left_semi")
@@ -104,7 +108,7 @@ def event_outcome(triples: DataFrame, manifest: DataFrame, etl_times=None) -> Da
 
 
 def cleanup_summary(manifest: DataFrame, triples: DataFrame, broadcast: bool = False,
-                    etl_times=None) -> DataFrame:
+                    etl_range: tuple[int, int] | None = None) -> DataFrame:
     """A1-A3: one row (deleted_events, skipped_events).
 
     deleted = manifest rows removed (J1); skipped = lines - deleted. Both
@@ -112,7 +116,7 @@ def cleanup_summary(manifest: DataFrame, triples: DataFrame, broadcast: bool = F
     only counted (partial aggregate), never shuffled.
     """
     lines = triples.select(F.lit(False).alias("is_deleted"))
-    deleted = deleted_rows(manifest, triples, broadcast, etl_times).select(F.lit(True).alias("is_deleted"))
+    deleted = deleted_rows(manifest, triples, broadcast, etl_range).select(F.lit(True).alias("is_deleted"))
     flag = F.col("is_deleted")
     return lines.unionByName(deleted).agg(
         F.count_if(flag).alias("deleted_events"),

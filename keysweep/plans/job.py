@@ -1,11 +1,11 @@
 """The cleanup job: one run folder against one manifest.
 
-Stages, each one Spark job::
+Stages::
 
     1. scan run folder -> triples -> parquet in the shared scratch folder
        (map only; computes every column of every line, so a malformed line
        or a bad timestamp fails here, before anything is deleted)
-    2. size and ETL times of the staged triples (aggregate per ETL time)
+    2. line count, key bytes and ETL time range, observed during step 1
     3. manifest LEFT ANTI JOIN distinct run triples -> next snapshot
        (broadcast of the run side only when step 2 proved it small; rows
        of other batches bypass the join, so only the run's batches shuffle)
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from keysweep.functions.timefmt import run_time_value
@@ -37,19 +37,17 @@ BROADCAST_CONF = "spark.keysweep.broadcastMaxBytes"
 DEFAULT_BROADCAST_MAX_BYTES = 128 * 1024 * 1024
 # Bytes per distinct key in a broadcast hash relation, besides the two strings.
 BROADCAST_ROW_OVERHEAD = 64
-# Most distinct ETL times of a run that are used as a manifest filter.
-MAX_RUN_TIMES = 10_000
 
 
 @dataclass(frozen=True)
 class StagedTriples:
     path: str
     lines: int
-    key_bytes: int                      # sum of eventid and fingerprint lengths
-    etl_times: tuple[int, ...] | None   # distinct ETL times; None when more than MAX_RUN_TIMES
+    key_bytes: int                          # sum of eventid and fingerprint lengths
+    etl_range: tuple[int, int] | None       # (min, max) ETL time; None for an empty run
 
     def broadcast_bytes(self) -> int:
-        """Upper bound of the in-memory size of the distinct run keys."""
+        """Upper bound of the in-memory size of the run keys."""
         return self.key_bytes + BROADCAST_ROW_OVERHEAD * self.lines
 
 
@@ -63,7 +61,7 @@ class CleanupResult:
     version: int | None     # published snapshot version; None for a dry run
     broadcast: bool
     stage: str              # staged triples (rid, eventid, fingerprint, etltstamp)
-    etl_times: tuple[int, ...] | None
+    etl_range: tuple[int, int] | None
 
     def report(self) -> str:
         return REPORT_LINE.format(deleted=self.deleted, skipped=self.skipped)
@@ -80,24 +78,23 @@ def broadcast_limit(spark: SparkSession) -> int:
 def stage_triples(spark: SparkSession, lines: DataFrame, override_seconds: int | None = None) -> StagedTriples:
     """Steps 1-2: write (rid, eventid, fingerprint, etltstamp) and measure it.
 
-    The measure is one aggregate per ETL time; a run normally holds one
-    batch, so this is a handful of rows. At most MAX_RUN_TIMES + 1 of them
-    reach the driver; past that the totals come from a global aggregate and
-    the ETL times are not used.
+    The measures (line count, key bytes, ETL time range) are observed while
+    the write runs: no second pass over the data, nothing but four numbers
+    to the driver.
     """
     triples = event_triples(lines.withColumn(ROW_ID, F.monotonically_increasing_id()), override_seconds)
     path = scratch_path(spark, "triples")
-    triples.write.parquet(path)
-    staged = spark.read.parquet(path)
-    key_len = F.length(EVENT_ID) + F.length(FINGERPRINT)
-    per_time = (staged.groupBy(ETL_TSTAMP)
-                      .agg(F.count(F.lit(1)).alias("n"), F.sum(key_len).alias("b"))
-                      .limit(MAX_RUN_TIMES + 1).collect())
-    if len(per_time) <= MAX_RUN_TIMES:
-        return StagedTriples(path, sum(int(r["n"]) for r in per_time), sum(int(r["b"] or 0) for r in per_time),
-                             tuple(sorted(int(r[ETL_TSTAMP]) for r in per_time)))
-    totals = staged.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(key_len), F.lit(0)).alias("b")).first()
-    return StagedTriples(path, int(totals["n"]), int(totals["b"]), None)
+    measures = Observation("staged_triples")
+    triples.observe(
+        measures,
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.length(EVENT_ID) + F.length(FINGERPRINT)), F.lit(0)).alias("b"),
+        F.min(ETL_TSTAMP).alias("lo"),
+        F.max(ETL_TSTAMP).alias("hi"),
+    ).write.parquet(path)
+    m = measures.get
+    etl_range = None if m["lo"] is None else (int(m["lo"]), int(m["hi"]))
+    return StagedTriples(path, int(m["n"]), int(m["b"]), etl_range)
 
 
 def run_cleanup(spark: SparkSession, run_folder: str, manifest_root: str, override_time: str | None = None,
@@ -125,7 +122,14 @@ def run_cleanup(spark: SparkSession, run_folder: str, manifest_root: str, overri
     limit = broadcast_limit(spark) if broadcast_max_bytes is None else broadcast_max_bytes
     use_broadcast = staged.broadcast_bytes() <= limit
 
-    times = staged.etl_times
+    times = staged.etl_range
+    if staged.lines == 0:
+        result = CleanupResult(deleted=0, skipped=0, lines=0, manifest_before=row_count(spark, manifest_root, version),
+                               manifest_version=version, version=None, broadcast=False, stage=staged.path,
+                               etl_range=None)
+        if not quiet:
+            print(result.report())
+        return result
     if check_keys:
         # Only a key pair stored twice among the rows to delete changes the
         # counts (two rows removed for one event). Checking those rows costs
@@ -148,7 +152,7 @@ def run_cleanup(spark: SparkSession, run_folder: str, manifest_root: str, overri
 
     result = CleanupResult(deleted=deleted, skipped=staged.lines - deleted, lines=staged.lines,
                            manifest_before=before, manifest_version=version, version=new_version,
-                           broadcast=use_broadcast, stage=staged.path, etl_times=times)
+                           broadcast=use_broadcast, stage=staged.path, etl_range=times)
     if not quiet:
         print(result.report())
     return result
@@ -162,7 +166,7 @@ def run_outcome(spark: SparkSession, result: CleanupResult, manifest_root: str)
     """
     triples = spark.read.parquet(result.stage)
     manifest = read_snapshot(spark, manifest_root, result.manifest_version)
-    return event_outcome(triples, manifest, result.etl_times)
+    return event_outcome(triples, manifest, result.etl_range)
 
 
 @dataclass(frozen=True)

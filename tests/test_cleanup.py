@@ -131,11 +131,18 @@ def test_run_times_split_equals_plain_join(spark):
     manifest_rows = [(f"e{i}", "f", rng.choice([None, 1, 2, 3, 4])) for i in range(300)]
     triple_rows = [(f"e{rng.randrange(400)}", "f", rng.choice([1, 2])) for _ in range(500)]
     manifest, triples = frames(spark, manifest_rows, triple_rows)
-    times = {t for _, _, t in triple_rows}
-    for bc in (False, True):
-        assert rows(kept_rows(manifest, triples, bc, times)) == rows(kept_rows(manifest, triples, bc))
-        assert rows(deleted_rows(manifest, triples, bc, times)) == rows(deleted_rows(manifest, triples, bc))
-    assert rows(kept_rows(manifest, triples, False, [])) == rows(manifest)
+    times = [t for _, _, t in triple_rows]
+    for span in [(min(times), max(times)), (0, 10), (2, 2)]:
+        exact = span[0] <= min(times) and max(times) <= span[1]
+        for bc in (False, True):
+            if exact:
+                assert rows(kept_rows(manifest, triples, bc, span)) == rows(kept_rows(manifest, triples, bc))
+                assert rows(deleted_rows(manifest, triples, bc, span)) == rows(deleted_rows(manifest, triples, bc))
+            assert len(rows(kept_rows(manifest, triples, bc, span))) + \
+                len(rows(deleted_rows(manifest, triples, bc, span))) == len(manifest_rows)
+        assert rows(event_outcome(with_rid(triples), manifest, span if exact else None)) == \
+            rows(event_outcome(with_rid(triples), manifest))
+    assert rows(kept_rows(manifest, triples, False, (7, 6))) == rows(manifest)
 
 
 def test_untouched_batches_bypass_the_shuffle(spark, tmp_folder):
@@ -143,12 +150,11 @@ def test_untouched_batches_bypass_the_shuffle(spark, tmp_folder):
     manifest.write.parquet(f"{tmp_folder}/m")
     manifest = spark.read.parquet(f"{tmp_folder}/m")
     triples = spark.createDataFrame([("e1", "f", 1)], TRIPLES)
-    plan = kept_rows(manifest, triples, False, [1])._jdf.queryExecution().executedPlan().toString()
+    plan = kept_rows(manifest, triples, False, (1, 1))._jdf.queryExecution().executedPlan().toString()
     union_inputs = plan.split("Union")[1]
     # one branch is scan -> filter only; the other holds the join and its exchanges
     assert "SortMergeJoin" in plan or "BroadcastHashJoin" in plan
-    assert "PushedFilters: [In(etltime, [1])]" in plan or "IsNotNull(etltime), EqualTo(etltime,1)" in plan \
-        or "EqualTo(etltime,1)" in plan
+    assert "GreaterThanOrEqual(etltime,1)" in plan and "LessThanOrEqual(etltime,1)" in plan
     assert union_inputs
 
 

@@ -229,15 +229,21 @@ def test_snapshot_paths_are_versioned(spark, tmp_folder):
     assert read_current(spark, root).count() == 0
 
 
-def test_job_without_run_times_filter(spark, tmp_folder, monkeypatch):
-    import keysweep.plans.job as job
-    monkeypatch.setattr(job, "MAX_RUN_TIMES", 0)
-    t = 1500576426
-    root = manifest_root(spark, tmp_folder, [("a", "fa", t), ("b", "fb", t)])
-    folder = run_folder(tmp_folder, [make_line(event_id="a", fingerprint="fa")])
-    result = run_cleanup(spark, folder, root, quiet=True, verify=True)
-    assert (result.deleted, result.skipped, result.lines) == (1, 0, 1)
-    assert [tuple(r) for r in read_current(spark, root).collect()] == [("b", "fb", t)]
+def test_job_over_an_empty_run(spark, tmp_folder):
+    root = manifest_root(spark, tmp_folder, [("a", "fa", 1)])
+    folder = run_folder(tmp_folder, [])
+    with open(os.path.join(folder, "part-00000"), "w"):
+        pass
+    result = run_cleanup(spark, folder, root, quiet=True)
+    assert (result.deleted, result.skipped, result.lines, result.version) == (0, 0, 0, None)
+    assert current_version(spark, root) == 1
+
+
+def test_staged_measures(spark, tmp_folder):
+    lines = [make_line(event_id="a", fingerprint="fa"), make_line(event_id="bb", etl="2017-07-20 18:47:09.000")]
+    staged = stage_triples(spark, spark.createDataFrame([(x,) for x in lines], "value string"))
+    assert (staged.lines, staged.etl_range) == (2, (1500576426, 1500576429))
+    assert staged.key_bytes == (1 + 2) + (2 + 32)
 
 
 def test_job_over_gzip_run_folder_equals_plain(spark, tmp_folder):
