@@ -1,7 +1,7 @@
 """P4, P6, F1, F2: enriched lines -> deduplication triples, and the line checks.
 
-One projection per line, no Python: split, pick three fields, parse the ETL
-time. A malformed line (no fingerprint field) or an ETL timestamp that does
+Projections only, no Python: split each line once, pick three fields, parse
+the ETL time. A malformed line (no fingerprint field) or an ETL timestamp that does
 not parse fails the query with the line in the message; nothing is skipped.
 
 The guards live inside the triple columns, so they run whenever a column is
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from keysweep.functions.timefmt import etl_epoch, parse_etl_tstamp
 from keysweep.functions.tsv import TRIPLE_SPLIT_LIMIT, is_malformed, leading_field, tsv_field, tsv_fields
 from keysweep.schemas import (
+    BAD_TSTAMP_MESSAGE,
     ETL_TSTAMP,
     ETL_TSTAMP_FIELD,
     EVENT_ID,
@@ -29,9 +30,15 @@ from keysweep.schemas import (
 )
 
 
-def _message(template: str, line: Column) -> Column:
-    head, tail = template.split("{line}")
-    return F.concat(F.lit(head), line, F.lit(tail))
+def _message(template: str, **values: Column) -> Column:
+    """Fill ``{name}`` slots of a fixed message with column values."""
+    parts: list[Column] = []
+    rest = template
+    while "{" in rest:
+        head, _, tail = rest.partition("{")
+        name, _, rest = tail.partition("}")
+        parts += [F.lit(head), values[name]]
+    return F.concat(*parts, F.lit(rest))
 
 
 _FIELDS = "_fields"
@@ -44,7 +51,7 @@ def triple_columns(line: Column, fields: Column, override_seconds: int | None =
     is never read, so its content cannot fail.
     """
     malformed = is_malformed(fields)
-    split_error = F.raise_error(_message(MALFORMED_MESSAGE, line))
+    split_error = F.raise_error(_message(MALFORMED_MESSAGE, line=line))
 
     def guarded(col: Column, unreachable) -> Column:
         # The coalesce default is never used: past the guards every value is
@@ -55,9 +62,7 @@ def triple_columns(line: Column, fields: Column, override_seconds: int | None =
 
     if override_seconds is None:
         etl_text = tsv_field(fields, ETL_TSTAMP_FIELD)
-        parse_error = F.raise_error(
-            F.concat(F.lit("ERROR: Cannot parse ETL timestamp ["), etl_text, F.lit("] in ["), line, F.lit("]"))
-        )
+        parse_error = F.raise_error(_message(BAD_TSTAMP_MESSAGE, text=etl_text, line=line))
         etl = F.when(parse_etl_tstamp(etl_text).isNull(), parse_error).otherwise(etl_epoch(etl_text))
     else:
         etl = F.lit(int(override_seconds)).cast("int")

@@ -28,6 +28,7 @@ RUN_FILE_GLOB = "part-*"
 # Failure messages.
 MALFORMED_MESSAGE = "ERROR: Cannot split TSV [{line}]"
 BAD_RUN_TIME_MESSAGE = "ETL Time {text} has invalid format"
+BAD_TSTAMP_MESSAGE = "ERROR: Cannot parse ETL timestamp [{text}] in [{line}]"
 # Report line printed after a cleanup.
 REPORT_LINE = "Manifest cleanup deleted {deleted} events. {skipped} events were skipped"
 # ---------------------------------------------------------------------------
