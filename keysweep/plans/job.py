@@ -70,6 +70,13 @@ class CleanupResult:
         return spark.createDataFrame([(self.deleted, self.skipped)], SUMMARY)
 
 
+def _reported(result, quiet: bool):
+    """Print the report line (A3) unless ``quiet``; return the result."""
+    if not quiet:
+        print(result.report())
+    return result
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     value = spark.conf.get(BROADCAST_CONF, None)
     return int(value) if value else DEFAULT_BROADCAST_MAX_BYTES
@@ -124,12 +131,10 @@ def run_cleanup(spark: SparkSession, run_folder: str, manifest_root: str, overri
 
     times = staged.etl_range
     if staged.lines == 0:
-        result = CleanupResult(deleted=0, skipped=0, lines=0, manifest_before=row_count(spark, manifest_root, version),
-                               manifest_version=version, version=None, broadcast=False, stage=staged.path,
-                               etl_range=None)
-        if not quiet:
-            print(result.report())
-        return result
+        return _reported(CleanupResult(deleted=0, skipped=0, lines=0,
+                                       manifest_before=row_count(spark, manifest_root, version),
+                                       manifest_version=version, version=None, broadcast=False,
+                                       stage=staged.path, etl_range=None), quiet)
     if check_keys:
         # Only a key pair stored twice among the rows to delete changes the
         # counts (two rows removed for one event). Checking those rows costs
@@ -150,12 +155,9 @@ def run_cleanup(spark: SparkSession, run_folder: str, manifest_root: str, overri
     else:
         deleted = deleted_rows(manifest, triples, use_broadcast, times).count()
 
-    result = CleanupResult(deleted=deleted, skipped=staged.lines - deleted, lines=staged.lines,
-                           manifest_before=before, manifest_version=version, version=new_version,
-                           broadcast=use_broadcast, stage=staged.path, etl_range=times)
-    if not quiet:
-        print(result.report())
-    return result
+    return _reported(CleanupResult(deleted=deleted, skipped=staged.lines - deleted, lines=staged.lines,
+                                   manifest_before=before, manifest_version=version, version=new_version,
+                                   broadcast=use_broadcast, stage=staged.path, etl_range=times), quiet)
 
 
 def run_outcome(spark: SparkSession, result: CleanupResult, manifest_root: str) -> DataFrame:
@@ -198,8 +200,5 @@ def run_store_cleanup(spark: SparkSession, run_folder: str, client_factory, over
     if parallelism:
         keys = keys.repartition(parallelism, *keys.columns)
     deleted, failed = delete_from_store(keys, client_factory)
-    result = StoreCleanupResult(deleted=deleted, skipped=staged.lines - deleted, lines=staged.lines,
-                                sent=deleted + failed, stage=staged.path)
-    if not quiet:
-        print(result.report())
-    return result
+    return _reported(StoreCleanupResult(deleted=deleted, skipped=staged.lines - deleted, lines=staged.lines,
+                                        sent=deleted + failed, stage=staged.path), quiet)
