@@ -85,23 +85,24 @@ def broadcast_limit(spark: SparkSession) -> int:
 def stage_triples(spark: SparkSession, lines: DataFrame, override_seconds: int | None = None) -> StagedTriples:
     """Steps 1-2: write (rid, eventid, fingerprint, etltstamp) and measure it.
 
-    The measures (line count, key bytes, ETL time range) are observed while
-    the write runs: no second pass over the data, nothing but four numbers
-    to the driver.
+    Key bytes and the ETL time range are observed while the write runs: no
+    second pass over the data, a few numbers to the driver. Both are only
+    used as bounds (broadcast size, candidate filter). The line count, which
+    the report depends on, is read back from the staged files' footers.
     """
     triples = event_triples(lines.withColumn(ROW_ID, F.monotonically_increasing_id()), override_seconds)
     path = scratch_path(spark, "triples")
     measures = Observation("staged_triples")
     triples.observe(
         measures,
-        F.count(F.lit(1)).alias("n"),
         F.coalesce(F.sum(F.length(EVENT_ID) + F.length(FINGERPRINT)), F.lit(0)).alias("b"),
         F.min(ETL_TSTAMP).alias("lo"),
         F.max(ETL_TSTAMP).alias("hi"),
     ).write.parquet(path)
     m = measures.get
+    lines_staged = spark.read.parquet(path).count()
     etl_range = None if m["lo"] is None else (int(m["lo"]), int(m["hi"]))
-    return StagedTriples(path, int(m["n"]), int(m["b"]), etl_range)
+    return StagedTriples(path, lines_staged, int(m["b"]), etl_range)
 
 
 def run_cleanup(spark: SparkSession, run_folder: str, manifest_root: str, override_time: str | None = None,
