@@ -5,6 +5,6 @@ triples; every manifest row that matches a triple on all three is removed,
 rows of other batches stay. Everything is DataFrame joins and projections.
 """
 
-from keysweep.plans.job import CleanupResult, run_cleanup
+from keysweep.plans.job import CleanupResult, StoreCleanupResult, run_cleanup, run_outcome, run_store_cleanup
 
-__all__ = ["CleanupResult", "run_cleanup"]
+__all__ = ["CleanupResult", "StoreCleanupResult", "run_cleanup", "run_outcome", "run_store_cleanup"]

@@ -5,6 +5,8 @@ from __future__ import annotations
 import gzip
 import json
 import os
+import random
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -322,3 +324,29 @@ def test_manifest_with_store_column_names_reads(spark, tmp_folder):
     result = run_cleanup(spark, folder, root, quiet=True)
     assert (result.deleted, result.skipped) == (1, 0)
     assert [tuple(r) for r in read_current(spark, root).collect()] == [("b", "fb", 7)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_job_equals_one_by_one_replay(spark, tmp_folder, seed):
+    rng = random.Random(seed)
+    base = 1500576426
+    times = [base, base + 3600, base - 86400]
+    keys = [(f"e{i}", f"f{i % 3}") for i in range(60)]
+    manifest_rows = [(e, f, rng.choice(times + [None])) for e, f in rng.sample(keys, 40)]
+    events = [(rng.choice(keys), rng.choice(times[:2])) for _ in range(90)]
+    stamps = {t: datetime.fromtimestamp(t, timezone.utc).strftime("%Y-%m-%d %H:%M:%S.000") for t in times}
+    lines = [make_line(event_id=e, fingerprint=f, etl=stamps[t]) for (e, f), t in events]
+
+    store = {(e, f): t for e, f, t in manifest_rows}
+    deleted = 0
+    for (e, f), t in events:
+        if store.get((e, f), "absent") == t and t is not None:
+            del store[(e, f)]
+            deleted += 1
+
+    root = manifest_root(spark, tmp_folder, manifest_rows)
+    folder = run_folder(tmp_folder, lines)
+    result = run_cleanup(spark, folder, root, quiet=True, verify=True, check_keys=True)
+    assert (result.deleted, result.skipped) == (deleted, len(lines) - deleted)
+    kept = sorted((tuple(r) for r in read_current(spark, root).collect()), key=repr)
+    assert kept == sorted(((e, f, t) for (e, f), t in store.items()), key=repr)
