@@ -41,7 +41,7 @@ def make_line(etl: str = "2017-07-20 18:47:06.000",
     fields[77] = "Mozilla/5.0 (Macintosh; Intel Mac OS X 10_11_6) AppleWebKit/537.36 (KHTML, like Gecko)"
     fields[84] = "1280"
     fields[119] = "2016-11-27 07:16:07.340"
-    fields[122] = '{"schema":"iglu:x/y/jsonschema/1-0-1","data":[{"k":"v, w","n":null}]}'
+    fields[122] = '{"schema":"urn:example:context/1-0-1","data":[{"k":"v, w","n":null}]}'
     fields[123] = "395e4506-37a3-4074-8de2-d8c75fb17d4a"
     fields[124] = "2016-11-27 07:16:06.993"
     fields[2], fields[6], fields[129], fields[130] = etl, event_id, fingerprint, last
