@@ -13,6 +13,10 @@ Plan shape, chosen for a large manifest and a run of any size:
   aggregation is partial (map-side), so a triple repeated by a bot
   collapses before the shuffle, and its output is already hash-partitioned
   on the join keys.
+* Only manifest rows within the run's ETL time range can match; given the
+  range (measured by the job, or derived from staged triples with
+  ``etl_range="auto"``), the manifest is filtered before any shuffle and
+  rows outside it bypass the join.
 * The per-event outcome (J3) picks one winner per triple with ``min(rid)``
   (a partial aggregate), then joins back on the unique ``rid``: no window
   over a triple, so a hot triple never lands in a single task.
@@ -43,46 +47,78 @@ def _manifest(manifest: DataFrame) -> DataFrame:
     return manifest.select(*MANIFEST_KEYS)
 
 
-def _in_run_range(etl_range: tuple[int, int]) -> Column:
-    lo, hi = etl_range
-    return F.col(ETL_TIME).between(int(lo), int(hi))
+AUTO = "auto"
+
+
+def _run_range(triples: DataFrame, etl_range) -> tuple[Column, Column] | None:
+    """(hit, miss) tests of a manifest row's ETL time against the run's, or None.
+
+    ``etl_range`` is (min, max) when known (the job measures it); ``"auto"``
+    derives it from ``triples`` as one scalar subquery (Spark merges the two
+    bounds); None (the default) means no restriction. Use ``"auto"`` on
+    staged triples: Catalyst copies the range onto the run side through the
+    join's ETL-time equality, which costs nothing on a parquet scan but
+    re-runs the parse when ``triples`` is still a projection over raw lines.
+    ``hit`` keeps the candidates; ``miss`` keeps every other row, including
+    rows without an ETL time, and all rows when the run is empty (null
+    bounds). Both are plain comparisons, so known bounds reach the parquet
+    scan as pushed filters.
+    """
+    if etl_range is None:
+        return None
+    etl = F.col(ETL_TIME)
+    if isinstance(etl_range, str):
+        if etl_range != AUTO:
+            raise ValueError(f"etl_range must be (min, max), {AUTO!r} or None, not {etl_range!r}")
+        bounds = triples.agg(F.min(ETL_TSTAMP).alias("lo"), F.max(ETL_TSTAMP).alias("hi"))
+        lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
+        miss = (etl < lo) | (etl > hi) | etl.isNull() | lo.isNull()
+    else:
+        lo, hi = F.lit(int(etl_range[0])), F.lit(int(etl_range[1]))
+        miss = (etl < lo) | (etl > hi) | etl.isNull()
+    return etl.between(lo, hi), miss
+
+
+def _candidates(manifest: DataFrame, triples: DataFrame, etl_range) -> DataFrame:
+    rows = _manifest(manifest)
+    tests = _run_range(triples, etl_range)
+    return rows if tests is None else rows.where(tests[0])
 
 
 def deleted_rows(manifest: DataFrame, triples: DataFrame, broadcast: bool = False,
-                 etl_range: tuple[int, int] | None = None) -> DataFrame:
+                 etl_range=None) -> DataFrame:
     """J1: manifest rows whose key pair and ETL time occur in the run.
 
-    ``etl_range``, when known, is (min, max) of the run's ETL times; it
-    becomes a scan filter on the manifest (parquet row groups outside it are
-    skipped), since no other row can match.
+    Only rows within the run's ETL time range can match; with
+    ``etl_range`` the manifest is filtered to it before the join (see
+    :func:`_run_range`), and known bounds also skip parquet row groups.
     """
-    candidates = _manifest(manifest)
-    if etl_range is not None:
-        candidates = candidates.where(_in_run_range(etl_range))
+    candidates = _candidates(manifest, triples, etl_range)
     return candidates.join(run_keys(triples, broadcast), list(MANIFEST_KEYS), "left_semi")
 
 
 def kept_rows(manifest: DataFrame, triples: DataFrame, broadcast: bool = False,
-              etl_range: tuple[int, int] | None = None) -> DataFrame:
+              etl_range=None) -> DataFrame:
     """J2: the manifest after the cleanup (complement of J1).
 
-    With ``etl_range`` the manifest is split: rows of other batches (and rows
-    without an ETL time) pass through untouched, with no shuffle; only rows
-    of the run's batches meet the join. The shuffle then scales with the run,
-    not with the manifest. (A run normally holds one batch, so the range is
-    one value; a wider range only adds candidates, never changes the result.)
+    With ``etl_range`` the manifest is split on the run's ETL time range:
+    rows of other batches (and rows without an ETL time) pass through
+    untouched, with no shuffle; only rows of the run's batches meet the join. The shuffle then
+    scales with the run, not with the manifest. (A run normally holds one
+    batch, so the range is one value; a wider range only adds candidates,
+    never changes the result.)
     """
     rows = _manifest(manifest)
-    if etl_range is None:
-        return rows.join(run_keys(triples, broadcast), list(MANIFEST_KEYS), "left_anti")
-    hit = _in_run_range(etl_range)
-    untouched = rows.where(~hit | F.col(ETL_TIME).isNull())
-    touched = rows.where(hit).join(run_keys(triples, broadcast), list(MANIFEST_KEYS), "left_anti")
-    return untouched.unionByName(touched)
+    keys = list(MANIFEST_KEYS)
+    tests = _run_range(triples, etl_range)
+    if tests is None:
+        return rows.join(run_keys(triples, broadcast), keys, "left_anti")
+    hit, miss = tests
+    touched = rows.where(hit).join(run_keys(triples, broadcast), keys, "left_anti")
+    return rows.where(miss).unionByName(touched)
 
 
-def event_outcome(triples: DataFrame, manifest: DataFrame,
-                  etl_range: tuple[int, int] | None = None) -> DataFrame:
+def event_outcome(triples: DataFrame, manifest: DataFrame, etl_range=None) -> DataFrame:
     """J3: one row per event with ``deleted`` = the result of its delete call.
 
     Of repeated triples the one with the smallest ``rid`` (read first) is the
@@ -96,9 +132,7 @@ def event_outcome(triples: DataFrame, manifest: DataFrame,
     if ROW_ID not in triples.columns:
         checkpoint_root(triples.sparkSession)
         triples = triples.withColumn(ROW_ID, F.monotonically_increasing_id()).checkpoint(eager=True)
-    candidates = _manifest(manifest)
-    if etl_range is not None:
-        candidates = candidates.where(_in_run_range(etl_range))
+    candidates = _candidates(manifest, triples, etl_range)
     winners = triples.groupBy(*TRIPLE_KEYS).agg(F.min(ROW_ID).alias(ROW_ID))
     matched = (winners.withColumnRenamed(ETL_TSTAMP, ETL_TIME)
                       .join(candidates, list(MANIFEST_KEYS), "left_semi")
@@ -108,7 +142,7 @@ def event_outcome(triples: DataFrame, manifest: DataFrame,
 
 
 def cleanup_summary(manifest: DataFrame, triples: DataFrame, broadcast: bool = False,
-                    etl_range: tuple[int, int] | None = None) -> DataFrame:
+                    etl_range=None) -> DataFrame:
     """A1-A3: one row (deleted_events, skipped_events).
 
     deleted = manifest rows removed (J1); skipped = lines - deleted. Both

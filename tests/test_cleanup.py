@@ -143,6 +143,12 @@ def test_run_times_split_equals_plain_join(spark):
         assert rows(event_outcome(with_rid(triples), manifest, span if exact else None)) == \
             rows(event_outcome(with_rid(triples), manifest))
     assert rows(kept_rows(manifest, triples, False, (7, 6))) == rows(manifest)
+    for fn in (kept_rows, deleted_rows):
+        assert rows(fn(manifest, triples, False, "auto")) == rows(fn(manifest, triples))
+    assert rows(event_outcome(with_rid(triples), manifest, "auto")) == rows(event_outcome(with_rid(triples), manifest))
+    empty = triples.where("false")
+    assert rows(kept_rows(manifest, empty, False, "auto")) == rows(manifest)
+    assert rows(deleted_rows(manifest, empty, False, "auto")) == []
 
 
 def test_untouched_batches_bypass_the_shuffle(spark, tmp_folder):
