@@ -350,3 +350,26 @@ def test_job_equals_one_by_one_replay(spark, tmp_folder, seed):
     assert (result.deleted, result.skipped) == (deleted, len(lines) - deleted)
     kept = sorted((tuple(r) for r in read_current(spark, root).collect()), key=repr)
     assert kept == sorted(((e, f, t) for (e, f), t in store.items()), key=repr)
+
+
+def test_job_result_does_not_depend_on_layout(spark, tmp_folder):
+    """Many small scan splits, odd shuffle counts, no broadcast: same deletes, same manifest."""
+    events = read_table(spark, SF_SMALL, "events")
+    folder = write_run_folder(spark, run_lines(events), max_records_per_file=250)
+    outcomes = []
+    layouts = [{}, {"spark.sql.files.maxPartitionBytes": "8192", "spark.sql.shuffle.partitions": "3",
+                    "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}]
+    for i, conf in enumerate(layouts):
+        saved = {k: spark.conf.get(k) for k in conf}
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        try:
+            root = os.path.join(tmp_folder, f"m{i}")
+            init_manifest(spark, manifest_table(events), root)
+            result = run_cleanup(spark, folder, root, broadcast_max_bytes=None if not conf else 0, quiet=True)
+            kept = sorted(tuple(r) for r in read_current(spark, root).collect())
+            outcomes.append((result.deleted, result.skipped, result.lines, kept))
+        finally:
+            for k, v in saved.items():
+                spark.conf.set(k, v)
+    assert outcomes[0] == outcomes[1]
