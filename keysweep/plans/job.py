@@ -185,7 +185,8 @@ class StoreCleanupResult:
 
 
 def run_store_cleanup(spark: SparkSession, run_folder: str, client_factory, override_time: str | None = None,
-                      parallelism: int | None = None, quiet: bool = False) -> StoreCleanupResult:
+                      parallelism: int | None = None, concurrency: int = 1,
+                      quiet: bool = False) -> StoreCleanupResult:
     """The cleanup against a manifest held in an external keyed store (K2).
 
     Every distinct triple of the run is sent once as a conditional delete;
@@ -193,13 +194,14 @@ def run_store_cleanup(spark: SparkSession, run_folder: str, client_factory, over
     A repeated triple could only fail its second delete, so
     deleted = successful deletes and skipped = lines - deleted, the same
     totals as one call per line. ``parallelism`` sets the number of tasks
-    (and so of concurrent clients); by default the shuffle partition count.
+    (and so of clients); by default the shuffle partition count.
+    ``concurrency`` is the number of calls each task keeps in flight.
     """
     override_seconds = run_time_value(spark, override_time)
     staged = stage_triples(spark, read_enriched(spark, run_folder), override_seconds)
     keys = run_keys(spark.read.parquet(staged.path))
     if parallelism:
         keys = keys.repartition(parallelism, *keys.columns)
-    deleted, failed = delete_from_store(keys, client_factory)
+    deleted, failed = delete_from_store(keys, client_factory, concurrency)
     return _reported(StoreCleanupResult(deleted=deleted, skipped=staged.lines - deleted, lines=staged.lines,
                                         sent=deleted + failed, stage=staged.path), quiet)

@@ -14,7 +14,8 @@ offer ``close()``. Any other exception fails the task.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
 from pyspark.sql import DataFrame
@@ -26,33 +27,54 @@ class DeleteClient(Protocol):
     def delete(self, event_id: str, fingerprint: str, etl_time: int) -> bool: ...
 
 
-def delete_from_store(rows: DataFrame, client_factory: Callable[[], DeleteClient]) -> tuple[int, int]:
+def _chunks(rows: Iterator, size: int) -> Iterator[list]:
+    chunk = []
+    for row in rows:
+        chunk.append(row)
+        if len(chunk) == size:
+            yield chunk
+            chunk = []
+    if chunk:
+        yield chunk
+
+
+def delete_from_store(rows: DataFrame, client_factory: Callable[[], DeleteClient],
+                      concurrency: int = 1) -> tuple[int, int]:
     """Send every row of ``rows`` (eventid, fingerprint, etltime) to the store.
 
     Returns (deleted, skipped) as reported by the client. The counters are
     accumulators updated inside an action, so a retried task counts once.
+    With ``concurrency`` > 1 each task keeps that many calls in flight on a
+    thread pool (the client must then be thread-safe); rows are taken in
+    fixed-size chunks, so a partition is never held in memory whole.
     """
     sc = rows.sparkSession.sparkContext
     deleted = sc.accumulator(0)
     skipped = sc.accumulator(0)
+    chunk_rows = max(1, concurrency) * 64
 
     def send(partition):
         client = None
-        ok = failed = 0
+        pool = ThreadPoolExecutor(concurrency) if concurrency > 1 else None
         try:
-            for row in partition:
+            for chunk in _chunks(partition, chunk_rows):
                 if client is None:
                     client = client_factory()
-                if client.delete(row[EVENT_ID], row[FINGERPRINT], row[ETL_TIME]):
-                    ok += 1
+                call = client.delete
+                keys = [(r[EVENT_ID], r[FINGERPRINT], r[ETL_TIME]) for r in chunk]
+                if pool is None:
+                    results = [call(*k) for k in keys]
                 else:
-                    failed += 1
+                    results = list(pool.map(lambda k: call(*k), keys))
+                ok = sum(1 for x in results if x)
+                deleted.add(ok)
+                skipped.add(len(results) - ok)
         finally:
+            if pool is not None:
+                pool.shutdown(wait=True)
             close = getattr(client, "close", None)
             if close is not None:
                 close()
-        deleted.add(ok)
-        skipped.add(failed)
 
     rows.select(EVENT_ID, FINGERPRINT, ETL_TIME).foreachPartition(send)
     return deleted.value, skipped.value

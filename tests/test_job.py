@@ -303,7 +303,8 @@ def test_store_cleanup_matches_snapshot_cleanup(spark, tmp_folder):
              make_line(event_id="c", fingerprint="fc")]
     folder = run_folder(tmp_folder, lines)
     store_dir = tmp_folder
-    result = run_store_cleanup(spark, folder, lambda: JsonStore(store_dir), parallelism=3, quiet=True)
+    result = run_store_cleanup(spark, folder, lambda: JsonStore(store_dir), parallelism=3, concurrency=4,
+                               quiet=True)
     assert (result.deleted, result.skipped, result.lines, result.sent) == (2, 3, 5, 4)
     assert sorted(os.listdir(os.path.join(tmp_folder, "rows"))) == [f"b|fb|{t - 86400}", "x|fx|0"]
 
