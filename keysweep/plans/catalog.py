@@ -49,12 +49,8 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(read_table(spark, sf_dir, "events"), "event_id")
 
 
-def _triples(spark: SparkSession, sf_dir: str, override: str | None = None) -> DataFrame:
-    return event_triples(run_lines(_events(spark, sf_dir)), run_time_value(spark, override))
-
-
-def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return manifest_table(_events(spark, sf_dir))
+def _triples(spark: SparkSession, events: DataFrame, override: str | None = None) -> DataFrame:
+    return event_triples(run_lines(events), run_time_value(spark, override))
 
 
 def q_enriched_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +65,7 @@ def q_enriched_scan_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_event_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _triples(spark, sf_dir)
+    return _triples(spark, _events(spark, sf_dir))
 
 
 def q_etl_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +73,7 @@ def q_etl_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_triples_with_override(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _triples(spark, sf_dir, OVERRIDE_TIME)
+    return _triples(spark, _events(spark, sf_dir), OVERRIDE_TIME)
 
 
 def q_run_time_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,24 +91,28 @@ def q_bad_timestamp_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_manifest_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return deleted_rows(_manifest(spark, sf_dir), _triples(spark, sf_dir))
+    events = _events(spark, sf_dir)
+    return deleted_rows(manifest_table(events), _triples(spark, events))
 
 
 def q_manifest_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kept_rows(_manifest(spark, sf_dir), _triples(spark, sf_dir))
+    events = _events(spark, sf_dir)
+    return kept_rows(manifest_table(events), _triples(spark, events))
 
 
 def q_event_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = run_lines(_events(spark, sf_dir), with_rid=True)
-    return event_outcome(event_triples(lines), _manifest(spark, sf_dir))
+    events = _events(spark, sf_dir)
+    return event_outcome(event_triples(run_lines(events, with_rid=True)), manifest_table(events))
 
 
 def q_cleanup_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleanup_summary(_manifest(spark, sf_dir), _triples(spark, sf_dir))
+    events = _events(spark, sf_dir)
+    return cleanup_summary(manifest_table(events), _triples(spark, events))
 
 
 def q_cleanup_with_override(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return deleted_rows(_manifest(spark, sf_dir), _triples(spark, sf_dir, OVERRIDE_TIME))
+    events = _events(spark, sf_dir)
+    return deleted_rows(manifest_table(events), _triples(spark, events, OVERRIDE_TIME))
 
 
 def q_manifest_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
