@@ -12,8 +12,9 @@ the folder exists, and the marker is created exclusively.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from keysweep.schemas import MANIFEST, MANIFEST_KEYS
+from keysweep.schemas import MANIFEST
 from keysweep.sources import fs
 from keysweep.sources.manifest import commit_path, current_version, row_count, snapshot_path, written_versions
 
@@ -22,6 +23,11 @@ class PublishError(RuntimeError):
     pass
 
 
+def _as_manifest(rows: DataFrame) -> DataFrame:
+    """The manifest columns with the manifest types (readers pin that schema)."""
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in MANIFEST.fields])
+
+
 def publish_snapshot(spark: SparkSession, rows: DataFrame, root: str,
                      expected_rows: int | None = None, base_version: int | None = None) -> tuple[int, int]:
     """Write ``rows`` as version n+1 under ``root`` and make it current.
@@ -37,7 +43,7 @@ def publish_snapshot(spark: SparkSession, rows: DataFrame, root: str,
     # Folders of failed attempts are never published; the next version skips them.
     version = max([previous, *written_versions(spark, root)]) + 1
     path = snapshot_path(root, version)
-    rows.select(*MANIFEST_KEYS).write.mode("errorifexists").parquet(path)
+    _as_manifest(rows).write.mode("errorifexists").parquet(path)
     written = row_count(spark, root, version)
     if expected_rows is not None and written != expected_rows:
         raise PublishError(f"snapshot {version} has {written} rows, expected {expected_rows}; not published")
@@ -50,6 +56,5 @@ def init_manifest(spark: SparkSession, rows: DataFrame, root: str) -> int:
     """Publish the first snapshot of a new manifest root."""
     if current_version(spark, root) is not None:
         raise PublishError(f"{root} already holds a manifest")
-    version, _ = publish_snapshot(spark, rows.select(*[rows[f.name].cast(f.dataType).alias(f.name)
-                                                       for f in MANIFEST.fields]), root)
+    version, _ = publish_snapshot(spark, rows, root)
     return version

@@ -374,3 +374,12 @@ def test_job_result_does_not_depend_on_layout(spark, tmp_folder):
             for k, v in saved.items():
                 spark.conf.set(k, v)
     assert outcomes[0] == outcomes[1]
+
+
+def test_publish_casts_to_manifest_types(spark, tmp_folder):
+    root = os.path.join(tmp_folder, "manifest")
+    rows = spark.createDataFrame([("a", "fa", 1500576426)], "eventId string, fingerprint string, etlTime bigint")
+    init_manifest(spark, rows, root)
+    df = read_current(spark, root)
+    assert dict(df.dtypes)["etltime"] == "int"
+    assert [tuple(r) for r in df.collect()] == [("a", "fa", 1500576426)]
