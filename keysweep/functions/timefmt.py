@@ -21,7 +21,7 @@ def _utc_timestamp(text: Column, pattern: str) -> Column:
     return F.try_to_timestamp(F.concat(text, F.lit("Z")), F.lit(pattern + "X"))
 
 
-def _checked_int(seconds: Column, what: Column) -> Column:
+def checked_int(seconds: Column, what: Column) -> Column:
     """Cast epoch seconds to INT, raising instead of wrapping past 2038."""
     out_of_range = (seconds < F.lit(_INT_MIN)) | (seconds > F.lit(_INT_MAX))
     return F.when(
@@ -45,7 +45,7 @@ def etl_epoch(text: Column | str) -> Column:
     text = F.col(text) if isinstance(text, str) else text
     millis = F.unix_millis(parse_etl_tstamp(text))
     seconds = F.call_function("div", millis, F.lit(1000))
-    return _checked_int(seconds, text)
+    return checked_int(seconds, text)
 
 
 def run_time_seconds(text: Column | str) -> Column:
@@ -58,7 +58,7 @@ def run_time_seconds(text: Column | str) -> Column:
     bad = text.isNotNull() & ts.isNull()
     message = F.replace(F.lit(BAD_RUN_TIME_MESSAGE), F.lit("{text}"), text)
     seconds = F.when(bad, F.raise_error(message)).otherwise(F.unix_seconds(ts))
-    return _checked_int(seconds, text)
+    return checked_int(seconds, text)
 
 
 def run_time_value(spark: SparkSession, text: str | None) -> int | None:

@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keysweep.schemas import MANIFEST
+from keysweep.functions.timefmt import checked_int
+from keysweep.schemas import ETL_TIME, EVENT_ID, FINGERPRINT
 from keysweep.sources import fs
 from keysweep.sources.manifest import commit_path, current_version, row_count, snapshot_path, written_versions
 
@@ -24,8 +25,14 @@ class PublishError(RuntimeError):
 
 
 def _as_manifest(rows: DataFrame) -> DataFrame:
-    """The manifest columns with the manifest types (readers pin that schema)."""
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in MANIFEST.fields])
+    """The manifest columns with the manifest types (readers pin that schema).
+
+    A wider ETL time column is narrowed with a range check, never wrapped.
+    """
+    etl = F.col(ETL_TIME)
+    return rows.select(F.col(EVENT_ID).cast("string").alias(EVENT_ID),
+                       F.col(FINGERPRINT).cast("string").alias(FINGERPRINT),
+                       checked_int(etl, etl.cast("string")).alias(ETL_TIME))
 
 
 def publish_snapshot(spark: SparkSession, rows: DataFrame, root: str,

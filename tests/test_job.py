@@ -383,3 +383,11 @@ def test_publish_casts_to_manifest_types(spark, tmp_folder):
     df = read_current(spark, root)
     assert dict(df.dtypes)["etltime"] == "int"
     assert [tuple(r) for r in df.collect()] == [("a", "fa", 1500576426)]
+
+
+def test_publish_refuses_etl_times_past_int(spark, tmp_folder):
+    root = os.path.join(tmp_folder, "manifest")
+    rows = spark.createDataFrame([("a", "fa", 2 ** 31)], "eventId string, fingerprint string, etlTime bigint")
+    with pytest.raises(Exception, match="out of INT range"):
+        init_manifest(spark, rows, root)
+    assert current_version(spark, root) is None
