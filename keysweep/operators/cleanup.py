@@ -132,11 +132,16 @@ def event_outcome(triples: DataFrame, manifest: DataFrame, etl_range=None) -> Da
     if ROW_ID not in triples.columns:
         checkpoint_root(triples.sparkSession)
         triples = triples.withColumn(ROW_ID, F.monotonically_increasing_id()).checkpoint(eager=True)
-    candidates = _candidates(manifest, triples, etl_range)
-    winners = triples.groupBy(*TRIPLE_KEYS).agg(F.min(ROW_ID).alias(ROW_ID))
-    matched = (winners.withColumnRenamed(ETL_TSTAMP, ETL_TIME)
-                      .join(candidates, list(MANIFEST_KEYS), "left_semi")
-                      .select(ROW_ID, F.lit(True).alias("deleted")))
+    keys = list(MANIFEST_KEYS)
+    winners = (triples.groupBy(*TRIPLE_KEYS).agg(F.min(ROW_ID).alias(ROW_ID))
+                      .withColumnRenamed(ETL_TSTAMP, ETL_TIME))
+    # Manifest rows hit by some winner, one per key. The manifest is the left
+    # side: a semi join on top of ``winners`` would be pushed below its
+    # aggregate and shuffle raw triples by key (a hot triple in one task).
+    hits = (_candidates(manifest, triples, etl_range)
+            .join(winners.select(*keys), keys, "left_semi")
+            .select(*keys).distinct())
+    matched = winners.join(hits, keys, "inner").select(ROW_ID, F.lit(True).alias("deleted"))
     return (triples.join(matched, ROW_ID, "left")
                    .select(*TRIPLE_KEYS, F.coalesce(F.col("deleted"), F.lit(False)).alias("deleted")))
 

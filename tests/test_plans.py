@@ -84,3 +84,25 @@ def test_joins_on_raw_lines_infer_no_null_filters(spark):
     plan = plan_of(deleted_rows(manifest, event_triples(lines)))
     run_side = plan.split("LeftSemi")[1]
     assert "isnotnull(CASE" not in run_side and "isnotnull(coalesce" not in run_side
+
+
+def test_outcome_never_shuffles_raw_triples_by_key(spark, tmp_folder):
+    """Only aggregated (one row per triple) data is exchanged by key; raw lines move by rid only."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        manifest = parquet(spark, tmp_folder, "m", [(f"e{i}", "f", 1) for i in range(50)], MANIFEST)
+        triples = parquet(spark, tmp_folder, "t", [("hot", "f", 1)] * 30 + [("e1", "f", 1)], TRIPLES) \
+            .withColumn("rid", F.monotonically_increasing_id())
+        df = event_outcome(triples, manifest)
+        plan = plan_of(df)
+        for line in plan.splitlines():
+            if "Exchange hashpartitioning(eventid" in line:
+                below = plan[plan.index(line):].splitlines()[1]
+                assert "HashAggregate" in below or "Filter" in below or "Project" in below, line
+        assert "SortMergeJoin [eventid" not in plan.split("HashAggregate")[-1]
+        assert sorted(tuple(r) for r in df.groupBy("eventid", "deleted").count().collect()) == \
+            [("e1", True, 1), ("hot", False, 30)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
