@@ -135,13 +135,13 @@ def event_outcome(triples: DataFrame, manifest: DataFrame, etl_range=None) -> Da
     keys = list(MANIFEST_KEYS)
     winners = (triples.groupBy(*TRIPLE_KEYS).agg(F.min(ROW_ID).alias(ROW_ID))
                       .withColumnRenamed(ETL_TSTAMP, ETL_TIME))
-    # Manifest rows hit by some winner, one per key. The manifest is the left
-    # side: a semi join on top of ``winners`` would be pushed below its
-    # aggregate and shuffle raw triples by key (a hot triple in one task).
-    hits = (_candidates(manifest, triples, etl_range)
-            .join(winners.select(*keys), keys, "left_semi")
-            .select(*keys).distinct())
-    matched = winners.join(hits, keys, "inner").select(ROW_ID, F.lit(True).alias("deleted"))
+    # An inner join, not a semi join on top of ``winners``: Catalyst would
+    # push a semi join below the aggregate and shuffle raw triples by key (a
+    # hot triple in one task). ``distinct`` on the unique rid absorbs a key
+    # pair stored twice in the manifest.
+    matched = (_candidates(manifest, triples, etl_range).join(winners, keys, "inner")
+               .select(ROW_ID).distinct()
+               .select(ROW_ID, F.lit(True).alias("deleted")))
     return (triples.join(matched, ROW_ID, "left")
                    .select(*TRIPLE_KEYS, F.coalesce(F.col("deleted"), F.lit(False)).alias("deleted")))
 

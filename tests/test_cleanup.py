@@ -179,3 +179,11 @@ def test_lazy_joins_raise_on_a_malformed_line(spark):
                  lambda: cleanup_summary(manifest, triples)):
         with pytest.raises(Exception, match="Cannot split TSV"):
             plan().collect()
+
+
+def test_outcome_with_a_key_stored_twice(spark):
+    manifest = spark.createDataFrame([("a", "f", 1), ("a", "f", 1), ("b", "f", 2)], MANIFEST)
+    triples = spark.createDataFrame([("a", "f", 1), ("a", "f", 1), ("b", "f", 2), ("c", "f", 1)], TRIPLES)
+    got = rows(event_outcome(with_rid(triples), manifest))
+    assert got == sorted([("a", "f", 1, True), ("a", "f", 1, False), ("b", "f", 2, True), ("c", "f", 1, False)],
+                         key=repr)
