@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keysweep.schemas import ETL_TIME, EVENT_ID, EVENT_ID_FIELD, FIELD_SEP, FINGERPRINT, FINGERPRINT_FIELD, LINE, ROW_ID
 from keysweep.session import scratch_path
@@ -31,8 +32,23 @@ from keysweep.sources import fs
 _BLANK_RUN = FINGERPRINT_FIELD - EVENT_ID_FIELD - 2   # tabs between the two separators
 
 
+# Columns of the given ``events`` table that the derivation reads (declared,
+# not inferred: no schema-inference job per read).
+EVENTS = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", T.StringType()),
+    T.StructField("props", T.StringType()),
+])
+TABLE_SCHEMAS = {"events": EVENTS}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
