@@ -1,7 +1,10 @@
-"""Command line: ``spark-submit -m keysweep --run-folder ... --manifest ...``.
+"""Command line for one cleanup.
 
-Runs one cleanup with the session that ``spark-submit`` (or a local
-``python -m keysweep``) provides and prints the report line.
+    python -m keysweep --run-folder ... --manifest ...
+    spark-submit --py-files keysweep.zip keysweep/__main__.py --run-folder ... --manifest ...
+
+Uses the session that ``spark-submit`` (or the local ``pyspark``) provides
+and prints the report line.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from keysweep.plans.job import run_cleanup
 
 
 def parse_args(argv: list[str]) -> argparse.Namespace:
-    parser = argparse.ArgumentParser(prog="keysweep", description=__doc__.splitlines()[0])
+    parser = argparse.ArgumentParser(prog="keysweep", description="Clean a duplicate manifest after a failed load.")
     parser.add_argument("--run-folder", required=True,
                         help="folder of the run's enriched part-* files (s3://, s3a://, hdfs://, file path)")
     parser.add_argument("--manifest", required=True, help="manifest root holding the snapshots")
