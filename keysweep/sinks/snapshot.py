@@ -17,7 +17,14 @@ from pyspark.sql import functions as F
 from keysweep.functions.timefmt import checked_int
 from keysweep.schemas import ETL_TIME, EVENT_ID, FINGERPRINT
 from keysweep.sources import fs
-from keysweep.sources.manifest import commit_path, current_version, row_count, snapshot_path, written_versions
+from keysweep.sources.manifest import (
+    commit_path,
+    commit_record,
+    current_version,
+    read_snapshot,
+    snapshot_path,
+    written_versions,
+)
 
 
 class PublishError(RuntimeError):
@@ -51,10 +58,10 @@ def publish_snapshot(spark: SparkSession, rows: DataFrame, root: str,
     version = max([previous, *written_versions(spark, root)]) + 1
     path = snapshot_path(root, version)
     _as_manifest(rows).write.mode("errorifexists").parquet(path)
-    written = row_count(spark, root, version)
+    written = read_snapshot(spark, root, version).count()   # footers of the new files
     if expected_rows is not None and written != expected_rows:
         raise PublishError(f"snapshot {version} has {written} rows, expected {expected_rows}; not published")
-    if not fs.create_marker(spark, commit_path(root, version)):
+    if not fs.create_marker(spark, commit_path(root, version), commit_record(written)):
         raise PublishError(f"version {version} was published concurrently under {root}")
     return version, written
 

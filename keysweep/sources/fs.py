@@ -29,10 +29,34 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(p)]
 
 
-def create_marker(spark: SparkSession, path: str) -> bool:
-    """Create an empty file; False when it already exists (exclusive create)."""
+def create_marker(spark: SparkSession, path: str, content: str = "") -> bool:
+    """Create a small file; False when it already exists (exclusive create)."""
     fs, p = _fs(spark, path)
-    return bool(fs.createNewFile(p))
+    if content == "":
+        return bool(fs.createNewFile(p))
+    if fs.exists(p):
+        return False
+    try:
+        stream = fs.create(p, False)
+    except Exception as err:  # created by someone else between the check and the create
+        if "FileAlreadyExists" in str(err) or "already exists" in str(err):
+            return False
+        raise
+    try:
+        stream.write(bytearray(content.encode("utf-8")))
+    finally:
+        stream.close()
+    return True
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """Content of a small file as text."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
 
 
 def rename(spark: SparkSession, src: str, dst: str) -> bool:

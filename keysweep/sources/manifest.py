@@ -3,7 +3,7 @@
 Layout under a manifest root::
 
     <root>/snapshot-00000001/part-*.parquet     one complete table per version
-    <root>/_commits/00000001                    empty marker: version 1 is published
+    <root>/_commits/00000001                    marker: version 1 is published ({"rows": n})
 
 A version is visible only once its marker exists, so readers never see a
 half-written snapshot, and a failed cleanup leaves the previous version
@@ -13,6 +13,8 @@ rollback.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 
 from keysweep.schemas import MANIFEST
@@ -54,6 +56,16 @@ def read_current(spark: SparkSession, root: str) -> DataFrame:
     return read_snapshot(spark, root, version)
 
 
+def commit_record(rows: int) -> str:
+    """Content of a commit marker: the snapshot's row count."""
+    return json.dumps({"rows": int(rows)})
+
+
 def row_count(spark: SparkSession, root: str, version: int) -> int:
-    """Row count of a snapshot; parquet answers it from file footers."""
+    """Row count of a snapshot: from its commit marker, else from parquet footers."""
+    marker = commit_path(root, version)
+    if fs.exists(spark, marker):
+        text = fs.read_small(spark, marker)
+        if text:
+            return int(json.loads(text)["rows"])
     return read_snapshot(spark, root, version).count()

@@ -391,3 +391,13 @@ def test_publish_refuses_etl_times_past_int(spark, tmp_folder):
     with pytest.raises(Exception, match="out of INT range"):
         init_manifest(spark, rows, root)
     assert current_version(spark, root) is None
+
+
+def test_commit_marker_records_the_row_count(spark, tmp_folder):
+    from keysweep.sources import fs
+    from keysweep.sources.manifest import commit_path, row_count
+
+    root = manifest_root(spark, tmp_folder, [("a", "fa", 1), ("b", "fb", 2)])
+    assert json.loads(fs.read_small(spark, commit_path(root, 1))) == {"rows": 2}
+    assert row_count(spark, root, 1) == 2
+    assert not fs.create_marker(spark, commit_path(root, 1), "{}")
