@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from keysweep.schemas import BAD_RUN_TIME_MESSAGE, ETL_TSTAMP_PATTERN, RUN_TIME_PATTERN
+from keysweep.schemas import BAD_RUN_TIME_MESSAGE, ETL_TSTAMP_PARSE_PATTERN, RUN_TIME_PATTERN
 
 _INT_MIN = -(2 ** 31)
 _INT_MAX = 2 ** 31 - 1
@@ -31,8 +31,11 @@ def checked_int(seconds: Column, what: Column) -> Column:
 
 
 def parse_etl_tstamp(text: Column | str) -> Column:
-    """Timestamp of an ETL timestamp text, or null when it does not parse."""
-    return _utc_timestamp(F.col(text) if isinstance(text, str) else text, ETL_TSTAMP_PATTERN)
+    """Timestamp of an ETL timestamp text, or null when it does not parse.
+
+    The fraction after the seconds may have 1 to 9 digits; it is required.
+    """
+    return _utc_timestamp(F.col(text) if isinstance(text, str) else text, ETL_TSTAMP_PARSE_PATTERN)
 
 
 def etl_epoch(text: Column | str) -> Column:

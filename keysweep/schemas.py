@@ -19,6 +19,8 @@ FINGERPRINT_FIELD = 129
 FIELD_SEP = "\t"
 # ETL timestamp text inside a line; always UTC.
 ETL_TSTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss.SSS"
+# It is read with a fraction of 1 to 9 digits, as the upstream parser reads it.
+ETL_TSTAMP_PARSE_PATTERN = "yyyy-MM-dd HH:mm:ss.SSSSSSSSS"
 # Run time given for orphan events (the run folder naming); read as UTC.
 RUN_TIME_PATTERN = "yyyy-MM-dd-HH-mm-ss"
 # Run-folder schemes that are rewritten to the s3a connector.

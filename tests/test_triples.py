@@ -149,3 +149,12 @@ def test_wider_lines_keep_their_fingerprint(spark):
     assert triples(spark, [wide]) == [(*GOLDEN, 1500576426)]
     df = lines_df(spark, [wide])
     assert df.select(tsv_width("value")).first()[0] == 133
+
+
+def test_etl_fraction_digits(spark):
+    texts = ["2017-07-20 18:47:06.000", "2017-07-20 18:47:06.5", "2017-07-20 18:47:06.123456",
+             "2017-07-20 18:47:06.123456789", "1969-12-31 23:59:59.9999",
+             "2017-07-20 18:47:06", "2017-07-20 18:47:06.", "2017-07-20 18:47:06.1234567890"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(etl_epoch("t")).collect()]
+    assert got == [1500576426] * 4 + [0] + [None] * 3
