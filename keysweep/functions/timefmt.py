@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from keysweep.schemas import BAD_RUN_TIME_MESSAGE, ETL_TSTAMP_PARSE_PATTERN, RUN_TIME_PATTERN
+from keysweep.schemas import BAD_RUN_TIME_MESSAGE, ETL_TSTAMP_PARSE_PATTERN, RUN_TIME_PARSE_PATTERN
 
 _INT_MIN = -(2 ** 31)
 _INT_MAX = 2 ** 31 - 1
@@ -57,7 +57,7 @@ def run_time_seconds(text: Column | str) -> Column:
     Null stays null; any other text that does not parse raises.
     """
     text = F.col(text) if isinstance(text, str) else text
-    ts = _utc_timestamp(text, RUN_TIME_PATTERN)
+    ts = _utc_timestamp(text, RUN_TIME_PARSE_PATTERN)
     bad = text.isNotNull() & ts.isNull()
     message = F.replace(F.lit(BAD_RUN_TIME_MESSAGE), F.lit("{text}"), text)
     seconds = F.when(bad, F.raise_error(message)).otherwise(F.unix_seconds(ts))

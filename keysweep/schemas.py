@@ -23,6 +23,8 @@ ETL_TSTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss.SSS"
 ETL_TSTAMP_PARSE_PATTERN = "yyyy-MM-dd HH:mm:ss.SSSSSSSSS"
 # Run time given for orphan events (the run folder naming); read as UTC.
 RUN_TIME_PATTERN = "yyyy-MM-dd-HH-mm-ss"
+# It is read with fields of any width (07 or 7), as the upstream parser reads it.
+RUN_TIME_PARSE_PATTERN = "y-M-d-H-m-s"
 # Run-folder schemes that are rewritten to the s3a connector.
 S3_SCHEMES = ("s3://", "s3a://", "s3n://")
 # Only these files directly inside a run folder are read.

@@ -88,12 +88,13 @@ def test_etl_epoch_raises_past_2038(spark):  # E10 (R7)
 
 
 def test_run_time_seconds_column(spark):
-    df = spark.createDataFrame([("2017-07-20-14-44-13",), (None,)], "t string")
-    assert [r[0] for r in df.select(run_time_seconds("t")).collect()] == [1500561853, None]
+    df = spark.createDataFrame([("2017-07-20-14-44-13",), (None,), ("2017-7-20-14-44-13",)], "t string")
+    assert [r[0] for r in df.select(run_time_seconds("t")).collect()] == [1500561853, None, 1500561853]
     assert run_time_value(spark, None) is None
 
 
-@pytest.mark.parametrize("text", ["2017-07-20 14:44:13", "yesterday", "2017-13-20-14-44-13"])
+@pytest.mark.parametrize("text", ["2017-07-20 14:44:13", "yesterday", "2017-13-20-14-44-13",
+                                  "2017-07-20-14-44", "2017-07-20-14-44-13-01"])
 def test_run_time_rejects_other_text(spark, text):
     with pytest.raises(PySparkException, match="has invalid format"):
         run_time_value(spark, text)
