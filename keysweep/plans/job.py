@@ -18,6 +18,7 @@ the run folder, and the ``rid`` tie-break stays fixed.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -33,6 +34,8 @@ from keysweep.sinks.store import delete_from_store
 from keysweep.sources.enriched import read_enriched
 from keysweep.sources.manifest import current_version, read_snapshot, row_count
 
+log = logging.getLogger("keysweep")
+
 BROADCAST_CONF = "spark.keysweep.broadcastMaxBytes"
 DEFAULT_BROADCAST_MAX_BYTES = 128 * 1024 * 1024
 # Bytes per distinct key in a broadcast hash relation, besides the two strings.
@@ -129,6 +132,9 @@ def run_cleanup(spark: SparkSession, run_folder: str, manifest_root: str, overri
     triples = spark.read.parquet(staged.path)
     limit = broadcast_limit(spark) if broadcast_max_bytes is None else broadcast_max_bytes
     use_broadcast = staged.broadcast_bytes() <= limit
+    log.info("run %s: %d lines staged at %s; ETL range %s; run side ~%d bytes, %s (cap %d)",
+             run_folder, staged.lines, staged.path, staged.etl_range, staged.broadcast_bytes(),
+             "broadcast" if use_broadcast else "sort-merge", limit)
 
     times = staged.etl_range
     if staged.lines == 0:
@@ -153,6 +159,7 @@ def run_cleanup(spark: SparkSession, run_folder: str, manifest_root: str, overri
         new_version, after = publish_snapshot(spark, kept_rows(manifest, triples, use_broadcast, times),
                                               manifest_root, expected_rows=expected, base_version=version)
         deleted = before - after
+        log.info("manifest %s: version %d -> %d, %d -> %d rows", manifest_root, version, new_version, before, after)
     else:
         deleted = deleted_rows(manifest, triples, use_broadcast, times).count()
 
