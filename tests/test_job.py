@@ -401,3 +401,11 @@ def test_commit_marker_records_the_row_count(spark, tmp_folder):
     assert json.loads(fs.read_small(spark, commit_path(root, 1))) == {"rows": 2}
     assert row_count(spark, root, 1) == 2
     assert not fs.create_marker(spark, commit_path(root, 1), "{}")
+
+
+def test_job_against_an_empty_manifest(spark, tmp_folder):
+    root = manifest_root(spark, tmp_folder, [])
+    folder = run_folder(tmp_folder, [make_line(event_id="a", fingerprint="fa"), make_line(event_id="b")])
+    result = run_cleanup(spark, folder, root, quiet=True, verify=True, check_keys=True)
+    assert (result.deleted, result.skipped, result.lines, result.version) == (0, 2, 2, 2)
+    assert read_current(spark, root).count() == 0
