@@ -212,8 +212,7 @@ def test_store_sink_sends_every_row_once(spark, tmp_folder):
         json.dump(rows, fh)
     df = spark.createDataFrame([(f"e{i}", "f", 1 if i < 90 else 7) for i in range(100)],
                                "eventid string, fingerprint string, etltime int").repartition(4)
-    folder = tmp_folder
-    deleted, skipped = delete_from_store(df, lambda: FileStore(folder))
+    deleted, skipped = delete_from_store(df, lambda: FileStore(tmp_folder))
     logged = []
     for name in os.listdir(tmp_folder):
         if name.startswith("log-"):
@@ -233,9 +232,9 @@ def test_snapshot_paths_are_versioned(spark, tmp_folder):
 
 def test_job_over_an_empty_run(spark, tmp_folder):
     root = manifest_root(spark, tmp_folder, [("a", "fa", 1)])
-    folder = run_folder(tmp_folder, [])
-    with open(os.path.join(folder, "part-00000"), "w"):
-        pass
+    folder = os.path.join(tmp_folder, "run")
+    os.makedirs(folder)
+    open(os.path.join(folder, "part-00000"), "w").close()
     result = run_cleanup(spark, folder, root, quiet=True)
     assert (result.deleted, result.skipped, result.lines, result.version) == (0, 0, 0, None)
     assert current_version(spark, root) == 1
