@@ -305,6 +305,7 @@ def test_store_cleanup_matches_snapshot_cleanup(spark, tmp_folder):
     result = run_store_cleanup(spark, folder, lambda: JsonStore(store_dir), parallelism=3, concurrency=4,
                                quiet=True)
     assert (result.deleted, result.skipped, result.lines, result.sent) == (2, 3, 5, 4)
+    assert result.report().endswith("deleted 2 events. 3 events were skipped")
     assert sorted(os.listdir(os.path.join(tmp_folder, "rows"))) == [f"b|fb|{t - 86400}", "x|fx|0"]
 
     root = manifest_root(spark, tmp_folder, rows)

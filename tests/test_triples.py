@@ -159,3 +159,10 @@ def test_etl_fraction_digits(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(etl_epoch("t")).collect()]
     assert got == [1500576426] * 4 + [0] + [None] * 3
+
+
+def test_override_as_a_transform_step(spark):
+    from keysweep.operators import with_override
+
+    out = lines_df(spark, [make_line(etl="not read")]).transform(with_override(42))
+    assert [tuple(r) for r in out.collect()] == [(*GOLDEN, 42)]
