@@ -28,6 +28,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     parser.add_argument("--check-keys", action="store_true",
                         help="fail when a key pair of the rows to delete is stored more than once")
     parser.add_argument("--verify", action="store_true", help="recount the deletes before publishing")
+    parser.add_argument("--keep-snapshots", type=int, default=None,
+                        help="after publishing, remove all but this many newest snapshots")
     return parser.parse_args(argv)
 
 
@@ -35,7 +37,8 @@ def main(argv: list[str] | None = None) -> int:
     args = parse_args(sys.argv[1:] if argv is None else argv)
     spark = SparkSession.builder.appName("keysweep").getOrCreate()
     result = run_cleanup(spark, args.run_folder, args.manifest, override_time=args.time,
-                         publish=not args.dry_run, check_keys=args.check_keys, verify=args.verify)
+                         publish=not args.dry_run, check_keys=args.check_keys, verify=args.verify,
+                         keep_snapshots=args.keep_snapshots)
     if result.version is not None:
         print(f"published manifest version {result.version}")
     return 0

@@ -29,7 +29,7 @@ from keysweep.operators.cleanup import deleted_rows, event_outcome, key_violatio
 from keysweep.operators.triples import event_triples
 from keysweep.schemas import ETL_TSTAMP, EVENT_ID, FINGERPRINT, REPORT_LINE, ROW_ID, SUMMARY
 from keysweep.session import scratch_path
-from keysweep.sinks.snapshot import PublishError, publish_snapshot
+from keysweep.sinks.snapshot import PublishError, expire_snapshots, publish_snapshot
 from keysweep.sinks.store import delete_from_store
 from keysweep.sources.enriched import read_enriched
 from keysweep.sources.manifest import current_version, read_snapshot, row_count
@@ -110,7 +110,7 @@ def stage_triples(spark: SparkSession, lines: DataFrame, override_seconds: int |
 
 def run_cleanup(spark: SparkSession, run_folder: str, manifest_root: str, override_time: str | None = None,
                 publish: bool = True, broadcast_max_bytes: int | None = None, check_keys: bool = False,
-                verify: bool = False, quiet: bool = False) -> CleanupResult:
+                verify: bool = False, keep_snapshots: int | None = None, quiet: bool = False) -> CleanupResult:
     """Remove from the manifest exactly the rows this run wrote.
 
     ``override_time`` (``yyyy-MM-dd-HH-mm-ss``, UTC) replaces every event's
@@ -120,7 +120,8 @@ def run_cleanup(spark: SparkSession, run_folder: str, manifest_root: str, overri
     :func:`keysweep.operators.key_violations`). ``verify`` recounts the
     deleted rows with a second join and checks deleted + kept = manifest
     before publishing. Publishing fails if another cleanup published since
-    this one read the manifest.
+    this one read the manifest. ``keep_snapshots`` removes all but that many
+    newest snapshots after a publish (default: keep all).
     """
     override_seconds = run_time_value(spark, override_time)
     version = current_version(spark, manifest_root)
@@ -160,6 +161,9 @@ def run_cleanup(spark: SparkSession, run_folder: str, manifest_root: str, overri
                                               manifest_root, expected_rows=expected, base_version=version)
         deleted = before - after
         log.info("manifest %s: version %d -> %d, %d -> %d rows", manifest_root, version, new_version, before, after)
+        if keep_snapshots is not None:
+            expired = expire_snapshots(spark, manifest_root, keep_snapshots)
+            log.info("manifest %s: expired versions %s", manifest_root, expired)
     else:
         deleted = deleted_rows(manifest, triples, use_broadcast, times).count()
 

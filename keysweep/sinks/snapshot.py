@@ -21,6 +21,7 @@ from keysweep.sources.manifest import (
     commit_path,
     commit_record,
     current_version,
+    published_versions,
     read_snapshot,
     snapshot_path,
     written_versions,
@@ -72,3 +73,28 @@ def init_manifest(spark: SparkSession, rows: DataFrame, root: str) -> int:
         raise PublishError(f"{root} already holds a manifest")
     version, _ = publish_snapshot(spark, rows, root)
     return version
+
+
+def expire_snapshots(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
+    """Delete snapshots older than the newest ``keep`` published versions.
+
+    Every cleanup leaves the previous snapshot behind for rollback and for
+    readers that pinned it; this bounds the storage to ``keep`` copies.
+    Folders of failed attempts below the current version go too. The
+    current version and anything newer are never touched. Returns the
+    versions removed.
+    """
+    if keep < 1:
+        raise ValueError("keep must be at least 1")
+    published = published_versions(spark, root)
+    if not published:
+        return []
+    kept = set(published[-keep:])
+    current = published[-1]
+    doomed = sorted(v for v in set(written_versions(spark, root)) | set(published)
+                    if v < current and v not in kept)
+    for version in doomed:
+        # marker first: a version without a marker is never read
+        fs.delete(spark, commit_path(root, version))
+        fs.delete(spark, snapshot_path(root, version))
+    return doomed

@@ -62,3 +62,9 @@ def read_small(spark: SparkSession, path: str) -> str:
 def rename(spark: SparkSession, src: str, dst: str) -> bool:
     fs, p = _fs(spark, src)
     return bool(fs.rename(p, _fs(spark, dst)[1]))
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    """Remove a file or folder (recursively); False when it did not exist."""
+    fs, p = _fs(spark, path)
+    return bool(fs.delete(p, True))

@@ -39,9 +39,14 @@ def written_versions(spark: SparkSession, root: str) -> list[int]:
                   if n.startswith(SNAPSHOT_PREFIX) and n[len(SNAPSHOT_PREFIX):].isdigit())
 
 
+def published_versions(spark: SparkSession, root: str) -> list[int]:
+    """Versions that have a commit marker."""
+    return sorted(int(n) for n in fs.list_names(spark, f"{root.rstrip('/')}/{COMMITS}") if n.isdigit())
+
+
 def current_version(spark: SparkSession, root: str) -> int | None:
-    versions = [int(n) for n in fs.list_names(spark, f"{root.rstrip('/')}/{COMMITS}") if n.isdigit()]
-    return max(versions) if versions else None
+    versions = published_versions(spark, root)
+    return versions[-1] if versions else None
 
 
 def read_snapshot(spark: SparkSession, root: str, version: int) -> DataFrame:

@@ -270,7 +270,9 @@ def test_command_line(spark, tmp_folder, capsys):
     assert parse_args(["--run-folder", "s3://x/y", "--manifest", "m", "--time", "2017-07-20-14-44-13"]).time
     assert main(["--run-folder", folder, "--manifest", root, "--dry-run"]) == 0
     assert current_version(spark, root) == 1
-    assert main(["--run-folder", folder, "--manifest", root]) == 0
+    assert main(["--run-folder", folder, "--manifest", root, "--keep-snapshots", "1"]) == 0
+    from keysweep.sources.manifest import written_versions
+    assert written_versions(spark, root) == [2]
     out = capsys.readouterr().out
     assert "deleted 1 events. 0 events were skipped" in out and "published manifest version 2" in out
 
@@ -409,3 +411,21 @@ def test_job_against_an_empty_manifest(spark, tmp_folder):
     result = run_cleanup(spark, folder, root, quiet=True, verify=True, check_keys=True)
     assert (result.deleted, result.skipped, result.lines, result.version) == (0, 2, 2, 2)
     assert read_current(spark, root).count() == 0
+
+
+def test_expire_snapshots_keeps_the_newest(spark, tmp_folder):
+    from keysweep.sinks import expire_snapshots
+    from keysweep.sources.manifest import published_versions, written_versions
+
+    root = manifest_root(spark, tmp_folder, [("a", "fa", 1)])
+    rows = spark.createDataFrame([("a", "fa", 1)], MANIFEST)
+    publish_snapshot(spark, rows, root)                                   # 2
+    with pytest.raises(PublishError):
+        publish_snapshot(spark, rows, root, expected_rows=9)              # 3: orphan folder
+    publish_snapshot(spark, rows, root)                                   # 4
+    publish_snapshot(spark, rows, root)                                   # 5
+    assert written_versions(spark, root) == [1, 2, 3, 4, 5]
+    assert expire_snapshots(spark, root, keep=2) == [1, 2, 3]
+    assert written_versions(spark, root) == [4, 5] and published_versions(spark, root) == [4, 5]
+    assert current_version(spark, root) == 5 and read_current(spark, root).count() == 1
+    assert expire_snapshots(spark, root, keep=2) == []
