@@ -429,3 +429,16 @@ def test_expire_snapshots_keeps_the_newest(spark, tmp_folder):
     assert written_versions(spark, root) == [4, 5] and published_versions(spark, root) == [4, 5]
     assert current_version(spark, root) == 5 and read_current(spark, root).count() == 1
     assert expire_snapshots(spark, root, keep=2) == []
+
+
+def test_store_errors_fail_the_job(spark, tmp_folder):
+    """Any store exception other than a failed condition fails the job (no catch-all)."""
+    from keysweep.plans.job import run_store_cleanup
+
+    class BrokenStore:
+        def delete(self, event_id, fingerprint, etl_time):
+            raise RuntimeError("store unavailable")
+
+    folder = run_folder(tmp_folder, [make_line(event_id="a", fingerprint="fa")])
+    with pytest.raises(Exception, match="store unavailable"):
+        run_store_cleanup(spark, folder, BrokenStore, quiet=True)
