@@ -14,7 +14,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from keysweep.plans.job import run_cleanup
+from keysweep.plans.job import check_run_lines, run_cleanup
 
 
 def parse_args(argv: list[str]) -> argparse.Namespace:
@@ -30,12 +30,18 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     parser.add_argument("--verify", action="store_true", help="recount the deletes before publishing")
     parser.add_argument("--keep-snapshots", type=int, default=None,
                         help="after publishing, remove all but this many newest snapshots")
+    parser.add_argument("--check-lines", metavar="OUT", default=None,
+                        help="only write the run's malformed / bad-timestamp lines to OUT (parquet) and count them")
     return parser.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> int:
     args = parse_args(sys.argv[1:] if argv is None else argv)
     spark = SparkSession.builder.appName("keysweep").getOrCreate()
+    if args.check_lines:
+        counts = check_run_lines(spark, args.run_folder, args.check_lines, override_time=args.time)
+        print(f"lines that would fail the cleanup: {counts or 'none'} (written to {args.check_lines})")
+        return 1 if counts else 0
     result = run_cleanup(spark, args.run_folder, args.manifest, override_time=args.time,
                          publish=not args.dry_run, check_keys=args.check_keys, verify=args.verify,
                          keep_snapshots=args.keep_snapshots)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from keysweep.functions.timefmt import run_time_value
 from keysweep.operators.cleanup import deleted_rows, event_outcome, key_violations, kept_rows, run_keys
-from keysweep.operators.triples import event_triples
+from keysweep.operators.triples import bad_timestamp_lines, event_triples, malformed_lines
 from keysweep.schemas import ETL_TSTAMP, EVENT_ID, FINGERPRINT, REPORT_LINE, ROW_ID, SUMMARY
 from keysweep.session import scratch_path
 from keysweep.sinks.snapshot import PublishError, expire_snapshots, publish_snapshot
@@ -216,3 +216,20 @@ def run_store_cleanup(spark: SparkSession, run_folder: str, client_factory, over
     deleted, failed = delete_from_store(keys, client_factory, concurrency)
     return _reported(StoreCleanupResult(deleted=deleted, skipped=staged.lines - deleted, lines=staged.lines,
                                         sent=deleted + failed, stage=staged.path), quiet)
+
+
+def check_run_lines(spark: SparkSession, run_folder: str, out: str, override_time: str | None = None) -> dict:
+    """F1/F2 over a whole run, without touching any manifest.
+
+    Writes every line that would fail the job to ``out`` as parquet
+    (``problem``, ``eventid``, ``value``) and returns the counts per problem.
+    With an override, field 2 is never read, so only malformed lines count.
+    """
+    lines = read_enriched(spark, run_folder)
+    bad = malformed_lines(lines).select(F.lit("malformed").alias("problem"), EVENT_ID, "value")
+    if override_time is None:
+        stamps = bad_timestamp_lines(lines).select(F.lit("bad_timestamp").alias("problem"), EVENT_ID, "value")
+        bad = bad.unionByName(stamps)
+    bad.write.parquet(out)
+    counts = spark.read.parquet(out).groupBy("problem").count().collect()
+    return {r["problem"]: int(r["count"]) for r in counts}

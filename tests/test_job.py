@@ -442,3 +442,20 @@ def test_store_errors_fail_the_job(spark, tmp_folder):
     folder = run_folder(tmp_folder, [make_line(event_id="a", fingerprint="fa")])
     with pytest.raises(Exception, match="store unavailable"):
         run_store_cleanup(spark, folder, BrokenStore, quiet=True)
+
+
+def test_check_lines_lists_every_failing_line(spark, tmp_folder, capsys):
+    from keysweep.__main__ import main
+    from keysweep.plans.job import check_run_lines
+
+    lines = [make_line(event_id="ok"), make_line(event_id="m1", fingerprint=""), "",
+             make_line(event_id="t1", etl="2017-07-20"), make_line(event_id="t2", etl="x")]
+    folder = run_folder(tmp_folder, lines)
+    counts = check_run_lines(spark, folder, os.path.join(tmp_folder, "report"))
+    assert counts == {"malformed": 2, "bad_timestamp": 2}
+    report = spark.read.parquet(os.path.join(tmp_folder, "report"))
+    assert sorted(r["eventid"] or "" for r in report.collect()) == ["", "m1", "t1", "t2"]
+    assert check_run_lines(spark, folder, os.path.join(tmp_folder, "r2"), "2017-07-20-14-44-13") == {"malformed": 2}
+    assert main(["--run-folder", folder, "--manifest", "unused", "--check-lines",
+                 os.path.join(tmp_folder, "r3")]) == 1
+    assert "bad_timestamp" in capsys.readouterr().out
