@@ -5,6 +5,23 @@ triples; every manifest row that matches a triple on all three is removed,
 rows of other batches stay. Everything is DataFrame joins and projections.
 """
 
-from keysweep.plans.job import CleanupResult, StoreCleanupResult, run_cleanup, run_outcome, run_store_cleanup
+from keysweep.plans.job import (
+    CleanupResult,
+    StoreCleanupResult,
+    check_run_lines,
+    run_cleanup,
+    run_outcome,
+    run_store_cleanup,
+)
+from keysweep.sinks.snapshot import expire_snapshots, init_manifest
 
-__all__ = ["CleanupResult", "StoreCleanupResult", "run_cleanup", "run_outcome", "run_store_cleanup"]
+__all__ = [
+    "CleanupResult",
+    "StoreCleanupResult",
+    "check_run_lines",
+    "expire_snapshots",
+    "init_manifest",
+    "run_cleanup",
+    "run_outcome",
+    "run_store_cleanup",
+]
