@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from keysweep.functions.timefmt import run_time_value
 from keysweep.operators.cleanup import deleted_rows, event_outcome, key_violations, kept_rows, run_keys
 from keysweep.operators.triples import bad_timestamp_lines, event_triples, malformed_lines
-from keysweep.schemas import ETL_TSTAMP, EVENT_ID, FINGERPRINT, REPORT_LINE, ROW_ID, SUMMARY
+from keysweep.schemas import ETL_TSTAMP, EVENT_ID, FINGERPRINT, REPORT_LINE, ROW_ID, STAGED, SUMMARY
 from keysweep.session import scratch_path
 from keysweep.sinks.snapshot import PublishError, expire_snapshots, publish_snapshot
 from keysweep.sinks.store import delete_from_store
@@ -85,6 +85,11 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(value) if value else DEFAULT_BROADCAST_MAX_BYTES
 
 
+def read_staged(spark: SparkSession, path: str) -> DataFrame:
+    """Staged triples (rid, eventid, fingerprint, etltstamp), schema declared."""
+    return spark.read.schema(STAGED).parquet(path)
+
+
 def stage_triples(spark: SparkSession, lines: DataFrame, override_seconds: int | None = None) -> StagedTriples:
     """Steps 1-2: write (rid, eventid, fingerprint, etltstamp) and measure it.
 
@@ -103,7 +108,7 @@ def stage_triples(spark: SparkSession, lines: DataFrame, override_seconds: int |
         F.max(ETL_TSTAMP).alias("hi"),
     ).write.parquet(path)
     m = measures.get
-    lines_staged = spark.read.parquet(path).count()
+    lines_staged = read_staged(spark, path).count()
     etl_range = None if m["lo"] is None else (int(m["lo"]), int(m["hi"]))
     return StagedTriples(path, lines_staged, int(m["b"]), etl_range)
 
@@ -130,7 +135,7 @@ def run_cleanup(spark: SparkSession, run_folder: str, manifest_root: str, overri
     manifest = read_snapshot(spark, manifest_root, version)
 
     staged = stage_triples(spark, read_enriched(spark, run_folder), override_seconds)
-    triples = spark.read.parquet(staged.path)
+    triples = read_staged(spark, staged.path)
     limit = broadcast_limit(spark) if broadcast_max_bytes is None else broadcast_max_bytes
     use_broadcast = staged.broadcast_bytes() <= limit
     log.info("run %s: %d lines staged at %s; ETL range %s; run side ~%d bytes, %s (cap %d)",
@@ -178,7 +183,7 @@ def run_outcome(spark: SparkSession, result: CleanupResult, manifest_root: str)
     Reads the staged triples (their ``rid`` is fixed on disk) against the
     snapshot the run was checked against, so it can be asked after publish.
     """
-    triples = spark.read.parquet(result.stage)
+    triples = read_staged(spark, result.stage)
     manifest = read_snapshot(spark, manifest_root, result.manifest_version)
     return event_outcome(triples, manifest, result.etl_range)
 
@@ -210,7 +215,7 @@ def run_store_cleanup(spark: SparkSession, run_folder: str, client_factory, over
     """
     override_seconds = run_time_value(spark, override_time)
     staged = stage_triples(spark, read_enriched(spark, run_folder), override_seconds)
-    keys = run_keys(spark.read.parquet(staged.path))
+    keys = run_keys(read_staged(spark, staged.path))
     if parallelism:
         keys = keys.repartition(parallelism, *keys.columns)
     deleted, failed = delete_from_store(keys, client_factory, concurrency)

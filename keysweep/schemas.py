@@ -56,6 +56,11 @@ TRIPLES = T.StructType([
     T.StructField(ETL_TSTAMP, T.IntegerType(), True),
 ])
 
+STAGED = T.StructType([
+    T.StructField(ROW_ID, T.LongType(), False),
+    *TRIPLES.fields,
+])
+
 MANIFEST = T.StructType([
     T.StructField(EVENT_ID, T.StringType(), False),
     T.StructField(FINGERPRINT, T.StringType(), False),
