@@ -53,7 +53,8 @@ AUTO = "auto"
 def _run_range(triples: DataFrame, etl_range) -> tuple[Column, Column] | None:
     """(hit, miss) tests of a manifest row's ETL time against the run's, or None.
 
-    ``etl_range`` is (min, max) when known (the job measures it); ``"auto"``
+    ``etl_range`` is (min, max) when known (the job measures it; any wider
+    range is also correct, a narrower one is not); ``"auto"``
     derives it from ``triples`` as one scalar subquery (Spark merges the two
     bounds); None (the default) means no restriction. Use ``"auto"`` on
     staged triples: Catalyst copies the range onto the run side through the
@@ -101,17 +102,19 @@ def kept_rows(manifest: DataFrame, triples: DataFrame, broadcast: bool = False,
               etl_range=None) -> DataFrame:
     """J2: the manifest after the cleanup (complement of J1).
 
-    With ``etl_range`` the manifest is split on the run's ETL time range:
-    rows of other batches (and rows without an ETL time) pass through
-    untouched, with no shuffle; only rows of the run's batches meet the join. The shuffle then
+    With ``etl_range`` and a shuffled run side, the manifest is split on the
+    run's ETL time range: rows of other batches (and rows without an ETL
+    time) pass through untouched, with no shuffle; only rows of the run's
+    batches meet the join. The shuffle then
     scales with the run, not with the manifest. (A run normally holds one
     batch, so the range is one value; a wider range only adds candidates,
     never changes the result.)
     """
     rows = _manifest(manifest)
     keys = list(MANIFEST_KEYS)
-    tests = _run_range(triples, etl_range)
+    tests = None if broadcast else _run_range(triples, etl_range)
     if tests is None:
+        # Broadcast: nothing is shuffled anyway, and one scan beats the split's two.
         return rows.join(run_keys(triples, broadcast), keys, "left_anti")
     hit, miss = tests
     touched = rows.where(hit).join(run_keys(triples, broadcast), keys, "left_anti")

@@ -106,3 +106,13 @@ def test_outcome_never_shuffles_raw_triples_by_key(spark, tmp_folder):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_broadcast_anti_join_reads_the_manifest_once(spark, tmp_folder):
+    manifest = parquet(spark, tmp_folder, "m", [(f"e{i}", "f", i % 4) for i in range(100)], MANIFEST)
+    triples = parquet(spark, tmp_folder, "t", [("e1", "f", 1)], TRIPLES)
+    df = kept_rows(manifest, triples, True, (1, 1))
+    plan = plan_of(df)
+    assert "Union" not in plan and "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    assert plan.count("FileScan parquet") == 2      # the manifest once, the run keys once
+    assert df.count() == 99
