@@ -69,8 +69,8 @@ def _epoch_seconds(ts: Column) -> Column:
                                            F.minute(ts), F.second(ts), F.lit("UTC")))
 
 
-def _hour_end(events: DataFrame) -> Column:
-    """End of the event's hour as a zone-free timestamp."""
+def _hour_end() -> Column:
+    """End of the event's hour (column ``ts``) as a zone-free timestamp."""
     ts = F.col("ts").cast("timestamp_ntz")
     start = F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.lit(0), F.lit(0))
     return start + F.expr("INTERVAL 1 HOUR")
@@ -78,7 +78,7 @@ def _hour_end(events: DataFrame) -> Column:
 
 def event_source(events: DataFrame) -> DataFrame:
     """(id, eventid, fingerprint, etl_text, run_text, etl) per event."""
-    hour_end = _hour_end(events)
+    hour_end = _hour_end()
     return events.select(
         F.col("event_id").alias("id"),
         F.md5(F.concat(F.lit("ev-"), F.col("event_id").cast("string"))).alias(EVENT_ID),
