@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keysweep.llm import line_spread, ngram_join, packing, quality_rules, secret_scan, spot_signatures
+from keysweep.llm import line_spread, ngram_join, packing, piece_coding, quality_rules, secret_scan, spot_signatures
 from keysweep.llm.sql import LINES_SQL, NGRAM_SQL, QUALITY_SQL, SECRETS_SQL
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -27,6 +27,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_piece_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_coding.coding_report(documents(spark, sf_dir), tokenizer_path(PIECE_MODEL))
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(documents(spark, sf_dir), size=4, percent=85)
 
@@ -57,7 +61,7 @@ def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_ngram_join, op3_quality_rules, op4_spot_fingerprints, op5_packing,
+    f.__name__: f for f in (op1_piece_coding, op2_ngram_join, op3_quality_rules, op4_spot_fingerprints, op5_packing,
                             op7_secret_scan, op10_line_spread)}
 
 ORACLE_SQL: dict[str, str] = {
