@@ -9,8 +9,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from keysweep.llm import line_spread, ngram_join, packing, piece_coding, quality_rules, secret_scan, spot_signatures
+from pyspark.sql import functions as F
+
+from keysweep.llm import (
+    license_scan,
+    line_spread,
+    ngram_join,
+    packing,
+    piece_coding,
+    quality_model,
+    quality_rules,
+    secret_scan,
+    sharding,
+    spot_signatures,
+)
 from keysweep.llm.sql import LINES_SQL, NGRAM_SQL, QUALITY_SQL, SECRETS_SQL
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -51,10 +63,25 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path(WORD_MODEL))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as files of a tree: a folder per source, in it one per language."""
+    path = F.concat_ws("/", F.lit(""), F.col("source"), F.col("lang"), F.col("doc_id").cast("string"))
+    return license_scan.licence_report(documents(spark, sf_dir).withColumn("path", path))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(documents(spark, sf_dir))
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(documents(spark, sf_dir))
+
+
+def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_model.quality_scores(documents(spark, sf_dir), labels)
+
+
 def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return line_spread.line_report(docs, line_spread.line_spread(docs))
@@ -62,7 +89,7 @@ def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_piece_coding, op2_ngram_join, op3_quality_rules, op4_spot_fingerprints, op5_packing,
-                            op7_secret_scan, op10_line_spread)}
+                            op6_license_scan, op7_secret_scan, op8_sharding, op9_quality_model, op10_line_spread)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_ngram_join": NGRAM_SQL,
