@@ -16,9 +16,10 @@ around a line doesn't count; repeated rows and null ids keep their own text
 table; other columns pass through.
 
 Shuffles carry 16-byte line keys, never lines: a line that a third of all
-documents hold becomes one sketch per task before its shuffle, and the join of
-verdicts to (document, line) pairs is a sort-merge join whose hot keys AQE can
-split.
+documents hold becomes one sketch per task before its shuffle. Estimates and
+verdicts, a row per widespread line, are written to the checkpoint folder; the
+joins of (document, line) pairs with them are then plain joins, whose hot keys
+AQE can split.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keysweep.llm.common import WORD_CHAR, word_array
+from keysweep.llm.common import WORD_CHAR, staged, word_array
 
 #: Distinct sites from which a line counts as furniture.
 MIN_SITES = 8
@@ -70,8 +71,8 @@ def line_spread(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, i
     seen = keyed.groupBy("key", "site").agg(F.count(F.lit(1)).alias("n"))
     merged = seen.groupBy("key").agg(
         F.sum("n").alias("n"), F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"))
-    spread = (merged.where(F.col("n") >= min_sites)
-              .select("key", F.hll_sketch_estimate("sketch").alias("estimate")))
+    spread = staged(merged.where(F.col("n") >= min_sites)
+                    .select("key", F.hll_sketch_estimate("sketch").alias("estimate")), "line-estimates")
     margin = SIGMAS * 1.04 / (2 ** (lg_k / 2)) * min_sites
     sure = spread.where(F.col("estimate") > min_sites + margin).select(
         "key", F.col("estimate").alias("sites"), F.lit(False).alias("exact"))
@@ -80,7 +81,7 @@ def line_spread(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, i
                .groupBy("key").agg(F.count(F.lit(1)).alias("sites"))
                .where(F.col("sites") >= min_sites)
                .select("key", "sites", F.lit(True).alias("exact")))
-    return sure.unionByName(counted)
+    return staged(sure.unionByName(counted), "line-spread")
 
 
 def _marked(docs: DataFrame, spread: DataFrame, max_share: float, id_col: str, text_col: str, site_col: str) -> DataFrame:

@@ -238,9 +238,12 @@ def secret_report(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str
     found = find_spans(docs, rules, id_col, text_col)
     base = [i for i, r in enumerate(rules) if r.base]
     spans = F.col("spans")
-    counts = [F.size(F.filter(spans, lambda s, i=i: s["rule"] == i)).cast("long").alias(f"n_{rules[i].kind}") for i in base]
+
+    def count(position: int) -> Column:
+        return F.size(F.filter(spans, lambda s: s["rule"] == position)).cast("long").alias(f"n_{rules[position].kind}")
+
     return found.select(
-        F.col("row")[id_col].alias("doc_id"), *counts,
+        F.col("row")[id_col].alias("doc_id"), *map(count, base),
         F.sha2(_joined(F.filter(spans, lambda s: s["rule"].isin(base)), rules), 256).alias("base_sha256"),
         _joined(spans, rules).alias("spans"))
 

@@ -1,0 +1,126 @@
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from keysweep.llm import packing, piece_coding
+from llm_fixtures import empty_docs, odd_docs, small_docs
+
+MODEL = str(public_tokenizers.path("piece_bpe_32k.model"))
+WORDS = str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("make", [small_docs, odd_docs])
+def test_coding_report_matches_the_library(spark, make):
+    docs = make(spark)
+    lib = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    want = []
+    for r in docs.collect():
+        ids = lib.encode(r["text"] or "")
+        want.append((str(r["doc_id"]), len(ids), sha(",".join(map(str, ids))), sha(lib.decode(ids))))
+    got = sorted((str(r["doc_id"]), *list(r)[1:]) for r in piece_coding.coding_report(docs, MODEL).collect())
+    assert got == sorted(want)
+
+
+def test_encode_then_decode(spark):
+    docs = odd_docs(spark).where("doc_id is not null")
+    lib = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    encoded = piece_coding.encode_documents(docs, MODEL)
+    assert {r["doc_id"]: r["ids"] for r in encoded.collect()} == {r["doc_id"]: lib.encode(r["text"] or "") for r in docs.collect()}
+    back = {r["doc_id"]: r["text"] for r in piece_coding.decode_documents(encoded, MODEL).collect()}
+    assert back == {r["doc_id"]: lib.decode(lib.encode(r["text"] or "")) for r in docs.collect()}
+
+
+def test_agendas_agree_with_the_library_on_random_strings():
+    coder = piece_coding.PieceCoder(MODEL)
+    lib = coder.vocab.library
+    rng = random.Random(3)
+    alphabet = "etaoin shrdlu  \n\t▁éß漢🙂\x00019"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 90))) for _ in range(400)]
+    texts += ["".join(rng.choice("etaoinshr") for _ in range(rng.randint(20, 60))) for _ in range(100)]
+    for text, parts in coder.coded(texts):
+        ids = [i for p in parts for i in p[0].tolist()]
+        assert ids == lib.encode(text)
+        assert coder.decoded(text, parts) == lib.decode(ids) == piece_coding.decode_ids(coder.vocab, ids)
+    long = "".join(rng.choice("etaoinshr") for _ in range(500))
+    marked = piece_coding.SPACE + long
+    assert piece_coding._heap_agenda(coder.vocab, marked).tolist() == lib.encode(long)
+
+
+def test_a_difference_from_the_library_fails(monkeypatch):
+    coder = piece_coding.PieceCoder(MODEL)
+    monkeypatch.setattr(piece_coding, "encode_units", lambda vocab, units: [np.array([5]) for _ in units])
+    with pytest.raises(ValueError, match="library"):
+        list(coder.coded(["hello"]))
+
+
+def check_packing(rows, docs, window):
+    tk = Tokenizer.from_file(WORDS)
+    sequences, pieces = defaultdict(list), defaultdict(list)
+    for r in rows:
+        sequences[r["sequence_id"]].append(r)
+        pieces[r["doc_id"]].append(r)
+    for parts in sequences.values():
+        at = 0
+        for r in sorted(parts, key=lambda r: r["offset"]):
+            assert r["offset"] == at and r["length"] > 0
+            at += r["length"]
+        assert at <= window and at & (at - 1) == 0
+    count = defaultdict(int)
+    for r in docs.collect():
+        count[r["doc_id"], r["text"]] += 1
+    for doc_id, text in count:
+        ids = np.array(tk.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
+        mine = [r for r in pieces[doc_id] if r["doc_tokens"] == len(ids)]
+        cover = np.zeros(len(ids), int)
+        for r in mine:
+            part = ids[r["start"]:r["start"] + r["length"]]
+            if zlib.crc32(part.tobytes()) == r["ids_crc32"]:
+                cover[r["start"]:r["start"] + r["length"]] += 1
+        assert (cover >= count[doc_id, text]).all()
+    total = sum(n * (len(tk.encode(t or "", add_special_tokens=False).ids) + 1) for (_, t), n in count.items())
+    assert total == sum(r["length"] for r in rows)
+
+
+@pytest.mark.parametrize("make, window, parts", [(small_docs, 2048, 1), (small_docs, 256, 5), (odd_docs, 2048, 3)])
+def test_packing_covers_every_token_without_padding(spark, make, window, parts):
+    docs = make(spark).repartition(parts)
+    check_packing(packing.pack_documents(docs, WORDS, window).collect(), docs, window)
+
+
+def test_sum_of_squares_choice():
+    """The chosen level is the one that a plain recount of squares prefers."""
+    rng = random.Random(1)
+    placing = packing.SumOfSquares(32)
+    for k in range(2000):
+        size = rng.randint(1, 31)
+        level = placing.level_for(size)
+
+        def squares(h):
+            count = placing.count.copy()
+            if h:
+                count[h] -= 1
+            if h + size < 32:
+                count[h + size] += 1
+            return int((count ** 2).sum())
+
+        choices = [h for h in range(0, 33 - size) if h == 0 or placing.count[h]]
+        assert level in choices and squares(level) == min(map(squares, choices))
+        placing.add((k, 0, size, None, size))
+        assert [len(x) for x in placing.open] == placing.count[:32].tolist()
+
+
+def test_empty_tables(spark):
+    docs = empty_docs(spark)
+    assert piece_coding.coding_report(docs, MODEL).count() == 0
+    assert packing.pack_documents(docs, WORDS).count() == 0

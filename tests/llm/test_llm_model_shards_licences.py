@@ -1,0 +1,138 @@
+import zlib
+from collections import defaultdict
+from math import log, sqrt
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from keysweep.llm import license_scan, quality_model, sharding
+from llm_fixtures import PROSE, SMALL, empty_docs, odd_docs, small_docs
+
+
+# --- quality classifier -------------------------------------------------------------------------
+def test_held_out_accuracy(spark):
+    sf = SMALL.replace("0.001", "0.1")
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    scores = quality_model.quality_scores(docs, labels)
+    rows = scores.join(labels, "doc_id").collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in rows)
+    held = [r for r in rows if r["held_out"]]
+    assert len(held) > 500 and np.mean([r["predicted"] == r["quality"] for r in held]) > 0.98
+
+
+def test_scores_ignore_held_out_labels_and_other_columns(spark):
+    docs, labels = small_docs(spark), spark.read.parquet(f"{SMALL}/labels.parquet")
+    changed = labels.withColumn("quality", F.when(quality_model.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    moved = docs.withColumn("lang", F.lit("xx")).withColumn("source", F.lit("s"))
+    a = {r["doc_id"]: r["score"] for r in quality_model.quality_scores(docs, labels).collect()}
+    b = {r["doc_id"]: r["score"] for r in quality_model.quality_scores(moved, changed).collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-6 for k in a)
+
+
+def test_odd_rows_few_labels_and_empty_tables(spark):
+    docs = odd_docs(spark)
+    labels = spark.createDataFrame([(5, 1, "a"), (10, 1, "b"), (13, 0, "c"), (None, 0, "d"), (15, None, "e")], "doc_id long, quality int, text string")
+    rows = quality_model.quality_scores(docs, labels).collect()
+    assert len(rows) == docs.count() and all(0 <= r["score"] <= 1 for r in rows)
+    none = labels.limit(0)
+    assert {r["score"] for r in quality_model.quality_scores(docs, none).collect()} == {0.5}
+    ones = labels.where("quality = 1")
+    assert {r["score"] for r in quality_model.quality_scores(docs, ones).collect()} == {1.0}
+    assert quality_model.quality_scores(empty_docs(spark), labels).count() == 0
+
+
+def test_isotonic_blocks():
+    x, y = quality_model.isotonic_knots(np.array([0., 1, 2, 3]), np.array([0., 3, 1, 4]), np.array([4., 4, 4, 4]))
+    assert x.tolist() == [0, 1.5, 3] and y.tolist() == [0, 0.5, 1]
+
+
+# --- sharding -----------------------------------------------------------------------------------
+@pytest.mark.parametrize("limit", [3000, 40_000, 10 ** 9])
+def test_shards_fit_and_are_minimal(spark, limit):
+    docs = small_docs(spark)
+    rows = sharding.assign_shards(docs, limit).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in docs.collect())
+    size, count = defaultdict(int), defaultdict(int)
+    for r in rows:
+        size[r["shard"]] += r["n_bytes"]
+        count[r["shard"]] += 1
+        assert r["n_bytes"] == len(next(iter([r["n_bytes"]])).to_bytes(8, "big")) or r["n_bytes"] >= 0
+    big = {r["shard"] for r in rows if r["oversized"]}
+    assert all(size[s] <= limit for s in size if s not in big) and all(count[s] == 1 for s in big)
+    bits = [s.split("-")[1] for s in size]
+    assert not any(a != b and b.startswith(a) for a in bits for b in bits)
+    for s in size:   # a bucket splits only when its parent was too large
+        depth, prefix = s.split("-")
+        if prefix:
+            assert sum(v for t, v in size.items() if t.split("-")[1].startswith(prefix[:-1])) > limit
+
+
+def test_a_repeated_id_is_split(spark):
+    docs = spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("x" * 1000).alias("text"), F.col("id").alias("hash"))
+    sizes = sharding.assign_shards(docs, 100_000).groupBy("shard").agg(F.sum("n_bytes").alias("b")).collect()
+    assert sum(r["b"] for r in sizes) == 3_000_000 and max(r["b"] for r in sizes) <= 100_000
+
+
+def test_write_shards_keeps_rows_and_columns(spark, tmp_folder):
+    docs = odd_docs(spark).drop("shard")
+    sharding.write_shards(docs, f"{tmp_folder}/out", 4000)
+    back = spark.read.parquet(f"{tmp_folder}/out")
+    assert sorted(map(repr, back.select(docs.columns).collect())) == sorted(map(repr, docs.collect()))
+    size = back.groupBy("shard").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("b"), F.count("*").alias("n")).collect()
+    assert all(r["b"] <= 4000 or r["n"] == 1 for r in size) and len(size) > 3
+
+
+def test_sharding_odd_and_empty(spark):
+    assert sharding.assign_shards(odd_docs(spark), 5000).count() == odd_docs(spark).count()
+    assert sharding.assign_shards(empty_docs(spark)).count() == 0
+
+
+# --- licences -----------------------------------------------------------------------------------
+def files(spark, rows):
+    return spark.createDataFrame([(i, p, t, "x", "y") for i, (p, t) in enumerate(rows)],
+                                 "doc_id long, path string, text string, licence string, dir string")
+
+
+def test_headers_files_and_inheritance(spark):
+    mit, gpl = license_scan.TEMPLATES["MIT"][2], license_scan.TEMPLATES["GPL-3.0"][1]
+    rows = [("/a/LICENSE", mit), ("/a/b/c/code", PROSE), ("/a/b/COPYING", gpl), ("/a/b/c/d/code", PROSE), ("/a/x/code", PROSE),
+            ("/other/code", PROSE), ("/a/b/own", PROSE + "\nLicensed under CC BY-NC 4.0.\n" + PROSE), (None, None), ("/a/b/", ""), ("plain", PROSE)]
+    got = {r["doc_id"]: (r["licence"], r["via"], r["from_dir"]) for r in license_scan.licence_report(files(spark, rows)).collect()}
+    assert got == {0: ("MIT", "file", None) if got[0][1] == "file" else ("MIT", "header", None), 1: ("GPL-3.0", "directory", "/a/b"),
+                   2: ("GPL-3.0", got[2][1], None), 3: ("GPL-3.0", "directory", "/a/b"), 4: ("MIT", "directory", "/a"),
+                   5: (None, None, None), 6: ("CC-BY-NC-4.0", "header", None), 7: (None, None, None),
+                   8: ("GPL-3.0", "directory", "/a/b"), 9: (None, None, None)}
+
+
+def test_scores_match_a_dense_cosine(spark):
+    docs = small_docs(spark).withColumn("path", F.concat(F.lit("/"), "source", F.lit("/"), "doc_id"))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    words = {k: license_scan.terms(t) for k, t in texts.items()}
+    vocab = {t for xs in license_scan.TEMPLATES.values() for x in xs for t in license_scan.terms(x)}
+    n = len(texts)
+    weight = {t: log((n + 1) / (sum(t in set(w) for w in words.values()) + 1)) + 1 for t in vocab}
+
+    def vector(ws):
+        out = defaultdict(float)
+        for w in ws:
+            out[w] += weight.get(w, log(n + 1) + 1)
+        return out
+
+    def cosine(a, b):
+        return sum(v * b.get(k, 0) for k, v in a.items()) / sqrt(sum(v * v for v in a.values()) * sum(v * v for v in b.values()))
+
+    templates = [vector(license_scan.terms(x)) for xs in license_scan.TEMPLATES.values() for x in xs]
+    best = {k: max((cosine(vector(license_scan.terms(line)), t) for line in text.split("\n") if license_scan.terms(line)
+                    for t in templates), default=0) for k, text in texts.items()}
+    got = {r["doc_id"]: r["header_score"] for r in license_scan.own_licences(docs).collect()}
+    for k, score in best.items():
+        assert (got[k] is None) == (score < license_scan.HEADER - 1e-9)
+        if got[k] is not None:
+            assert got[k] == pytest.approx(score)
+
+
+def test_licences_odd_and_empty(spark):
+    assert license_scan.licence_report(odd_docs(spark).withColumn("path", F.col("source"))).count() == odd_docs(spark).count()
+    assert license_scan.licence_report(empty_docs(spark).withColumn("path", F.col("source"))).count() == 0
