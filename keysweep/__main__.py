@@ -1,6 +1,7 @@
 """Command line for one cleanup.
 
     python -m keysweep --run-folder ... --manifest ...
+    python -m keysweep --run-folder ... --store-client package.module:make_client
     spark-submit --py-files keysweep.zip keysweep/__main__.py --run-folder ... --manifest ...
 
 Uses the session that ``spark-submit`` (or the local ``pyspark``) provides
@@ -10,18 +11,23 @@ and prints the report line.
 from __future__ import annotations
 
 import argparse
+import importlib
 import sys
 
 from pyspark.sql import SparkSession
 
-from keysweep.plans.job import check_run_lines, run_cleanup
+from keysweep.plans.job import check_run_lines, run_cleanup, run_store_cleanup
 
 
 def parse_args(argv: list[str]) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="keysweep", description="Clean a duplicate manifest after a failed load.")
     parser.add_argument("--run-folder", required=True,
                         help="folder of the run's enriched part-* files (s3://, s3a://, hdfs://, file path)")
-    parser.add_argument("--manifest", required=True, help="manifest root holding the snapshots")
+    parser.add_argument("--manifest", default=None, help="manifest root holding the versions")
+    parser.add_argument("--store-client", metavar="MODULE:CALLABLE", default=None,
+                        help="delete in an external keyed store instead: a callable that makes a client")
+    parser.add_argument("--parallelism", type=int, default=None, help="with --store-client: number of tasks and clients")
+    parser.add_argument("--concurrency", type=int, default=1, help="with --store-client: calls in flight per task")
     parser.add_argument("--time", default=None,
                         help="ETL time for orphan events, yyyy-MM-dd-HH-mm-ss (UTC); replaces every event's")
     parser.add_argument("--dry-run", action="store_true", help="count only; publish nothing")
@@ -32,7 +38,18 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
                         help="after publishing, remove all but this many newest snapshots")
     parser.add_argument("--check-lines", metavar="OUT", default=None,
                         help="only write the run's malformed / bad-timestamp lines to OUT (parquet) and count them")
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    if args.manifest is None and args.store_client is None and args.check_lines is None:
+        parser.error("one of --manifest, --store-client or --check-lines is needed")
+    return args
+
+
+def client_factory(name: str):
+    """The callable that ``module:callable`` names."""
+    module, _, attribute = name.partition(":")
+    if not attribute:
+        raise ValueError(f"--store-client must be module:callable, not {name!r}")
+    return getattr(importlib.import_module(module), attribute)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -42,6 +59,12 @@ def main(argv: list[str] | None = None) -> int:
         counts = check_run_lines(spark, args.run_folder, args.check_lines, override_time=args.time)
         print(f"lines that would fail the cleanup: {counts or 'none'} (written to {args.check_lines})")
         return 1 if counts else 0
+    if args.store_client:
+        done = run_store_cleanup(spark, args.run_folder, client_factory(args.store_client), override_time=args.time,
+                                 parallelism=args.parallelism, concurrency=args.concurrency)
+        if not done.exact:
+            print(f"{done.retried} tasks were retried: at least {done.deleted} events were deleted")
+        return 0
     result = run_cleanup(spark, args.run_folder, args.manifest, override_time=args.time,
                          publish=not args.dry_run, check_keys=args.check_keys, verify=args.verify,
                          keep_snapshots=args.keep_snapshots)

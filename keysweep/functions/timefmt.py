@@ -33,22 +33,30 @@ def checked_int(seconds: Column, what: Column) -> Column:
 def parse_etl_tstamp(text: Column | str) -> Column:
     """Timestamp of an ETL timestamp text, or null when it does not parse.
 
-    The fraction after the seconds may have 1 to 9 digits; it is required.
+    Fields may have any width; the fraction of one to three digits is required.
     """
     return _utc_timestamp(F.col(text) if isinstance(text, str) else text, ETL_TSTAMP_PARSE_PATTERN)
 
 
-def etl_epoch(text: Column | str) -> Column:
+def etl_millis_div(text: Column) -> Column:
+    """Epoch seconds of an ETL timestamp text as a long, not yet checked for its range."""
+    return F.call_function("div", F.unix_millis(parse_etl_tstamp(text)), F.lit(1000))
+
+
+def fits_int(seconds: Column) -> Column:
+    return seconds.between(F.lit(_INT_MIN), F.lit(_INT_MAX))
+
+
+def etl_epoch(text: Column | str, context: Column | None = None) -> Column:
     """P3: ETL timestamp text ``yyyy-MM-dd HH:mm:ss.SSS`` (UTC) -> INT epoch seconds.
 
     Milliseconds are divided by 1000 truncating toward zero (``div``), which
     differs from ``unix_seconds`` before 1970. Null when the text does not
     parse; callers that must fail use :func:`keysweep.operators.triples`.
+    ``context`` is what an out-of-range error names (default: the text).
     """
     text = F.col(text) if isinstance(text, str) else text
-    millis = F.unix_millis(parse_etl_tstamp(text))
-    seconds = F.call_function("div", millis, F.lit(1000))
-    return checked_int(seconds, text)
+    return checked_int(etl_millis_div(text), text if context is None else context)
 
 
 def run_time_seconds(text: Column | str) -> Column:

@@ -11,6 +11,7 @@ from keysweep.operators.cleanup import (
 from keysweep.operators.triples import (
     bad_timestamp_lines,
     event_triples,
+    failing_lines,
     malformed_lines,
     triple_columns,
     with_override,
@@ -22,6 +23,7 @@ __all__ = [
     "deleted_rows",
     "event_outcome",
     "event_triples",
+    "failing_lines",
     "key_violations",
     "kept_rows",
     "malformed_lines",

@@ -13,10 +13,13 @@ Plan shape, chosen for a large manifest and a run of any size:
   aggregation is partial (map-side), so a triple repeated by a bot
   collapses before the shuffle, and its output is already hash-partitioned
   on the join keys.
-* Only manifest rows within the run's ETL time range can match; given the
-  range (measured by the job, or derived from staged triples with
-  ``etl_range="auto"``), the manifest is filtered before any shuffle and
-  rows outside it bypass the join.
+* Only manifest rows of the run's ETL days can match; given the days, the
+  manifest is filtered before any shuffle and rows of other days bypass the
+  join. One old line adds its own day, not the days between.
+* The inputs are staged triples (:func:`keysweep.plans.job.stage_triples`):
+  staging computes every column of every line, so a malformed line fails
+  there, whatever these joins would read. Over a lazy projection of raw lines
+  a join may skip lines and so their failures.
 * The per-event outcome (J3) picks one winner per triple with ``min(rid)``
   (a partial aggregate), then joins back on the unique ``rid``: no window
   over a triple, so a hot triple never lands in a single task.
@@ -24,11 +27,12 @@ Plan shape, chosen for a large manifest and a run of any size:
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keysweep.schemas import ETL_TIME, ETL_TSTAMP, EVENT_ID, FINGERPRINT, MANIFEST_KEYS, ROW_ID, TRIPLE_KEYS
-from keysweep.session import checkpoint_root
+from keysweep.schemas import DAY_SECONDS, ETL_TIME, ETL_TSTAMP, EVENT_ID, FINGERPRINT, MANIFEST_KEYS, ROW_ID, TRIPLE_KEYS
 
 
 def run_keys(triples: DataFrame, broadcast: bool = False) -> DataFrame:
@@ -47,94 +51,69 @@ def _manifest(manifest: DataFrame) -> DataFrame:
     return manifest.select(*MANIFEST_KEYS)
 
 
-AUTO = "auto"
-
-
-def _run_range(triples: DataFrame, etl_range) -> tuple[Column, Column] | None:
-    """(hit, miss) tests of a manifest row's ETL time against the run's, or None.
+def day_filter(etl: Column, etl_days: Iterable[int]) -> Column:
+    """True for ETL times (epoch seconds) on one of the days (day numbers since 1970).
 
-    ``etl_range`` is (min, max) when known (the job measures it; any wider
-    range is also correct, a narrower one is not); ``"auto"``
-    derives it from ``triples`` as one scalar subquery (Spark merges the two
-    bounds); None (the default) means no restriction. Use ``"auto"`` on
-    staged triples: Catalyst copies the range onto the run side through the
-    join's ETL-time equality, which costs nothing on a parquet scan but
-    re-runs the parse when ``triples`` is still a projection over raw lines.
-    ``hit`` keeps the candidates; ``miss`` keeps every other row, including
-    rows without an ETL time, and all rows when the run is empty (null
-    bounds). Both are plain comparisons, so known bounds reach the parquet
-    scan as pushed filters.
+    Adjacent days become one range of plain comparisons, which a parquet scan
+    can push down. False or null for a null ETL time.
     """
-    if etl_range is None:
-        return None
-    etl = F.col(ETL_TIME)
-    if isinstance(etl_range, str):
-        if etl_range != AUTO:
-            raise ValueError(f"etl_range must be (min, max), {AUTO!r} or None, not {etl_range!r}")
-        bounds = triples.agg(F.min(ETL_TSTAMP).alias("lo"), F.max(ETL_TSTAMP).alias("hi"))
-        lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
-        miss = (etl < lo) | (etl > hi) | etl.isNull() | lo.isNull()
-    else:
-        lo, hi = F.lit(int(etl_range[0])), F.lit(int(etl_range[1]))
-        miss = (etl < lo) | (etl > hi) | etl.isNull()
-    return etl.between(lo, hi), miss
-
-
-def _candidates(manifest: DataFrame, triples: DataFrame, etl_range) -> DataFrame:
+    ranges: list[list[int]] = []
+    for day in sorted(set(etl_days)):
+        if ranges and day == ranges[-1][1] + 1:
+            ranges[-1][1] = day
+        else:
+            ranges.append([day, day])
+    hit = F.lit(False)
+    for first, last in ranges:
+        hit = hit | etl.between(F.lit(first * DAY_SECONDS), F.lit(last * DAY_SECONDS + DAY_SECONDS - 1))
+    return hit
+
+
+def _candidates(manifest: DataFrame, etl_days: Iterable[int] | None) -> DataFrame:
     rows = _manifest(manifest)
-    tests = _run_range(triples, etl_range)
-    return rows if tests is None else rows.where(tests[0])
+    return rows if etl_days is None else rows.where(day_filter(F.col(ETL_TIME), etl_days))
 
 
 def deleted_rows(manifest: DataFrame, triples: DataFrame, broadcast: bool = False,
-                 etl_range=None) -> DataFrame:
+                 etl_days: Iterable[int] | None = None) -> DataFrame:
     """J1: manifest rows whose key pair and ETL time occur in the run.
 
-    Only rows within the run's ETL time range can match; with
-    ``etl_range`` the manifest is filtered to it before the join (see
-    :func:`_run_range`), and known bounds also skip parquet row groups.
+    With ``etl_days`` (all days of the run, or more) the manifest is filtered
+    to them before the join.
     """
-    candidates = _candidates(manifest, triples, etl_range)
+    candidates = _candidates(manifest, etl_days)
     return candidates.join(run_keys(triples, broadcast), list(MANIFEST_KEYS), "left_semi")
 
 
 def kept_rows(manifest: DataFrame, triples: DataFrame, broadcast: bool = False,
-              etl_range=None) -> DataFrame:
+              etl_days: Iterable[int] | None = None) -> DataFrame:
     """J2: the manifest after the cleanup (complement of J1).
 
-    With ``etl_range`` and a shuffled run side, the manifest is split on the
-    run's ETL time range: rows of other batches (and rows without an ETL
-    time) pass through untouched, with no shuffle; only rows of the run's
-    batches meet the join. The shuffle then
-    scales with the run, not with the manifest. (A run normally holds one
-    batch, so the range is one value; a wider range only adds candidates,
-    never changes the result.)
+    With ``etl_days`` and a shuffled run side, rows of other days (and rows
+    without an ETL time) pass through untouched, with no shuffle; only rows of
+    the run's days meet the join.
     """
     rows = _manifest(manifest)
     keys = list(MANIFEST_KEYS)
-    tests = None if broadcast else _run_range(triples, etl_range)
-    if tests is None:
+    if broadcast or etl_days is None:
         # Broadcast: nothing is shuffled anyway, and one scan beats the split's two.
         return rows.join(run_keys(triples, broadcast), keys, "left_anti")
-    hit, miss = tests
-    touched = rows.where(hit).join(run_keys(triples, broadcast), keys, "left_anti")
-    return rows.where(miss).unionByName(touched)
+    hit = F.coalesce(day_filter(F.col(ETL_TIME), etl_days), F.lit(False))
+    touched = _candidates(manifest, etl_days).join(run_keys(triples, broadcast), keys, "left_anti")
+    return rows.where(~hit).unionByName(touched)
 
 
-def event_outcome(triples: DataFrame, manifest: DataFrame, etl_range=None) -> DataFrame:
+def event_outcome(triples: DataFrame, manifest: DataFrame, etl_days: Iterable[int] | None = None) -> DataFrame:
     """J3: one row per event with ``deleted`` = the result of its delete call.
 
     Of repeated triples the one with the smallest ``rid`` (read first) is the
     one whose delete succeeds; the others are skipped, as a second delete of
-    the same row fails. ``rid`` must be unique and fixed per line: assigned
-    on a file scan before any shuffle, or read from staged data. Without a
-    ``rid`` column one is assigned here and pinned by a checkpoint, since
-    ``triples`` is read twice below. ``etl_range`` prunes the manifest as in
+    the same row fails. ``rid`` must be unique and fixed per line, as staged
+    triples have it. ``etl_days`` prunes the manifest as in
     :func:`deleted_rows`.
     """
     if ROW_ID not in triples.columns:
-        checkpoint_root(triples.sparkSession)
-        triples = triples.withColumn(ROW_ID, F.monotonically_increasing_id()).checkpoint(eager=True)
+        raise ValueError(f"event_outcome needs the {ROW_ID} column of staged triples")
     keys = list(MANIFEST_KEYS)
     winners = (triples.groupBy(*TRIPLE_KEYS).agg(F.min(ROW_ID).alias(ROW_ID))
                       .withColumnRenamed(ETL_TSTAMP, ETL_TIME))
@@ -142,7 +121,7 @@ def event_outcome(triples: DataFrame, manifest: DataFrame, etl_range=None) -> Da
     # push a semi join below the aggregate and shuffle raw triples by key (a
     # hot triple in one task). ``distinct`` on the unique rid absorbs a key
     # pair stored twice in the manifest.
-    matched = (_candidates(manifest, triples, etl_range).join(winners, keys, "inner")
+    matched = (_candidates(manifest, etl_days).join(winners, keys, "inner")
                .select(ROW_ID).distinct()
                .select(ROW_ID, F.lit(True).alias("deleted")))
     return (triples.join(matched, ROW_ID, "left")
@@ -150,15 +129,16 @@ def event_outcome(triples: DataFrame, manifest: DataFrame, etl_range=None) -> Da
 
 
 def cleanup_summary(manifest: DataFrame, triples: DataFrame, broadcast: bool = False,
-                    etl_range=None) -> DataFrame:
+                    etl_days: Iterable[int] | None = None) -> DataFrame:
     """A1-A3: one row (deleted_events, skipped_events).
 
     deleted = manifest rows removed (J1); skipped = lines - deleted. Both
     counts come from one global aggregate over a union, so the lines are
-    only counted (partial aggregate), never shuffled.
+    only counted (partial aggregate), never shuffled. The manifest holds each
+    key pair once (A4), so deleted never exceeds the lines.
     """
     lines = triples.select(F.lit(False).alias("is_deleted"))
-    deleted = deleted_rows(manifest, triples, broadcast, etl_range).select(F.lit(True).alias("is_deleted"))
+    deleted = deleted_rows(manifest, triples, broadcast, etl_days).select(F.lit(True).alias("is_deleted"))
     flag = F.col("is_deleted")
     return lines.unionByName(deleted).agg(
         F.count_if(flag).alias("deleted_events"),

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keysweep.functions.timefmt import etl_epoch, parse_etl_tstamp
+from keysweep.functions.timefmt import etl_epoch, etl_millis_div, fits_int, parse_etl_tstamp
 from keysweep.functions.tsv import TRIPLE_SPLIT_LIMIT, is_malformed, leading_field, tsv_field, tsv_fields
 from keysweep.schemas import (
     BAD_TSTAMP_MESSAGE,
@@ -63,7 +63,8 @@ def triple_columns(line: Column, fields: Column, override_seconds: int | None =
     if override_seconds is None:
         etl_text = tsv_field(fields, ETL_TSTAMP_FIELD)
         parse_error = F.raise_error(_message(BAD_TSTAMP_MESSAGE, text=etl_text, line=line))
-        etl = F.when(parse_etl_tstamp(etl_text).isNull(), parse_error).otherwise(etl_epoch(etl_text))
+        etl = F.when(parse_etl_tstamp(etl_text).isNull(), parse_error).otherwise(
+            etl_epoch(etl_text, F.concat(etl_text, F.lit(" in ["), line, F.lit("]"))))
     else:
         etl = F.lit(int(override_seconds)).cast("int")
 
@@ -118,3 +119,22 @@ def bad_timestamp_lines(lines: DataFrame, line_col: str = LINE) -> DataFrame:
     return (lines.where(bad)
                  .withColumn("etl_text", etl_text)
                  .withColumn(EVENT_ID, leading_field(line, EVENT_ID_FIELD)))
+
+
+def failing_lines(lines: DataFrame, override: bool = False, line_col: str = LINE) -> DataFrame:
+    """F1 and F2 in one pass: every line that would fail the job, with its ``problem``.
+
+    ``malformed``, ``bad_timestamp`` or ``out_of_range`` (an ETL time that INT
+    can't hold). With an override field 2 is never read, so only malformed
+    lines fail. Adds ``eventid`` (null when the line is shorter).
+    """
+    fields, etl_text = F.col(_FIELDS), F.col("_etl_text")
+    keep = [c for c in lines.columns]
+    split = lines.select(*keep, tsv_fields(F.col(line_col), TRIPLE_SPLIT_LIMIT).alias(_FIELDS))
+    timed = split.select(*keep, _FIELDS, tsv_field(fields, ETL_TSTAMP_FIELD).alias("_etl_text"))
+    problem = F.when(is_malformed(fields), "malformed")
+    if not override:
+        seconds = etl_millis_div(etl_text)
+        problem = problem.when(seconds.isNull(), "bad_timestamp").when(~fits_int(seconds), "out_of_range")
+    return (timed.select(*keep, problem.alias("problem"), tsv_field(fields, EVENT_ID_FIELD).alias(EVENT_ID))
+            .where(F.col("problem").isNotNull()))

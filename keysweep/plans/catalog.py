@@ -20,18 +20,18 @@ from keysweep.operators.cleanup import (
     event_outcome,
     key_violations,
     kept_rows,
+    run_keys,
 )
-from keysweep.operators.triples import bad_timestamp_lines, event_triples, malformed_lines
+from keysweep.operators.triples import bad_timestamp_lines, event_triples, failing_lines, malformed_lines
 from keysweep.plans.derived import (
     event_source,
     manifest_table,
     manifest_with_repeats,
     read_table,
     run_lines,
-    spread,
     write_run_folder,
 )
-from keysweep.plans.job import run_cleanup, run_outcome
+from keysweep.plans.job import read_staged, run_cleanup, run_outcome, stage_triples
 from keysweep.schemas import EVENT_ID, LINE
 from keysweep.session import scratch_path
 from keysweep.sinks.snapshot import init_manifest
@@ -41,26 +41,28 @@ from keysweep.sources.manifest import read_current
 # Run time used by the override queries, and its epoch seconds in SQL.
 OVERRIDE_TIME = "2024-01-15-00-00-00"
 OVERRIDE_SECONDS = 1705276800
-# Rows per text file when a run folder is written, so a run has several files.
-RUN_FILE_ROWS = 5000
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read_table(spark, sf_dir, "events"), "event_id")
+    return read_table(spark, sf_dir, "events")
 
 
 def _triples(spark: SparkSession, events: DataFrame, override: str | None = None) -> DataFrame:
     return event_triples(run_lines(events), run_time_value(spark, override))
 
 
+def _staged(spark: SparkSession, events: DataFrame, override: str | None = None) -> DataFrame:
+    """The run's triples, every line parsed and checked once, read back from the stage."""
+    return read_staged(spark, stage_triples(spark, run_lines(events), run_time_value(spark, override)).path)
+
+
 def q_enriched_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = write_run_folder(spark, run_lines(_events(spark, sf_dir)), max_records_per_file=RUN_FILE_ROWS)
+    folder = write_run_folder(spark, run_lines(_events(spark, sf_dir)))
     return read_enriched(spark, folder).select(F.md5(LINE).alias("line_md5"))
 
 
 def q_enriched_scan_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = write_run_folder(spark, run_lines(_events(spark, sf_dir)), compression="gzip",
-                              max_records_per_file=RUN_FILE_ROWS, gzip_suffix=True)
+    folder = write_run_folder(spark, run_lines(_events(spark, sf_dir)), compression="gzip", gzip_suffix=True)
     return read_enriched(spark, folder).select(F.md5(LINE).alias("line_md5"))
 
 
@@ -92,40 +94,71 @@ def q_bad_timestamp_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_manifest_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
-    return deleted_rows(manifest_table(events), _triples(spark, events))
+    return deleted_rows(manifest_table(events), _staged(spark, events))
 
 
 def q_manifest_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
-    return kept_rows(manifest_table(events), _triples(spark, events))
+    return kept_rows(manifest_table(events), _staged(spark, events))
 
 
 def q_event_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
-    return event_outcome(event_triples(run_lines(events, with_rid=True)), manifest_table(events))
+    return event_outcome(_staged(spark, events), manifest_table(events))
 
 
 def q_cleanup_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
-    return cleanup_summary(manifest_table(events), _triples(spark, events))
+    return cleanup_summary(manifest_table(events), _staged(spark, events))
 
 
 def q_cleanup_with_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
-    return deleted_rows(manifest_table(events), _triples(spark, events, OVERRIDE_TIME))
+    return deleted_rows(manifest_table(events, OVERRIDE_SECONDS), _staged(spark, events, OVERRIDE_TIME))
+
+
+def q_kept_with_override(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _events(spark, sf_dir)
+    return kept_rows(manifest_table(events, OVERRIDE_SECONDS), _staged(spark, events, OVERRIDE_TIME))
+
+
+def q_summary_with_override(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job with an override: run folder, staging, publish, totals."""
+    result, _ = _job(spark, sf_dir, OVERRIDE_TIME)
+    return result.summary(spark)
+
+
+def q_failing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = run_lines(_events(spark, sf_dir), variant="failing", copies=False)
+    return failing_lines(lines).select("problem", EVENT_ID)
+
+
+def q_store_deletes_sent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_keys(_staged(spark, _events(spark, sf_dir)))
+
+
+def q_manifest_after_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two disjoint parts of the events cleaned one after the other."""
+    events = _events(spark, sf_dir)
+    root = scratch_path(spark, "manifest")
+    init_manifest(spark, manifest_table(events), root)
+    for part in (0, 1):
+        folder = write_run_folder(spark, run_lines(events.where(F.col("event_id") % 2 == part)))
+        run_cleanup(spark, folder, root, quiet=True)
+    return read_current(spark, root)
 
 
 def q_manifest_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return key_violations(manifest_with_repeats(_events(spark, sf_dir)))
 
 
-def _job(spark: SparkSession, sf_dir: str):
-    """The whole job on files: run folder on disk, manifest snapshot 1 -> 2."""
+def _job(spark: SparkSession, sf_dir: str, override: str | None = None):
+    """The whole job on files: run folder on disk, manifest version 1 -> 2."""
     events = _events(spark, sf_dir)
-    folder = write_run_folder(spark, run_lines(events), max_records_per_file=RUN_FILE_ROWS)
+    folder = write_run_folder(spark, run_lines(events))
     root = scratch_path(spark, "manifest")
-    init_manifest(spark, manifest_table(events), root)
-    return run_cleanup(spark, folder, root, quiet=True), root
+    init_manifest(spark, manifest_table(events, OVERRIDE_SECONDS if override else None), root)
+    return run_cleanup(spark, folder, root, override_time=override, quiet=True), root
 
 
 def q_manifest_after_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,6 +194,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "manifest_after_publish": q_manifest_after_publish,
     "cleanup_job_summary": q_cleanup_job_summary,
     "job_event_outcome": q_job_event_outcome,
+    "kept_with_override": q_kept_with_override,
+    "summary_with_override": q_summary_with_override,
+    "failing_lines": q_failing_lines,
+    "store_deletes_sent": q_store_deletes_sent,
+    "manifest_after_two_runs": q_manifest_after_two_runs,
 }
 
 # ---------------------------------------------------------------------------
@@ -171,11 +209,14 @@ src AS (
   SELECT event_id AS id,
          md5('ev-' || CAST(event_id AS VARCHAR)) AS eventid,
          md5(CAST(user_id AS VARCHAR) || '|' || event_type || '|' || props) AS fingerprint,
-         strftime(date_trunc('hour', ts) + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS hour_text,
-         CAST(epoch(date_trunc('hour', ts) + INTERVAL 1 HOUR) AS INTEGER) AS etl
-  FROM events),
+         CASE WHEN event_id % 3 = 1 THEN strftime(h, '%Y-%-m-%-d %-H:%-M:%-S') ELSE strftime(h, '%Y-%m-%d %H:%M:%S') END AS hour_text,
+         CASE event_id % 4 WHEN 1 THEN '.5' WHEN 2 THEN '.25' WHEN 3 THEN '.999' ELSE '.000' END AS frac,
+         CAST(epoch(h) AS INTEGER) AS run_seconds,
+         CAST(CASE WHEN epoch(h) < 0 AND event_id % 4 <> 0 THEN epoch(h) + 1 ELSE epoch(h) END AS INTEGER) AS etl
+  FROM (SELECT *, CASE WHEN event_id % 19 = 0 THEN date_trunc('hour', ts) + INTERVAL 1 HOUR - INTERVAL 60 YEARS
+                       ELSE date_trunc('hour', ts) + INTERVAL 1 HOUR END AS h FROM events)),
 lined AS (
-  SELECT *, concat_ws(chr(9), 'app', 'web', hour_text || '.000', '', '', 'ev', eventid,
+  SELECT *, concat_ws(chr(9), 'app', 'web', hour_text || frac, '', '', 'ev', eventid,
                       repeat(chr(9), 121), fingerprint, '') AS line
   FROM src),
 trip AS (
@@ -188,6 +229,12 @@ man AS (
   FROM src WHERE id % 6 <> 3
   UNION ALL
   SELECT md5('old-' || CAST(event_id AS VARCHAR)), md5('x'), 0 FROM events WHERE event_id % 5 = 0),
+orphan AS (
+  SELECT eventid, fingerprint,
+         CASE WHEN id % 4 = 1 THEN OVERRIDE WHEN id % 6 = 0 THEN etl - 86400 ELSE etl END AS etltime
+  FROM src WHERE id % 6 <> 3
+  UNION ALL
+  SELECT md5('old-' || CAST(event_id AS VARCHAR)), md5('x'), 0 FROM events WHERE event_id % 5 = 0),
 outcome AS (
   SELECT t.eventid, t.fingerprint, t.etltstamp,
          (m.eventid IS NOT NULL AND row_number() OVER (
@@ -198,7 +245,7 @@ outcome AS (
 
 
 def _sql(body: str) -> str:
-    return "WITH " + _SRC.strip() + "\n" + body.strip()
+    return "WITH " + _SRC.strip().replace("OVERRIDE", str(OVERRIDE_SECONDS)) + "\n" + body.strip()
 
 
 _KEPT = """
@@ -222,7 +269,7 @@ ORACLE_SQL: dict[str, str] = {
     "event_triples": _sql("SELECT eventid, fingerprint, etltstamp FROM trip"),
     "etl_epoch": _sql("SELECT id, etl FROM src"),
     "triples_with_override": _sql(f"SELECT eventid, fingerprint, {OVERRIDE_SECONDS} AS etltstamp FROM trip"),
-    "run_time_seconds": _sql("SELECT id, etl AS run_seconds FROM src"),
+    "run_time_seconds": _sql("SELECT id, run_seconds FROM src"),
     "malformed_lines": _sql("SELECT eventid, 7 AS n_fields FROM src WHERE id % 11 = 0 AND id % 13 <> 0"),
     "bad_timestamp_lines": _sql("SELECT eventid, hour_text AS etl_text FROM src WHERE id % 17 = 0"),
     "manifest_deleted": _sql("""
@@ -233,7 +280,7 @@ WHERE EXISTS (SELECT 1 FROM trip t WHERE t.eventid = m.eventid AND t.fingerprint
     "event_outcome": _sql("SELECT eventid, fingerprint, etltstamp, deleted FROM outcome"),
     "cleanup_summary": _sql(_SUMMARY),
     "cleanup_with_override": _sql(f"""
-SELECT m.eventid, m.fingerprint, m.etltime FROM man m
+SELECT m.eventid, m.fingerprint, m.etltime FROM orphan m
 WHERE m.etltime = {OVERRIDE_SECONDS}
   AND EXISTS (SELECT 1 FROM trip t WHERE t.eventid = m.eventid AND t.fingerprint = m.fingerprint)"""),
     "manifest_key_violations": _sql("""
@@ -244,4 +291,17 @@ SELECT eventid, fingerprint, count(*) AS n FROM man2 GROUP BY eventid, fingerpri
     "manifest_after_publish": _sql(_KEPT),
     "cleanup_job_summary": _sql(_SUMMARY),
     "job_event_outcome": _sql("SELECT eventid, fingerprint, etltstamp, deleted FROM outcome"),
+    "kept_with_override": _sql(f"""
+SELECT m.eventid, m.fingerprint, m.etltime FROM orphan m
+WHERE NOT (m.etltime = {OVERRIDE_SECONDS}
+           AND EXISTS (SELECT 1 FROM trip t WHERE t.eventid = m.eventid AND t.fingerprint = m.fingerprint))"""),
+    "summary_with_override": _sql(f"""
+SELECT gone AS deleted_events, (SELECT count(*) FROM trip) - gone AS skipped_events
+FROM (SELECT count(*) AS gone FROM orphan m WHERE m.etltime = {OVERRIDE_SECONDS}
+      AND EXISTS (SELECT 1 FROM trip t WHERE t.eventid = m.eventid AND t.fingerprint = m.fingerprint))"""),
+    "failing_lines": _sql("""
+SELECT CASE WHEN id % 11 = 0 AND id % 13 <> 0 THEN 'malformed' WHEN id % 17 = 0 THEN 'bad_timestamp' ELSE 'out_of_range' END AS problem, eventid
+FROM src WHERE (id % 11 = 0 AND id % 13 <> 0) OR id % 17 = 0 OR id % 23 = 0"""),
+    "store_deletes_sent": _sql("SELECT DISTINCT eventid, fingerprint, etltstamp AS etltime FROM trip"),
+    "manifest_after_two_runs": _sql(_KEPT),
 }

@@ -9,7 +9,9 @@ Rules (the same ones the SQL side of the query catalog uses)::
 
     eventid      md5('ev-' || event_id)
     fingerprint  md5(user_id || '|' || event_type || '|' || props)
-    etl          end of the event's hour, epoch seconds
+    etl          end of the event's hour, epoch seconds; event_id % 19 = 0: sixty years earlier
+    etl text     event_id % 3 = 1: no leading zeros; fraction by event_id % 4: .000 .5 .25 .999
+                 (a fraction before 1970 truncates toward zero: one second later)
     line         app, web, etl text, '', '', ev, eventid, 122 blank fields, fingerprint, ''
     copies       events with event_id % 7 = 0 occur twice in a run
     manifest     event_id % 6 = 3 absent; event_id % 6 = 0 one day earlier;
@@ -17,6 +19,8 @@ Rules (the same ones the SQL side of the query catalog uses)::
     malformed    event_id % 11 = 0: fields 129 and 130 blank (fails);
                  event_id % 13 = 0 (wins): field 129 blank, field 130 filled (valid)
     bad time     event_id % 17 = 0: ETL timestamp without milliseconds
+    failing      the malformed and bad-time rules, and event_id % 23 = 0: year 2040 (out of range)
+    orphan       manifest for override runs: event_id % 4 = 1 stored with the override time
 """
 
 from __future__ import annotations
@@ -51,18 +55,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition ``df`` on ``key`` when its scan is narrower than the cluster.
-
-    The test tables are single-row-group files (one scan task). A large table
-    scans in many tasks already and is returned unchanged, without a shuffle.
-    """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= parallelism:
-        return df
-    return df.repartition(parallelism, key)
-
-
 def _epoch_seconds(ts: Column) -> Column:
     """Epoch seconds of a zone-free timestamp read as UTC (whole seconds)."""
     return F.unix_seconds(F.make_timestamp(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
@@ -77,16 +69,23 @@ def _hour_end() -> Column:
 
 
 def event_source(events: DataFrame) -> DataFrame:
-    """(id, eventid, fingerprint, etl_text, run_text, etl) per event."""
-    hour_end = _hour_end()
+    """(id, eventid, fingerprint, etl_text, run_text, run_seconds, etl) per event."""
+    id_ = F.col("event_id")
+    hour_end = F.when(id_ % 19 == 0, _hour_end() - F.expr("INTERVAL 60 YEARS")).otherwise(_hour_end())
+    padded = F.date_format(hour_end, "yyyy-MM-dd HH:mm:ss")
+    stamp = F.when(id_ % 3 == 1, F.date_format(hour_end, "yyyy-M-d H:m:s")).otherwise(padded)
+    fraction = F.when(id_ % 4 == 1, ".5").when(id_ % 4 == 2, ".25").when(id_ % 4 == 3, ".999").otherwise(".000")
+    seconds = _epoch_seconds(hour_end)
+    truncated = F.when((seconds < 0) & (id_ % 4 != 0), seconds + 1).otherwise(seconds)
     return events.select(
-        F.col("event_id").alias("id"),
-        F.md5(F.concat(F.lit("ev-"), F.col("event_id").cast("string"))).alias(EVENT_ID),
+        id_.alias("id"),
+        F.md5(F.concat(F.lit("ev-"), id_.cast("string"))).alias(EVENT_ID),
         F.md5(F.concat(F.col("user_id").cast("string"), F.lit("|"), F.col("event_type"), F.lit("|"),
                        F.col("props"))).alias(FINGERPRINT),
-        F.concat(F.date_format(hour_end, "yyyy-MM-dd HH:mm:ss"), F.lit(".000")).alias("etl_text"),
+        F.concat(stamp, fraction).alias("etl_text"),
         F.date_format(hour_end, "yyyy-MM-dd-HH-mm-ss").alias("run_text"),
-        _epoch_seconds(hour_end).cast("int").alias("etl"),
+        seconds.cast("int").alias("run_seconds"),
+        truncated.cast("int").alias("etl"),
     )
 
 
@@ -100,20 +99,22 @@ def enriched_line(etl_text: Column, eventid: Column, fingerprint: Column, last:
 def run_lines(events: DataFrame, variant: str = "clean", copies: bool = True, with_rid: bool = False) -> DataFrame:
     """Enriched lines of the events: DataFrame[value STRING (, rid BIGINT)].
 
-    ``variant`` is ``clean``, ``malformed`` or ``bad_timestamp``. ``rid`` is
+    ``variant`` is ``clean``, ``malformed``, ``bad_timestamp`` or ``failing``. ``rid`` is
     ``2 * event_id + copy``: unique, and fixed by the data whatever the
     partitioning, as the per-event outcome needs.
     """
     src = event_source(events)
     id_ = F.col("id")
     etl_text, eventid, fingerprint, last = F.col("etl_text"), F.col(EVENT_ID), F.col(FINGERPRINT), F.lit("")
-    if variant == "malformed":
+    if variant in ("malformed", "failing"):
         blank_fp = (id_ % 13 == 0) | (id_ % 11 == 0)
         fingerprint = F.when(blank_fp, F.lit("")).otherwise(fingerprint)
         last = F.when(id_ % 13 == 0, F.lit("filled")).otherwise(F.lit(""))
-    elif variant == "bad_timestamp":
+    if variant == "failing":
+        etl_text = F.when(id_ % 23 == 0, F.lit("2040-01-01 00:00:00.000")).otherwise(etl_text)
+    if variant in ("bad_timestamp", "failing"):
         etl_text = F.when(id_ % 17 == 0, F.substring_index(etl_text, ".", 1)).otherwise(etl_text)
-    elif variant != "clean":
+    if variant not in ("clean", "malformed", "bad_timestamp", "failing"):
         raise ValueError(f"unknown variant {variant!r}")
     lines = src.select(id_, enriched_line(etl_text, eventid, fingerprint, last).alias(LINE))
     if copies:
@@ -131,9 +132,11 @@ def _rows(*candidates: Column) -> Column:
     return F.inline(F.array_compact(F.array(*candidates)))
 
 
-def manifest_table(events: DataFrame) -> DataFrame:
+def manifest_table(events: DataFrame, orphan_time: int | None = None) -> DataFrame:
     """Manifest written by the runs of these events, some rows older or missing.
 
+    With ``orphan_time`` every fourth event's row has that ETL time.
+
     One pass: each event yields its own row (unless absent) and, for every
     fifth event, one unrelated row of an old batch. (A union of two scans
     would let the optimizer copy the constant columns of the unrelated rows
@@ -144,7 +147,8 @@ def manifest_table(events: DataFrame) -> DataFrame:
     written = F.when(id_ % 6 != 3, F.struct(
         F.col(EVENT_ID).alias(EVENT_ID),
         F.col(FINGERPRINT).alias(FINGERPRINT),
-        F.when(id_ % 6 == 0, F.col("etl") - 86400).otherwise(F.col("etl")).cast("int").alias(ETL_TIME)))
+        (F.when(id_ % 4 == 1, F.lit(orphan_time)) if orphan_time is not None else F.when(F.lit(False), F.lit(0)))
+        .when(id_ % 6 == 0, F.col("etl") - 86400).otherwise(F.col("etl")).cast("int").alias(ETL_TIME)))
     unrelated = F.when(id_ % 5 == 0, F.struct(
         F.md5(F.concat(F.lit("old-"), id_.cast("string"))).alias(EVENT_ID),
         F.md5(F.lit("x")).alias(FINGERPRINT),
@@ -163,7 +167,7 @@ def manifest_with_repeats(events: DataFrame) -> DataFrame:
 
 
 def write_run_folder(spark: SparkSession, lines: DataFrame, compression: str | None = None,
-                     max_records_per_file: int | None = None, gzip_suffix: bool = False) -> str:
+                     gzip_suffix: bool = False) -> str:
     """Write lines as ``part-*`` text files in a new scratch folder; return it.
 
     With ``gzip_suffix`` the first ``.gz`` file is renamed to ``.gzip``, the
@@ -173,8 +177,6 @@ def write_run_folder(spark: SparkSession, lines: DataFrame, compression: str | N
     writer = lines.select(LINE).write
     if compression:
         writer = writer.option("compression", compression)
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
     writer.text(folder)
     if gzip_suffix:
         gz = sorted(n for n in fs.list_names(spark, folder) if n.startswith("part-") and n.endswith(".gz"))

@@ -5,15 +5,16 @@ Stages::
     1. scan run folder -> triples -> parquet in the shared scratch folder
        (map only; computes every column of every line, so a malformed line
        or a bad timestamp fails here, before anything is deleted)
-    2. line count, key bytes and ETL time range, observed during step 1
-    3. manifest LEFT ANTI JOIN distinct run triples -> next snapshot
-       (broadcast of the run side only when step 2 proved it small; rows
-       of other batches bypass the join, so only the run's batches shuffle)
-    4. row counts from parquet footers; publish the snapshot
-
-deleted = rows(old snapshot) - rows(new snapshot); skipped = lines - deleted.
-Staging also cuts the lineage: a lost executor re-reads staged files, not
-the run folder, and the ``rid`` tie-break stays fixed.
+    2. line count, key bytes (observed during step 1) and the run's ETL days
+    3. the manifest's folders of those days LEFT ANTI JOIN distinct run
+       triples -> new folders for those days
+       (broadcast of the run side only below a checked size)
+    4. commit: the new folders and, by name, the folders of all other days
+
+deleted = rows of those days before - after; skipped = lines - deleted.
+The manifest's other days are neither read nor written. Staging also cuts the
+lineage: a lost executor re-reads staged files, not the run folder, and the
+``rid`` tie-break stays fixed.
 """
 
 from __future__ import annotations
@@ -26,32 +27,45 @@ from pyspark.sql import functions as F
 
 from keysweep.functions.timefmt import run_time_value
 from keysweep.operators.cleanup import deleted_rows, event_outcome, key_violations, kept_rows, run_keys
-from keysweep.operators.triples import bad_timestamp_lines, event_triples, malformed_lines
-from keysweep.schemas import ETL_TSTAMP, EVENT_ID, FINGERPRINT, REPORT_LINE, ROW_ID, STAGED, SUMMARY
+from keysweep.operators.triples import event_triples, failing_lines
+from keysweep.schemas import DAY_SECONDS, ETL_TSTAMP, EVENT_ID, FINGERPRINT, REPORT_LINE, ROW_ID, STAGED, SUMMARY
 from keysweep.session import scratch_path
 from keysweep.sinks.snapshot import PublishError, expire_snapshots, publish_snapshot
 from keysweep.sinks.store import delete_from_store
 from keysweep.sources.enriched import read_enriched
-from keysweep.sources.manifest import current_version, read_snapshot, row_count
+from keysweep.sources.manifest import current_version, read_commit, read_days
 
 log = logging.getLogger("keysweep")
 
 BROADCAST_CONF = "spark.keysweep.broadcastMaxBytes"
-DEFAULT_BROADCAST_MAX_BYTES = 128 * 1024 * 1024
-# Bytes per distinct key in a broadcast hash relation, besides the two strings.
-BROADCAST_ROW_OVERHEAD = 64
+DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+# Layout of Spark's hash relation: each row is stored as a key row and a value
+# row (null bits and one word per column, strings rounded up to words) with a
+# header, in pages of at most 64 MiB; a slot table of 16 bytes a slot is kept
+# at most half full.
+_WORD = 8
+_FIXED_BYTES = 4 * _WORD
+_RECORD_HEADER = 16
+_PAGE_BYTES = 64 * 1024 * 1024
+_SLOT_BYTES = 16
 
 
 @dataclass(frozen=True)
 class StagedTriples:
     path: str
     lines: int
-    key_bytes: int                          # sum of eventid and fingerprint lengths
-    etl_range: tuple[int, int] | None       # (min, max) ETL time; None for an empty run
+    key_bytes: int                # eventid and fingerprint in UTF-8, each rounded up to words
+    longest_key: int              # the largest of those sums
+    etl_days: tuple[int, ...]     # distinct ETL days (days since 1970); at most one per day INT can hold
 
     def broadcast_bytes(self) -> int:
-        """Upper bound of the in-memory size of the run keys."""
-        return self.key_bytes + BROADCAST_ROW_OVERHEAD * self.lines
+        """Upper bound of the in-memory size of the run keys as a broadcast hash relation."""
+        record = 2 * (_FIXED_BYTES + self.longest_key) + _RECORD_HEADER
+        rows = 2 * (self.key_bytes + _FIXED_BYTES * self.lines) + _RECORD_HEADER * self.lines
+        usable = max(_PAGE_BYTES - record, 1)          # a record never spans two pages
+        pages = max(1, -(-rows // usable))
+        slots = 1 << max(7, (2 * self.lines).bit_length())
+        return pages * max(_PAGE_BYTES, record) + slots * _SLOT_BYTES
 
 
 @dataclass(frozen=True)
@@ -64,7 +78,7 @@ class CleanupResult:
     version: int | None     # published snapshot version; None for a dry run
     broadcast: bool
     stage: str              # staged triples (rid, eventid, fingerprint, etltstamp)
-    etl_range: tuple[int, int] | None
+    etl_days: tuple[int, ...]
 
     def report(self) -> str:
         return REPORT_LINE.format(deleted=self.deleted, skipped=self.skipped)
@@ -93,24 +107,25 @@ def read_staged(spark: SparkSession, path: str) -> DataFrame:
 def stage_triples(spark: SparkSession, lines: DataFrame, override_seconds: int | None = None) -> StagedTriples:
     """Steps 1-2: write (rid, eventid, fingerprint, etltstamp) and measure it.
 
-    Key bytes and the ETL time range are observed while the write runs: no
-    second pass over the data, a few numbers to the driver. Both are only
-    used as bounds (broadcast size, candidate filter). The line count, which
-    the report depends on, is read back from the staged files' footers.
+    Key bytes are observed while the write runs: no second pass over the data,
+    two numbers to the driver, only used to bound the broadcast. The line
+    count, which the report depends on, and the distinct ETL days are read back
+    from the staged files.
     """
     triples = event_triples(lines.withColumn(ROW_ID, F.monotonically_increasing_id()), override_seconds)
     path = scratch_path(spark, "triples")
     measures = Observation("staged_triples")
-    triples.observe(
-        measures,
-        F.coalesce(F.sum(F.length(EVENT_ID) + F.length(FINGERPRINT)), F.lit(0)).alias("b"),
-        F.min(ETL_TSTAMP).alias("lo"),
-        F.max(ETL_TSTAMP).alias("hi"),
-    ).write.parquet(path)
+
+    def words(name):
+        return F.ceil(F.octet_length(name) / _WORD) * _WORD
+
+    key = words(EVENT_ID) + words(FINGERPRINT)
+    triples.observe(measures, F.coalesce(F.sum(key), F.lit(0)).alias("b"),
+                    F.coalesce(F.max(key), F.lit(0)).alias("longest")).write.parquet(path)
     m = measures.get
-    lines_staged = read_staged(spark, path).count()
-    etl_range = None if m["lo"] is None else (int(m["lo"]), int(m["hi"]))
-    return StagedTriples(path, lines_staged, int(m["b"]), etl_range)
+    staged = read_staged(spark, path)
+    days = staged.select(F.floor(F.col(ETL_TSTAMP) / DAY_SECONDS).alias("d")).distinct().collect()
+    return StagedTriples(path, staged.count(), int(m["b"]), int(m["longest"]), tuple(sorted(int(r["d"]) for r in days)))
 
 
 def run_cleanup(spark: SparkSession, run_folder: str, manifest_root: str, override_time: str | None = None,
@@ -120,61 +135,49 @@ def run_cleanup(spark: SparkSession, run_folder: str, manifest_root: str, overri
 
     ``override_time`` (``yyyy-MM-dd-HH-mm-ss``, UTC) replaces every event's
     ETL time. ``publish=False`` is a dry run that only counts. ``check_keys``
-    fails when a key pair of the rows to delete is stored more than once
-    (one more run-sized join; the manifest-wide check is
-    :func:`keysweep.operators.key_violations`). ``verify`` recounts the
-    deleted rows with a second join and checks deleted + kept = manifest
-    before publishing. Publishing fails if another cleanup published since
-    this one read the manifest. ``keep_snapshots`` removes all but that many
-    newest snapshots after a publish (default: keep all).
+    checks again what :func:`init_manifest` ensures, for the rows to delete
+    (one more run-sized join). ``verify`` recounts the deleted rows with a
+    second join before publishing. Publishing fails if another cleanup
+    published since this one read the manifest. ``keep_snapshots`` removes all
+    but that many newest versions after a publish (default: keep all).
     """
     override_seconds = run_time_value(spark, override_time)
     version = current_version(spark, manifest_root)
     if version is None:
-        raise FileNotFoundError(f"no published manifest snapshot under {manifest_root}")
-    manifest = read_snapshot(spark, manifest_root, version)
+        raise FileNotFoundError(f"no published manifest under {manifest_root}")
+    commit = read_commit(spark, manifest_root, version)
 
     staged = stage_triples(spark, read_enriched(spark, run_folder), override_seconds)
     triples = read_staged(spark, staged.path)
+    touched = commit.only(str(d) for d in staged.etl_days)
+    manifest = read_days(spark, manifest_root, touched)
     limit = broadcast_limit(spark) if broadcast_max_bytes is None else broadcast_max_bytes
     use_broadcast = staged.broadcast_bytes() <= limit
-    log.info("run %s: %d lines staged at %s; ETL range %s; run side ~%d bytes, %s (cap %d)",
-             run_folder, staged.lines, staged.path, staged.etl_range, staged.broadcast_bytes(),
+    log.info("run %s: %d lines staged at %s; %d ETL days, %d of them in the manifest; run side at most %d bytes, %s (cap %d)",
+             run_folder, staged.lines, staged.path, len(staged.etl_days), len(touched.days), staged.broadcast_bytes(),
              "broadcast" if use_broadcast else "sort-merge", limit)
 
-    times = staged.etl_range
-    if staged.lines == 0:
-        return _reported(CleanupResult(deleted=0, skipped=0, lines=0,
-                                       manifest_before=row_count(spark, manifest_root, version),
-                                       manifest_version=version, version=None, broadcast=False,
-                                       stage=staged.path, etl_range=None), quiet)
-    if check_keys:
-        # Only a key pair stored twice among the rows to delete changes the
-        # counts (two rows removed for one event). Checking those rows costs
-        # the run's join, not a shuffle of the whole manifest.
-        doomed = deleted_rows(manifest, triples, use_broadcast, times)
-        if key_violations(doomed).limit(1).count() > 0:
-            raise PublishError(f"manifest {manifest_root} v{version} stores a key pair of this run more than once")
-
-    before = row_count(spark, manifest_root, version)
+    if check_keys and not key_violations(deleted_rows(manifest, triples, use_broadcast)).isEmpty():
+        raise PublishError(f"manifest {manifest_root} v{version} stores a key pair of this run more than once")
     new_version = None
     if publish:
         expected = None
         if verify:
-            expected = before - deleted_rows(manifest, triples, use_broadcast, times).count()
-        new_version, after = publish_snapshot(spark, kept_rows(manifest, triples, use_broadcast, times),
-                                              manifest_root, expected_rows=expected, base_version=version)
-        deleted = before - after
-        log.info("manifest %s: version %d -> %d, %d -> %d rows", manifest_root, version, new_version, before, after)
+            expected = commit.rows - deleted_rows(manifest, triples, use_broadcast).count()
+        kept = kept_rows(manifest, triples, use_broadcast) if touched.days else None
+        new_version, after = publish_snapshot(spark, kept, manifest_root, expected_rows=expected,
+                                              base_version=version, days=touched.days)
+        deleted = commit.rows - after
+        log.info("manifest %s: version %d -> %d, %d -> %d rows", manifest_root, version, new_version, commit.rows, after)
         if keep_snapshots is not None:
             expired = expire_snapshots(spark, manifest_root, keep_snapshots)
             log.info("manifest %s: expired versions %s", manifest_root, expired)
     else:
-        deleted = deleted_rows(manifest, triples, use_broadcast, times).count()
+        deleted = deleted_rows(manifest, triples, use_broadcast).count()
 
     return _reported(CleanupResult(deleted=deleted, skipped=staged.lines - deleted, lines=staged.lines,
-                                   manifest_before=before, manifest_version=version, version=new_version,
-                                   broadcast=use_broadcast, stage=staged.path, etl_range=times), quiet)
+                                   manifest_before=commit.rows, manifest_version=version, version=new_version,
+                                   broadcast=use_broadcast, stage=staged.path, etl_days=staged.etl_days), quiet)
 
 
 def run_outcome(spark: SparkSession, result: CleanupResult, manifest_root: str) -> DataFrame:
@@ -184,18 +187,23 @@ def run_outcome(spark: SparkSession, result: CleanupResult, manifest_root: str)
     snapshot the run was checked against, so it can be asked after publish.
     """
     triples = read_staged(spark, result.stage)
-    manifest = read_snapshot(spark, manifest_root, result.manifest_version)
-    return event_outcome(triples, manifest, result.etl_range)
+    commit = read_commit(spark, manifest_root, result.manifest_version).only(str(d) for d in result.etl_days)
+    return event_outcome(triples, read_days(spark, manifest_root, commit))
 
 
 @dataclass(frozen=True)
 class StoreCleanupResult:
-    deleted: int
-    skipped: int
+    deleted: int            # a lower bound when ``retried`` is not 0
+    skipped: int            # an upper bound then
     lines: int
     sent: int               # distinct triples sent to the store
+    retried: int            # tasks that ran again after a failed attempt
     stage: str
 
+    @property
+    def exact(self) -> bool:
+        return self.retried == 0
+
     def report(self) -> str:
         return REPORT_LINE.format(deleted=self.deleted, skipped=self.skipped)
 
@@ -209,32 +217,35 @@ def run_store_cleanup(spark: SparkSession, run_folder: str, client_factory, over
     the store answers whether a row with that key pair and ETL time existed.
     A repeated triple could only fail its second delete, so
     deleted = successful deletes and skipped = lines - deleted, the same
-    totals as one call per line. ``parallelism`` sets the number of tasks
-    (and so of clients); by default the shuffle partition count.
-    ``concurrency`` is the number of calls each task keeps in flight.
+    totals as one call per line as long as no task is retried. The deletes of
+    a failed attempt stay in the store but not in its counters, so after a
+    retry ``deleted`` is a lower bound (``exact`` is False). Speculative
+    execution sends calls twice and must be off. ``parallelism`` sets the
+    number of tasks (and so of clients); by default the shuffle partition
+    count. ``concurrency`` is the number of calls each task keeps in flight.
     """
+    if str(spark.sparkContext.getConf().get("spark.speculation", "false")).lower() == "true":
+        raise ValueError("spark.speculation must be off: it would send deletes twice and miscount them")
     override_seconds = run_time_value(spark, override_time)
     staged = stage_triples(spark, read_enriched(spark, run_folder), override_seconds)
     keys = run_keys(read_staged(spark, staged.path))
     if parallelism:
         keys = keys.repartition(parallelism, *keys.columns)
-    deleted, failed = delete_from_store(keys, client_factory, concurrency)
+    deleted, failed, retried = delete_from_store(keys, client_factory, concurrency)
     return _reported(StoreCleanupResult(deleted=deleted, skipped=staged.lines - deleted, lines=staged.lines,
-                                        sent=deleted + failed, stage=staged.path), quiet)
+                                        sent=deleted + failed, retried=retried, stage=staged.path), quiet)
 
 
 def check_run_lines(spark: SparkSession, run_folder: str, out: str, override_time: str | None = None) -> dict:
     """F1/F2 over a whole run, without touching any manifest.
 
     Writes every line that would fail the job to ``out`` as parquet
-    (``problem``, ``eventid``, ``value``) and returns the counts per problem.
-    With an override, field 2 is never read, so only malformed lines count.
+    (``problem``, ``eventid``, ``value``) in one pass over the run and returns
+    the counts per problem. With an override, field 2 is never read, so only
+    malformed lines count.
     """
-    lines = read_enriched(spark, run_folder)
-    bad = malformed_lines(lines).select(F.lit("malformed").alias("problem"), EVENT_ID, "value")
-    if override_time is None:
-        stamps = bad_timestamp_lines(lines).select(F.lit("bad_timestamp").alias("problem"), EVENT_ID, "value")
-        bad = bad.unionByName(stamps)
-    bad.write.parquet(out)
+    run_time_value(spark, override_time)
+    bad = failing_lines(read_enriched(spark, run_folder), override=override_time is not None)
+    bad.select("problem", EVENT_ID, "value").write.parquet(out)
     counts = spark.read.parquet(out).groupBy("problem").count().collect()
     return {r["problem"]: int(r["count"]) for r in counts}

@@ -19,8 +19,8 @@ FINGERPRINT_FIELD = 129
 FIELD_SEP = "\t"
 # ETL timestamp text inside a line; always UTC.
 ETL_TSTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss.SSS"
-# It is read with a fraction of 1 to 9 digits, as the upstream parser reads it.
-ETL_TSTAMP_PARSE_PATTERN = "yyyy-MM-dd HH:mm:ss.SSSSSSSSS"
+# It is read with fields of any width and a fraction of one to three digits, as the upstream parser reads it.
+ETL_TSTAMP_PARSE_PATTERN = "y-M-d H:m:s.SSS"
 # Run time given for orphan events (the run folder naming); read as UTC.
 RUN_TIME_PATTERN = "yyyy-MM-dd-HH-mm-ss"
 # It is read with fields of any width (07 or 7), as the upstream parser reads it.
@@ -43,6 +43,7 @@ FINGERPRINT = "fingerprint"
 ETL_TSTAMP = "etltstamp"   # etl time carried by an event (triple)
 ETL_TIME = "etltime"       # etl time stored in the manifest
 LINE = "value"             # text source column
+DAY_SECONDS = 86400
 ROW_ID = "rid"             # position of a line in the scan, used as tie-break
 
 TRIPLE_KEYS = (EVENT_ID, FINGERPRINT, ETL_TSTAMP)

@@ -1,6 +1,6 @@
 """Sinks: snapshot publish of the manifest (K1), external store deletes (K2)."""
 
-from keysweep.sinks.snapshot import PublishError, expire_snapshots, init_manifest, publish_snapshot
+from keysweep.sinks.snapshot import PublishError, expire_snapshots, init_manifest, publish_snapshot, remove_orphans
 from keysweep.sinks.store import delete_from_store
 
-__all__ = ["PublishError", "delete_from_store", "expire_snapshots", "init_manifest", "publish_snapshot"]
+__all__ = ["PublishError", "delete_from_store", "expire_snapshots", "init_manifest", "publish_snapshot", "remove_orphans"]

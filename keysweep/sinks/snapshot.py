@@ -1,30 +1,44 @@
-"""K1: publish a cleaned manifest as a new snapshot.
-
-Parquet has no row-level DELETE, and overwriting the folder a query reads
-from destroys it. A cleanup therefore writes the kept rows to the next
-snapshot folder, checks its row count, and only then creates the commit
-marker that makes it current. A failure at any step leaves the previous
-snapshot current and readable; the folder it leaves behind is skipped by
-the next publish. Two publishers never both win: the folder write fails if
-the folder exists, and the marker is created exclusively.
+"""K1: publish a cleaned manifest as a new version.
+
+Parquet has no row-level DELETE, and overwriting the folder a query reads from
+destroys it. A cleanup therefore writes the kept rows of the days it touched to
+a folder of its own, counts them, and then creates the commit that makes the
+new version current; all other days are carried over by name. A failure at any
+step leaves the previous version current and readable.
+
+The commit is the only point of decision. Its number is always the number of
+the version that the rows were computed from plus one, and it is created
+exclusively: of two cleanups that started from the same version one wins, the
+other gets a :class:`PublishError` and has to run again on the new version. So
+a publish never undoes another run's deletes. (The create is atomic on HDFS
+and on local disks; an object store needs conditional writes for it.)
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keysweep.functions.timefmt import checked_int
+from keysweep.operators.cleanup import key_violations
 from keysweep.schemas import ETL_TIME, EVENT_ID, FINGERPRINT
 from keysweep.sources import fs
 from keysweep.sources.manifest import (
+    DATA,
+    DAY,
+    Commit,
     commit_path,
-    commit_record,
     current_version,
+    day_path,
+    etl_day,
     published_versions,
-    read_snapshot,
-    snapshot_path,
-    written_versions,
+    read_commit,
+    write_path,
+    written_folders,
 )
 
 
@@ -43,58 +57,94 @@ def _as_manifest(rows: DataFrame) -> DataFrame:
                        checked_int(etl, etl.cast("string")).alias(ETL_TIME))
 
 
-def publish_snapshot(spark: SparkSession, rows: DataFrame, root: str,
-                     expected_rows: int | None = None, base_version: int | None = None) -> tuple[int, int]:
-    """Write ``rows`` as version n+1 under ``root`` and make it current.
+def _write(spark: SparkSession, rows: DataFrame, root: str, version: int) -> dict[str, tuple[str, int]]:
+    """Write rows by day into a new folder; day -> (folder, rows)."""
+    write = f"v{version:08d}-{uuid.uuid4().hex}"
+    path = write_path(root, write)
+    _as_manifest(rows).withColumn(DAY, etl_day(F.col(ETL_TIME))).write.partitionBy(DAY).parquet(path)
+    if not any(n.startswith(f"{DAY}=") for n in fs.list_names(spark, path)):
+        return {}
+    # Reads the partition value of every file and the row counts of the footers.
+    counts = spark.read.schema(f"{DAY} string").parquet(path).groupBy(DAY).count()
+    return {r[DAY]: (write, int(r["count"])) for r in counts.collect()}
+
 
-    Returns (version, row count). With ``expected_rows`` the written count
-    must match before the version is published. ``base_version`` is the
-    version ``rows`` were computed from: if another job published since,
-    nothing is published (its deletes would otherwise be undone).
+def publish_snapshot(spark: SparkSession, rows: DataFrame | None, root: str, expected_rows: int | None = None,
+                     base_version: int | None = None, days: Iterable[str] | None = None) -> tuple[int, int]:
+    """Publish the version after ``base_version`` (default: the current one); (version, rows).
+
+    ``rows`` replace the rows of ``days``; without ``days`` they replace the
+    whole manifest. ``rows`` may be None when there is nothing to replace. With
+    ``expected_rows`` the new version's row count must match before it is
+    published. Nothing is published when another job published since.
     """
-    previous = current_version(spark, root) or 0
-    if base_version is not None and previous != base_version:
-        raise PublishError(f"{root} moved from version {base_version} to {previous}; run the cleanup again")
-    # Folders of failed attempts are never published; the next version skips them.
-    version = max([previous, *written_versions(spark, root)]) + 1
-    path = snapshot_path(root, version)
-    _as_manifest(rows).write.mode("errorifexists").parquet(path)
-    written = read_snapshot(spark, root, version).count()   # footers of the new files
-    if expected_rows is not None and written != expected_rows:
-        raise PublishError(f"snapshot {version} has {written} rows, expected {expected_rows}; not published")
-    if not fs.create_marker(spark, commit_path(root, version), commit_record(written)):
-        raise PublishError(f"version {version} was published concurrently under {root}")
-    return version, written
+    base = (current_version(spark, root) or 0) if base_version is None else base_version
+
+    def check_base():
+        now = current_version(spark, root) or 0
+        if now != base:
+            raise PublishError(f"{root} moved from version {base} to {now}; run the cleanup again")
+
+    check_base()
+    replaced = None if days is None else set(days)
+    old = read_commit(spark, root, base).days if base and replaced is not None else {}
+    new = {d: v for d, v in old.items() if d not in replaced} if replaced is not None else {}
+    if rows is not None:
+        written = _write(spark, rows, root, base + 1)
+        if replaced is not None and not set(written) <= replaced:
+            raise PublishError(f"rows of days {sorted(set(written) - replaced)} aren't among the replaced days")
+        new |= written
+    commit = Commit(new)
+    if expected_rows is not None and commit.rows != expected_rows:
+        raise PublishError(f"the new version has {commit.rows} rows, expected {expected_rows}; not published")
+    check_base()
+    if not fs.create_marker(spark, commit_path(root, base + 1), commit.to_text()):
+        raise PublishError(f"version {base + 1} of {root} was published by another job; run the cleanup again")
+    return base + 1, commit.rows
 
 
 def init_manifest(spark: SparkSession, rows: DataFrame, root: str) -> int:
-    """Publish the first snapshot of a new manifest root."""
+    """Publish the first version of a new manifest root.
+
+    A key pair stored more than once is refused (one shuffle of the rows, once
+    in a manifest's life; cleanups only remove rows, so repeats can't appear).
+    """
     if current_version(spark, root) is not None:
         raise PublishError(f"{root} already holds a manifest")
+    if not key_violations(rows).isEmpty():
+        raise PublishError("a key pair (eventid, fingerprint) occurs more than once; a manifest holds each once")
     version, _ = publish_snapshot(spark, rows, root)
     return version
 
 
 def expire_snapshots(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
-    """Delete snapshots older than the newest ``keep`` published versions.
+    """Remove versions older than the newest ``keep``; returns the versions removed.
 
-    Every cleanup leaves the previous snapshot behind for rollback and for
-    readers that pinned it; this bounds the storage to ``keep`` copies.
-    Folders of failed attempts below the current version go too. The
-    current version and anything newer are never touched. Returns the
-    versions removed.
+    A day's folder goes when only removed versions name it. Folders that no
+    commit names are left alone: another cleanup may be writing them (see
+    :func:`remove_orphans`).
     """
     if keep < 1:
         raise ValueError("keep must be at least 1")
     published = published_versions(spark, root)
-    if not published:
+    doomed, kept = published[:-keep], published[-keep:]
+    if not doomed:
         return []
-    kept = set(published[-keep:])
-    current = published[-1]
-    doomed = sorted(v for v in set(written_versions(spark, root)) | set(published)
-                    if v < current and v not in kept)
-    for version in doomed:
-        # marker first: a version without a marker is never read
+    used = {(w, d) for v in kept for d, (w, _) in read_commit(spark, root, v).days.items()}
+    gone = {(w, d) for v in doomed for d, (w, _) in read_commit(spark, root, v).days.items()} - used
+    for version in doomed:   # commits first: a version without one is never read
         fs.delete(spark, commit_path(root, version))
-        fs.delete(spark, snapshot_path(root, version))
+    for write, day in sorted(gone):
+        fs.delete(spark, day_path(root, write, day))
+    return doomed
+
+
+def remove_orphans(spark: SparkSession, root: str, older_than_seconds: int = 7 * 86400) -> list[str]:
+    """Remove write folders that no commit names and that are older than any running cleanup can be."""
+    named = {w for v in published_versions(spark, root) for w, _ in read_commit(spark, root, v).days.values()}
+    limit = time.time() - older_than_seconds
+    base = f"{root.rstrip('/')}/{DATA}"
+    doomed = [w for w in written_folders(spark, root) if w not in named and fs.modified(spark, f"{base}/{w}") < limit]
+    for write in doomed:
+        fs.delete(spark, write_path(root, write))
     return doomed

@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from keysweep.schemas import ETL_TIME, EVENT_ID, FINGERPRINT
@@ -39,11 +40,14 @@ def _chunks(rows: Iterator, size: int) -> Iterator[list]:
 
 
 def delete_from_store(rows: DataFrame, client_factory: Callable[[], DeleteClient],
-                      concurrency: int = 1) -> tuple[int, int]:
+                      concurrency: int = 1) -> tuple[int, int, int]:
     """Send every row of ``rows`` (eventid, fingerprint, etltime) to the store.
 
-    Returns (deleted, skipped) as reported by the client. The counters are
-    accumulators updated inside an action, so a retried task counts once.
+    Returns (deleted, skipped, retried). The first two are what the client
+    reported to the attempts that succeeded: Spark drops the counters of a
+    failed attempt, while its deletes stay, so its retry sees them as skipped.
+    ``retried`` counts the tasks that succeeded only on a later attempt; when
+    it isn't 0, ``deleted`` is a lower bound.
     With ``concurrency`` > 1 each task keeps that many calls in flight on a
     thread pool (the client must then be thread-safe); rows are taken in
     fixed-size chunks, so a partition is never held in memory whole.
@@ -51,10 +55,13 @@ def delete_from_store(rows: DataFrame, client_factory: Callable[[], DeleteClient
     sc = rows.sparkSession.sparkContext
     deleted = sc.accumulator(0)
     skipped = sc.accumulator(0)
+    retried = sc.accumulator(0)
     chunk_rows = max(1, concurrency) * 64
 
     def send(partition):
         client = None
+        if TaskContext.get().attemptNumber() > 0:
+            retried.add(1)
         pool = ThreadPoolExecutor(concurrency) if concurrency > 1 else None
         try:
             for chunk in _chunks(partition, chunk_rows):
@@ -77,4 +84,4 @@ def delete_from_store(rows: DataFrame, client_factory: Callable[[], DeleteClient
                 close()
 
     rows.select(EVENT_ID, FINGERPRINT, ETL_TIME).foreachPartition(send)
-    return deleted.value, skipped.value
+    return deleted.value, skipped.value, retried.value

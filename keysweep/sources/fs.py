@@ -64,6 +64,12 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
     return bool(fs.rename(p, _fs(spark, dst)[1]))
 
 
+def modified(spark: SparkSession, path: str) -> float:
+    """Modification time of a file or folder, in epoch seconds."""
+    fs, p = _fs(spark, path)
+    return fs.getFileStatus(p).getModificationTime() / 1000
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     """Remove a file or folder (recursively); False when it did not exist."""
     fs, p = _fs(spark, path)

@@ -1,46 +1,82 @@
-"""S3: the manifest table, kept as numbered parquet snapshots.
+"""S3: the manifest table, kept as versions made of parquet folders per ETL day.
 
 Layout under a manifest root::
 
-    <root>/snapshot-00000001/part-*.parquet     one complete table per version
-    <root>/_commits/00000001                    marker: version 1 is published ({"rows": n})
+    <root>/data/<write>/day=17367/part-*.parquet   rows of one ETL day, from one write
+    <root>/_commits/00000002                       version 2: which write holds each day
 
-A version is visible only once its marker exists, so readers never see a
-half-written snapshot, and a failed cleanup leaves the previous version
-current. Readers resolve the version once and pin it. Old snapshots stay for
-rollback.
+``day`` is the ETL time's day number (days since 1970, UTC), ``none`` for rows
+without an ETL time. A commit names every day's folder and row count, so a
+version that replaced one day shares all other folders with the version before
+it. A version is visible only once its commit exists: readers never see a
+half-written one, resolve the version once and pin it. Old versions stay for
+rollback until they are expired.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from keysweep.schemas import MANIFEST
+from keysweep.schemas import DAY_SECONDS, MANIFEST
 from keysweep.sources import fs
 
 COMMITS = "_commits"
-SNAPSHOT_PREFIX = "snapshot-"
+DATA = "data"
+DAY = "day"
+NO_DAY = "none"
 
 
-def snapshot_path(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/{SNAPSHOT_PREFIX}{version:08d}"
+def etl_day(etl_time: Column) -> Column:
+    """Partition value of an ETL time: the day number as text, ``none`` for null."""
+    return F.coalesce(F.floor(etl_time / DAY_SECONDS).cast("string"), F.lit(NO_DAY))
+
+
+@dataclass(frozen=True)
+class Commit:
+    """Content of a commit: day -> (write folder, rows)."""
+
+    days: dict[str, tuple[str, int]]
+
+    @property
+    def rows(self) -> int:
+        return sum(n for _, n in self.days.values())
+
+    def only(self, days: Iterable[str]) -> Commit:
+        wanted = set(days)
+        return Commit({d: v for d, v in self.days.items() if d in wanted})
+
+    def to_text(self) -> str:
+        return json.dumps({"rows": self.rows, "days": {d: list(v) for d, v in sorted(self.days.items())}})
+
+    @staticmethod
+    def from_text(text: str) -> Commit:
+        return Commit({d: (w, int(n)) for d, (w, n) in json.loads(text)["days"].items()})
+
+
+def write_path(root: str, write: str) -> str:
+    return f"{root.rstrip('/')}/{DATA}/{write}"
+
+
+def day_path(root: str, write: str, day: str) -> str:
+    return f"{write_path(root, write)}/{DAY}={day}"
 
 
 def commit_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/{COMMITS}/{version:08d}"
 
 
-def written_versions(spark: SparkSession, root: str) -> list[int]:
-    """Versions that have a snapshot folder, published or not."""
-    names = fs.list_names(spark, root)
-    return sorted(int(n[len(SNAPSHOT_PREFIX):]) for n in names
-                  if n.startswith(SNAPSHOT_PREFIX) and n[len(SNAPSHOT_PREFIX):].isdigit())
+def written_folders(spark: SparkSession, root: str) -> list[str]:
+    """Names of all writes, committed or not."""
+    return sorted(fs.list_names(spark, f"{root.rstrip('/')}/{DATA}"))
 
 
 def published_versions(spark: SparkSession, root: str) -> list[int]:
-    """Versions that have a commit marker."""
+    """Versions that have a commit."""
     return sorted(int(n) for n in fs.list_names(spark, f"{root.rstrip('/')}/{COMMITS}") if n.isdigit())
 
 
@@ -49,28 +85,30 @@ def current_version(spark: SparkSession, root: str) -> int | None:
     return versions[-1] if versions else None
 
 
+def read_commit(spark: SparkSession, root: str, version: int) -> Commit:
+    return Commit.from_text(fs.read_small(spark, commit_path(root, version)))
+
+
+def read_days(spark: SparkSession, root: str, commit: Commit) -> DataFrame:
+    """Rows of the days of a commit: DataFrame[eventid, fingerprint, etltime]."""
+    paths = [day_path(root, write, day) for day, (write, _) in sorted(commit.days.items())]
+    return spark.read.schema(MANIFEST).parquet(*paths) if paths else spark.createDataFrame([], MANIFEST)
+
+
 def read_snapshot(spark: SparkSession, root: str, version: int) -> DataFrame:
-    return spark.read.schema(MANIFEST).parquet(snapshot_path(root, version))
+    return read_days(spark, root, read_commit(spark, root, version))
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
     """The published manifest: DataFrame[eventid, fingerprint, etltime]."""
     version = current_version(spark, root)
     if version is None:
-        raise FileNotFoundError(f"no published manifest snapshot under {root}")
+        raise FileNotFoundError(f"no published manifest under {root}")
     return read_snapshot(spark, root, version)
 
 
-def commit_record(rows: int) -> str:
-    """Content of a commit marker: the snapshot's row count."""
-    return json.dumps({"rows": int(rows)})
+def row_count(spark: SparkSession, root: str, version: int) -> int:
+    """Row count of a version, from its commit."""
+    return read_commit(spark, root, version).rows
 
 
-def row_count(spark: SparkSession, root: str, version: int) -> int:
-    """Row count of a snapshot: from its commit marker, else from parquet footers."""
-    marker = commit_path(root, version)
-    if fs.exists(spark, marker):
-        text = fs.read_small(spark, marker)
-        if text:
-            return int(json.loads(text)["rows"])
-    return read_snapshot(spark, root, version).count()

@@ -113,12 +113,12 @@ def test_hot_triple_has_one_winner(spark):
     assert tuple(cleanup_summary(manifest, triples).first()) == (2, 8998)
 
 
-def test_outcome_assigns_and_pins_rid_when_missing(spark):
-    triple_rows = [("a", "f", 1)] * 50 + [(f"e{i}", "f", 1) for i in range(200)]
-    manifest, triples = frames(spark, [("a", "f", 1), ("e3", "f", 1)], triple_rows)
-    outcome = event_outcome(triples.repartition(7), manifest)
-    assert outcome.where("deleted").count() == 2
-    assert outcome.count() == len(triple_rows)
+def test_outcome_needs_rid(spark):
+    import pytest
+
+    manifest, triples = frames(spark, [("a", "f", 1)], [("a", "f", 1)])
+    with pytest.raises(ValueError, match="rid"):
+        event_outcome(triples, manifest)
 
 
 def test_key_violations(spark):
@@ -126,54 +126,41 @@ def test_key_violations(spark):
     assert rows(key_violations(manifest)) == [("a", "f", 2)]
 
 
-def test_run_times_split_equals_plain_join(spark):
+def test_split_by_days_equals_plain_join(spark):
     rng = random.Random(3)
-    manifest_rows = [(f"e{i}", "f", rng.choice([None, 1, 2, 3, 4])) for i in range(300)]
-    triple_rows = [(f"e{rng.randrange(400)}", "f", rng.choice([1, 2])) for _ in range(500)]
+    day = 86400
+    moments = [-3 * day - 1, -day, -1, 0, day - 1, day, 5 * day + 7]
+    manifest_rows = [(f"e{i}", "f", rng.choice([None, *moments])) for i in range(300)]
+    triple_rows = [(f"e{rng.randrange(400)}", "f", rng.choice([-1, 0, day - 1, 5 * day + 7])) for _ in range(500)]
     manifest, triples = frames(spark, manifest_rows, triple_rows)
-    times = [t for _, _, t in triple_rows]
-    for span in [(min(times), max(times)), (0, 10)]:           # the run's range, or any wider one
+    own = {t // day for _, _, t in triple_rows}
+    for days in (own, own | {99}, range(-10, 10)):
         for bc in (False, True):
-            kept, deleted = rows(kept_rows(manifest, triples, bc, span)), rows(deleted_rows(manifest, triples, bc, span))
+            kept, deleted = rows(kept_rows(manifest, triples, bc, days)), rows(deleted_rows(manifest, triples, bc, days))
             assert kept == rows(kept_rows(manifest, triples, bc))
             assert deleted == rows(deleted_rows(manifest, triples, bc))
             assert len(kept) + len(deleted) == len(manifest_rows)
-        assert rows(event_outcome(with_rid(triples), manifest, span)) == rows(event_outcome(with_rid(triples), manifest))
-    assert rows(kept_rows(manifest, triples, False, (7, 6))) == rows(manifest)
-    for fn in (kept_rows, deleted_rows):
-        assert rows(fn(manifest, triples, False, "auto")) == rows(fn(manifest, triples))
-    assert rows(event_outcome(with_rid(triples), manifest, "auto")) == rows(event_outcome(with_rid(triples), manifest))
-    empty = triples.where("false")
-    assert rows(kept_rows(manifest, empty, False, "auto")) == rows(manifest)
-    assert rows(deleted_rows(manifest, empty, False, "auto")) == []
-
-
-def test_untouched_batches_bypass_the_shuffle(spark, tmp_folder):
-    manifest = spark.createDataFrame([(f"e{i}", "f", i % 4) for i in range(100)], MANIFEST)
-    manifest.write.parquet(f"{tmp_folder}/m")
-    manifest = spark.read.parquet(f"{tmp_folder}/m")
-    triples = spark.createDataFrame([("e1", "f", 1)], TRIPLES)
-    plan = kept_rows(manifest, triples, False, (1, 1))._jdf.queryExecution().executedPlan().toString()
-    union_inputs = plan.split("Union")[1]
-    # one branch is scan -> filter only; the other holds the join and its exchanges
-    assert "SortMergeJoin" in plan or "BroadcastHashJoin" in plan
-    assert "GreaterThanOrEqual(etltime,1)" in plan and "LessThanOrEqual(etltime,1)" in plan
-    assert union_inputs
-
-
-def test_lazy_joins_raise_on_a_malformed_line(spark):
+        assert rows(event_outcome(with_rid(triples), manifest, days)) == rows(event_outcome(with_rid(triples), manifest))
+    assert rows(kept_rows(manifest, triples, False, [])) == rows(manifest)
+    assert rows(deleted_rows(manifest, triples.where("false"), False, [])) == []
+
+
+def test_staged_plans_raise_on_a_malformed_line_whatever_the_manifest(spark):
     import pytest
 
     from conftest import lines_df, make_line
-    from keysweep.operators import event_triples
+    from keysweep.plans.job import read_staged, stage_triples
 
     lines = lines_df(spark, [make_line(event_id=f"e{i}", fingerprint="f") for i in range(50)] + ["bad"])
-    manifest = spark.createDataFrame([("e1", "f", 1500576426)], MANIFEST)
-    triples = event_triples(lines)
-    for plan in (lambda: deleted_rows(manifest, triples, broadcast=True),
-                 lambda: deleted_rows(manifest.hint("merge"), triples),
-                 lambda: kept_rows(manifest, triples),
-                 lambda: cleanup_summary(manifest, triples)):
+    empty, one = (spark.createDataFrame(r, MANIFEST) for r in ([], [("e1", "f", 1500576426)]))
+
+    def staged():
+        return read_staged(spark, stage_triples(spark, lines).path)
+
+    for plan in (lambda: deleted_rows(empty, staged()), lambda: deleted_rows(one, staged(), broadcast=True),
+                 lambda: deleted_rows(one.hint("merge"), staged()), lambda: deleted_rows(one, staged(), False, [3]),
+                 lambda: kept_rows(empty, staged()), lambda: cleanup_summary(empty, staged()),
+                 lambda: event_outcome(staged(), empty)):
         with pytest.raises(Exception, match="Cannot split TSV"):
             plan().collect()
 

@@ -18,7 +18,7 @@ from keysweep.plans.job import run_cleanup, stage_triples
 from keysweep.schemas import MANIFEST
 from keysweep.sinks import PublishError, delete_from_store, init_manifest, publish_snapshot
 from keysweep.sources import current_version, normalize_run_folder, read_current, read_enriched, run_folder_glob
-from keysweep.sources.manifest import snapshot_path
+from keysweep.sources.manifest import commit_path, day_path, published_versions, read_commit, written_folders
 
 
 def write_text(path, lines, compress=False):
@@ -133,26 +133,108 @@ def test_publish_failure_keeps_old_snapshot(spark, tmp_folder):
         publish_snapshot(spark, rows, root, expected_rows=5)
     assert current_version(spark, root) == 1
     assert [tuple(r) for r in read_current(spark, root).collect()] == [("a", "fa", 1)]
-    # the unpublished folder of the failed attempt is skipped, not reused
-    assert publish_snapshot(spark, rows, root, base_version=1) == (3, 1)
+    # the folder of the failed attempt belongs to no version and is in nobody's way
+    assert publish_snapshot(spark, rows, root, base_version=1) == (2, 1)
     assert [tuple(r) for r in read_current(spark, root).collect()] == [("b", "fb", 2)]
 
 
+def test_init_refuses_repeated_keys(spark, tmp_folder):
+    rows = spark.createDataFrame([("a", "fa", 1), ("a", "fa", 2)], MANIFEST)
+    with pytest.raises(PublishError, match="more than once"):
+        init_manifest(spark, rows, os.path.join(tmp_folder, "m"))
+    assert current_version(spark, os.path.join(tmp_folder, "m")) is None
+
+
 def test_key_check_stops_the_job(spark, tmp_folder):
     t = 1500576426
-    root = manifest_root(spark, tmp_folder, [("a", "fa", t), ("a", "fa", t), ("b", "fb", 1), ("b", "fb", 2)])
+    root = os.path.join(tmp_folder, "manifest")   # not made by init_manifest, which refuses it
+    publish_snapshot(spark, spark.createDataFrame([("a", "fa", t), ("a", "fa", t), ("b", "fb", 1)], MANIFEST), root)
     folder = run_folder(tmp_folder, [make_line(event_id="a", fingerprint="fa")])
     with pytest.raises(PublishError, match="more than once"):
         run_cleanup(spark, folder, root, check_keys=True, quiet=True)
     assert current_version(spark, root) == 1
 
 
-def test_key_check_ignores_repeats_the_run_does_not_touch(spark, tmp_folder):
+def test_outcome_and_totals_agree(spark, tmp_folder):
+    from keysweep.plans.job import run_outcome
+
     t = 1500576426
-    root = manifest_root(spark, tmp_folder, [("a", "fa", t), ("b", "fb", 1), ("b", "fb", 2)])
-    folder = run_folder(tmp_folder, [make_line(event_id="a", fingerprint="fa")])
+    root = manifest_root(spark, tmp_folder, [("a", "fa", t), ("b", "fb", t)])
+    folder = run_folder(tmp_folder, [make_line(event_id=e, fingerprint="fa") for e in "aaaz"])
     result = run_cleanup(spark, folder, root, check_keys=True, quiet=True)
-    assert (result.deleted, result.skipped) == (1, 0)
+    outcome = run_outcome(spark, result, root)
+    assert (result.deleted, result.skipped) == (outcome.where("deleted").count(), outcome.where("not deleted").count()) == (1, 3)
+
+
+def test_an_overlapping_cleanup_wins_or_fails_as_a_whole(spark, tmp_folder, monkeypatch):
+    """B cleans up and expires between A's write and A's commit: A fails, and its second try loses nobody's deletes."""
+    from keysweep.sinks import snapshot
+
+    t = 1500576426
+    rows = [("a", "fa", t), ("b", "fb", t), ("c", "fc", t)]
+    root = manifest_root(spark, tmp_folder, rows)
+    a = run_folder(tmp_folder, [make_line(event_id="a", fingerprint="fa")], "run-a")
+    b = run_folder(tmp_folder, [make_line(event_id="b", fingerprint="fb")], "run-b")
+    real, seen = snapshot.fs.create_marker, []
+
+    def create(session, path, content=""):
+        if not seen:
+            seen.append(path)
+            assert run_cleanup(spark, b, root, quiet=True, keep_snapshots=1).version == 2
+        return real(session, path, content)
+
+    monkeypatch.setattr(snapshot.fs, "create_marker", create)
+    with pytest.raises(PublishError, match="run the cleanup again"):
+        run_cleanup(spark, a, root, quiet=True)
+    assert published_versions(spark, root) == [2]
+    assert sorted(r["eventid"] for r in read_current(spark, root).collect()) == ["a", "c"]
+    assert run_cleanup(spark, a, root, quiet=True).version == 3
+    assert [r["eventid"] for r in read_current(spark, root).collect()] == ["c"]
+
+
+def test_expiry_leaves_folders_being_written(spark, tmp_folder, monkeypatch):
+    from keysweep.sinks import expire_snapshots, remove_orphans, snapshot
+
+    root = manifest_root(spark, tmp_folder, [("a", "fa", 1)])
+    rows = spark.createDataFrame([("a", "fa", 1)], MANIFEST)
+    publish_snapshot(spark, rows, root)
+    before = written_folders(spark, root)
+    real = snapshot.fs.create_marker
+
+    def create(session, path, content=""):
+        during = set(written_folders(spark, root)) - set(before)
+        expire_snapshots(spark, root, keep=1)
+        assert remove_orphans(spark, root) == [] and during <= set(written_folders(spark, root))
+        return real(session, path, content)
+
+    monkeypatch.setattr(snapshot.fs, "create_marker", create)
+    publish_snapshot(spark, rows, root)
+    assert read_current(spark, root).count() == 1
+    monkeypatch.undo()
+    with pytest.raises(PublishError):
+        publish_snapshot(spark, rows, root, expected_rows=9)
+    assert len(remove_orphans(spark, root, older_than_seconds=-60)) >= 1
+    assert read_current(spark, root).count() == 1
+
+
+def test_only_the_runs_days_are_rewritten(spark, tmp_folder):
+    t, day = 1500576426, 86400
+    rows = [(f"d{k}e{i}", "f", t - k * day) for k in range(4) for i in range(5)] + [("old", "f", 5), ("no", "f", None)]
+    root = manifest_root(spark, tmp_folder, rows)
+    first = read_commit(spark, root, 1)
+    files = {d: sorted(os.listdir(day_path(root, w, d))) for d, (w, _) in first.days.items()}
+    stamp = datetime.fromtimestamp(t - day, timezone.utc).strftime("%Y-%m-%d %H:%M:%S.000")
+    lines = [make_line(event_id="d1e2", fingerprint="f", etl=stamp), make_line(event_id="zz", fingerprint="f", etl="1970-1-1 0:0:9.0")]
+    result = run_cleanup(spark, run_folder(tmp_folder, lines), root, quiet=True, verify=True)
+    assert (result.deleted, result.skipped) == (1, 1)
+    second = read_commit(spark, root, 2)
+    changed = {d for d in first.days if second.days[d][0] != first.days[d][0]}
+    assert changed == {str((t - day) // day), "0"} and len(first.days) == 6
+    for d in set(first.days) - changed:
+        assert second.days[d] == first.days[d] and sorted(os.listdir(day_path(root, second.days[d][0], d))) == files[d]
+    assert sorted(map(repr, (tuple(r) for r in read_current(spark, root).collect()))) == sorted(map(repr, [r for r in rows if r[0] != "d1e2"]))
+    # one old line adds its own day to what is read, not the days between
+    assert second.only({str(result.etl_days[0]), str(result.etl_days[1])}).days.keys() == changed
 
 
 def test_publish_refuses_a_moved_manifest(spark, tmp_folder):
@@ -166,7 +248,7 @@ def test_publish_refuses_a_moved_manifest(spark, tmp_folder):
 
 def test_forced_shuffle_and_broadcast_jobs_agree(spark, tmp_folder):
     events = read_table(spark, SF_SMALL, "events")
-    folder = write_run_folder(spark, run_lines(events), max_records_per_file=300)
+    folder = write_run_folder(spark, run_lines(events))
     results = []
     for cap in (0, 1 << 30):
         root = os.path.join(tmp_folder, f"m{cap}")
@@ -212,39 +294,39 @@ def test_store_sink_sends_every_row_once(spark, tmp_folder):
         json.dump(rows, fh)
     df = spark.createDataFrame([(f"e{i}", "f", 1 if i < 90 else 7) for i in range(100)],
                                "eventid string, fingerprint string, etltime int").repartition(4)
-    deleted, skipped = delete_from_store(df, lambda: FileStore(tmp_folder))
+    deleted, skipped, retried = delete_from_store(df, lambda: FileStore(tmp_folder))
     logged = []
     for name in os.listdir(tmp_folder):
         if name.startswith("log-"):
             with open(os.path.join(tmp_folder, name)) as fh:
                 logged += [json.loads(line) for line in fh]
     assert len(logged) == 100 and len({tuple(x[:2]) for x in logged}) == 100
-    assert deleted == sum(1 for i in range(90) if i % 3 == 1) and deleted + skipped == 100
+    assert deleted == sum(1 for i in range(90) if i % 3 == 1) and deleted + skipped == 100 and retried == 0
 
 
-def test_snapshot_paths_are_versioned(spark, tmp_folder):
+def test_versions_may_become_empty(spark, tmp_folder):
     root = manifest_root(spark, tmp_folder, [("a", "fa", 1)])
-    assert os.path.isdir(snapshot_path(root, 1))
     publish_snapshot(spark, read_current(spark, root).where(F.lit(False)), root)
     assert current_version(spark, root) == 2
     assert read_current(spark, root).count() == 0
 
 
-def test_job_over_an_empty_run(spark, tmp_folder):
+def test_job_over_an_empty_run_honours_its_options(spark, tmp_folder):
     root = manifest_root(spark, tmp_folder, [("a", "fa", 1)])
     folder = os.path.join(tmp_folder, "run")
     os.makedirs(folder)
     open(os.path.join(folder, "part-00000"), "w").close()
-    result = run_cleanup(spark, folder, root, quiet=True)
-    assert (result.deleted, result.skipped, result.lines, result.version) == (0, 0, 0, None)
-    assert current_version(spark, root) == 1
+    result = run_cleanup(spark, folder, root, quiet=True, check_keys=True, verify=True, keep_snapshots=1)
+    assert (result.deleted, result.skipped, result.lines, result.version) == (0, 0, 0, 2)
+    assert published_versions(spark, root) == [2]
+    assert [tuple(r) for r in read_current(spark, root).collect()] == [("a", "fa", 1)]
 
 
 def test_staged_measures(spark, tmp_folder):
     lines = [make_line(event_id="a", fingerprint="fa"), make_line(event_id="bb", etl="2017-07-20 18:47:09.000")]
     staged = stage_triples(spark, spark.createDataFrame([(x,) for x in lines], "value string"))
-    assert (staged.lines, staged.etl_range) == (2, (1500576426, 1500576429))
-    assert staged.key_bytes == (1 + 2) + (2 + 32)
+    assert (staged.lines, staged.etl_days) == (2, (17367,))
+    assert staged.key_bytes == (8 + 8) + (8 + 32) and staged.longest_key == 40
 
 
 def test_job_over_gzip_run_folder_equals_plain(spark, tmp_folder):
@@ -252,7 +334,7 @@ def test_job_over_gzip_run_folder_equals_plain(spark, tmp_folder):
     results = []
     for compression in (None, "gzip"):
         folder = write_run_folder(spark, run_lines(events), compression=compression,
-                                  max_records_per_file=400, gzip_suffix=compression is not None)
+                                  gzip_suffix=compression is not None)
         root = os.path.join(tmp_folder, f"m-{compression}")
         init_manifest(spark, manifest_table(events), root)
         result = run_cleanup(spark, folder, root, quiet=True)
@@ -271,8 +353,7 @@ def test_command_line(spark, tmp_folder, capsys):
     assert main(["--run-folder", folder, "--manifest", root, "--dry-run"]) == 0
     assert current_version(spark, root) == 1
     assert main(["--run-folder", folder, "--manifest", root, "--keep-snapshots", "1"]) == 0
-    from keysweep.sources.manifest import written_versions
-    assert written_versions(spark, root) == [2]
+    assert published_versions(spark, root) == [2]
     out = capsys.readouterr().out
     assert "deleted 1 events. 0 events were skipped" in out and "published manifest version 2" in out
 
@@ -319,10 +400,7 @@ def test_manifest_with_store_column_names_reads(spark, tmp_folder):
     """A manifest exported with the store's attribute names (eventId, etlTime) reads as is."""
     root = os.path.join(tmp_folder, "manifest")
     df = spark.createDataFrame([("a", "fa", 1500576426), ("b", "fb", 7)], "eventId string, fingerprint string, etlTime int")
-    df.write.parquet(snapshot_path(root, 1))
-    from keysweep.sources import fs
-    from keysweep.sources.manifest import commit_path
-    assert fs.create_marker(spark, commit_path(root, 1))
+    init_manifest(spark, df, root)
     folder = run_folder(tmp_folder, [make_line(event_id="a", fingerprint="fa")])
     result = run_cleanup(spark, folder, root, quiet=True)
     assert (result.deleted, result.skipped) == (1, 0)
@@ -358,7 +436,7 @@ def test_job_equals_one_by_one_replay(spark, tmp_folder, seed):
 def test_job_result_does_not_depend_on_layout(spark, tmp_folder):
     """Many small scan splits, odd shuffle counts, no broadcast: same deletes, same manifest."""
     events = read_table(spark, SF_SMALL, "events")
-    folder = write_run_folder(spark, run_lines(events), max_records_per_file=250)
+    folder = write_run_folder(spark, run_lines(events))
     outcomes = []
     layouts = [{}, {"spark.sql.files.maxPartitionBytes": "8192", "spark.sql.shuffle.partitions": "3",
                     "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}]
@@ -395,13 +473,14 @@ def test_publish_refuses_etl_times_past_int(spark, tmp_folder):
     assert current_version(spark, root) is None
 
 
-def test_commit_marker_records_the_row_count(spark, tmp_folder):
+def test_commit_names_days_and_row_counts(spark, tmp_folder):
     from keysweep.sources import fs
-    from keysweep.sources.manifest import commit_path, row_count
+    from keysweep.sources.manifest import row_count
 
-    root = manifest_root(spark, tmp_folder, [("a", "fa", 1), ("b", "fb", 2)])
-    assert json.loads(fs.read_small(spark, commit_path(root, 1))) == {"rows": 2}
-    assert row_count(spark, root, 1) == 2
+    root = manifest_root(spark, tmp_folder, [("a", "fa", 1), ("b", "fb", 2), ("c", "fc", None), ("d", "fd", -1)])
+    days = json.loads(fs.read_small(spark, commit_path(root, 1)))["days"]
+    assert {d: n for d, (_, n) in days.items()} == {"0": 2, "none": 1, "-1": 1}
+    assert row_count(spark, root, 1) == 4
     assert not fs.create_marker(spark, commit_path(root, 1), "{}")
 
 
@@ -415,22 +494,71 @@ def test_job_against_an_empty_manifest(spark, tmp_folder):
 
 def test_expire_snapshots_keeps_the_newest(spark, tmp_folder):
     from keysweep.sinks import expire_snapshots
-    from keysweep.sources.manifest import published_versions, written_versions
 
     root = manifest_root(spark, tmp_folder, [("a", "fa", 1)])
     rows = spark.createDataFrame([("a", "fa", 1)], MANIFEST)
-    publish_snapshot(spark, rows, root)                                   # 2
-    with pytest.raises(PublishError):
-        publish_snapshot(spark, rows, root, expected_rows=9)              # 3: orphan folder
-    publish_snapshot(spark, rows, root)                                   # 4
-    publish_snapshot(spark, rows, root)                                   # 5
-    assert written_versions(spark, root) == [1, 2, 3, 4, 5]
-    assert expire_snapshots(spark, root, keep=2) == [1, 2, 3]
-    assert written_versions(spark, root) == [4, 5] and published_versions(spark, root) == [4, 5]
-    assert current_version(spark, root) == 5 and read_current(spark, root).count() == 1
+    for _ in range(3):
+        publish_snapshot(spark, rows, root)                                # 2, 3, 4
+    assert published_versions(spark, root) == [1, 2, 3, 4]
+    assert expire_snapshots(spark, root, keep=2) == [1, 2]
+    assert published_versions(spark, root) == [3, 4]
+    assert current_version(spark, root) == 4 and read_current(spark, root).count() == 1
     assert expire_snapshots(spark, root, keep=2) == []
 
 
+def test_retried_store_tasks_are_told(spark, tmp_folder, monkeypatch):
+    """A later attempt sees its predecessor's deletes as skipped; the result says that it isn't exact."""
+    from keysweep.plans.job import StoreCleanupResult
+    from keysweep.sinks import store
+
+    log = os.path.join(tmp_folder, "gone")
+    os.makedirs(log)
+
+    class Store:
+        def delete(self, event_id, fingerprint, etl_time):
+            path = os.path.join(log, event_id)
+            if os.path.exists(path):
+                return False
+            open(path, "w").close()
+            return True
+
+    df = spark.createDataFrame([(f"e{i}", "f", 1) for i in range(6)], "eventid string, fingerprint string, etltime int").coalesce(1)
+
+    class Second:
+        @staticmethod
+        def get():
+            class Context:
+                @staticmethod
+                def attemptNumber():
+                    return 1
+            return Context
+
+    for i in range(2):   # what a failed attempt left deleted
+        Store().delete(f"e{i}", "f", 1)
+    factory = Second
+    namespace = dict(vars(store))
+    namespace["TaskContext"] = factory
+    import types
+    send = types.FunctionType(store.delete_from_store.__code__, namespace, "send", store.delete_from_store.__defaults__)
+    deleted, skipped, retried = send(df, Store)
+    assert (deleted, skipped, retried) == (4, 2, 1)
+    assert not StoreCleanupResult(deleted, skipped, 6, 6, retried, "x").exact
+
+
+def test_store_command_line(spark, tmp_folder, capsys):
+    from keysweep.__main__ import main, parse_args
+
+    module = os.path.join(tmp_folder, "store_client_of_test.py")
+    with open(module, "w") as fh:
+        fh.write("class Client:\n    def delete(self, event_id, fingerprint, etl_time):\n        return event_id == 'a'\n")
+    spark.sparkContext.addPyFile(module)
+    folder = run_folder(tmp_folder, [make_line(event_id=e, fingerprint="f") for e in "aab"])
+    assert main(["--run-folder", folder, "--store-client", "store_client_of_test:Client", "--parallelism", "2", "--concurrency", "2"]) == 0
+    assert "deleted 1 events. 2 events were skipped" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        parse_args(["--run-folder", folder])
+
+
 def test_store_errors_fail_the_job(spark, tmp_folder):
     """Any store exception other than a failed condition fails the job (no catch-all)."""
     from keysweep.plans.job import run_store_cleanup
@@ -449,12 +577,13 @@ def test_check_lines_lists_every_failing_line(spark, tmp_folder, capsys):
     from keysweep.plans.job import check_run_lines
 
     lines = [make_line(event_id="ok"), make_line(event_id="m1", fingerprint=""), "",
-             make_line(event_id="t1", etl="2017-07-20"), make_line(event_id="t2", etl="x")]
+             make_line(event_id="t1", etl="2017-07-20"), make_line(event_id="t2", etl="x"),
+             make_line(event_id="r1", etl="2040-01-01 00:00:00.000")]
     folder = run_folder(tmp_folder, lines)
     counts = check_run_lines(spark, folder, os.path.join(tmp_folder, "report"))
-    assert counts == {"malformed": 2, "bad_timestamp": 2}
+    assert counts == {"malformed": 2, "bad_timestamp": 2, "out_of_range": 1}
     report = spark.read.parquet(os.path.join(tmp_folder, "report"))
-    assert sorted(r["eventid"] or "" for r in report.collect()) == ["", "m1", "t1", "t2"]
+    assert sorted(r["eventid"] or "" for r in report.collect()) == ["", "m1", "r1", "t1", "t2"]
     assert check_run_lines(spark, folder, os.path.join(tmp_folder, "r2"), "2017-07-20-14-44-13") == {"malformed": 2}
     assert main(["--run-folder", folder, "--manifest", "unused", "--check-lines",
                  os.path.join(tmp_folder, "r3")]) == 1

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import lines_df, make_line
 from keysweep.functions import etl_epoch, leading_field, run_time_seconds, run_time_value, tsv_field, tsv_fields, tsv_width
-from keysweep.operators import bad_timestamp_lines, event_triples, malformed_lines
+from keysweep.operators import bad_timestamp_lines, event_triples, failing_lines, malformed_lines
 
 GOLDEN = ("1799a90f-f570-4414-b91a-b0db8f39cc2e", "e79bef64f3185e9d7c10d5dfdf27b9a3")
 
@@ -152,13 +152,38 @@ def test_wider_lines_keep_their_fingerprint(spark):
     assert df.select(tsv_width("value")).first()[0] == 133
 
 
-def test_etl_fraction_digits(spark):
-    texts = ["2017-07-20 18:47:06.000", "2017-07-20 18:47:06.5", "2017-07-20 18:47:06.123456",
-             "2017-07-20 18:47:06.123456789", "1969-12-31 23:59:59.9999",
-             "2017-07-20 18:47:06", "2017-07-20 18:47:06.", "2017-07-20 18:47:06.1234567890"]
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
-    got = [r[0] for r in df.select(etl_epoch("t")).collect()]
-    assert got == [1500576426] * 4 + [0] + [None] * 3
+def test_etl_text_shapes(spark):
+    """Fields of any width, a fraction of one to three digits, truncation toward zero."""
+    good = {"2017-07-20 18:47:06.000": 1500576426, "2017-07-20 18:47:06.5": 1500576426, "2017-07-20 18:47:06.25": 1500576426,
+            "2017-7-20 8:47:6.5": 1500540426, "1969-12-31 23:59:59.999": 0, "1969-12-31 23:59:58.5": -1, "1960-1-2 3:4:5.0": -315521755}
+    bad = ["2017-07-20 18:47:06.1234", "2017-07-20 18:47:06.123456789", "2017-07-20 18:47:06", "2017-07-20 18:47:06.",
+           "2017-07-20T18:47:06.000", "2017-13-20 18:47:06.000"]
+    df = spark.createDataFrame([(t,) for t in [*good, *bad]], "t string")
+    assert [r[0] for r in df.select(etl_epoch("t")).collect()] == [*good.values(), *[None] * len(bad)]
+
+
+def test_out_of_range_error_names_the_line(spark):
+    with pytest.raises(Exception, match="out of INT range.*2040.*shop"):
+        triples(spark, [make_line(etl="2040-01-01 00:00:00.000")])
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(
+    st.builds(make_line, etl=st.sampled_from(["2017-07-20 18:47:06.000", "2017-7-2 1:2:3.4", "x", "", "2040-01-01 00:00:00.0",
+                                               "1801-01-01 00:00:00.0", "2017-07-20 18:47:06.1234", "9999-12-31 23:59:59.999"]),
+              fingerprint=st.sampled_from(["f", ""]), width=st.sampled_from([131, 129, 130, 7])),
+    st.sampled_from(["", "a\tb", "\t" * 140])), max_size=4))
+def test_a_run_without_failing_lines_stages_and_any_other_fails(spark, lines):
+    df = lines_df(spark, lines or [make_line()])
+    bad = failing_lines(df).count()
+    if bad:
+        with pytest.raises(Exception, match="Cannot split TSV|Cannot parse ETL timestamp|out of INT range"):
+            event_triples(df).collect()
+    else:
+        assert event_triples(df).count() == df.count() and len(event_triples(df).collect()) == df.count()
+    only_split = failing_lines(df, override=True)
+    assert {r["problem"] for r in only_split.collect()} <= {"malformed"}
+    assert only_split.count() == malformed_lines(df).count()
 
 
 def test_override_as_a_transform_step(spark):
