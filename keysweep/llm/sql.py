@@ -17,9 +17,9 @@ m AS (
   SELECT d.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words,
          CAST(length(array_to_string(w.ws, '')) AS BIGINT) AS word_chars,
          CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
-         CAST(len(list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]'))) AS BIGINT) AS n_lines,
-         CAST(len(list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))
-              - len(list_distinct(list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))) AS BIGINT) AS n_dup_lines,
+         CAST(len([x for x in string_split(t, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')]) AS BIGINT) AS n_lines,
+         CAST(len([x for x in string_split(t, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')])
+              - len(list_distinct([x for x in string_split(t, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')])) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words,
          CAST(len(regexp_extract_all(t, '\p{{Lu}}')) AS BIGINT) AS n_upper
   FROM d JOIN w USING (r) LEFT JOIN cov USING (r)),
@@ -81,7 +81,7 @@ FROM d JOIN c USING (r)
 NGRAM_SQL = rf"""
 WITH RECURSIVE d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
 w AS (SELECT doc_id, {_WORDS} AS ws FROM d),
-s AS (SELECT doc_id, unnest(CASE WHEN len(ws) >= 4 THEN list_distinct(list_transform(range(1, len(ws) - 2), i -> array_to_string(ws[i:i + 3], ' ')))
+s AS (SELECT doc_id, unnest(CASE WHEN len(ws) >= 4 THEN list_distinct([array_to_string(ws[i:i + 3], ' ') for i in range(1, len(ws) - 2)])
                                  WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w),
 n AS (SELECT doc_id, count(g) AS n FROM d LEFT JOIN s USING (doc_id) GROUP BY doc_id),
 c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
