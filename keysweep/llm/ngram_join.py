@@ -11,8 +11,8 @@ the Jaccard index of their sets reaches a threshold. The join is exact:
 3. Under a shingle, classes lie in bands of set size; a tile compares a band
    with itself and with the next one, as larger ratios can't reach t. A tile
    with many classes is cut into blocks, and each pair of blocks is a tile.
-4. In a tile, parity bitmaps (one bit per hash value mod 512, flipped by each
-   shingle) bound the overlap from above: differing bits are differing
+4. In a tile, parity bitmaps (one bit per hash value modulo a width that grows
+   with the set, flipped by each shingle) bound the overlap from above: differing bits are differing
    shingles. Pairs whose bound fails are out; the others connect candidates.
 5. Each group of connected candidates is verified once: sizes, bitmaps, then
    the exact intersection of sorted hash arrays. Verified links give the
@@ -127,7 +127,15 @@ def set_digest(hashes: np.ndarray) -> int:
 
 
 def parity_bits(hashes: np.ndarray) -> bytes:
-    return np.packbits((np.bincount((hashes & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).astype(np.uint8)).tobytes()
+    """One bit per hash value modulo the width, flipped by every hash; wider for larger sets.
+
+    Of unlike sets about half the bits differ, whatever their size; the width
+    keeps that well above the differences that linked sets may have.
+    """
+    width = BITS
+    while 2 * width < len(hashes):
+        width *= 2
+    return np.packbits((np.bincount((hashes & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1).astype(np.uint8)).tobytes()
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -140,7 +148,8 @@ def _filed(hashes: np.ndarray, percent: int, hot: np.ndarray) -> tuple[np.ndarra
     take = need
     while True:
         head = hashes[:take]
-        is_hot = np.isin(head, hot) if len(hot) else np.zeros(len(head), bool)
+        at = np.searchsorted(hot, head)
+        is_hot = hot[np.minimum(at, len(hot) - 1)] == head if len(hot) else np.zeros(len(head), bool)
         cold = head[~is_hot]
         if len(cold) >= need:
             return cold[:need], np.zeros(need, bool)
@@ -264,8 +273,15 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _words_of(bits: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(bits), np.uint64).reshape(len(bits), BITS // 64)
+def _words_of(bits, size: int) -> np.ndarray:
+    """Bitmaps as rows of ``size`` bytes in 64-bit words; wider ones are folded (differing bits may only vanish)."""
+    out = np.empty((len(bits), size // 8), np.uint64)
+    lengths = np.fromiter(map(len, bits), np.int64, len(bits))
+    for length in np.unique(lengths):
+        rows = np.flatnonzero(lengths == length)
+        wide = np.frombuffer(b"".join([bits[i] for i in rows]), np.uint64).reshape(len(rows), length // size, size // 8)
+        out[rows] = np.bitwise_xor.reduce(wide, axis=1)
+    return out
 
 
 def _compare_tiles(percent: int):
@@ -273,7 +289,14 @@ def _compare_tiles(percent: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["token", "band", "ci", "cj", "n", "key"], kind="stable")
         tile = np.r_[0, np.cumsum((pdf[["token", "band", "ci", "cj"]].diff().iloc[1:] != 0).any(axis=1).to_numpy())]
-        words, n = _words_of(pdf["bits"]), pdf["n"].to_numpy()
+        bits, n = pdf["bits"].to_numpy(), pdf["n"].to_numpy()
+        # a tile compares at its narrowest bitmap; rows are taken width by width
+        lengths = np.fromiter(map(len, bits), np.int64, len(bits))
+        narrow = np.minimum.reduceat(lengths, np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]]))[tile]
+        words, position = {}, np.empty(len(pdf), np.int64)
+        for size in np.unique(narrow):
+            rows = np.flatnonzero(narrow == size)
+            words[size], position[rows] = _words_of(bits[rows], int(size)), np.arange(len(rows))
         home, block, keys = pdf["home"].to_numpy(), pdf["block"].to_numpy(), pdf["key"].to_numpy()
         cross = (pdf["ci"] != pdf["cj"]).to_numpy()
         left, right = [], []
@@ -289,7 +312,10 @@ def _compare_tiles(percent: int):
             a, b = here, here + step
             ok = (home[a] | home[b]) & (keys[a] != keys[b]) & (~cross[a] | (block[a] != block[b]))
             a, b = a[ok], b[ok]
-            differ = np.bitwise_count(words[a] ^ words[b]).sum(axis=1, dtype=np.int64)
+            differ = np.zeros(len(a), np.int64)
+            for size, rows in words.items():
+                own = np.flatnonzero(narrow[a] == size)
+                differ[own] = np.bitwise_count(rows[position[a[own]]] ^ rows[position[b[own]]]).sum(axis=1, dtype=np.int64)
             ok = _reach(n[a], n[b], (n[a] + n[b] - differ) // 2, percent)
             left.append(a[ok])
             right.append(b[ok])
@@ -317,7 +343,8 @@ def _verify_groups(percent: int):
             rows = rows.drop_duplicates("key").sort_values(["n", "key"])
             keys, sizes = rows["key"].to_numpy(), rows["n"].to_numpy()
             copies, block = rows["copies"].to_numpy(), rows["block"].to_numpy()
-            words = _words_of(rows["bits"])
+            bits = rows["bits"].to_numpy()
+            words = _words_of(bits, min(map(len, bits)))
             sets = [np.frombuffer(x, np.uint64) for x in rows["hashes"]]
             links = np.zeros(len(rows), np.int64)
             left, right = [], []
