@@ -52,7 +52,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise RuntimeError(
             f"{CHECKPOINT_CONF} is not set; a cluster job needs a shared folder for staged data"
         )
