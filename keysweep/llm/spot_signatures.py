@@ -107,7 +107,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def with_next(rows: DataFrame, n_rows: int) -> DataFrame:
-    """``rows`` (doc_id, text, ...) with the next row's text and spots, in order of the id.
+    """``rows`` (doc_id, text, spots) with the next row's text and spots, in order of the id.
 
     Ids are cut into ranges at quantiles, a number bounded by a parameter, so
     that a window holds a few thousand rows and not the table; the last row of
@@ -116,7 +116,8 @@ def with_next(rows: DataFrame, n_rows: int) -> DataFrame:
     repeat is one group by its meaning (they follow each other).
     """
     ranges = min(MAX_RANGES, max(1, n_rows // ROWS_PER_RANGE))
-    cuts = rows.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("double").alias("d")).approxQuantile(
+    ids = rows.select("doc_id", F.col("doc_id").cast("double").alias("d"))
+    cuts = ids.where("d is not null").approxQuantile(
         "d", [i / ranges for i in range(1, ranges)], 0.2 / ranges) if ranges > 1 else []
     bounds = sorted(set(cuts))
     place = F.lit(0)
@@ -124,18 +125,20 @@ def with_next(rows: DataFrame, n_rows: int) -> DataFrame:
         literal = F.array(*[F.lit(b) for b in bounds])
         place = F.coalesce(F.size(F.filter(literal, lambda b: b <= F.col("doc_id").cast("double"))), F.lit(0))
     placed = rows.withColumn("__range", place)
-    order = (F.col("doc_id").asc_nulls_first(), F.col("text"))
-    window = Window.partitionBy("__range").orderBy(*order)
-    step = placed.withColumns({
-        "__next": F.lead(F.struct("text", "spots")).over(window)})
-    # First rows of the ranges: as many as ranges, joined to the last row of the range before.
-    first = placed.groupBy("__range").agg(
-        F.min_by(F.struct("text", "spots"), F.struct(F.col("doc_id").isNotNull(), "doc_id", "text")).alias("__first"))
+    window = Window.partitionBy("__range").orderBy(F.col("doc_id").asc_nulls_first(), F.col("text"))
+    step = placed.withColumn("__next", F.lead(F.struct("text", "spots")).over(window))
+    # First rows of the ranges, as many as ranges: their ids, then the texts of those ids.
+    firsts = placed.groupBy("__range").agg(
+        F.when(F.max(F.col("doc_id").isNull()), None).otherwise(F.min("doc_id")).alias("first_id"))
+    texts = (rows.select("doc_id", "text").join(F.broadcast(firsts), F.col("doc_id").eqNullSafe(F.col("first_id")))
+             .groupBy("__range").agg(F.min("text").alias("text")))
+    heads = spot_sets(texts, "text", "spots").select("__range", F.struct("text", "spots").alias("__first"))
     cycle = Window.partitionBy(F.lit(0)).orderBy("__range")
-    every = Window.partitionBy(F.lit(0)).orderBy("__range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    heads = first.select("__range", F.coalesce(F.lead("__first").over(cycle), F.first("__first").over(every)).alias("__head"))
-    return (step.join(F.broadcast(heads) if ranges <= 64 else heads, "__range")
-            .withColumn("__next", F.coalesce("__next", "__head")).drop("__range", "__head"))
+    every = cycle.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    following = heads.select("__range", F.coalesce(
+        F.lead("__first").over(cycle), F.first("__first").over(every)).alias("__head"))
+    return (step.join(following, "__range").withColumn("__next", F.coalesce("__next", "__head"))
+            .drop("__range", "__head"))
 
 
 def edited_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
