@@ -27,12 +27,12 @@ columns aren't read.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -40,18 +40,25 @@ from pyspark.sql import functions as F
 
 WINDOW = 2048
 END_TOKEN = 1
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 2_000_000
 #: Words whose tokens a task keeps from one slice to the next.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
+#: Texts of 1000 words that the tokenizer holds at a time.
+LEARN_TEXTS = 8
+
+_END_MARKS = re.compile(rb"([a-z0-9])([.,;:!?]+)(?=[ \t-\r]|$)")
 
 COLUMNS = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 class WordTokens:
-    """Token ids of texts, tokenizing each different word of a slice once.
+    """Token ids of texts, tokenizing each different word only once as long as it is known.
 
-    The tokenizer drops white space and never joins across it, so the ids of a
-    text are those of its words (split at ASCII white space) one after another.
+    The tokenizer lower-cases, drops white space and parts letters and digits
+    from other characters, so the ids of a text are those of its words one
+    after another, where A-Z may be lower-cased first and marks that end a word
+    after an ASCII letter or digit count as a word of their own. Texts that
+    hold the start of a special token are left as they are.
     """
 
     def __init__(self, path: str):
@@ -62,45 +69,59 @@ class WordTokens:
         specials = self.tokenizer.get_added_tokens_decoder()
         self.separator, token = max(specials.items())
         self.token = token.content
-        self.special_texts = [t.content.encode() for t in specials.values()]
-        self.known: dict[bytes, np.ndarray] = {}
+        self.special_starts = {t.content[:2].encode() for t in specials.values()}
+        self.known: dict[bytes, bytes] = {}
+
+    def _special(self, text: bytes) -> bool:
+        return any(s in text for s in self.special_starts)
 
     def _learn(self, words: list[bytes]) -> None:
         """Words are joined by a special token, at which the ids are parted again."""
-        plain = [w for w in words if not any(s in w for s in self.special_texts)]
-        groups = [plain[i:i + 1000] for i in range(0, len(plain), 1000)]
-        glue = f" {self.token} "
-        texts = [glue.join(w.decode() for w in g) for g in groups]
-        for group, encoded in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = np.array(encoded.ids, np.uint32)
-            ends = np.flatnonzero(ids == self.separator)
-            starts = np.r_[0, ends + 1]
-            for word, a, b in zip(group, starts, np.r_[ends, len(ids)]):
-                self.known[word] = ids[a:b]
-        for word in set(words) - set(plain):
-            self.known[word] = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, np.uint32)
+        glue = f" {self.token} ".encode()
+        groups = [words[i:i + 1000] for i in range(0, len(words), 1000)]
+        texts = [glue.join(g) for g in groups]
+        alone = [g for g, t in zip(groups, texts) if t.count(self.token.encode()) != len(g) - 1]
+        if alone:   # a word holds the special token itself
+            groups, texts = [], []
+            for word in words:
+                ids = self.tokenizer.encode(word.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
+                self.known[word] = np.array(ids, np.uint32).tobytes()
+        for k in range(0, len(groups), LEARN_TEXTS):
+            some = [t.decode("utf-8", "surrogatepass") for t in texts[k:k + LEARN_TEXTS]]
+            for group, encoded in zip(groups[k:], self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                ids = np.array(encoded.ids, np.uint32)
+                ends = np.flatnonzero(ids == self.separator)
+                raw = ids.tobytes()
+                starts, stops = (np.r_[0, ends + 1] * 4).tolist(), (np.r_[ends, len(ids)] * 4).tolist()
+                for word, a, b in zip(group, starts, stops):
+                    self.known[word] = raw[a:b]
+
+    def words(self, text: bytes) -> list[bytes]:
+        if self._special(text):
+            return text.split()
+        return _END_MARKS.sub(rb"\1 \2", text.lower()).split()
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        lists = [t.split() for t in texts]
-        flat = np.empty(sum(map(len, lists)), dtype=object)
-        flat[:] = list(chain.from_iterable(lists))
-        codes, words = pd.factorize(flat) if len(flat) else (np.empty(0, np.int64), [])
-        new = [w for w in words if w not in self.known]
+        lists = [self.words(t) for t in texts]
+        different = {w for words in lists for w in words}
+        new = [w for w in different if w not in self.known]
         if len(self.known) + len(new) > CACHE_WORDS:
-            self.known = {w: self.known[w] for w in words if w in self.known}
+            newest = dict(islice(self.known.items(), len(self.known) // 2, None))
+            self.known = newest | {w: self.known[w] for w in different if w in self.known}
         self._learn(new)
-        found = [self.known[w] for w in words]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        pool = np.concatenate(found) if found else np.empty(0, np.uint32)
-        begin = np.cumsum(sizes) - sizes
-        at = 0
-        for words_of in lists:
-            mine = codes[at:at + len(words_of)]
-            at += len(words_of)
-            lengths = sizes[mine]
-            ends = np.cumsum(lengths)
-            total = int(ends[-1]) if len(ends) else 0
-            yield pool[np.repeat(begin[mine] - (ends - lengths), lengths) + np.arange(total)]
+        known = self.known
+        for words in lists:
+            yield np.frombuffer(b"".join([known[w] for w in words]), np.uint32)
+
+
+_ENCODERS: dict[str, WordTokens] = {}
+
+
+def encoder_for(path: str) -> WordTokens:
+    """The process's encoder: a worker that runs several tasks keeps the words it knows."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordTokens(path)
+    return _ENCODERS[path]
 
 
 class SumOfSquares:
@@ -158,7 +179,6 @@ def _slices(batches) -> Iterator[tuple[list, list[bytes]]]:
 
 def _pack(path: str, window: int, end_token: int, id_type: pa.DataType):
     def run(batches):
-        encoder = None
         placing = SumOfSquares(window)
         sequence = TaskContext.get().partitionId() << 40
         end = np.array([end_token], np.uint32)
@@ -183,8 +203,7 @@ def _pack(path: str, window: int, end_token: int, id_type: pa.DataType):
                 names=["doc_id", *COLUMNS])
 
         for doc_ids, texts in _slices(batches):
-            encoder = encoder or WordTokens(path)
-            for doc_id, ids in zip(doc_ids, encoder.encode(texts)):
+            for doc_id, ids in zip(doc_ids, encoder_for(path).encode(texts)):
                 ids = np.concatenate([ids, end])
                 total = len(ids)
                 at = 0

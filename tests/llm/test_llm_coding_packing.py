@@ -124,3 +124,25 @@ def test_empty_tables(spark):
     docs = empty_docs(spark)
     assert piece_coding.coding_report(docs, MODEL).count() == 0
     assert packing.pack_documents(docs, WORDS).count() == 0
+
+
+def test_words_of_a_text_have_its_ids():
+    """Lower-casing, end marks, special tokens and odd characters: ids word by word are the ids of the text."""
+    tk = Tokenizer.from_file(WORDS)
+    rng = random.Random(11)
+    bits = ["foo.", "Foo,", "A1.5", "x'S.", "don't!", "\"quoted\".", "é.", "Σ.", "ΟΔΟΣ", "İx;", "a..b...", "...", "9?", "<|endoftext|>", "<|EndOfText|>.",
+            "é.", "́.", "漢字。", "🙂!", "a b.", "\x1cq.", "m.\x0b", "tab\t", "\n", "\r", "<|", "|>", "'re.", "k:;", " z."]
+    texts = ["".join(rng.choice(bits) + rng.choice([" ", "", "\n"]) for _ in range(rng.randint(1, 12))) for _ in range(400)]
+    encoder = packing.WordTokens(WORDS)
+    for text, ids in zip(texts, encoder.encode([t.encode() for t in texts])):
+        assert ids.tolist() == tk.encode(text, add_special_tokens=False).ids, text
+
+
+def test_known_words_are_bounded(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 50)
+    encoder = packing.WordTokens(WORDS)
+    tk = Tokenizer.from_file(WORDS)
+    for k in range(20):
+        texts = [" ".join(f"w{(k * 7 + i) % 97}" for i in range(30))]
+        assert next(encoder.encode([t.encode() for t in texts])).tolist() == tk.encode(texts[0], add_special_tokens=False).ids
+        assert len(encoder.known) <= 50 + 30
