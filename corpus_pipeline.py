@@ -22,7 +22,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines spread over many sites are cut from the texts; ``n_chars`` follows."""
-    return line_spread.remove_widespread_lines(docs, line_spread.line_spread(docs), length_col="n_chars")
+    lines = line_spread.line_table(docs)
+    return line_spread.remove_widespread_lines(docs, lines, line_spread.line_spread(lines), length_col="n_chars")
 
 
 def ngram_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

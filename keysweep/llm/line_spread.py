@@ -50,25 +50,23 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text.cast("string"), F.lit("")), "\n")
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
-    """(id, site, key): the distinct line keys of each row."""
+def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
+    """(id, site, key): the distinct line keys of each row, written and read again, as it is read three times."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(site_col).cast("string"), F.lit("")).alias("site"),
                        F.array_distinct(F.transform(_lines(F.col(text_col)), line_key)).alias("keys"))
-    return rows.select("id", "site", F.explode("keys").alias("key")).where(F.col("key").isNotNull())
+    return staged(rows.select("id", "site", F.explode(F.array_compact("keys")).alias("key")), "line-table")
 
 
-def line_spread(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, id_col: str = "doc_id",
-                text_col: str = "text", site_col: str = "source") -> DataFrame:
-    """(key, sites, exact): lines on at least ``min_sites`` sites.
+def line_spread(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
+    """(key, sites, exact): lines of a :func:`line_table` on at least ``min_sites`` sites.
 
     ``sites`` is the sketch's estimate, or the exact count where ``exact``.
     A line in fewer documents than ``min_sites`` can't be on that many sites,
     which a plain count tells before a sketch is read.
     """
-    keyed = _keyed(docs, id_col, text_col, site_col)
     # One row per (line, site) first: a plain hash aggregate, after which a line has
     # at most as many rows as sites, so its sketch is built from few updates.
-    seen = keyed.groupBy("key", "site").agg(F.count(F.lit(1)).alias("n"))
+    seen = lines.groupBy("key", "site").agg(F.count(F.lit(1)).alias("n"))
     merged = seen.groupBy("key").agg(
         F.sum("n").alias("n"), F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"))
     spread = staged(merged.where(F.col("n") >= min_sites)
@@ -77,22 +75,22 @@ def line_spread(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, i
     sure = spread.where(F.col("estimate") > min_sites + margin).select(
         "key", F.col("estimate").alias("sites"), F.lit(False).alias("exact"))
     near = spread.where(F.col("estimate").between(min_sites - margin, min_sites + margin)).select("key")
-    counted = (keyed.join(near, "key", "left_semi").select("key", "site").distinct()
+    counted = (lines.join(near, "key", "left_semi").select("key", "site").distinct()
                .groupBy("key").agg(F.count(F.lit(1)).alias("sites"))
                .where(F.col("sites") >= min_sites)
                .select("key", "sites", F.lit(True).alias("exact")))
     return staged(sure.unionByName(counted), "line-spread")
 
 
-def _marked(docs: DataFrame, spread: DataFrame, max_share: float, id_col: str, text_col: str, site_col: str) -> DataFrame:
+def _marked(docs: DataFrame, lines: DataFrame, spread: DataFrame, max_share: float, id_col: str, text_col: str) -> DataFrame:
     """(__row, __lines, __drop): the rows with their lines and the keys to remove."""
-    found = _keyed(docs, id_col, text_col, site_col).select("id", "key").distinct()
-    wide = found.join(spread.select("key"), "key", "left_semi").groupBy("id").agg(F.collect_set("key").alias("__wide"))
+    wide = (lines.select("id", "key").join(spread.select("key"), "key", "left_semi")
+            .groupBy("id").agg(F.collect_set("key").alias("__wide")))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
     joined = rows.join(wide, F.col("__row")[id_col].eqNullSafe(F.col("id")), "left")
-    lines = joined.select("__row", F.coalesce("__wide", F.array().cast("array<binary>")).alias("__wide"),
+    split = joined.select("__row", F.coalesce("__wide", F.array().cast("array<binary>")).alias("__wide"),
                           _lines(F.col("__row")[text_col]).alias("__lines"))
-    tagged = lines.select("__row", F.transform("__lines", lambda x: F.struct(
+    tagged = split.select("__row", F.transform("__lines", lambda x: F.struct(
         x.alias("line"),
         (F.when(F.size("__wide") > 0, F.array_contains(F.col("__wide"), line_key(x)))).alias("wide"))).alias("__tagged"))
     # a blank line's key is null, and so is its verdict: never widespread
@@ -110,14 +108,14 @@ def _left(tagged: Column) -> Column:
     return F.array_join(F.transform(rest, lambda t: t["line"]), "\n")
 
 
-def remove_widespread_lines(docs: DataFrame, spread: DataFrame, max_share: float = MAX_SHARE, id_col: str = "doc_id",
-                            text_col: str = "text", site_col: str = "source",
-                            length_col: str | None = None) -> DataFrame:
+def remove_widespread_lines(docs: DataFrame, lines: DataFrame, spread: DataFrame, max_share: float = MAX_SHARE,
+                            id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """``docs`` with widespread lines cut out; every row and column stays.
 
+    ``lines`` is the table of ``docs`` and ``spread`` its widespread lines.
     ``length_col``, where given, is set to the new text's code points.
     """
-    marked = _marked(docs, spread, max_share, id_col, text_col, site_col)
+    marked = _marked(docs, lines, spread, max_share, id_col, text_col)
     new = marked.select("__row", "__cut", F.when(F.col("__cut"), _left(F.col("__tagged")))
                         .otherwise(F.col("__row")[text_col]).alias("__text"))
 
@@ -132,10 +130,10 @@ def remove_widespread_lines(docs: DataFrame, spread: DataFrame, max_share: float
     return new.select(*[column(c) for c in docs.columns])
 
 
-def line_report(docs: DataFrame, spread: DataFrame, max_share: float = MAX_SHARE, id_col: str = "doc_id",
-                text_col: str = "text", site_col: str = "source") -> DataFrame:
+def line_report(docs: DataFrame, lines: DataFrame, spread: DataFrame, max_share: float = MAX_SHARE,
+                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its lines, the widespread ones, those cut, and the digest of the text left."""
-    marked = _marked(docs, spread, max_share, id_col, text_col, site_col)
+    marked = _marked(docs, lines, spread, max_share, id_col, text_col)
     text = F.when(F.col("__cut"), _left(F.col("__tagged"))).otherwise(
         F.coalesce(F.col("__row")[text_col].cast("string"), F.lit("")))
     return marked.select(

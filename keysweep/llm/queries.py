@@ -84,7 +84,8 @@ def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return line_spread.line_report(docs, line_spread.line_spread(docs))
+    lines = line_spread.line_table(docs)
+    return line_spread.line_report(docs, lines, line_spread.line_spread(lines))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

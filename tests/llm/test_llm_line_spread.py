@@ -30,7 +30,8 @@ def brute(rows, min_sites, share=q.MAX_SHARE):
 @pytest.mark.parametrize("make, least", [(small_docs, 8), (small_docs, 3), (odd_docs, 2)])
 def test_report_matches_brute_force(spark, make, least):
     docs = make(spark)
-    got = sorted((str(r[0]), *list(r)[1:]) for r in q.line_report(docs, q.line_spread(docs, least)).collect())
+    lines = q.line_table(docs)
+    got = sorted((str(r[0]), *list(r)[1:]) for r in q.line_report(docs, lines, q.line_spread(lines, least)).collect())
     rows = [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
     assert got == brute(rows, least)
 
@@ -38,7 +39,7 @@ def test_report_matches_brute_force(spark, make, least):
 def test_near_threshold_lines_are_counted_exactly(spark):
     rows = [(s, f"line on {n} sites\nown {s}", f"site{s}") for n in (7, 8, 9, 60) for s in range(n)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    found = {(r["exact"], r["sites"]) for r in q.line_spread(docs, 8).collect()}
+    found = {(r["exact"], r["sites"]) for r in q.line_spread(q.line_table(docs), 8).collect()}
     assert {(True, 8), (True, 9)} <= found and len(found) == 3
     assert max(s for _, s in found) > 50
 
@@ -48,7 +49,8 @@ def test_removal_keeps_rows_columns_and_copies(spark):
     rows = [(s, f"accept all cookies\n{body if s < 9 else body + f' variant {s}'}\nunique {s}", f"site{s}", 0, "x") for s in range(20)]
     rows += [(100 + s, f"accept all cookies\nunlike any other text number {s} with words of its own", f"site{s}", 0, "x") for s in range(5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long, words string")
-    out = q.remove_widespread_lines(docs, q.line_spread(docs), length_col="n_chars")
+    lines = q.line_table(docs)
+    out = q.remove_widespread_lines(docs, lines, q.line_spread(lines), length_col="n_chars")
     assert out.columns == docs.columns and out.schema == docs.schema
     got = {r["doc_id"]: r for r in out.collect()}
     assert len(got) == len(rows)
@@ -61,5 +63,6 @@ def test_removal_keeps_rows_columns_and_copies(spark):
 
 def test_empty_table(spark):
     docs = empty_docs(spark)
-    assert q.line_report(docs, q.line_spread(docs)).count() == 0
-    assert q.remove_widespread_lines(docs, q.line_spread(docs)).columns == docs.columns
+    lines = q.line_table(docs)
+    assert q.line_report(docs, lines, q.line_spread(lines)).count() == 0
+    assert q.remove_widespread_lines(docs, lines, q.line_spread(lines)).columns == docs.columns
