@@ -10,7 +10,8 @@ the Jaccard index of their sets reaches a threshold. The join is exact:
    under these shingles; a shingle that only one class files is dropped.
 3. Under a shingle, classes lie in bands of set size; a tile compares a band
    with itself and with the next one, as larger ratios can't reach t. A tile
-   with many classes is cut into blocks, and each pair of blocks is a tile.
+   with many classes, counted on this filing, is cut into blocks, and each pair
+   of blocks is a tile.
 4. In a tile, parity bitmaps (one bit per hash value modulo a width that grows
    with the set, flipped by each shingle) bound the overlap from above: differing bits are differing
    shingles. Pairs whose bound fails are out; the others connect candidates.
@@ -299,7 +300,8 @@ def _compare_tiles(percent: int):
             words[size], position[rows] = _words_of(bits[rows], int(size)), np.arange(len(rows))
         home, block, keys = pdf["home"].to_numpy(), pdf["block"].to_numpy(), pdf["key"].to_numpy()
         cross = (pdf["ci"] != pdf["cj"]).to_numpy()
-        left, right = [], []
+        # pairs are folded into the tile's components from time to time; connected ones needn't be compared
+        root, left, right, held = np.arange(len(pdf)), [], [], 0
         here = np.arange(len(pdf))
         step = 1
         while True:
@@ -310,7 +312,7 @@ def _compare_tiles(percent: int):
             if not len(here):
                 break
             a, b = here, here + step
-            ok = (home[a] | home[b]) & (keys[a] != keys[b]) & (~cross[a] | (block[a] != block[b]))
+            ok = (home[a] | home[b]) & (keys[a] != keys[b]) & (~cross[a] | (block[a] != block[b])) & (root[a] != root[b])
             a, b = a[ok], b[ok]
             differ = np.zeros(len(a), np.int64)
             for size, rows in words.items():
@@ -319,10 +321,12 @@ def _compare_tiles(percent: int):
             ok = _reach(n[a], n[b], (n[a] + n[b] - differ) // 2, percent)
             left.append(a[ok])
             right.append(b[ok])
+            held += int(ok.sum())
+            if held >= len(pdf) or step & (step - 1) == 0:
+                root, left, right, held = _roots(len(pdf), np.concatenate([np.arange(len(pdf)), *left]),
+                                                 np.concatenate([root, *right])), [], [], 0
             step += 1
-        a = np.concatenate(left) if left else np.empty(0, np.int64)
-        b = np.concatenate(right) if right else np.empty(0, np.int64)
-        root = _roots(len(pdf), a, b)
+        root = _roots(len(pdf), np.concatenate([np.arange(len(pdf)), *left]), np.concatenate([root, *right]))
         out = pd.DataFrame({"u": keys, "v": keys[root]})
         return out[out["u"] != out["v"]].drop_duplicates()
     return run
@@ -392,6 +396,15 @@ def _blocks(df: DataFrame, count, *keep: str) -> DataFrame:
     return other.select(*keep, "block", F.least("block", "with").alias("ci"), F.greatest("block", "with").alias("cj"))
 
 
+def _banded(filed: DataFrame, percent: int) -> DataFrame:
+    """Rows (with ``n``) in the tile of their own band and in that of the next smaller one."""
+    # Bands a little wider than the threshold's ratio, so that rounding can't part a pair by two.
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / (percent - 1)))).cast("int")
+    return filed.withColumn("b", F.explode(F.array(
+        F.struct(band.alias("band"), F.lit(True).alias("home")),
+        F.struct((band - 1).alias("band"), F.lit(False).alias("home"))))).select("*", "b.band", "b.home").drop("b")
+
+
 def similar_documents(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links), one row per document.
@@ -420,18 +433,20 @@ def similar_documents(docs: DataFrame, size: int = WORDS, percent: int = PERCENT
     hot = np.sort(np.array([r["token"] for r in often.where(F.col("n") > limit).select("token").collect()],
                            np.int64).view(np.uint64))
 
-    shared = (text.mapInArrow(_blobs(size, percent, buckets, hot), packed)
-              .groupBy("bucket").applyInPandas(_shared(buckets), "token long, key long"))
-    crowded = often.where(F.col("n") > TILE_BLOCK).select("token", F.ceil(F.col("n") / TILE_BLOCK).cast("int").alias("c"))
-    filed = (shared.join(crowded, "token", "left").withColumn("c", F.coalesce("c", F.lit(1)))
-             .join(classes.select("key", "n", "bits"), "key"))
-    # Bands a little wider than the threshold's ratio, so that rounding can't part a pair by two.
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / (percent - 1)))).cast("int")
-    banded = filed.select("token", "key", "n", "bits", "c", F.explode(F.array(
-        F.struct(band.alias("band"), F.lit(True).alias("home")),
-        F.struct((band - 1).alias("band"), F.lit(False).alias("home")))).alias("b"))
-    tiles = _blocks(banded.select("*", "b.band", "b.home"), F.col("c"), "token", "band", "home", "key", "n", "bits")
-    pairs = (tiles.withColumn("bucket", F.pmod(F.xxhash64("token", "band", "ci", "cj"), F.lit(buckets)).cast("int"))
+    shared = staged(text.mapInArrow(_blobs(size, percent, buckets, hot), packed)
+                    .groupBy("bucket").applyInPandas(_shared(buckets), "token long, key long"), "ngram-filed")
+    # Crowded tiles, counted on this filing: near copies also share shingles that the plain order never files.
+    frequent = staged(shared.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+                      .where(F.col("n") > TILE_BLOCK).select("token"), "ngram-frequent")
+    crowded = staged(_banded(shared.join(frequent, "token", "left_semi").join(classes.select("key", "n"), "key"), percent)
+                     .groupBy("token", "band").agg(F.ceil(F.count(F.lit(1)) / TILE_BLOCK).cast("int").alias("c"))
+                     .where(F.col("c") > 1), "ngram-crowded")
+    banded = (_banded(shared.join(classes.select("key", "n", "bits"), "key"), percent)
+              .join(crowded, ["token", "band"], "left").withColumn("c", F.coalesce("c", F.lit(1))))
+    tiles = _blocks(banded, F.col("c"), "token", "band", "home", "key", "n", "bits", "c")
+    # A cut tile is a group of its own, the others share buckets.
+    place = F.xxhash64("token", "band", "ci", "cj")
+    pairs = (tiles.withColumn("bucket", F.when(F.col("c") > 1, place).otherwise(F.pmod(place, F.lit(buckets)))).drop("c")
              .groupBy("bucket").applyInPandas(_compare_tiles(percent), "u long, v long"))
     groups = components(pairs)
 

@@ -71,6 +71,31 @@ def test_large_groups_common_passages_and_small_blocks(spark, monkeypatch):
     assert table(q.similar_documents(docs, 4, 85)) == brute(rows, 4, 85)
 
 
+def test_tiles_of_a_group_of_near_copies_are_cut(spark, monkeypatch):
+    """Near copies share shingles that only the order with hot ones last files; their tiles are cut too."""
+    monkeypatch.setattr(q, "TILE_BLOCK", 16)
+    monkeypatch.setattr(q, "LEAST_HOT", 4)
+    rng = random.Random(7)
+    base = [f"w{rng.randrange(10 ** 6)}" for _ in range(150)]
+    rows = []
+    for i in range(160):
+        words = list(base)
+        words[rng.randrange(len(words))] = f"own{i}"
+        rows.append((i, " ".join(words)))
+    largest, real = [], q._blocks
+
+    def counted(df, count, *keep):
+        out = real(df, count, *keep)
+        if "token" in keep:
+            largest.append(out.groupBy("token", "band", "ci", "cj").count().agg({"count": "max"}).first()[0])
+        return out
+
+    monkeypatch.setattr(q, "_blocks", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert table(q.similar_documents(docs, 4, 85)) == brute(rows, 4, 85)
+    assert 16 < largest[0] < 80   # two blocks of about 16, dealt by hash; uncut: 160
+
+
 def test_keep_first(spark):
     docs = odd_docs(spark)
     kept = q.keep_first(docs, 4, 85)
