@@ -21,7 +21,7 @@ masks in a sort-merge join on the unique id.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,13 +33,24 @@ parser = re._parser  # the parse tree of a regular expression
 
 @dataclass(frozen=True)
 class Rule:
-    """A kind of secret. A match counts when ``group`` has ``least`` characters or more."""
+    """A kind of secret. A match counts when ``group`` has ``least`` characters or more.
+
+    ``body`` matches what belongs to the secret after the pattern; it is redacted with it.
+    """
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 1
     base: bool = False
+    body: str = ""
+
+
+# After the header of a private key: all up to its END line, or else header fields and base64 lines.
+# Loops over groups are bounded, as Java's expressions recurse there; base64 at the margin is a class, of any length.
+_PEM_BODY = (r"(?:[^-]*+(?:-{1,4}+[^-]++){0,400}-----END [A-Z ]{0,30}PRIVATE KEY-----"
+             r"|(?:\s{0,9}[A-Z][A-Za-z-]{3,20}: [^\n]{0,200}\n){0,5}"
+             r"(?:[\s\\]{0,40}[A-Za-z0-9+/=\\]{16,}[A-Za-z0-9+/=\\\r\n]*){1,400})?")
 
 
 # The base rules are fixed values.
@@ -48,7 +59,7 @@ RULES: tuple[Rule, ...] = (
          group=2, least=12, base=True),
     Rule("access", r"AKIA[A-Z0-9]+", least=18, base=True),
     Rule("hex", r"[0-9a-f]{16,}", least=16, base=True),
-    Rule("pem", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"),
+    Rule("pem", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----", body=_PEM_BODY),
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
@@ -252,10 +263,11 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = MARK, i
            text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """``docs`` with every secret replaced by ``mark``; every row and column stays.
 
-    Overlapping spans get one mark. ``length_col``, where given, is set to the
+    A rule's ``body`` goes with its match: of a private key the whole block, of
+    which the report names the header. Overlapping spans get one mark. ``length_col``, where given, is set to the
     new text's code points.
     """
-    found = find_spans(docs, rules, id_col, text_col)
+    found = find_spans(docs, tuple(replace(r, pattern=r.pattern + r.body) for r in rules), id_col, text_col)
     text = F.col("text")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
