@@ -1,15 +1,15 @@
 """Operator 6: licences by TF-IDF cosine to templates, inherited down directories.
 
 A file's lines and paragraphs (its possible headers) and its whole text (it may
-be a licence file) are compared with notice templates: sparse TF-IDF vectors,
-cosine. Weights come from the document frequencies of the templates' words,
+be a licence file) are compared with notice templates, the whole text also with
+whole licences: sparse TF-IDF vectors, cosine. Weights come from the document frequencies of the templates' words,
 counted over all files; a word that no template holds weighs as much as the
 rarest word, which needs no vocabulary of the corpus. A part whose words are
 mostly foreign can't reach the threshold, which two sums tell before a vector
 is made.
 
 A licence file licenses its directory. A file without a notice of its own
-inherits from the nearest directory above it that has a licence: distinct
+(nor "All rights reserved") inherits from the nearest directory above it that has a licence: distinct
 directories are joined with the licences of their ancestors, and files with
 their directory.
 
@@ -24,12 +24,16 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import cache
+from importlib.resources import files as files_of
 from math import log, sqrt
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: No licence at all: it keeps a file from inheriting one, but any licence in the same file goes before it.
+RESERVED = "All-Rights-Reserved"
 #: Short notices as authors write them, by SPDX name.
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "MIT": (
@@ -66,14 +70,63 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
         "conditions and the following disclaimer.",
     ),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any "
+        "later version.",
+    ),
+    "LGPL-2.1": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+        "any later version.",
+    ),
+    "LGPL-3.0": (
+        "Licensed under the GNU Lesser General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version.",
+    ),
+    "AGPL-3.0": (
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version.",
+    ),
+    "MPL-2.0": (
+        "Licensed under the Mozilla Public License, version 2.0.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    ),
+    "BSD-2-Clause": ("Licensed under the BSD 2-Clause License.",),
+    "ISC": (
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    "CC-BY-SA-4.0": (
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ),
+    "Unlicense": ("This is free and unencumbered software released into the public domain.",),
+    RESERVED: ("All rights reserved.",),
 }
 #: Least cosine of a line or paragraph, and of a whole text that is a licence file.
 HEADER = 0.7
 FILE = 0.6
+#: Least cosine of a whole text to a whole licence; long texts are alike by their common words already.
+TEXT = 0.85
 
 _WORD = re.compile(r"\w+")
 
 
+@cache
+def licence_texts() -> dict[str, tuple[str, ...]]:
+    """Whole licences by SPDX name, the files in ``licences``; read by the driver."""
+    folder = files_of("keysweep.llm") / "licences"
+    return {f.name.removesuffix(".txt"): (f.read_text("utf-8"),) for f in sorted(folder.iterdir(), key=lambda f: f.name)}
+
+
 def terms(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
@@ -130,14 +183,17 @@ class Matcher:
                           for name, vector in self.templates)
         return (score, name) if score >= least else None
 
-    def judge(self, text: str, header: float, file: float) -> tuple[tuple[float, str] | None, tuple[float, str] | None]:
-        """Best header (a line or a paragraph) and the whole text as a licence file."""
+    def judge(self, text: str, header: float, file: float, licences: Matcher | None = None) -> tuple[tuple[float, str] | None, tuple[float, str] | None]:
+        """Best header (a line or a paragraph) and the whole text as a licence file.
+
+        The whole text is compared with the templates and with whole ``licences``.
+        """
         best, paragraph, whole = None, [], []
 
         def consider(words):
             nonlocal best
             found = self.best(words, header)
-            if found and (best is None or found > best):
+            if found and (best is None or (found[1] != RESERVED, found) > (best[1] != RESERVED, best)):
                 best = found
 
         held = 0
@@ -152,7 +208,8 @@ class Matcher:
                     consider(paragraph)
                 whole += paragraph
                 paragraph, held = [], 0
-        return best, self.best(whole, file)
+        found = [x for x in (self.best(whole, file), licences and licences.best(whole, TEXT)) if x]
+        return best, max(found, default=None)
 
 
 def own_licences(files: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, header: float = HEADER,
@@ -162,14 +219,16 @@ def own_licences(files: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPL
 
     rows = files.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("path"),
                         F.col(text_col).cast("string").alias("text"))
-    counts = {r["term"]: r["df"] for r in term_counts(rows.select("text"), _vocabulary(templates)).collect()}
+    texts = licence_texts()
+    vocabulary = _vocabulary(templates) | _vocabulary(texts)
+    counts = {r["term"]: r["df"] for r in term_counts(rows.select("text"), vocabulary).collect()}
     kind = rows.schema["doc_id"].dataType
     id_type = to_arrow_type(kind)
 
     def run(batches):
-        matcher = Matcher(templates, counts)
+        matcher, licences = Matcher(templates, counts), Matcher(texts, counts)
         for batch in batches:
-            found = [matcher.judge(t.as_py() or "", header, file) for t in batch.column(2)]
+            found = [matcher.judge(t.as_py() or "", header, file, licences) for t in batch.column(2)]
             columns = [[x and x[i] for x in side] for side in ([f[0] for f in found], [f[1] for f in found]) for i in (1, 0)]
             types = (pa.string(), pa.float64()) * 2
             yield pa.RecordBatch.from_arrays(
@@ -200,7 +259,7 @@ def licence_report(files: DataFrame, templates: dict[str, tuple[str, ...]] = TEM
                       F.struct(F.col("header_score").alias("score"), F.col("header").alias("name"), F.lit("header").alias("via")))
     own_best = F.when(F.col("header").isNull() & F.col("file").isNull(), None)\
         .when(F.col("file").isNull(), F.struct(F.col("header_score").alias("score"), F.col("header").alias("name"), F.lit("header").alias("via")))\
-        .when(F.col("header").isNull(), F.struct(F.col("file_score").alias("score"), F.col("file").alias("name"), F.lit("file").alias("via")))\
+        .when(F.col("header").isNull() | ((F.col("header") == RESERVED) & (F.col("file") != RESERVED)), F.struct(F.col("file_score").alias("score"), F.col("file").alias("name"), F.lit("file").alias("via")))\
         .otherwise(best)
     picked = joined.select("doc_id", "path", own_best.alias("own"), "near")
     inherited = F.col("own").isNull()

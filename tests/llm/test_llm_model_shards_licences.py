@@ -105,6 +105,29 @@ def test_headers_files_and_inheritance(spark):
                    8: ("GPL-3.0", "directory", "/a/b"), 9: (None, None, None)}
 
 
+def test_whole_licences_more_families_and_reserved_rights(spark):
+    holder = "Copyright (c) 2019 Jane Roe and others\nAll rights reserved.\n\n"
+    rows, want = [], {}
+    for name, (text,) in license_scan.licence_texts().items():   # another holder, other line breaks
+        rows += [(f"/{name}/LICENSE", holder + "\n\n".join(" ".join(p.split()) for p in text.split("\n\n"))), (f"/{name}/src/code", PROSE)]
+        want |= {len(rows) - 2: name, len(rows) - 1: name}
+    notices = {
+        "AGPL-3.0": "Frob is free software: you may redistribute it and/or modify it under the terms of the GNU Affero General Public "
+                    "License as published by the Free Software Foundation, version 3 of the License or any later version.",
+        "MPL-2.0": "This file is subject to the terms of the Mozilla Public License, v. 2.0; obtain a copy at http://mozilla.org/MPL/2.0/",
+        "CC-BY-SA-4.0": "This text is licensed under the Creative Commons Attribution-ShareAlike 4.0 International license",
+        "All-Rights-Reserved": "All rights reserved.",
+    }
+    for name, text in notices.items():   # in a directory of another licence
+        rows.append((f"/MIT/{name}", f"{PROSE}\n\n{text}\n\n{PROSE}"))
+        want[len(rows) - 1] = name
+    got = {r["doc_id"]: (r["licence"], r["via"]) for r in license_scan.licence_report(files(spark, rows)).collect()}
+    assert {k: v[0] for k, v in got.items()} == want
+    assert all(got[k][1] == "directory" for k, (path, _) in enumerate(rows) if path.endswith("/code"))
+    assert all(license_scan.Matcher(license_scan.licence_texts(), {}).best(license_scan.terms(t), license_scan.TEXT) is None
+               for t in (PROSE, PROSE * 40))
+
+
 def test_scores_match_a_dense_cosine(spark):
     docs = small_docs(spark).withColumn("path", F.concat(F.lit("/"), "source", F.lit("/"), "doc_id"))
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
