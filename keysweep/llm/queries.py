@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keysweep.llm import (
+    decontaminate,
+    fill_middle,
     license_scan,
     line_spread,
     ngram_join,
@@ -22,8 +24,9 @@ from keysweep.llm import (
     secret_scan,
     sharding,
     spot_signatures,
+    vector_codes,
 )
-from keysweep.llm.sql import LINES_SQL, NGRAM_SQL, QUALITY_SQL, SECRETS_SQL
+from keysweep.llm.sql import CODES_SQL, LEAKS_SQL, LINES_SQL, MIDDLE_SQL, NGRAM_SQL, QUALITY_SQL, SECRETS_SQL
 
 PIECE_MODEL = "piece_bpe_32k.model"
 WORD_MODEL = "word_bpe_49k.json"
@@ -88,13 +91,34 @@ def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_spread.line_report(docs, lines, line_spread.line_spread(lines))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.contamination_report(documents(spark, sf_dir), benchmark)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_middle(documents(spark, sf_dir))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_report(vector_codes.fit_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_piece_coding, op2_ngram_join, op3_quality_rules, op4_spot_fingerprints, op5_packing,
-                            op6_license_scan, op7_secret_scan, op8_sharding, op9_quality_model, op10_line_spread)}
+                            op6_license_scan, op7_secret_scan, op8_sharding, op9_quality_model, op10_line_spread,
+                            op11_decontamination, op12_fill_middle, op13_vector_codes)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_ngram_join": NGRAM_SQL,
     "op3_quality_rules": QUALITY_SQL,
     "op7_secret_scan": SECRETS_SQL,
     "op10_line_spread": LINES_SQL,
+    "op11_decontamination": LEAKS_SQL,
+    "op12_fill_middle": MIDDLE_SQL,
+    "op13_vector_codes": CODES_SQL,
 }

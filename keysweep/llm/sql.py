@@ -92,3 +92,64 @@ deg AS (SELECT x, count(*) AS n_links FROM e GROUP BY x)
 SELECT n.doc_id, n.n AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
 FROM n JOIN root ON root.x = n.doc_id LEFT JOIN deg ON deg.x = n.doc_id
 """
+
+_PLAIN_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+LEAKS_SQL = rf"""
+WITH b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_PLAIN_WORDS} AS ws FROM benchmark),
+win AS (SELECT DISTINCT item, least(len(ws), 10) AS l, array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') AS g
+        FROM (SELECT item, ws, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS i FROM b WHERE len(ws) > 0)),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_PLAIN_WORDS} AS ws FROM documents),
+cut AS (SELECT r, i, l, array_to_string(ws[i:i + l - 1], ' ') AS g
+        FROM (SELECT r, ws, l, unnest(range(1, len(ws) - l + 2)) AS i FROM d, (SELECT DISTINCT l FROM win) WHERE len(ws) >= l)),
+hit AS (SELECT r, i, cut.l, item FROM cut JOIN win ON win.g = cut.g AND win.l = cut.l),
+words AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + l)) AS p FROM (SELECT DISTINCT r, i, l FROM hit)) GROUP BY r),
+items AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+"""
+
+MIDDLE_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+x AS (SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS c1, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS c2,
+             CAST('0x' || h[17:24] AS BIGINT) % 100 AS h3, CAST('0x' || h[25:32] AS BIGINT) % 100 AS h4 FROM d),
+f AS (SELECT doc_id, t, n, least(c1, c2) AS a, greatest(c1, c2) AS b,
+             CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain'
+                  WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM x)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t
+              WHEN 'psm' THEN '<P>' || substring(t, 1, a) || '<S>' || substring(t, b + 1) || '<M>' || substring(t, a + 1, b - a)
+              ELSE '<S>' || substring(t, b + 1) || '<P>' || substring(t, 1, a) || '<M>' || substring(t, a + 1, b - a) END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM f
+"""
+
+
+def _codes_sql(rounds: int = 4) -> str:
+    """The rounds of assigning and moving, one after the other."""
+    steps = ["""
+kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS r, * FROM (
+  SELECT vec_id, label, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0)),
+parts AS MATERIALIZED (SELECT r, p, v[p * (len(v) // 4) + 1:(p + 1) * (len(v) // 4)] AS x FROM kept, range(4) AS t(p)),
+book0 AS MATERIALIZED (SELECT p, r - 1 AS e, x AS c FROM parts WHERE r <= 256)"""]
+    for k in range(rounds + 1):
+        steps.append(f"""
+near{k} AS MATERIALIZED (SELECT r, p, min(256 * CAST(list_sum([(x[i] - c[i]) * (x[i] - c[i]) for i in range(1, len(x) + 1)]) AS BIGINT) + e) AS m
+  FROM parts JOIN book{k} USING (p) GROUP BY r, p)""")
+        if k < rounds:
+            steps.append(f"""
+sums{k} AS (SELECT p, e, i, CAST(sum(y) AS BIGINT) AS s, count(*) AS n FROM (
+  SELECT parts.p, m % 256 AS e, unnest(x) AS y, generate_subscripts(x, 1) AS i FROM parts JOIN near{k} USING (r, p)) GROUP BY p, e, i),
+book{k + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(moved, c) AS c FROM book{k} b LEFT JOIN (
+  SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS moved FROM sums{k} GROUP BY p, e) USING (p, e))""")
+    return "WITH " + ",".join(steps) + f"""
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+FROM kept JOIN (SELECT r, string_agg(printf('%02x', m % 256), '' ORDER BY p) AS code, CAST(sum(m // 256) AS BIGINT) AS error
+                FROM near{rounds} GROUP BY r) USING (r)
+"""
+
+
+CODES_SQL = _codes_sql()
