@@ -41,8 +41,9 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _OTHER_UPPER = r"[\p{Lu}\p{Lt}\p{IsUppercase}&&[^A-Z]]"
-#: What separates words, in a text of any case.
-_SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What separates words, in a text of any case: all of ASCII but digits and letters. Named one by one,
+#: they become one table in Java, which is faster than ranges.
+_SEPARATOR = "[" + "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Key of the row that stands for the document itself; its window has no words.
 _SELF = 0
