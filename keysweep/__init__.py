@@ -12,8 +12,9 @@ from keysweep.plans.job import (
     run_cleanup,
     run_outcome,
     run_store_cleanup,
+    store_outcome,
 )
-from keysweep.sinks.snapshot import expire_snapshots, init_manifest
+from keysweep.sinks.snapshot import expire_snapshots, init_manifest, remove_orphans, run_report
 
 __all__ = [
     "CleanupResult",
@@ -21,7 +22,10 @@ __all__ = [
     "check_run_lines",
     "expire_snapshots",
     "init_manifest",
+    "remove_orphans",
     "run_cleanup",
     "run_outcome",
+    "run_report",
     "run_store_cleanup",
+    "store_outcome",
 ]

@@ -10,6 +10,7 @@ from keysweep.operators.cleanup import (
 )
 from keysweep.operators.triples import (
     bad_timestamp_lines,
+    checked_lines,
     event_triples,
     failing_lines,
     malformed_lines,
@@ -19,6 +20,7 @@ from keysweep.operators.triples import (
 
 __all__ = [
     "bad_timestamp_lines",
+    "checked_lines",
     "cleanup_summary",
     "deleted_rows",
     "event_outcome",

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keysweep.functions.pinning import pinned
 from keysweep.functions.timefmt import etl_epoch, etl_millis_div, fits_int, parse_etl_tstamp
 from keysweep.functions.tsv import TRIPLE_SPLIT_LIMIT, is_malformed, leading_field, tsv_field, tsv_fields
 from keysweep.schemas import (
@@ -23,10 +24,12 @@ from keysweep.schemas import (
     ETL_TSTAMP_FIELD,
     EVENT_ID,
     EVENT_ID_FIELD,
+    EXCERPT_CHARS,
     FINGERPRINT,
     FINGERPRINT_FIELD,
     LINE,
     MALFORMED_MESSAGE,
+    OUT_OF_RANGE_MESSAGE,
 )
 
 
@@ -121,20 +124,35 @@ def bad_timestamp_lines(lines: DataFrame, line_col: str = LINE) -> DataFrame:
                  .withColumn(EVENT_ID, leading_field(line, EVENT_ID_FIELD)))
 
 
-def failing_lines(lines: DataFrame, override: bool = False, line_col: str = LINE) -> DataFrame:
-    """F1 and F2 in one pass: every line that would fail the job, with its ``problem``.
+def checked_lines(lines: DataFrame, override: bool = False, line_col: str = LINE) -> DataFrame:
+    """F1 and F2 in one pass: every line with its ``problem``, null for a good line.
 
     ``malformed``, ``bad_timestamp`` or ``out_of_range`` (an ETL time that INT
     can't hold). With an override field 2 is never read, so only malformed
-    lines fail. Adds ``eventid`` (null when the line is shorter).
+    lines fail. Adds ``eventid`` (null when the line is shorter) and ``message``, the
+    job's error with an excerpt of the line; all three, and the line itself, are null
+    for a good line. The split and the parse happen once: the problem is pinned, so
+    that a filter on it isn't rewritten into its whole definition below.
     """
-    fields, etl_text = F.col(_FIELDS), F.col("_etl_text")
-    keep = [c for c in lines.columns]
-    split = lines.select(*keep, tsv_fields(F.col(line_col), TRIPLE_SPLIT_LIMIT).alias(_FIELDS))
-    timed = split.select(*keep, _FIELDS, tsv_field(fields, ETL_TSTAMP_FIELD).alias("_etl_text"))
+    fields, etl_text, line = F.col(_FIELDS), F.col("_etl_text"), F.col(line_col)
+    keep = [c for c in lines.columns if c != line_col]
+    split = lines.select(*keep, line, tsv_fields(line, TRIPLE_SPLIT_LIMIT).alias(_FIELDS))
+    timed = split.select(*keep, line, _FIELDS, tsv_field(fields, ETL_TSTAMP_FIELD).alias("_etl_text"))
     problem = F.when(is_malformed(fields), "malformed")
     if not override:
         seconds = etl_millis_div(etl_text)
         problem = problem.when(seconds.isNull(), "bad_timestamp").when(~fits_int(seconds), "out_of_range")
-    return (timed.select(*keep, problem.alias("problem"), tsv_field(fields, EVENT_ID_FIELD).alias(EVENT_ID))
-            .where(F.col("problem").isNotNull()))
+    judged = timed.select(*keep, line, pinned(problem).alias("problem"), "_etl_text",
+                          tsv_field(fields, EVENT_ID_FIELD).alias(EVENT_ID))
+    bad = F.col("problem").isNotNull()
+    excerpt, text = F.substring(line, 1, EXCERPT_CHARS), F.substring(etl_text, 1, EXCERPT_CHARS)
+    message = (F.when(F.col("problem") == "malformed", _message(MALFORMED_MESSAGE, line=excerpt))
+               .when(F.col("problem") == "bad_timestamp", _message(BAD_TSTAMP_MESSAGE, text=text, line=excerpt))
+               .when(F.col("problem") == "out_of_range", _message(OUT_OF_RANGE_MESSAGE, text=text, line=excerpt)))
+    return judged.select(*keep, F.when(bad, line).alias(line_col), "problem", F.when(bad, F.col(EVENT_ID)).alias(EVENT_ID),
+                         message.alias("message"))
+
+
+def failing_lines(lines: DataFrame, override: bool = False, line_col: str = LINE) -> DataFrame:
+    """The lines that would fail the job, with the columns of :func:`checked_lines`."""
+    return checked_lines(lines, override, line_col).where(F.col("problem").isNotNull())

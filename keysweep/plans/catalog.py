@@ -24,19 +24,33 @@ from keysweep.operators.cleanup import (
 )
 from keysweep.operators.triples import bad_timestamp_lines, event_triples, failing_lines, malformed_lines
 from keysweep.plans.derived import (
+    ORDERED_FILES,
+    FolderStore,
     event_source,
     manifest_table,
     manifest_with_repeats,
+    ordered_file_number,
     read_table,
     run_lines,
+    write_folder_store,
+    write_ordered_run_folder,
     write_run_folder,
 )
-from keysweep.plans.job import read_staged, run_cleanup, run_outcome, stage_triples
-from keysweep.schemas import EVENT_ID, LINE
+from keysweep.plans.job import (
+    located_failures,
+    read_positioned,
+    read_staged,
+    run_cleanup,
+    run_outcome,
+    run_store_cleanup,
+    stage_triples,
+    store_outcome,
+)
+from keysweep.schemas import EVENT_ID, FILE, FINGERPRINT, LINE, LINE_NUMBER
 from keysweep.session import scratch_path
 from keysweep.sinks.snapshot import init_manifest
 from keysweep.sources.enriched import read_enriched
-from keysweep.sources.manifest import read_current
+from keysweep.sources.manifest import published_versions, read_commit, read_current
 
 # Run time used by the override queries, and its epoch seconds in SQL.
 OVERRIDE_TIME = "2024-01-15-00-00-00"
@@ -137,15 +151,54 @@ def q_store_deletes_sent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_keys(_staged(spark, _events(spark, sf_dir)))
 
 
-def q_manifest_after_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two disjoint parts of the events cleaned one after the other."""
+def _two_runs(spark: SparkSession, sf_dir: str, **layout: int) -> str:
+    """Two disjoint parts of the events cleaned one after the other; the manifest's root."""
     events = _events(spark, sf_dir)
     root = scratch_path(spark, "manifest")
-    init_manifest(spark, manifest_table(events), root)
+    init_manifest(spark, manifest_table(events), root, **layout)
     for part in (0, 1):
         folder = write_run_folder(spark, run_lines(events.where(F.col("event_id") % 2 == part)))
         run_cleanup(spark, folder, root, quiet=True)
-    return read_current(spark, root)
+    return root
+
+
+def q_manifest_after_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_current(spark, _two_runs(spark, sf_dir))
+
+
+def q_manifest_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over a manifest whose days of more than 500 rows are cut into key buckets."""
+    return read_current(spark, _two_runs(spark, sf_dir, bucket_rows=500))
+
+
+def q_committed_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the commits of two cleanups say about them."""
+    root = _two_runs(spark, sf_dir)
+    runs = {v: read_commit(spark, root, v).run for v in published_versions(spark, root)}
+    rows = [(v, r["lines"], r["deleted"], r["skipped"]) for v, r in runs.items() if r]
+    return spark.createDataFrame(rows, "version int, n_lines long, deleted_events long, skipped_events long")
+
+
+def q_store_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run against a store that keeps a file for each row: the ledger's outcomes."""
+    events = _events(spark, sf_dir)
+    folder = write_folder_store(spark, manifest_table(events))
+    result = run_store_cleanup(spark, write_run_folder(spark, run_lines(events)), lambda: FolderStore(folder), quiet=True)
+    return store_outcome(spark, result)
+
+
+def q_failing_lines_located(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = run_lines(_events(spark, sf_dir), variant="failing", copies=False, with_rid=True)
+    found = located_failures(spark, write_ordered_run_folder(spark, lines))
+    return found.select("problem", EVENT_ID, ordered_file_number(F.col(FILE)).alias("file_number"), LINE_NUMBER)
+
+
+def q_line_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of a run folder with its file and its number there."""
+    folder = write_ordered_run_folder(spark, run_lines(_events(spark, sf_dir), with_rid=True))
+    staged = stage_triples(spark, read_enriched(spark, folder, positions=True))
+    return read_positioned(spark, staged.path).select(
+        EVENT_ID, FINGERPRINT, ordered_file_number(F.col(FILE)).alias("file_number"), LINE_NUMBER)
 
 
 def q_manifest_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,6 +252,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "failing_lines": q_failing_lines,
     "store_deletes_sent": q_store_deletes_sent,
     "manifest_after_two_runs": q_manifest_after_two_runs,
+    "manifest_in_buckets": q_manifest_in_buckets,
+    "committed_reports": q_committed_reports,
+    "store_outcomes": q_store_outcomes,
+    "failing_lines_located": q_failing_lines_located,
+    "line_positions": q_line_positions,
 }
 
 # ---------------------------------------------------------------------------
@@ -304,4 +362,24 @@ SELECT CASE WHEN id % 11 = 0 AND id % 13 <> 0 THEN 'malformed' WHEN id % 17 = 0
 FROM src WHERE (id % 11 = 0 AND id % 13 <> 0) OR id % 17 = 0 OR id % 23 = 0"""),
     "store_deletes_sent": _sql("SELECT DISTINCT eventid, fingerprint, etltstamp AS etltime FROM trip"),
     "manifest_after_two_runs": _sql(_KEPT),
+    "manifest_in_buckets": _sql(_KEPT),
+    "committed_reports": _sql("""
+SELECT CAST(2 + id % 2 AS INTEGER) AS version, count(*) AS n_lines,
+       count(*) FILTER (copy = 0 AND found) AS deleted_events, count(*) FILTER (NOT (copy = 0 AND found)) AS skipped_events
+FROM (SELECT t.id, t.copy, m.eventid IS NOT NULL AS found FROM trip t LEFT JOIN man m
+      ON m.eventid = t.eventid AND m.fingerprint = t.fingerprint AND m.etltime = t.etltstamp)
+GROUP BY id % 2"""),
+    "store_outcomes": _sql("""
+SELECT DISTINCT t.eventid, t.fingerprint, t.etltstamp AS etltime,
+       CASE WHEN m.eventid IS NOT NULL THEN 'deleted' ELSE 'skipped' END AS outcome
+FROM trip t LEFT JOIN man m ON m.eventid = t.eventid AND m.fingerprint = t.fingerprint AND m.etltime = t.etltstamp"""),
+    "failing_lines_located": _sql(f"""
+SELECT problem, eventid, file_number, line FROM (
+  SELECT id, eventid, CASE WHEN id % 11 = 0 AND id % 13 <> 0 THEN 'malformed' WHEN id % 17 = 0 THEN 'bad_timestamp'
+                           WHEN id % 23 = 0 THEN 'out_of_range' END AS problem,
+         CAST(id % {ORDERED_FILES} AS INTEGER) AS file_number, row_number() OVER (PARTITION BY id % {ORDERED_FILES} ORDER BY id) AS line FROM src)
+WHERE problem IS NOT NULL"""),
+    "line_positions": _sql(f"""
+SELECT eventid, fingerprint, CAST(id % {ORDERED_FILES} AS INTEGER) AS file_number,
+       row_number() OVER (PARTITION BY id % {ORDERED_FILES} ORDER BY id, copy) AS line FROM trip"""),
 }

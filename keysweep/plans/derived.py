@@ -25,10 +25,15 @@ Rules (the same ones the SQL side of the query catalog uses)::
 
 from __future__ import annotations
 
+import hashlib
+import os
+from urllib.parse import urlparse
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keysweep.functions.pinning import pinned
 from keysweep.schemas import ETL_TIME, EVENT_ID, EVENT_ID_FIELD, FIELD_SEP, FINGERPRINT, FINGERPRINT_FIELD, LINE, ROW_ID
 from keysweep.session import scratch_path
 from keysweep.sources import fs
@@ -69,9 +74,15 @@ def _hour_end() -> Column:
 
 
 def event_source(events: DataFrame) -> DataFrame:
-    """(id, eventid, fingerprint, etl_text, run_text, run_seconds, etl) per event."""
+    """(id, eventid, fingerprint, etl_text, run_text, run_seconds, etl) per event.
+
+    The hour is pinned: joins on the derived times would otherwise repeat its whole
+    derivation in every condition pushed into the scan.
+    """
     id_ = F.col("event_id")
-    hour_end = F.when(id_ % 19 == 0, _hour_end() - F.expr("INTERVAL 60 YEARS")).otherwise(_hour_end())
+    hour = F.when(id_ % 19 == 0, _hour_end() - F.expr("INTERVAL 60 YEARS")).otherwise(_hour_end())
+    events = events.select("event_id", "user_id", "event_type", "props", pinned(hour).alias("_hour_end"))
+    hour_end = F.col("_hour_end")
     padded = F.date_format(hour_end, "yyyy-MM-dd HH:mm:ss")
     stamp = F.when(id_ % 3 == 1, F.date_format(hour_end, "yyyy-M-d H:m:s")).otherwise(padded)
     fraction = F.when(id_ % 4 == 1, ".5").when(id_ % 4 == 2, ".25").when(id_ % 4 == 3, ".999").otherwise(".000")
@@ -183,3 +194,71 @@ def write_run_folder(spark: SparkSession, lines: DataFrame, compression: str | N
         if gz:
             fs.rename(spark, f"{folder}/{gz[0]}", f"{folder}/{gz[0][:-3]}.gzip")
     return folder
+
+
+#: Files of an ordered run folder.
+ORDERED_FILES = 4
+_FILE_FOLDER = "part-file"   # a folder of this name matches the run folder's glob
+
+
+def write_ordered_run_folder(spark: SparkSession, lines: DataFrame) -> str:
+    """Write lines (value, rid) in ``ORDERED_FILES`` files; return the folder.
+
+    An event's file is its id (half the rid) modulo the number of files, and lines stand in the order of
+    their rid, so the place of every line is fixed by the data.
+    """
+    folder = scratch_path(spark, "run")
+    number = F.pmod(F.floor(F.col(ROW_ID) / 2), F.lit(ORDERED_FILES)).alias(_FILE_FOLDER)
+    (lines.select(LINE, ROW_ID, number).repartition(ORDERED_FILES, F.col(f"`{_FILE_FOLDER}`"))
+     .sortWithinPartitions(F.col(f"`{_FILE_FOLDER}`"), ROW_ID).drop(ROW_ID).write.partitionBy(_FILE_FOLDER).text(folder))
+    return folder
+
+
+def ordered_file_number(file: Column) -> Column:
+    """The number of a file of an ordered run folder, from its path."""
+    return F.regexp_extract(file, f"/{_FILE_FOLDER}=([0-9]+)/", 1).cast("int")
+
+
+class FolderStore:
+    """A keyed store for tests: an empty file for each row, removed by a delete.
+
+    Its name holds key and ETL time, so removing it is the conditional delete, and atomic.
+    """
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def _path(self, event_id: str, fingerprint: str, etl_time: int) -> str:
+        name = hashlib.sha256(f"{event_id}\0{fingerprint}\0{etl_time}".encode()).hexdigest()
+        return os.path.join(self.folder, name[:2], name)
+
+    def put(self, event_id: str, fingerprint: str, etl_time: int) -> None:
+        path = self._path(event_id, fingerprint, etl_time)
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        open(path, "w").close()
+
+    def present(self, event_id: str, fingerprint: str, etl_time: int) -> bool:
+        return os.path.exists(self._path(event_id, fingerprint, etl_time))
+
+    def delete(self, event_id: str, fingerprint: str, etl_time: int) -> bool:
+        try:
+            os.remove(self._path(event_id, fingerprint, etl_time))
+            return True
+        except FileNotFoundError:
+            return False
+
+
+def write_folder_store(spark: SparkSession, manifest: DataFrame) -> str:
+    """A :class:`FolderStore` of a manifest's rows, made by Spark's tasks; its folder, on a shared local path."""
+    url = urlparse(scratch_path(spark, "store"))
+    if url.scheme not in ("", "file"):
+        raise ValueError(f"a folder store needs a checkpoint folder that is mounted as a path, not {url.scheme}://")
+    folder = url.path
+
+    def put(rows):
+        store = FolderStore(folder)
+        for r in rows:
+            store.put(r[EVENT_ID], r[FINGERPRINT], r[ETL_TIME])
+
+    manifest.select(EVENT_ID, FINGERPRINT, ETL_TIME).foreachPartition(put)
+    return folder

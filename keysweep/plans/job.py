@@ -6,15 +6,16 @@ Stages::
        (map only; computes every column of every line, so a malformed line
        or a bad timestamp fails here, before anything is deleted)
     2. line count, key bytes (observed during step 1) and the run's ETL days
-    3. the manifest's folders of those days LEFT ANTI JOIN distinct run
-       triples -> new folders for those days
+    3. the manifest's folders of those days (of large days, the key buckets
+       that the run hits) LEFT ANTI JOIN distinct run triples -> new folders
        (broadcast of the run side only below a checked size)
-    4. commit: the new folders and, by name, the folders of all other days
+    4. commit: the new folders, by name the folders of everything else, and
+       what the run deleted and skipped
 
-deleted = rows of those days before - after; skipped = lines - deleted.
-The manifest's other days are neither read nor written. Staging also cuts the
-lineage: a lost executor re-reads staged files, not the run folder, and the
-``rid`` tie-break stays fixed.
+deleted = rows of those folders before - after; skipped = lines - deleted.
+Everything else in the manifest is neither read nor written. Staging also cuts the
+lineage: a lost executor re-reads staged files, not the run folder. Staged lines
+keep their file and split, from which :func:`read_positioned` numbers them.
 """
 
 from __future__ import annotations
@@ -27,13 +28,27 @@ from pyspark.sql import functions as F
 
 from keysweep.functions.timefmt import run_time_value
 from keysweep.operators.cleanup import deleted_rows, event_outcome, key_violations, kept_rows, run_keys
-from keysweep.operators.triples import event_triples, failing_lines
-from keysweep.schemas import DAY_SECONDS, ETL_TSTAMP, EVENT_ID, FINGERPRINT, REPORT_LINE, ROW_ID, STAGED, SUMMARY
+from keysweep.operators.triples import checked_lines, event_triples
+from keysweep.schemas import (
+    BLOCK,
+    DAY_SECONDS,
+    ETL_TSTAMP,
+    EVENT_ID,
+    FILE,
+    FINGERPRINT,
+    LINE_NUMBER,
+    MANIFEST_KEYS,
+    POSITIONED,
+    REPORT_LINE,
+    ROW_ID,
+    STAGED,
+    SUMMARY,
+)
 from keysweep.session import scratch_path
 from keysweep.sinks.snapshot import PublishError, expire_snapshots, publish_snapshot
-from keysweep.sinks.store import delete_from_store
-from keysweep.sources.enriched import read_enriched
-from keysweep.sources.manifest import current_version, read_commit, read_days
+from keysweep.sinks.store import Ledger, send_deletes
+from keysweep.sources.enriched import line_positions, read_enriched
+from keysweep.sources.manifest import DAY, Commit, current_version, read_commit, read_days, split_part, with_part
 
 log = logging.getLogger("keysweep")
 
@@ -104,9 +119,18 @@ def read_staged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STAGED).parquet(path)
 
 
+def read_positioned(spark: SparkSession, path: str) -> DataFrame:
+    """Staged triples of a run folder with their ``file``, ``line`` and a ``rid`` in (file, line) order.
+
+    These don't change with the size of splits, the number of tasks or their order.
+    """
+    return line_positions(spark.read.schema(POSITIONED).parquet(path))
+
+
 def stage_triples(spark: SparkSession, lines: DataFrame, override_seconds: int | None = None) -> StagedTriples:
     """Steps 1-2: write (rid, eventid, fingerprint, etltstamp) and measure it.
 
+    Other columns of ``lines`` (file and split of a scan with positions) are written too.
     Key bytes are observed while the write runs: no second pass over the data,
     two numbers to the driver, only used to bound the broadcast. The line
     count, which the report depends on, and the distinct ETL days are read back
@@ -147,13 +171,13 @@ def run_cleanup(spark: SparkSession, run_folder: str, manifest_root: str, overri
         raise FileNotFoundError(f"no published manifest under {manifest_root}")
     commit = read_commit(spark, manifest_root, version)
 
-    staged = stage_triples(spark, read_enriched(spark, run_folder), override_seconds)
+    staged = stage_triples(spark, read_enriched(spark, run_folder, positions=True), override_seconds)
     triples = read_staged(spark, staged.path)
-    touched = commit.only(str(d) for d in staged.etl_days)
+    touched = touched_parts(triples, staged.etl_days, commit)
     manifest = read_days(spark, manifest_root, touched)
     limit = broadcast_limit(spark) if broadcast_max_bytes is None else broadcast_max_bytes
     use_broadcast = staged.broadcast_bytes() <= limit
-    log.info("run %s: %d lines staged at %s; %d ETL days, %d of them in the manifest; run side at most %d bytes, %s (cap %d)",
+    log.info("run %s: %d lines staged at %s; %d ETL days, %d folders of the manifest; run side at most %d bytes, %s (cap %d)",
              run_folder, staged.lines, staged.path, len(staged.etl_days), len(touched.days), staged.broadcast_bytes(),
              "broadcast" if use_broadcast else "sort-merge", limit)
 
@@ -165,8 +189,14 @@ def run_cleanup(spark: SparkSession, run_folder: str, manifest_root: str, overri
         if verify:
             expected = commit.rows - deleted_rows(manifest, triples, use_broadcast).count()
         kept = kept_rows(manifest, triples, use_broadcast) if touched.days else None
+
+        def done(after: int) -> dict:
+            gone = commit.rows - after
+            return {"folder": run_folder, "time": override_time, "lines": staged.lines, "deleted": gone,
+                    "skipped": staged.lines - gone, "base": version}
+
         new_version, after = publish_snapshot(spark, kept, manifest_root, expected_rows=expected,
-                                              base_version=version, days=touched.days)
+                                              base_version=version, days=touched.days, run=done)
         deleted = commit.rows - after
         log.info("manifest %s: version %d -> %d, %d -> %d rows", manifest_root, version, new_version, commit.rows, after)
         if keep_snapshots is not None:
@@ -180,72 +210,130 @@ def run_cleanup(spark: SparkSession, run_folder: str, manifest_root: str, overri
                                    broadcast=use_broadcast, stage=staged.path, etl_days=staged.etl_days), quiet)
 
 
+def touched_parts(triples: DataFrame, etl_days, commit: Commit) -> Commit:
+    """The parts of a version that the run's triples can match: its days, of large days the buckets of its keys."""
+    days = {str(d) for d in etl_days}
+    buckets = {day: n for day, n in commit.buckets.items() if day in days}
+    if buckets:
+        named = with_part(triples.where(F.floor(F.col(ETL_TSTAMP) / DAY_SECONDS).isin(sorted(map(int, buckets)))), buckets, ETL_TSTAMP)
+        days |= {r[DAY] for r in named.select(DAY).distinct().collect()}   # at most one for each folder of these days
+    return commit.only(days)
+
+
 def run_outcome(spark: SparkSession, result: CleanupResult, manifest_root: str) -> DataFrame:
     """J3 for a finished run: every line with the result of its delete.
 
-    Reads the staged triples (their ``rid`` is fixed on disk) against the
-    snapshot the run was checked against, so it can be asked after publish.
+    Reads the staged triples against the snapshot the run was checked against,
+    so it can be asked after publish. Of a repeated triple the copy that comes
+    first by file name and line is the one that was deleted.
     """
-    triples = read_staged(spark, result.stage)
-    commit = read_commit(spark, manifest_root, result.manifest_version).only(str(d) for d in result.etl_days)
-    return event_outcome(triples, read_days(spark, manifest_root, commit))
+    triples = read_positioned(spark, result.stage)
+    days = {str(d) for d in result.etl_days}
+    commit = read_commit(spark, manifest_root, result.manifest_version)
+    return event_outcome(triples, read_days(spark, manifest_root, commit.only(p for p in commit.days if split_part(p)[0] in days)))
 
 
 @dataclass(frozen=True)
 class StoreCleanupResult:
-    deleted: int            # a lower bound when ``retried`` is not 0
-    skipped: int            # an upper bound then
+    deleted: int            # a lower bound when ``unknown`` is not 0
+    skipped: int
     lines: int
     sent: int               # distinct triples sent to the store
-    retried: int            # tasks that ran again after a failed attempt
+    unknown: int            # keys whose first call may or may not have deleted them
     stage: str
+    ledger: str | None = None   # folder of the outcomes; None for a dry run
 
     @property
     def exact(self) -> bool:
-        return self.retried == 0
+        return self.unknown == 0
 
     def report(self) -> str:
         return REPORT_LINE.format(deleted=self.deleted, skipped=self.skipped)
 
 
+def stage_keys(spark: SparkSession, triples: DataFrame, parallelism: int | None = None) -> str:
+    """The run's distinct keys, written: what is sent doesn't change with a task or a stage that runs again."""
+    keys = run_keys(triples)
+    if parallelism:
+        keys = keys.repartition(parallelism, *keys.columns)
+    path = scratch_path(spark, "keys")
+    keys.write.parquet(path)
+    return path
+
+
 def run_store_cleanup(spark: SparkSession, run_folder: str, client_factory, override_time: str | None = None,
-                      parallelism: int | None = None, concurrency: int = 1,
-                      quiet: bool = False) -> StoreCleanupResult:
+                      parallelism: int | None = None, concurrency: int = 1, quiet: bool = False,
+                      publish: bool = True, ledger: str | None = None, look: bool = False) -> StoreCleanupResult:
     """The cleanup against a manifest held in an external keyed store (K2).
 
     Every distinct triple of the run is sent once as a conditional delete;
     the store answers whether a row with that key pair and ETL time existed.
     A repeated triple could only fail its second delete, so
     deleted = successful deletes and skipped = lines - deleted, the same
-    totals as one call per line as long as no task is retried. The deletes of
-    a failed attempt stay in the store but not in its counters, so after a
-    retry ``deleted`` is a lower bound (``exact`` is False). Speculative
-    execution sends calls twice and must be off. ``parallelism`` sets the
-    number of tasks (and so of clients); by default the shuffle partition
-    count. ``concurrency`` is the number of calls each task keeps in flight.
+    totals as one call per line.
+
+    Outcomes are rows of a ledger that Spark commits, and the totals are counted
+    there (see :class:`keysweep.sinks.store.Ledger`). ``ledger`` names its folder; a
+    folder that an earlier, broken-off call has left is resumed: its keys are sent on
+    and not staged again. ``publish=False`` only counts, with a client that can look
+    (``present``), and sends nothing. Speculative execution sends calls twice and must
+    be off. ``parallelism`` sets the number of tasks (and so of clients); by default
+    the shuffle partition count. ``concurrency`` is the number of calls each task
+    keeps in flight.
     """
     if str(spark.sparkContext.getConf().get("spark.speculation", "false")).lower() == "true":
         raise ValueError("spark.speculation must be off: it would send deletes twice and miscount them")
-    override_seconds = run_time_value(spark, override_time)
-    staged = stage_triples(spark, read_enriched(spark, run_folder), override_seconds)
-    keys = run_keys(read_staged(spark, staged.path))
-    if parallelism:
-        keys = keys.repartition(parallelism, *keys.columns)
-    deleted, failed, retried = delete_from_store(keys, client_factory, concurrency)
-    return _reported(StoreCleanupResult(deleted=deleted, skipped=staged.lines - deleted, lines=staged.lines,
-                                        sent=deleted + failed, retried=retried, stage=staged.path), quiet)
+    book = Ledger(spark, ledger or scratch_path(spark, "ledger"))
+    begun = book.begun()
+    if begun is None:
+        override_seconds = run_time_value(spark, override_time)
+        staged = stage_triples(spark, read_enriched(spark, run_folder), override_seconds)
+        keys = stage_keys(spark, read_staged(spark, staged.path), parallelism)
+        begun = {"folder": run_folder, "time": override_time, "lines": staged.lines, "stage": staged.path, "keys": keys}
+        if publish:
+            book.begin(begun)
+    elif (begun["folder"], begun["time"]) != (run_folder, override_time):
+        raise ValueError(f"the ledger {book.path} belongs to the run {begun['folder']} with time {begun['time']}")
+    keys = spark.read.parquet(begun["keys"])
+    if publish:
+        send_deletes(keys, client_factory, book, concurrency, look)
+        totals = book.totals()
+    else:
+        totals = book.count_present(keys, client_factory, concurrency)
+    deleted = totals.get("deleted", 0)
+    return _reported(StoreCleanupResult(deleted=deleted, skipped=begun["lines"] - deleted, lines=begun["lines"],
+                                        sent=sum(totals.values()) if publish else 0, unknown=totals.get("unknown", 0),
+                                        stage=begun["stage"], ledger=book.path if publish else None), quiet)
+
+
+def store_outcome(spark: SparkSession, result: StoreCleanupResult) -> DataFrame:
+    """(eventid, fingerprint, etltime, outcome): what came of each distinct key that was sent."""
+    return Ledger(spark, result.ledger).outcomes().select(*MANIFEST_KEYS, "outcome")
 
 
 def check_run_lines(spark: SparkSession, run_folder: str, out: str, override_time: str | None = None) -> dict:
     """F1/F2 over a whole run, without touching any manifest.
 
     Writes every line that would fail the job to ``out`` as parquet
-    (``problem``, ``eventid``, ``value``) in one pass over the run and returns
+    (``problem``, ``eventid``, ``file``, ``line`` number from 1 on, ``message`` with a
+    bounded excerpt, ``value``) in one pass over the run and returns
     the counts per problem. With an override, field 2 is never read, so only
     malformed lines count.
     """
     run_time_value(spark, override_time)
-    bad = failing_lines(read_enriched(spark, run_folder), override=override_time is not None)
-    bad.select("problem", EVENT_ID, "value").write.parquet(out)
+    located_failures(spark, run_folder, override_time is not None).write.parquet(out)
     counts = spark.read.parquet(out).groupBy("problem").count().collect()
     return {r["problem"]: int(r["count"]) for r in counts}
+
+
+def located_failures(spark: SparkSession, run_folder: str, override: bool = False) -> DataFrame:
+    """(problem, eventid, file, line, message, value): the lines of a run that would fail the job, and where they stand.
+
+    The run is read and parsed once; written are a few bytes for a good line, so that
+    lines can be counted, and the whole of a failing one.
+    """
+    lines = read_enriched(spark, run_folder, positions=True).withColumn(ROW_ID, F.monotonically_increasing_id())
+    path = scratch_path(spark, "checked")
+    checked_lines(lines, override).select(FILE, BLOCK, ROW_ID, "problem", EVENT_ID, "message", "value").write.parquet(path)
+    placed = line_positions(spark.read.parquet(path))
+    return placed.where(F.col("problem").isNotNull()).select("problem", EVENT_ID, FILE, LINE_NUMBER, "message", "value")

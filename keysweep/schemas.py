@@ -29,10 +29,15 @@ RUN_TIME_PARSE_PATTERN = "y-M-d-H-m-s"
 S3_SCHEMES = ("s3://", "s3a://", "s3n://")
 # Only these files directly inside a run folder are read.
 RUN_FILE_GLOB = "part-*"
+# Suffix of gzip files of older archives; no registered codec has it.
+UNCUT_SUFFIX = ".gzip"
 # Failure messages.
 MALFORMED_MESSAGE = "ERROR: Cannot split TSV [{line}]"
 BAD_RUN_TIME_MESSAGE = "ETL Time {text} has invalid format"
 BAD_TSTAMP_MESSAGE = "ERROR: Cannot parse ETL timestamp [{text}] in [{line}]"
+OUT_OF_RANGE_MESSAGE = "ETL time out of INT range: {text} in [{line}]"
+# Longest excerpt of a line or of one of its fields in a listing of failing lines.
+EXCERPT_CHARS = 200
 # Report line printed after a cleanup.
 REPORT_LINE = "Manifest cleanup deleted {deleted} events. {skipped} events were skipped"
 # ---------------------------------------------------------------------------
@@ -45,6 +50,9 @@ ETL_TIME = "etltime"       # etl time stored in the manifest
 LINE = "value"             # text source column
 DAY_SECONDS = 86400
 ROW_ID = "rid"             # position of a line in the scan, used as tie-break
+FILE = "file"              # path of the file that a line stands in
+BLOCK = "block"            # start of the split in which the scan read it
+LINE_NUMBER = "line"       # number of the line in its file, from 1 on
 
 TRIPLE_KEYS = (EVENT_ID, FINGERPRINT, ETL_TSTAMP)
 MANIFEST_KEYS = (EVENT_ID, FINGERPRINT, ETL_TIME)
@@ -62,6 +70,12 @@ STAGED = T.StructType([
     *TRIPLES.fields,
 ])
 
+POSITIONED = T.StructType([
+    T.StructField(FILE, T.StringType(), False),
+    T.StructField(BLOCK, T.LongType(), False),
+    *STAGED.fields,
+])
+
 MANIFEST = T.StructType([
     T.StructField(EVENT_ID, T.StringType(), False),
     T.StructField(FINGERPRINT, T.StringType(), False),

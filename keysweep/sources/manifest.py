@@ -1,34 +1,43 @@
-"""S3: the manifest table, kept as versions made of parquet folders per ETL day.
+"""S3: the manifest table, kept as versions made of parquet folders.
 
 Layout under a manifest root::
 
-    <root>/data/<write>/day=17367/part-*.parquet   rows of one ETL day, from one write
-    <root>/_commits/00000002                       version 2: which write holds each day
-
-``day`` is the ETL time's day number (days since 1970, UTC), ``none`` for rows
-without an ETL time. A commit names every day's folder and row count, so a
-version that replaced one day shares all other folders with the version before
-it. A version is visible only once its commit exists: readers never see a
-half-written one, resolve the version once and pin it. Old versions stay for
-rollback until they are expired.
+    <root>/data/<write>/day=17367/part-*.parquet          rows of one ETL day, from one write
+    <root>/data/<write>/day=17368.3-of-8/part-*.parquet   one of eight key buckets of a large day
+    <root>/_commits/00000002                              version 2: which write holds each part
+
+A *part* is a day (the day number of the ETL time, days since 1970, UTC; ``none``
+for rows without an ETL time) or, where a day is large, a bucket of its keys. A
+commit names every part's write and row count, so a version that replaced one part
+shares all other folders with the version before it. It also says which run it was
+made for, and what that run deleted and skipped.
+
+A version is visible only once its commit exists, and a commit gets its name only
+when it is written whole (:func:`keysweep.sources.fs.create_marker`). A commit that
+is torn all the same (its text ends early, or doesn't have the checksum at its end) is no
+version: readers take the one before it, and the next publish takes the next free
+number. Readers resolve the version once and pin it. Old versions stay for rollback
+until they are expired.
 """
 
 from __future__ import annotations
 
 import json
+import zlib
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keysweep.schemas import DAY_SECONDS, MANIFEST
+from keysweep.schemas import DAY_SECONDS, ETL_TIME, EVENT_ID, FINGERPRINT, MANIFEST
 from keysweep.sources import fs
 
 COMMITS = "_commits"
 DATA = "data"
 DAY = "day"
 NO_DAY = "none"
+_OF = "-of-"
 
 
 def etl_day(etl_time: Column) -> Column:
@@ -36,26 +45,67 @@ def etl_day(etl_time: Column) -> Column:
     return F.coalesce(F.floor(etl_time / DAY_SECONDS).cast("string"), F.lit(NO_DAY))
 
 
+def split_part(part: str) -> tuple[str, int]:
+    """(day, number of the day's buckets) of a part's name."""
+    day, _, bucket = part.partition(".")
+    return day, int(bucket.partition(_OF)[2]) if bucket else 1
+
+
+def with_part(rows: DataFrame, buckets: dict[str, int], etl: str = ETL_TIME, out: str = DAY) -> DataFrame:
+    """``rows`` with the name of the part that each key and ETL time belong to.
+
+    ``buckets`` holds the number of buckets (a power of two) of every day that has more
+    than one; it is as long as the list of large days in a commit, and broadcast.
+    """
+    day = etl_day(F.col(etl))
+    if not buckets:
+        return rows.withColumn(out, day)
+    sizes = rows.sparkSession.createDataFrame(sorted(buckets.items()), "_day string, _of int")
+    key = F.xxhash64(F.col(EVENT_ID), F.col(FINGERPRINT))
+    bucket = F.concat(F.col("_day"), F.lit("."), F.pmod(key, F.col("_of").cast("long")).cast("string"), F.lit(_OF),
+                      F.col("_of").cast("string"))
+    met = rows.join(F.broadcast(sizes), day == F.col("_day"), "left")
+    return met.withColumn(out, F.coalesce(bucket, day)).drop("_day", "_of")
+
+
+class TornCommit(ValueError):
+    """The text of a commit isn't whole."""
+
+
 @dataclass(frozen=True)
 class Commit:
-    """Content of a commit: day -> (write folder, rows)."""
+    """Content of a commit: part -> (write folder, rows), and what the run that made it did."""
 
     days: dict[str, tuple[str, int]]
+    run: dict = field(default_factory=dict)
 
     @property
     def rows(self) -> int:
         return sum(n for _, n in self.days.values())
 
+    @property
+    def buckets(self) -> dict[str, int]:
+        """Number of buckets of every day that has more than one."""
+        return {day: n for day, n in map(split_part, self.days) if n > 1}
+
     def only(self, days: Iterable[str]) -> Commit:
         wanted = set(days)
         return Commit({d: v for d, v in self.days.items() if d in wanted})
 
     def to_text(self) -> str:
-        return json.dumps({"rows": self.rows, "days": {d: list(v) for d, v in sorted(self.days.items())}})
+        body = {"rows": self.rows, "days": {d: list(v) for d, v in sorted(self.days.items())}, "run": self.run}
+        return json.dumps({**body, "end": zlib.crc32(json.dumps(body).encode())})
 
     @staticmethod
     def from_text(text: str) -> Commit:
-        return Commit({d: (w, int(n)) for d, (w, n) in json.loads(text)["days"].items()})
+        try:
+            body = json.loads(text)
+            end = body.pop("end", None)   # commits of earlier releases have none
+            if end is not None and end != zlib.crc32(json.dumps(body).encode()):
+                raise TornCommit("its checksum doesn't hold")
+            return Commit({d: (w, int(n)) for d, (w, n) in body["days"].items()}, body.get("run", {}))
+        except (json.JSONDecodeError, AttributeError, KeyError, TypeError) as err:
+            raise TornCommit(str(err)) from err
 
 
 def write_path(root: str, write: str) -> str:
@@ -75,20 +125,37 @@ def written_folders(spark: SparkSession, root: str) -> list[str]:
     return sorted(fs.list_names(spark, f"{root.rstrip('/')}/{DATA}"))
 
 
-def published_versions(spark: SparkSession, root: str) -> list[int]:
-    """Versions that have a commit."""
+def commit_numbers(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of all commit files, whole or torn."""
     return sorted(int(n) for n in fs.list_names(spark, f"{root.rstrip('/')}/{COMMITS}") if n.isdigit())
 
 
-def current_version(spark: SparkSession, root: str) -> int | None:
-    versions = published_versions(spark, root)
-    return versions[-1] if versions else None
-
-
 def read_commit(spark: SparkSession, root: str, version: int) -> Commit:
     return Commit.from_text(fs.read_small(spark, commit_path(root, version)))
 
 
+def is_torn(spark: SparkSession, root: str, version: int) -> bool:
+    try:
+        read_commit(spark, root, version)
+    except TornCommit:
+        return True
+    return False
+
+
+def published_versions(spark: SparkSession, root: str) -> list[int]:
+    """Versions that have a whole commit."""
+    return [n for n in commit_numbers(spark, root) if not is_torn(spark, root, n)]
+
+
+def newest_whole(spark: SparkSession, root: str, numbers: list[int]) -> int | None:
+    """The newest of some commits that isn't torn."""
+    return next((n for n in reversed(numbers) if not is_torn(spark, root, n)), None)
+
+
+def current_version(spark: SparkSession, root: str) -> int | None:
+    return newest_whole(spark, root, commit_numbers(spark, root))
+
+
 def read_days(spark: SparkSession, root: str, commit: Commit) -> DataFrame:
     """Rows of the days of a commit: DataFrame[eventid, fingerprint, etltime]."""
     paths = [day_path(root, write, day) for day, (write, _) in sorted(commit.days.items())]
