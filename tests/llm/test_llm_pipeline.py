@@ -31,6 +31,9 @@ CONTRACTS = {
     "op8_sharding": ["doc_id", "shard", "n_bytes"],
     "op9_quality_model": ["doc_id", "held_out", "score", "predicted"],
     "op10_line_spread": ["doc_id", "n_lines", "n_cut_lines"],
+    "op11_decontamination": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+    "op12_fill_middle": ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"],
+    "op13_vector_codes": ["vec_id", "code", "error", "label_error", "codebooks_sha256"],
 }
 
 
@@ -43,14 +46,16 @@ def test_every_operator_and_the_pipeline_are_registered():
 def test_columns_and_rows(spark, name):
     df = QUERIES[name](spark, SMALL)
     assert df.columns[:len(CONTRACTS[name])] == CONTRACTS[name] or set(CONTRACTS[name]) <= set(df.columns)
-    ids = {r["doc_id"] for r in df.select("doc_id").collect()}
-    assert ids == set(range(200))
+    id_col = CONTRACTS[name][0]
+    ids = {r[id_col] for r in df.select(id_col).collect()}
+    assert ids == set(range(500 if id_col == "vec_id" else 200))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SMALL}/documents.parquet')")
+    for table in ("documents", "benchmark", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SMALL}/{table}.parquet')")
     res = con.execute(ORACLE_SQL[name])
     names = [d[0] for d in res.description]
     df = QUERIES[name](spark, SMALL)
