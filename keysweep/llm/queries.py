@@ -77,7 +77,7 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.assign_shards(documents(spark, sf_dir))
+    return sharding.assign_shards(documents(spark, sf_dir), limit=1 << 20)
 
 
 def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,8 +87,7 @@ def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    lines = line_spread.line_table(docs)
-    return line_spread.line_report(docs, lines, line_spread.line_spread(lines))
+    return line_spread.line_report(docs, line_spread.line_marks(line_spread.line_table(docs)))
 
 
 def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,11 +46,14 @@ class Rule:
     body: str = ""
 
 
-# After the header of a private key: all up to its END line, or else header fields and base64 lines.
-# Loops over groups are bounded, as Java's expressions recurse there; base64 at the margin is a class, of any length.
-_PEM_BODY = (r"(?:[^-]*+(?:-{1,4}+[^-]++){0,400}-----END [A-Z ]{0,30}PRIVATE KEY-----"
-             r"|(?:\s{0,9}[A-Z][A-Za-z-]{3,20}: [^\n]{0,200}\n){0,5}"
-             r"(?:[\s\\]{0,40}[A-Za-z0-9+/=\\]{16,}[A-Za-z0-9+/=\\\r\n]*){1,400})?")
+# After the header of a private key: all up to its END line (nothing with five hyphens lies between), or else
+# header fields, base64 lines however they are indented or quoted, and a short last line. All loops over groups are
+# possessive: Java runs these without recursion, so a key may be of any length.
+_QUOTING = r"(?:[\s\\\"'`>|*#+]|(?<=\\)[nrt])"   # an escaped line break counts too
+_PEM_BODY = (r"(?:[^-]*+(?:-{1,4}+[^-]++)*+-----END [A-Z ]{0,30}PRIVATE KEY-----"
+             r"|(?:\s*+[A-Z][A-Za-z-]{3,20}+: [^\n]*+\n)*+"
+             r"(?:(?:" + _QUOTING + r"*+,?+" + _QUOTING + r"*+[A-Za-z0-9+/=\\]{16,}+[A-Za-z0-9+/=\\\r\n]*+)++"
+             r"(?:" + _QUOTING + r"*+(?:,[ \t]*+\n)?+" + _QUOTING + r"*+[A-Za-z0-9+/=]{1,15}+(?![ \t]*[A-Za-z0-9]))?+)?+)")
 
 
 # The base rules are fixed values.

@@ -70,11 +70,12 @@ x AS (SELECT *, CASE WHEN regexp_matches(line, '[^\x20\x09-\x0D]')
              len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM l),
 wide AS (SELECT key FROM x WHERE key IS NOT NULL GROUP BY key HAVING count(DISTINCT site) >= 8),
 y AS (SELECT x.*, x.key IS NOT NULL AND x.key IN (SELECT key FROM wide) AS is_wide FROM x),
-c AS (SELECT r, count(*) AS n_lines, count(*) FILTER (is_wide) AS n_wide,
-             count(*) FILTER (is_wide) > 0 AND 2 * coalesce(sum(n) FILTER (is_wide), 0) <= sum(n) AS cut,
-             coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT is_wide), '') AS rest FROM y GROUP BY r)
-SELECT d.doc_id, c.n_lines, c.n_wide AS n_wide_lines, CASE WHEN cut THEN c.n_wide ELSE 0 END AS n_cut_lines,
-       sha256(CASE WHEN cut THEN rest ELSE t END) AS text_sha256
+host AS (SELECT r FROM y GROUP BY r HAVING 2 * coalesce(sum(length(key)) FILTER (is_wide), 0) <= coalesce(sum(length(key)), 0)),
+furniture AS (SELECT key FROM y JOIN host USING (r) WHERE is_wide GROUP BY key HAVING count(DISTINCT site) >= 8),
+z AS (SELECT *, is_wide AND key IN (SELECT key FROM furniture) AS cut FROM y),
+c AS (SELECT r, count(*) AS n_lines, count(*) FILTER (is_wide) AS n_wide, count(*) FILTER (cut) AS n_cut,
+             coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT cut), '') AS rest FROM z GROUP BY r)
+SELECT d.doc_id, c.n_lines, c.n_wide AS n_wide_lines, c.n_cut AS n_cut_lines, sha256(rest) AS text_sha256
 FROM d JOIN c USING (r)
 """
 

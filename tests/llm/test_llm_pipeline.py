@@ -15,7 +15,7 @@ import corpus_pipeline
 from keysweep.llm import quality_rules
 from keysweep.llm.queries import ORACLE_SQL, QUERIES
 from llm_fixtures import SMALL, WORD, empty_docs, odd_docs, small_docs
-from test_llm_line_spread import EDGE
+from test_llm_line_spread import EDGE, furniture
 from test_llm_ngram_join import brute as brute_groups
 from test_llm_quality_rules import brute as brute_measures
 from test_llm_secret_scan import spans
@@ -72,20 +72,8 @@ def brute_pipeline(rows):
         upper = sum(c.isupper() for c in text or "")
         if not (n < 50 or 100 * repeated > 50 * n or 10 * symbols > n or 100 * dup > 50 * len(lines) or 2 * upper > chars or chars > 25 * n):
             good.append((doc_id, text, site))
-    sites = defaultdict(set)
-    for _, text, site in good:
-        for line in text.split("\n"):
-            if WORD.search(line):
-                sites[line.strip(EDGE)].add(site or "")
-    wide = {k for k, v in sites.items() if len(v) >= 8}
-    cut = []
-    for doc_id, text, site in good:
-        lines = text.split("\n")
-        marks = [bool(WORD.search(x)) and x.strip(EDGE) in wide for x in lines]
-        n = [len(WORD.findall(x)) for x in lines]
-        if any(marks) and sum(a for a, m in zip(n, marks) if m) <= 0.5 * sum(n):
-            text = "\n".join(x for x, m in zip(lines, marks) if not m)
-        cut.append((doc_id, text))
+    _, gone = furniture(good, 8)
+    cut = [(doc_id, "\n".join(x for x in text.split("\n") if x.strip(EDGE) not in gone)) for doc_id, text, _ in good]
     keep = {(d, c) for d, _, c, _ in brute_groups(cut, 5, 80)}
     left = {(d, t) for d, t in cut if (str(d), str(d)) in keep}
     out = []
