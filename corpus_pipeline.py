@@ -21,9 +21,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines spread over many sites are cut from the texts; ``n_chars`` follows."""
-    lines = line_spread.line_table(docs)
-    return line_spread.remove_widespread_lines(docs, lines, line_spread.line_spread(lines), length_col="n_chars")
+    """Furniture lines, spread over many sites, are cut from the texts; ``n_chars`` follows."""
+    marks = line_spread.line_marks(line_spread.line_table(docs))
+    return line_spread.remove_furniture(docs, marks, length_col="n_chars")
 
 
 def ngram_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
