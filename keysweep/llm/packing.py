@@ -8,11 +8,12 @@ one at ``h + s`` (or completes it). The counts are one array over the levels;
 an empty window is level 0. Documents longer than a window fill whole windows
 first, and their rest is placed.
 
-At the end of a partition some windows are still open. Their pieces, in the
-order of the levels, are dealt again as one stream that is cut wherever a
-window is full; what is left at the very end is cut into windows whose lengths
-are powers of two, which aren't padded. So nothing is padded at all, and only
-documents in the last few windows of a partition are cut for it.
+At the end of a partition some windows are still open. They stay as they are, from the
+fullest on, and their gaps are filled with pieces of the emptiest, cut to measure; those
+are taken apart for it, one after the other, until no gap is left. The last tokens, less than a window, are
+cut into windows whose lengths are powers of two, which aren't padded. So nothing is padded at
+all, and no more is taken out of its place than the gaps hold. ``placed`` tells
+the pieces that lie where the rule put them.
 
 The rows are placed where they were read: no shuffle, one pass, memory for the
 open windows and for one slice of texts (a longer text is a slice of its own).
@@ -157,9 +158,52 @@ class SumOfSquares:
         self.count[level + size] += 1
         return None
 
-    def rest(self) -> list:
-        """Pieces of the windows still open, the fullest windows first."""
-        return [p for level in reversed(self.open) for pieces in level for p in pieces]
+    def rest(self) -> list[list]:
+        """The windows still open, the fullest first."""
+        return [pieces for level in reversed(self.open) for pieces in level]
+
+
+def filled(windows: list[list], window: int) -> Iterator[tuple[list, int]]:
+    """(pieces, number of them that lie where they were): full windows made of open ones, then powers of two.
+
+    ``windows`` are in order, the fullest first; pieces are (id, start, length, tokens, total).
+    """
+    def cut(piece, size):
+        doc_id, start, length, ids, total = piece
+        return (doc_id, start, size, ids[:size], total), (doc_id, start + size, length - size, ids[size:], total)
+
+    def take(into, source, size):
+        """Move ``size`` tokens, or all there are, from the end of ``source``; the tokens still missing."""
+        while size and source:
+            piece = source.pop()
+            if piece[2] > size:
+                piece, rest = cut(piece, size)
+                source.append(rest)
+            into.append(piece)
+            size -= piece[2]
+        return size
+
+    first, last, loose = 0, len(windows), []
+    while first < last:
+        pieces = windows[first]
+        own, gap = len(pieces), window - sum(p[2] for p in pieces)
+        while gap and (loose or last - 1 > first):
+            if not loose:
+                last -= 1
+                loose = windows[last]
+            gap = take(pieces, loose, gap)
+        if gap:
+            loose = pieces
+            break
+        yield pieces, own
+        first += 1
+    size = sum(p[2] for p in loose)
+    while size:
+        part = 1 << size.bit_length() - 1
+        pieces: list = []
+        take(pieces, loose, part)
+        yield pieces, 0
+        size -= part
 
 
 def _slices(batches) -> Iterator[tuple[list, list[bytes]]]:
@@ -187,20 +231,20 @@ def _pack(path: str, window: int, end_token: int, id_type: pa.DataType):
         def crc(ids):
             return zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes())
 
-        def close(pieces):
+        def close(pieces, own):
             nonlocal sequence
             offset = 0
-            for doc_id, start, length, ids, total in pieces:
-                out.append((doc_id, start, length, crc(ids), total, sequence, offset))
+            for i, (doc_id, start, length, ids, total) in enumerate(pieces):
+                out.append((doc_id, start, length, crc(ids), total, sequence, offset, i < own))
                 offset += length
             sequence += 1
 
         def flush():
-            columns = list(zip(*out)) if out else [[] for _ in range(7)]
+            columns = list(zip(*out)) if out else [[] for _ in range(8)]
             out.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], id_type), *[pa.array(c, pa.int64()) for c in columns[1:]]],
-                names=["doc_id", *COLUMNS])
+                [pa.array(columns[0], id_type), *[pa.array(c, pa.int64()) for c in columns[1:7]], pa.array(columns[7], pa.bool_())],
+                names=["doc_id", *COLUMNS, "placed"])
 
         for doc_ids, texts in _slices(batches):
             for doc_id, ids in zip(doc_ids, encoder_for(path).encode(texts)):
@@ -208,37 +252,23 @@ def _pack(path: str, window: int, end_token: int, id_type: pa.DataType):
                 total = len(ids)
                 at = 0
                 while total - at >= window:
-                    close([(doc_id, at, window, ids[at:at + window], total)])
+                    close([(doc_id, at, window, ids[at:at + window], total)], 1)
                     at += window
                 if total > at:
                     full = placing.add((doc_id, at, total - at, ids[at:], total))
                     if full:
-                        close(full)
+                        close(full, len(full))
             yield flush()
 
-        left, room, current = placing.rest(), window, []
-        size_left = sum(p[2] for p in left)
-        if size_left < window:
-            room = 1 << (size_left.bit_length() - 1) if size_left else 0
-        for doc_id, start, length, ids, total in left:
-            at = 0
-            while at < length:
-                take = min(room, length - at)
-                current.append((doc_id, start + at, take, ids[at:at + take], total))
-                at += take
-                room -= take
-                size_left -= take
-                if room == 0:
-                    close(current)
-                    current = []
-                    room = window if size_left >= window else 1 << (size_left.bit_length() - 1) if size_left else 0
+        for pieces, own in filled(placing.rest(), window):
+            close(pieces, own)
         yield flush()
     return run
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_token: int = END_TOKEN,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, placed.
 
     ``tokenizer`` is the path of a tokenizers file on every machine.
     """
@@ -246,5 +276,5 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_to
     kind = rows.schema["doc_id"].dataType
     from pyspark.sql.pandas.types import to_arrow_type
 
-    schema = f"doc_id {kind.simpleString()}, " + ", ".join(f"{c} long" for c in COLUMNS)
+    schema = f"doc_id {kind.simpleString()}, " + ", ".join(f"{c} long" for c in COLUMNS) + ", placed boolean"
     return rows.mapInArrow(_pack(tokenizer, window, end_token, to_arrow_type(kind)), schema)

@@ -120,6 +120,35 @@ def test_sum_of_squares_choice():
         assert [len(x) for x in placing.open] == placing.count[:32].tolist()
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_open_windows_are_filled_from_the_emptiest(seed):
+    rng = random.Random(seed)
+    window, windows, n = 64, [], 0
+    for _ in range(rng.choice([0, 1, 2, 7, 60])):
+        sizes = [rng.randint(1, 20) for _ in range(rng.randint(1, 3))]
+        windows.append([(n + k, 0, s, list(range(s)), s) for k, s in enumerate(sizes)])
+        n += len(sizes)
+    windows.sort(key=lambda w: -sum(p[2] for p in w))
+    sizes = {p[0]: p[2] for w in windows for p in w}
+    total = sum(sizes.values())
+    made = list(packing.filled([list(w) for w in windows], window))
+    lengths = [sum(p[2] for p in pieces) for pieces, _ in made]
+    assert sorted(x for x in lengths if x != window) == sorted(1 << k for k in range(6) if total % window >> k & 1)
+    got = sorted((p[0], at) for pieces, _ in made for p in pieces for at in p[3] if (p[3][0], len(p[3])) == (p[1], p[2]))
+    assert got == sorted((i, at) for i, s in sizes.items() for at in range(s))
+    for k, (pieces, own) in enumerate(made):   # a kept window is whole, and in its place
+        assert own == 0 or pieces[:own] == windows[k]
+    if total > 10 * window:
+        assert sum(p[2] for pieces, own in made for p in pieces[:own]) > 0.4 * total
+
+
+def test_most_pieces_lie_where_the_rule_put_them(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = packing.pack_documents(docs.coalesce(1), WORDS, 2048).groupBy("placed").agg({"length": "sum"}).collect()
+    size = {r["placed"]: r["sum(length)"] for r in rows}
+    assert size[True] > 0.8 * sum(size.values())
+
+
 def test_empty_tables(spark):
     docs = empty_docs(spark)
     assert piece_coding.coding_report(docs, MODEL).count() == 0
