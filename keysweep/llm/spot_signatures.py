@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keysweep.llm.common import pinned, whole_text
 
@@ -106,6 +107,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return spot_sets(rows, "text", "spots").select("doc_id", "spots", as_text(F.col("spots")).alias("fingerprint"))
 
 
+def _as_number(ids: Column, kind: T.DataType) -> Column:
+    """Ids as doubles in their order; of ids that aren't numbers, the first six bytes (equal ones share a range)."""
+    if isinstance(kind, T.NumericType):
+        return ids.cast("double")
+    head = F.hex(F.substring(ids.cast("string").cast("binary"), 1, 6))
+    return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
+
+
 def with_next(rows: DataFrame, n_rows: int) -> DataFrame:
     """``rows`` (doc_id, text, spots) with the next row's text and spots, in order of the id.
 
@@ -116,14 +125,15 @@ def with_next(rows: DataFrame, n_rows: int) -> DataFrame:
     repeat is one group by its meaning (they follow each other).
     """
     ranges = min(MAX_RANGES, max(1, n_rows // ROWS_PER_RANGE))
-    ids = rows.select("doc_id", F.col("doc_id").cast("double").alias("d"))
+    number = _as_number(F.col("doc_id"), rows.schema["doc_id"].dataType)
+    ids = rows.select(number.alias("d"))
     cuts = ids.where("d is not null").approxQuantile(
         "d", [i / ranges for i in range(1, ranges)], 0.2 / ranges) if ranges > 1 else []
     bounds = sorted(set(cuts))
     place = F.lit(0)
     if bounds:
         literal = F.array(*[F.lit(b) for b in bounds])
-        place = F.coalesce(F.size(F.filter(literal, lambda b: b <= F.col("doc_id").cast("double"))), F.lit(0))
+        place = F.coalesce(F.size(F.filter(literal, lambda b: b <= number)), F.lit(0))
     placed = rows.withColumn("__range", place)
     window = Window.partitionBy("__range").orderBy(F.col("doc_id").asc_nulls_first(), F.col("text"))
     step = placed.withColumn("__next", F.lead(F.struct("text", "spots")).over(window))

@@ -80,3 +80,15 @@ def test_similar_fingerprints_match_brute_force(spark):
 
 def test_empty_table(spark):
     assert q.edited_report(empty_docs(spark)).count() == 0
+
+
+def test_text_ids_over_several_ranges(spark):
+    """Ids that aren't numbers: the next document is the next in the order of the text, over all ranges."""
+    n = 3 * q.ROWS_PER_RANGE
+    docs = spark.range(n).selectExpr("concat(substring('abcxyz', CAST(1 + id % 6 AS INT), 1), CAST(id AS STRING)) AS doc_id",
+                                     "concat('the text of number ', CAST(id AS STRING), ' and more of it') AS text")
+    got = {r["doc_id"]: r["edited_sha256"] for r in q.edited_report(docs).collect()}
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    for (i, text), (_, following) in zip(rows, [*rows[1:], rows[0]]):
+        cut = len(text) // 4
+        assert got[i] == hashlib.sha256((text[:len(text) - cut] + following[:cut]).encode()).hexdigest()
