@@ -2,11 +2,11 @@
 
 Random Fourier features approximate a Gaussian kernel over statistics of the
 whole text; ridge regression on them is fitted from normal equations that each
-partition sums up for itself (one matrix per partition, added in a second
-stage), and isotonic regression turns its scores into probabilities.
+partition sums up for itself (one matrix per partition, added in a tree of ``FAN_IN``
+at a time), and isotonic regression turns its scores into probabilities.
 
 Only what has a size fixed by parameters reaches the driver: the mean and
-deviation of each statistic, a few partial sums of ``(FEATURES + 1)^2`` numbers, and
+deviation of each statistic, one sum of ``(FEATURES + 1)^2`` numbers, and
 counts per score bin. All labelled rows that aren't held out are used.
 
 Defined results: a null or empty text has zero words and all statistics zero,
@@ -35,6 +35,8 @@ FEATURES = 128
 PENALTY = 1e-4
 BINS = 2048
 THRESHOLD = 0.7
+#: Matrices that one task adds.
+FAN_IN = 64
 HELD_OUT_OF, HELD_OUT = 4, 2
 
 STATISTICS = ("log_words", "mean_word", "symbols", "bars", "shouts", "upper", "digits", "sentence_marks", "repeats",
@@ -122,7 +124,18 @@ def _partial_sums(mapping: FourierMap):
 
 def _added(pdf: pd.DataFrame) -> pd.DataFrame:
     total = sum(np.frombuffer(x) for x in pdf["sums"])
-    return pd.DataFrame({"sums": [total.tobytes()]})
+    return pd.DataFrame({"k": [pdf["k"].iloc[0]], "sums": [total.tobytes()]})
+
+
+def _tree_sum(parts: DataFrame) -> np.ndarray:
+    """The sum of one matrix per partition, ``FAN_IN`` to a task, level by level."""
+    level = parts.select((F.spark_partition_id() / FAN_IN).cast("long").alias("k"), "sums")
+    while True:
+        level = staged(level.groupBy("k").applyInPandas(_added, "k long, sums binary"), "quality-sums")
+        rows = level.limit(2).collect()
+        if len(rows) == 1:
+            return np.frombuffer(rows[0]["sums"])
+        level = level.select((F.col("k") / FAN_IN).cast("long").alias("k"), "sums")
 
 
 def _raw_scores(mapping: FourierMap, weights: np.ndarray, knots: tuple[np.ndarray, np.ndarray] | None, keep: tuple[str, ...], out: str):
@@ -164,10 +177,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label_col: str = "quality
     if n == 0 or ones in (0.0, float(n)):
         scored = stats.select("doc_id", F.lit(ones / n if n else 0.5).alias("score"))
     else:
-        parts = (train.mapInArrow(_partial_sums(mapping), "sums binary")
-                 .groupBy((F.spark_partition_id() % 8).alias("k")).applyInPandas(_added, "sums binary").collect())
         size = features + 1
-        total = sum(np.frombuffer(r["sums"]) for r in parts).reshape(size, size + 1)
+        total = _tree_sum(train.mapInArrow(_partial_sums(mapping), "sums binary")).reshape(size, size + 1)
         weights = np.linalg.solve(total[:, :size] + PENALTY * n * np.eye(size), total[:, size])
         low, high = -0.5, 1.5
         width = (high - low) / BINS

@@ -43,6 +43,35 @@ def test_odd_rows_few_labels_and_empty_tables(spark):
     assert quality_model.quality_scores(empty_docs(spark), labels).count() == 0
 
 
+def test_scores_equal_a_plain_ridge_and_isotonic_fit(spark, monkeypatch):
+    """All rows in one matrix, solved at once; isotonic values by their min-max formula."""
+    monkeypatch.setattr(quality_model, "FAN_IN", 2)   # several levels of sums
+    sf = SMALL.replace("0.001", "0.01")
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet").repartition(7), spark.read.parquet(f"{sf}/labels.parquet")
+    got = {r["doc_id"]: r["score"] for r in quality_model.quality_scores(docs, labels).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    stats = np.array([quality_model.statistics(r["text"] or "") for r in rows])
+    z = quality_model.FourierMap(stats.mean(axis=0), stats.std(axis=0))(stats)
+    known = {r["doc_id"]: r["quality"] for r in labels.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2}
+    use = [k for k, r in enumerate(rows) if r["doc_id"] in known]
+    y = np.array([known[rows[k]["doc_id"]] for k in use], float)
+    w = np.linalg.solve(z[use].T @ z[use] + quality_model.PENALTY * len(use) * np.eye(z.shape[1]), z[use].T @ y)
+    raw = z @ w
+    bins = np.clip(np.floor((raw[use] + 0.5) / (2 / quality_model.BINS)), 0, quality_model.BINS - 1)
+    kept, which = np.unique(bins, return_inverse=True)
+    n, ones = np.bincount(which).astype(float), np.bincount(which, y)
+    place = -0.5 + (kept + 0.5) * 2 / quality_model.BINS
+    a, b = np.r_[0, np.cumsum(n)], np.r_[0, np.cumsum(ones)]
+    mean = lambda i, j: (b[j + 1] - b[i]) / (a[j + 1] - a[i])
+    size = len(kept)
+    low = np.array([[mean(j, k) if j <= k else np.inf for k in range(size)] for j in range(size)])
+    value = np.array([max(low[j, i:].min() for j in range(i + 1)) for i in range(size)])
+    starts = np.r_[0, np.flatnonzero(np.diff(value) > 1e-12) + 1, size]
+    knots = np.array([[np.average(place[s:e], weights=n[s:e]), value[s]] for s, e in zip(starts, starts[1:])])
+    want = np.interp(raw, *knots.T)
+    assert max(abs(got[r["doc_id"]] - want[k]) for k, r in enumerate(rows)) < 1e-5
+
+
 def test_isotonic_blocks():
     x, y = quality_model.isotonic_knots(np.array([0., 1, 2, 3]), np.array([0., 3, 1, 4]), np.array([4., 4, 4, 4]))
     assert x.tolist() == [0, 1.5, 3] and y.tolist() == [0, 0.5, 1]
