@@ -196,27 +196,92 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             .where(F.size("rules") > 0))
 
 
+#: Elements of an array that are gone through at a time. What is built up in a pass over an array is copied at each
+#: step; in two levels, the work for n elements is n * CHUNK + (n / CHUNK)^2 instead of n^2.
+_CHUNK = 256
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _chunks(items: Column) -> Column:
+    last = F.greatest(F.ceil(F.size(items) / _CHUNK).cast("int") - 1, F.lit(0))
+    return F.transform(F.sequence(F.lit(0), last), lambda j: F.slice(items, j * _CHUNK + 1, _CHUNK))
+
+
+def _scanned(items: Column, start: Column, merge) -> tuple[Column, Column]:
+    """(what precedes each element, what all come to): merged in order, from ``start`` on."""
+    first = F.struct(start.alias("at"), F.array().cast("array<int>").alias("each"))
+    done = F.aggregate(items, first, lambda acc, x: F.struct(
+        merge(acc["at"], x).alias("at"), F.concat(acc["each"], F.array(acc["at"])).alias("each")))
+    return done["each"], done["at"]
+
+
+def _starts(steps: Column) -> Column:
+    """Where each hit starts, of (gap, hit) lengths in order."""
+    def of_chunk(chunk: Column) -> Column:
+        before, total = _scanned(chunk, F.lit(0), lambda at, x: at + x["gap"] + x["hit"])
+        return F.struct(F.zip_with(before, chunk, lambda at, x: at + x["gap"]).alias("starts"), total.alias("total"))
+
+    def joined(parts: Column) -> Column:
+        offsets, _ = _scanned(F.transform(parts, lambda p: p["total"]), F.lit(0), lambda at, x: at + x)
+        return F.flatten(F.zip_with(parts, offsets, lambda p, o: F.transform(p["starts"], lambda s: s + o)))
+
+    return _bound(F.transform(_chunks(steps), of_chunk), joined)
+
+
 def _verified(text: Column, rule: Rule, position: int) -> Column:
     """Spans of a rule in a text: the pieces between matches and the matches, added up."""
     pattern = F.lit(rule.pattern)
     matches = F.regexp_extract_all(text, pattern, F.lit(0))
     measured = matches if rule.group == 0 else F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    zipped = F.arrays_zip(F.slice(F.split(text, rule.pattern), 1, F.size(matches)).alias("gap"),
-                          matches.alias("hit"), measured.alias("part"))
-    steps = F.transform(zipped, lambda x: F.struct(
-        F.length(x["gap"]).alias("gap"), F.length(x["hit"]).alias("hit"),
-        (F.length(x["part"]) >= rule.least).alias("ok")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
-    summed = F.aggregate(steps, start, lambda acc, x: F.struct(
-        (acc["at"] + x["gap"] + x["hit"]).alias("at"),
-        F.concat(acc["starts"], F.array(acc["at"] + x["gap"])).alias("starts")), lambda acc: acc["starts"])
-    spans = F.zip_with(summed, steps, lambda s, x: F.struct(
-        s.alias("start"), F.lit(position).alias("rule"), (s + x["hit"]).alias("end"), x["ok"].alias("ok")))
+
+    def steps_of(hits: Column) -> Column:
+        zipped = F.arrays_zip(F.slice(F.split(text, rule.pattern), 1, F.size(hits)).alias("gap"),
+                              hits.alias("hit"), (hits if rule.group == 0 else measured).alias("part"))
+        return F.transform(zipped, lambda x: F.struct(
+            F.length(x["gap"]).alias("gap"), F.length(x["hit"]).alias("hit"),
+            (F.length(x["part"]) >= rule.least).alias("ok")))
+
+    def spans_of(steps: Column) -> Column:
+        return F.zip_with(_starts(steps), steps, lambda s, x: F.struct(
+            s.alias("start"), F.lit(position).alias("rule"), (s + x["hit"]).alias("end"), x["ok"].alias("ok")))
+
+    spans = _bound(_bound(matches, steps_of), spans_of)
     found = F.transform(F.filter(spans, lambda x: x["ok"]),
                         lambda x: F.struct(x["start"].alias("start"), x["rule"].alias("rule"), x["end"].alias("end")))
     return F.when(text.rlike(rule.pattern), found)
 
 
+def _masked(text: Column, spans: Column, mark: str) -> Column:
+    """``text`` with a mark for each run of overlapping spans (sorted by start)."""
+    def ended(chunk: Column) -> Column:
+        return F.coalesce(F.array_max(F.transform(chunk, lambda s: s["end"])), F.lit(0))
+
+    def piece(chunk: Column, begin: Column) -> Column:
+        stop = F.greatest(begin, ended(chunk))
+
+        def marked(own: Column) -> Column:   # the chunk's part of the text, so that no step looks for its place in all of it
+            def step(acc, s):
+                gap = F.substring(own, acc["at"] - begin + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+                return F.when(s["start"] >= acc["at"], F.struct(
+                    s["end"].alias("at"), F.concat(acc["out"], gap, F.lit(mark)).alias("out"))
+                ).otherwise(F.struct(F.greatest(s["end"], acc["at"]).alias("at"), acc["out"].alias("out")))
+
+            start = F.struct(begin.alias("at"), F.lit("").alias("out"))
+            return F.aggregate(chunk, start, step, lambda acc: acc["out"])
+
+        return _bound(F.substring(text, begin + 1, stop - begin), marked)
+
+    def joined(chunks: Column) -> Column:
+        before, last = _scanned(F.transform(chunks, ended), F.lit(0), lambda at, x: F.greatest(at, x))
+        return F.concat(F.array_join(F.zip_with(chunks, before, piece), ""), F.substring(text, last + 1, F.length(text)))
+
+    return _bound(_chunks(spans), joined)
+
+
 _SPANS = "array<struct<start:int,rule:int,end:int>>"
 
 
@@ -271,17 +336,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = MARK, i
     new text's code points.
     """
     found = find_spans(docs, tuple(replace(r, pattern=r.pattern + r.body) for r in rules), id_col, text_col)
-    text = F.col("text")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc, s):
-        gap = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
-        return F.when(s["start"] >= acc["at"], F.struct(
-            s["end"].alias("at"), F.concat(acc["out"], gap, F.lit(mark)).alias("out"))
-        ).otherwise(F.struct(F.greatest(s["end"], acc["at"]).alias("at"), acc["out"].alias("out")))
-
-    masked = F.aggregate("spans", start, step,
-                         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    masked = _masked(F.col("text"), F.col("spans"), mark)
     new = found.select("row", F.size("spans").alias("n"), F.when(F.size("spans") > 0, masked)
                        .otherwise(F.col("row")[text_col]).alias("clean"))
 
