@@ -62,7 +62,8 @@ def line_table(docs: DataFrame, text_col: str = "text", site_col: str = "source"
     keyed = staged(each.select("text", "site", "place", _digest(F.col("line")).alias("key"), F.length("line").alias("chars"), "total"),
                    "line-table")
     often = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_sites).select("key")
-    return staged(keyed.join(often, "key", "left_semi"), "common-lines")
+    # written, so that the join below is a plain one: a small table is broadcast, and a hot line's rows can be split
+    return staged(keyed.join(staged(often, "often-lines"), "key", "left_semi"), "common-lines")
 
 
 def line_spread(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
@@ -90,10 +91,11 @@ def line_marks(lines: DataFrame, min_sites: int = MIN_SITES, host_share: float =
     shares = (wide.groupBy("text", "place").agg(F.first("chars").alias("chars"), F.first("total").alias("total"))
               .groupBy("text").agg(F.sum("chars").alias("chars"), F.first("total").alias("total")))
     hosts = shares.where(F.col("chars") <= F.lit(host_share) * F.col("total")).select("text")
-    furniture = line_spread(wide.join(hosts, "text", "left_semi"), min_sites).select("key", F.lit(True).alias("__furniture"))
+    furniture = line_spread(wide.join(staged(hosts, "host-texts"), "text", "left_semi"), min_sites).select("key", F.lit(True).alias("__furniture"))
     flagged = wide.join(furniture, "key", "left").groupBy("text", "place").agg(F.first("__furniture").alias("__furniture"))
-    return flagged.groupBy("text").agg(
-        F.collect_list("place").alias("wide"), F.collect_list(F.when(F.col("__furniture"), F.col("place"))).alias("furniture"))
+    return staged(flagged.groupBy("text").agg(
+        F.collect_list("place").alias("wide"), F.collect_list(F.when(F.col("__furniture"), F.col("place"))).alias("furniture")),
+        "line-marks")
 
 
 def _marked(docs: DataFrame, marks: DataFrame, text_col: str) -> DataFrame:
