@@ -167,8 +167,8 @@ def q_manifest_after_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_manifest_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same over a manifest whose days of more than 500 rows are cut into key buckets."""
-    return read_current(spark, _two_runs(spark, sf_dir, bucket_rows=500))
+    """The same over a manifest whose days of more than 1000 rows are cut into key buckets."""
+    return read_current(spark, _two_runs(spark, sf_dir, bucket_rows=1000))
 
 
 def q_committed_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
