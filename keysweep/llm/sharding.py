@@ -12,13 +12,18 @@ the scan, so that an id which many rows repeat can still be split. Rows, with
 their hash and size, are written to the checkpoint folder first: all later
 reads see the same hash.
 
+A row weighs what it stores: the bytes of every column and ``ROW_BYTES`` for
+the row itself, so that also rows without a text fill a bucket, and what
+:func:`write_shards` writes, all columns, is what was counted.
+
 Sums and directory have one row per prefix that occurs and per shard: their
-number follows the total size over the limit. Rows meet the directory by a
-join on the prefix of the directory's global depth.
+number follows the total size over the limit. A row looks up its prefix at each
+depth in use; a directory of the global depth would have a row per prefix of
+that length, 2^64 where one id had to be split to its last bit.
 
-Defined results: a null text has size 0, a null id is an id like others; a row
-larger than the limit is a shard of its own beside at most rows of size 0 with
-the same hash bits, marked ``oversized``; ties can't occur, as only sums
+Defined results: a null weighs nothing beside its row, a null id is an id like
+others; a row larger than the limit is a shard of its own, marked
+``oversized``; ties can't occur, as only sums
 decide; an empty table gives an empty directory and table; other columns pass
 through :func:`write_shards`.
 """
@@ -27,14 +32,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from keysweep.llm.common import staged, whole_text
+from keysweep.llm.common import staged
 
 SHARD_BYTES = 64 << 20
 #: Hash bits summed at a time.
 STEP = 12
 ID_BITS = 40
 MAX_DEPTH = 64
+#: Bytes that a row takes beside its values.
+ROW_BYTES = 16
 
 
 def prefix(hash64: Column, depth: int) -> Column:
@@ -49,9 +57,24 @@ def row_hash(id_column: Column, place: Column) -> Column:
     return own.bitwiseAND(F.lit(~low).cast("long")).bitwiseOR(F.xxhash64(place).bitwiseAND(F.lit(low).cast("long")))
 
 
-def hashed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def row_bytes(schema: T.StructType) -> Column:
+    """Bytes of a row's values, plain: strings and binaries by length, nested ones as JSON, others at 8."""
+    def weight(field: T.StructField) -> Column:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.VarcharType, T.CharType, T.BinaryType)):
+            length = F.octet_length(column)
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            length = F.octet_length(F.to_json(F.struct(column.alias("v"))))
+        else:
+            length = F.lit(8)
+        return F.when(column.isNull(), 0).otherwise(length).cast("long")
+
+    return sum((weight(f) for f in schema.fields), F.lit(ROW_BYTES).cast("long"))
+
+
+def hashed_rows(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(doc_id, hash, n_bytes) of every row, written and read again."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.octet_length(whole_text(text_col)).cast("long").alias("n_bytes"),
+    rows = docs.select(F.col(id_col).alias("doc_id"), row_bytes(docs.schema).alias("n_bytes"),
                        F.monotonically_increasing_id().alias("place"))
     return staged(rows.select("doc_id", row_hash(F.col("doc_id"), F.col("place")).alias("hash"), "n_bytes"), "shard-rows")
 
@@ -124,20 +147,20 @@ def shard_name(depth: Column, number: Column) -> Column:
     return F.concat(F.lpad(depth.cast("string"), 2, "0"), F.lit("-"), bits)
 
 
-def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id") -> DataFrame:
     """(doc_id, shard, depth, oversized, n_bytes) per row."""
-    rows = hashed_rows(docs, id_col, text_col)
+    rows = hashed_rows(docs, id_col)
     return shard_rows(rows, directory(rows, limit)).drop("hash")
 
 
-def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES, id_col: str = "doc_id") -> None:
     """``docs`` as Parquet folders ``shard=...`` under ``path``; all columns pass through.
 
     The rows are staged with their hash, so that every row goes where its size
     was counted; equal hashes always share a shard.
     """
     kept = staged(docs.withColumns({
-        "__bytes": F.octet_length(whole_text(text_col)).cast("long"),
+        "__bytes": row_bytes(docs.schema),
         "__hash": row_hash(F.col(id_col), F.monotonically_increasing_id())}), "shard-documents")
     rows = kept.select(F.col(id_col).alias("doc_id"), F.col("__hash").alias("hash"), F.col("__bytes").alias("n_bytes"))
     names = shard_rows(rows, directory(rows, limit)).select(F.col("hash").alias("__hash"), "shard").distinct()

@@ -1,5 +1,5 @@
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from math import log, sqrt
 
 import numpy as np
@@ -100,7 +100,17 @@ def test_shards_fit_and_are_minimal(spark, limit):
 def test_a_repeated_id_is_split(spark):
     docs = spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("x" * 1000).alias("text"), F.col("id").alias("hash"))
     sizes = sharding.assign_shards(docs, 100_000).groupBy("shard").agg(F.sum("n_bytes").alias("b")).collect()
-    assert sum(r["b"] for r in sizes) == 3_000_000 and max(r["b"] for r in sizes) <= 100_000
+    assert sum(r["b"] for r in sizes) == 3000 * (1000 + 8 + 8 + sharding.ROW_BYTES) and max(r["b"] for r in sizes) <= 100_000
+
+
+def test_every_column_weighs_and_rows_without_a_text_split(spark):
+    rows = [(i, None if i % 2 else "", "é" * 50, [1, 2], {"a": "b"}) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.note` string, list array<int>, map map<string,string>")
+    got = sharding.assign_shards(docs, 4000).collect()
+    weight = sharding.ROW_BYTES + 8 + 100 + len('{"v":[1,2]}') + len('{"v":{"a":"b"}}')
+    assert {r["n_bytes"] for r in got} == {weight}
+    count = Counter(r["shard"] for r in got)
+    assert sum(count.values()) == 400 and max(count.values()) * weight <= 4000
 
 
 def test_write_shards_keeps_rows_and_columns(spark, tmp_folder):
@@ -108,7 +118,7 @@ def test_write_shards_keeps_rows_and_columns(spark, tmp_folder):
     sharding.write_shards(docs, f"{tmp_folder}/out", 4000)
     back = spark.read.parquet(f"{tmp_folder}/out")
     assert sorted(map(repr, back.select(docs.columns).collect())) == sorted(map(repr, docs.collect()))
-    size = back.groupBy("shard").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("b"), F.count("*").alias("n")).collect()
+    size = back.groupBy("shard").agg(F.sum(sharding.row_bytes(docs.schema)).alias("b"), F.count("*").alias("n")).collect()
     assert all(r["b"] <= 4000 or r["n"] == 1 for r in size) and len(size) > 3
 
 
