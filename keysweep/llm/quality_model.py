@@ -5,8 +5,13 @@ whole text; ridge regression on them is fitted from normal equations that each
 partition sums up for itself (one matrix per partition, added in a tree of ``FAN_IN``
 at a time), and isotonic regression turns its scores into probabilities.
 
+Isotonic regression sees no score of a row that its own weights were fitted on:
+labelled rows are dealt to ``FOLDS`` by their id, the sums are kept per fold,
+and a fold's rows are scored by the weights of all sums but its own. The
+weights of the final scores come from all sums.
+
 Only what has a size fixed by parameters reaches the driver: the mean and
-deviation of each statistic, one sum of ``(FEATURES + 1)^2`` numbers, and
+deviation of each statistic, ``FOLDS`` sums of ``(FEATURES + 1)^2`` numbers, and
 counts per score bin. All labelled rows that aren't held out are used.
 
 Defined results: a null or empty text has zero words and all statistics zero,
@@ -38,6 +43,8 @@ THRESHOLD = 0.7
 #: Matrices that one task adds.
 FAN_IN = 64
 HELD_OUT_OF, HELD_OUT = 4, 2
+#: Folds of the labelled rows, for the calibration.
+FOLDS = 4
 
 STATISTICS = ("log_words", "mean_word", "symbols", "bars", "shouts", "upper", "digits", "sentence_marks", "repeats",
               "distinct", "top_word", "lines", "repeated_lines", "short_words", "other_marks")
@@ -87,6 +94,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % HELD_OUT_OF == HELD_OUT, F.lit(False))
 
 
+def fold(doc_id: Column) -> Column:
+    """0 to ``FOLDS - 1``, by bits of the crc32 that :func:`held_out` doesn't use; rows of one id share a fold."""
+    return (F.floor(F.crc32(doc_id.cast("string").cast("binary")) / HELD_OUT_OF) % FOLDS).cast("int")
+
+
 class FourierMap:
     """Random Fourier features of standardised statistics, with a constant one."""
 
@@ -112,12 +124,14 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
 def _partial_sums(mapping: FourierMap):
     def run(batches):
         size = mapping.directions.shape[1] + 1
-        total = np.zeros((size, size + 1))
+        total = np.zeros((FOLDS, size, size + 1))
         for batch in batches:
             z = mapping(_matrix(batch))
-            y = batch.column(batch.schema.get_field_index("label")).to_numpy(zero_copy_only=False).astype(float)
-            total[:, :size] += z.T @ z
-            total[:, size] += z.T @ y
+            y, folds = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("label", "fold"))
+            for k in range(FOLDS):
+                own = z[folds == k]
+                total[k, :, :size] += own.T @ own
+                total[k, :, size] += own.T @ y[folds == k].astype(float)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
     return run
 
@@ -128,7 +142,7 @@ def _added(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _tree_sum(parts: DataFrame) -> np.ndarray:
-    """The sum of one matrix per partition, ``FAN_IN`` to a task, level by level."""
+    """The sum of the matrices of every partition, ``FAN_IN`` partitions to a task, level by level."""
     level = parts.select((F.spark_partition_id() / FAN_IN).cast("long").alias("k"), "sums")
     while True:
         level = staged(level.groupBy("k").applyInPandas(_added, "k long, sums binary"), "quality-sums")
@@ -138,14 +152,29 @@ def _tree_sum(parts: DataFrame) -> np.ndarray:
         level = level.select((F.col("k") / FAN_IN).cast("long").alias("k"), "sums")
 
 
-def _raw_scores(mapping: FourierMap, weights: np.ndarray, knots: tuple[np.ndarray, np.ndarray] | None, keep: tuple[str, ...], out: str):
+def ridge(sums: np.ndarray) -> np.ndarray:
+    """Weights from normal equations (``Z'Z`` and ``Z'y`` side by side); the constant feature counts the rows."""
+    size = len(sums)
+    rows = max(1.0, sums[size - 1, size - 1])
+    return np.linalg.solve(sums[:, :size] + PENALTY * rows * np.eye(size), sums[:, size])
+
+
+def _fold_scores(mapping: FourierMap, weights: np.ndarray):
+    """(label, raw): each row by the weights fitted without its fold (a row of ``weights`` each)."""
+    def run(batches):
+        for batch in batches:
+            label, folds = (batch.column(batch.schema.get_field_index(c)) for c in ("label", "fold"))
+            raw = (mapping(_matrix(batch)) * weights[folds.to_numpy(zero_copy_only=False)]).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([label, pa.array(raw, pa.float64())], names=["label", "raw"])
+    return run
+
+
+def _scores(mapping: FourierMap, weights: np.ndarray, knots: tuple[np.ndarray, np.ndarray]):
     def run(batches):
         for batch in batches:
-            score = mapping(_matrix(batch)) @ weights
-            if knots is not None:
-                score = np.interp(score, *knots)
-            kept = [batch.column(batch.schema.get_field_index(c)) for c in keep]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(score, pa.float64())], names=[*keep, out])
+            score = np.interp(mapping(_matrix(batch)) @ weights, *knots)
+            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("doc_id")), pa.array(score, pa.float64())],
+                                             names=["doc_id", "score"])
     return run
 
 
@@ -170,7 +199,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label_col: str = "quality
                          np.array([means[f"s_{c}"] or 0.0 for c in STATISTICS]), features)
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("double").alias("label"))
     known = known.where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("doc_id")))
-    train = staged(stats.join(known, "doc_id"), "quality-train")
+    train = staged(stats.join(known, "doc_id").withColumn("fold", fold(F.col("doc_id"))), "quality-train")
 
     totals = train.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("ones")).first()
     n, ones = totals["n"], totals["ones"] or 0.0
@@ -178,16 +207,17 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label_col: str = "quality
         scored = stats.select("doc_id", F.lit(ones / n if n else 0.5).alias("score"))
     else:
         size = features + 1
-        total = _tree_sum(train.mapInArrow(_partial_sums(mapping), "sums binary")).reshape(size, size + 1)
-        weights = np.linalg.solve(total[:, :size] + PENALTY * n * np.eye(size), total[:, size])
+        sums = _tree_sum(train.mapInArrow(_partial_sums(mapping), "sums binary")).reshape(FOLDS, size, size + 1)
+        total = sums.sum(axis=0)
+        without = np.array([ridge(total - own) for own in sums])
         low, high = -0.5, 1.5
         width = (high - low) / BINS
-        binned = (train.mapInArrow(_raw_scores(mapping, weights, None, ("label",), "raw"), "label double, raw double")
+        binned = (train.mapInArrow(_fold_scores(mapping, without), "label double, raw double")
                   .withColumn("bin", F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor((F.col("raw") - low) / width))))
                   .groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("ones")).orderBy("bin").collect())
         knots = isotonic_knots(np.array([low + (r["bin"] + 0.5) * width for r in binned]),
                                np.array([r["ones"] for r in binned]), np.array([float(r["n"]) for r in binned]))
         id_type = stats.schema["doc_id"].dataType.simpleString()
-        scored = stats.mapInArrow(_raw_scores(mapping, weights, knots, ("doc_id",), "score"), f"doc_id {id_type}, score double")
+        scored = stats.mapInArrow(_scores(mapping, ridge(total), knots), f"doc_id {id_type}, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))

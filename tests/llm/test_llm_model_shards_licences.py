@@ -44,7 +44,7 @@ def test_odd_rows_few_labels_and_empty_tables(spark):
 
 
 def test_scores_equal_a_plain_ridge_and_isotonic_fit(spark, monkeypatch):
-    """All rows in one matrix, solved at once; isotonic values by their min-max formula."""
+    """All rows in one matrix, solved at once, folds by rows left out; isotonic values by their min-max formula."""
     monkeypatch.setattr(quality_model, "FAN_IN", 2)   # several levels of sums
     sf = SMALL.replace("0.001", "0.01")
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet").repartition(7), spark.read.parquet(f"{sf}/labels.parquet")
@@ -55,9 +55,14 @@ def test_scores_equal_a_plain_ridge_and_isotonic_fit(spark, monkeypatch):
     known = {r["doc_id"]: r["quality"] for r in labels.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2}
     use = [k for k, r in enumerate(rows) if r["doc_id"] in known]
     y = np.array([known[rows[k]["doc_id"]] for k in use], float)
-    w = np.linalg.solve(z[use].T @ z[use] + quality_model.PENALTY * len(use) * np.eye(z.shape[1]), z[use].T @ y)
-    raw = z @ w
-    bins = np.clip(np.floor((raw[use] + 0.5) / (2 / quality_model.BINS)), 0, quality_model.BINS - 1)
+    solve = lambda x, t: np.linalg.solve(x.T @ x + quality_model.PENALTY * len(x) * np.eye(z.shape[1]), x.T @ t)
+    raw = z @ solve(z[use], y)
+    folds = np.array([zlib.crc32(str(rows[k]["doc_id"]).encode()) // 4 % quality_model.FOLDS for k in use])
+    apart = np.zeros(len(use))
+    for f in range(quality_model.FOLDS):
+        assert (folds == f).any()
+        apart[folds == f] = z[use][folds == f] @ solve(z[use][folds != f], y[folds != f])
+    bins = np.clip(np.floor((apart + 0.5) / (2 / quality_model.BINS)), 0, quality_model.BINS - 1)
     kept, which = np.unique(bins, return_inverse=True)
     n, ones = np.bincount(which).astype(float), np.bincount(which, y)
     place = -0.5 + (kept + 0.5) * 2 / quality_model.BINS
