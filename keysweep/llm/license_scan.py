@@ -11,7 +11,9 @@ is made.
 A licence file licenses its directory. A file without a notice of its own
 (nor "All rights reserved") inherits from the nearest directory above it that has a licence: distinct
 directories are joined with the licences of their ancestors, and files with
-their directory.
+their directory. A directory may hold a third of all files, and a top directory
+lies above all others: both joins deal the rows of a key to several tasks, in
+number by the table's rows, and look up a copy of the key's one row in each.
 
 Defined results: a null or empty text has no notice and may inherit; a null
 path counts as ``""`` (no directory but the root); of two licence files in one
@@ -116,6 +118,8 @@ HEADER = 0.7
 FILE = 0.6
 #: Least cosine of a whole text to a whole licence; long texts are alike by their common words already.
 TEXT = 0.85
+#: Rows of one directory that meet its licence in one task, about, if it holds all of them.
+DEALT = 4096
 
 _WORD = re.compile(r"\w+")
 
@@ -239,22 +243,35 @@ def own_licences(files: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPL
                                 "file string, file_score double")
 
 
+def looked_up(rows: DataFrame, key: str, table: DataFrame, salts: int, place: str) -> DataFrame:
+    """``rows`` left-joined with ``table`` (one row per ``key``); a key's rows are dealt by ``place`` to ``salts`` groups.
+
+    The table's row is copied only to the groups that hold a row of its key.
+    """
+    dealt = rows.withColumn("__salt", F.pmod(F.xxhash64(place), F.lit(salts)))
+    copies = dealt.select(key, "__salt").distinct().join(table, key)
+    return dealt.join(copies, [key, "__salt"], "left").drop("__salt")
+
+
 def licence_report(files: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, header: float = HEADER,
                    file: float = FILE, id_col: str = "doc_id", text_col: str = "text", path_col: str = "path") -> DataFrame:
     """(doc_id, path, licence, score, via, from_dir) for every file; ``via`` is header, file, directory or null."""
     from keysweep.llm.common import staged
 
     folder = F.regexp_replace("path", "/?[^/]*$", "")
-    own = staged(own_licences(files, templates, header, file, id_col, text_col, path_col).withColumn("dir", folder), "licences")
+    own = staged(own_licences(files, templates, header, file, id_col, text_col, path_col)
+                 .withColumns({"dir": folder, "place": F.monotonically_increasing_id()}), "licences")
+    salts = 1 + own.count() // DEALT
     # One licence a directory: a partial aggregate, however many files lie in it.
     by_dir = own.where("file is not null").groupBy("dir").agg(F.max(F.struct("file_score", "file")).alias("best"))
     parts = F.split("dir", "/")
     above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.struct(
         k.alias("level"), F.array_join(F.slice(parts, 1, k), "/").alias("up")))
     ancestors = own.select("dir").distinct().select("dir", F.explode(above).alias("a")).select("dir", "a.level", "a.up")
-    nearest = (ancestors.join(by_dir.select(F.col("dir").alias("up"), "best"), "up")
+    licensed = by_dir.select(F.col("dir").alias("up"), "best")
+    nearest = (looked_up(ancestors, "up", licensed, salts, "dir").where("best is not null")
                .groupBy("dir").agg(F.max_by(F.struct("up", "best"), "level").alias("near")))
-    joined = own.join(nearest, "dir", "left")
+    joined = looked_up(own, "dir", nearest, salts, "place")
     best = F.greatest(F.struct(F.col("file_score").alias("score"), F.col("file").alias("name"), F.lit("file").alias("via")),
                       F.struct(F.col("header_score").alias("score"), F.col("header").alias("name"), F.lit("header").alias("via")))
     own_best = F.when(F.col("header").isNull() & F.col("file").isNull(), None)\

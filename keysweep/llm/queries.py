@@ -67,8 +67,14 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents as files of a tree: a folder per source, in it one per language."""
-    path = F.concat_ws("/", F.lit(""), F.col("source"), F.col("lang"), F.col("doc_id").cast("string"))
+    """The documents as files of a tree with files at every depth: source, language, and folders of 4,096 and of 64 ids.
+
+    Of eight ids one lies right under its source, one under its language, two in the folder of 4,096, four in that of 64.
+    """
+    number, turn = F.col("doc_id"), F.pmod(F.col("doc_id"), F.lit(8))
+    path = F.concat_ws(
+        "/", F.lit(""), "source", F.when(turn >= 1, F.col("lang")), F.when(turn >= 2, F.floor(number / 4096).cast("string")),
+        F.when(turn >= 4, F.pmod(F.floor(number / 64), F.lit(64)).cast("string")), number.cast("string"))
     return license_scan.licence_report(documents(spark, sf_dir).withColumn("path", path))
 
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from keysweep.llm import license_scan, quality_model, sharding
+from keysweep.llm import license_scan, quality_model, queries, sharding
 from llm_fixtures import PROSE, SMALL, empty_docs, odd_docs, small_docs
 
 
@@ -172,6 +172,57 @@ def test_whole_licences_more_families_and_reserved_rights(spark):
                for t in (PROSE, PROSE * 40))
 
 
+def by_hand(own):
+    """{place: (licence, via, from_dir)} of rows (place, path, header, header_score, file, file_score), directory by directory."""
+    licences = {}
+    for _, path, _, _, name, score in own:
+        if name is not None:
+            folder = path.rpartition("/")[0]
+            licences[folder] = max(licences.get(folder, (0, "")), (score, name))
+    out = {}
+    for place, path, header, header_score, name, score in own:
+        if header is None and name is None:
+            folder = path.rpartition("/")[0]
+            while folder not in licences and folder:
+                folder = folder.rpartition("/")[0]
+            out[place] = (licences[folder][1], "directory", folder) if folder in licences else (None, None, None)
+        else:
+            reserved = license_scan.RESERVED
+            found = [(header_score, header, "header")] * (header is not None) + [(score, name, "file")] * (name is not None)
+            if len(found) == 2 and header == reserved != name:
+                found = found[1:]
+            out[place] = (*max(found)[1:], None)
+    return out
+
+
+@pytest.mark.parametrize("dealt", [4096, 3])
+def test_the_query_inherits_as_by_hand(spark, monkeypatch, tmp_folder, dealt):
+    """The registered query's tree: files at four depths, a whole licence in place of some texts at each of them."""
+    monkeypatch.setattr(license_scan, "DEALT", dealt)
+    texts = F.array(*[F.lit(t) for _, (t,) in sorted(license_scan.licence_texts().items())])
+    licence = F.get(texts, F.pmod(F.col("doc_id"), F.size(texts)).cast("int"))
+    docs = spark.read.parquet(f"{SMALL.replace('0.001', '0.01')}/documents.parquet")
+    docs.withColumn("text", F.when(F.col("doc_id") % 31 == 0, licence).otherwise(F.col("text"))).write.parquet(f"{tmp_folder}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_folder}/documents.parquet")
+    got = queries.op6_license_scan(spark, str(tmp_folder)).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(r["doc_id"] for r in docs.select("doc_id").collect())
+    paths = spark.createDataFrame([(r["doc_id"], r["path"]) for r in got], "doc_id long, path string")
+    own = license_scan.own_licences(docs.join(paths, "doc_id")).collect()
+    want = by_hand([tuple(r) for r in own])
+    assert {r["doc_id"]: (r["licence"], r["via"], r["from_dir"]) for r in got} == want
+    assert {r["path"].count("/") for r in got} == {2, 3, 4, 5}
+    climbed = [r for r in got if r["from_dir"] is not None and r["from_dir"] != r["path"].rpartition("/")[0]]
+    assert climbed and len({r["from_dir"].count("/") for r in got if r["from_dir"] is not None}) > 1
+
+
+def test_a_hot_directory_meets_its_licence_in_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(license_scan, "DEALT", 10)
+    mit = license_scan.TEMPLATES["MIT"][2]
+    rows = [("/hot/LICENSE", mit)] + [("/hot/f", PROSE)] * 300 + [(f"/hot/{i}/f", PROSE) for i in range(200)] + [("/cold/f", PROSE)] * 20
+    got = license_scan.licence_report(files(spark, rows)).groupBy("licence", "from_dir").count().collect()
+    assert {(r["licence"], r["from_dir"]): r["count"] for r in got} == {("MIT", None): 1, ("MIT", "/hot"): 500, (None, None): 20}
+
+
 def test_scores_match_a_dense_cosine(spark):
     docs = small_docs(spark).withColumn("path", F.concat(F.lit("/"), "source", F.lit("/"), "doc_id"))
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
