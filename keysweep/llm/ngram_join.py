@@ -42,7 +42,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keysweep.llm.common import staged
@@ -176,8 +176,9 @@ def _signatures(size: int):
                 keys.append(set_digest(hashes) if len(hashes) else None)
                 bits.append(parity_bits(hashes))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index("doc_id")), pa.array(n, pa.int64()),
-                 pa.array(keys, pa.int64()), pa.array(bits, pa.binary())], names=["doc_id", "n", "key", "bits"])
+                [batch.column(batch.schema.get_field_index("doc_id")), batch.column(batch.schema.get_field_index("row")),
+                 pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(bits, pa.binary())],
+                names=["doc_id", "row", "n", "key", "bits"])
     return run
 
 
@@ -405,22 +406,26 @@ def _banded(filed: DataFrame, percent: int) -> DataFrame:
         F.struct((band - 1).alias("band"), F.lit(False).alias("home"))))).select("*", "b.band", "b.home").drop("b")
 
 
-def similar_documents(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id",
-                      text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links), one row per document.
+def _row(id_column: Column, text: Column) -> Column:
+    """A row's name: equal for rows that repeat id and text."""
+    return F.xxhash64(id_column, text)
 
-    ``component_id`` is the smallest id reachable by links, the own included;
-    ``n_links`` counts the documents directly linked, copies one by one.
+
+def _linked(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, classes): (doc_id, row, n, key) per document and (key, root, first, copies, links) per class of equal sets.
+
+    ``first`` is the class's first row (null id last, id, name), ``root`` one class of its component.
     """
     spark = docs.sparkSession
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text_column = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_column.alias("text"), _row(F.col(id_col), text_column).alias("row"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
-    signed = staged(rows.mapInArrow(_signatures(size), f"doc_id {id_type}, n long, key long, bits binary"), "ngram-sets")
+    signed = staged(rows.mapInArrow(_signatures(size), f"doc_id {id_type}, row long, n long, key long, bits binary"), "ngram-sets")
     classes = staged(signed.where("key is not null").groupBy("key").agg(
-        F.min("doc_id").alias("first_id"), F.max("n").alias("n"), F.max("bits").alias("bits"),
-        F.count(F.lit(1)).alias("copies")), "ngram-classes")
+        F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("first"),
+        F.max("n").alias("n"), F.max("bits").alias("bits"), F.count(F.lit(1)).alias("copies")), "ngram-classes")
 
     # Shingles filed often, by the plain order of hashes; they go last in the order used.
     text = rows.select("text")
@@ -454,8 +459,8 @@ def similar_documents(docs: DataFrame, size: int = WORDS, percent: int = PERCENT
     roots = groups.select(F.col("root").alias("node")).distinct()
     members = groups.unionByName(roots.select("node", F.col("node").alias("root"))).withColumnRenamed("node", "key")
     sized = members.join(members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / GROUP_BLOCK).cast("int").alias("c")), "root")
-    asked = sized.join(classes, "key").select("key", "root", "c", "n", "bits", "copies", "first_id")
-    read = (rows.join(asked, rows["doc_id"].eqNullSafe(asked["first_id"])).drop("doc_id", "first_id")
+    asked = sized.join(classes, "key").select("key", "root", "c", "n", "bits", "copies", F.col("first.row").alias("row"))
+    read = (rows.drop("doc_id").join(asked, "row").drop("row")
             .mapInArrow(_wanted_sets(size), "key long, root long, c int, n long, bits binary, copies long, hashes binary"))
     blocks = _blocks(read, F.col("c"), "key", "root", "n", "bits", "copies", "hashes")
     verified = staged(
@@ -464,24 +469,38 @@ def similar_documents(docs: DataFrame, size: int = WORDS, percent: int = PERCENT
     links = verified.groupBy("key").agg(F.sum("links").alias("links"))
     joined = components(verified.select(F.col("key").alias("u"), F.col("root").alias("v")))
 
-    named = (classes.select("key", "first_id", "copies").join(joined.withColumnRenamed("node", "key"), "key", "left")
-             .withColumn("root", F.coalesce("root", "key")))
-    smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = (named.join(smallest, "root").join(links, "key", "left")
-              .select("key", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
-    return (signed.select("doc_id", F.col("n").alias("n_shingles"), "key").join(labels, "key", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
+    named = (classes.select("key", "first", "copies").join(joined.withColumnRenamed("node", "key"), "key", "left")
+             .join(links, "key", "left")
+             .select("key", F.coalesce("root", "key").alias("root"), "first", "copies", F.coalesce("links", F.lit(0)).alias("links")))
+    return signed.select("doc_id", "row", "n", "key"), named
+
+
+def similar_documents(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links), one row per document.
+
+    ``component_id`` is the smallest id reachable by links, the own included;
+    ``n_links`` counts the documents directly linked, copies one by one.
+    """
+    rows, named = _linked(docs, size, percent, id_col, text_col)
+    smallest = named.groupBy("root").agg(F.min("first.doc_id").alias("component_id"))
+    labels = named.join(smallest, "root").select("key", "component_id", (F.col("copies") - 1 + F.col("links")).alias("n_links"))
+    return (rows.join(labels, "key", "left")
+            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
 
 
 def keep_first(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
-    """``docs`` without documents that a document of a smaller id stands for; all columns pass through.
+    """``docs`` with one document of each group of linked ones; all columns pass through.
 
-    One document of each group stays: the one whose id is its component id.
-    Rows that repeat that id and its text are one document.
+    The one of the smallest id stays (of rows that share it, one; a null id
+    goes last). Documents without words stay, as nothing links them. Of rows
+    that repeat id and text one stays in any case.
     """
-    groups = similar_documents(docs, size, percent, id_col, text_col)
-    keep = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__keep")).distinct()
-    return (docs.join(keep, docs[id_col].eqNullSafe(F.col("__keep")), "left_semi")
-            .dropDuplicates([id_col, text_col]))
+    rows, named = _linked(docs, size, percent, id_col, text_col)
+    keep = (named.groupBy("root").agg(F.min("first")["row"].alias("__row"))
+            .select("__row").unionByName(rows.where("key is null").select(F.col("row").alias("__row")).distinct()))
+    # Repeated rows are dropped first, while still spread: afterwards the join key is all but unique.
+    single = docs.dropDuplicates([id_col, text_col]).withColumn("__row", _row(F.col(id_col), F.col(text_col).cast("string")))
+    return single.join(keep, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -96,15 +96,34 @@ def test_tiles_of_a_group_of_near_copies_are_cut(spark, monkeypatch):
     assert 16 < largest[0] < 80   # two blocks of about 16, dealt by hash; uncut: 160
 
 
+def brute_kept(rows, size, percent):
+    """Per group of linked (id, text) its smallest id (null last), and every different row without words."""
+    rows = sorted(set(rows), key=repr)
+    # the place of each row as an id of its own: component ids then name groups
+    groups = {}
+    for place, n, component, _ in brute(list(enumerate(t for _, t in rows)), size, percent):
+        groups.setdefault(int(component) if n else -1 - int(place), []).append(rows[int(place)][0])
+    return sorted((str(min((d for d in ids if d is not None), default=None)) for ids in groups.values()))
+
+
 def test_keep_first(spark):
     docs = odd_docs(spark)
     kept = q.keep_first(docs, 4, 85)
     assert kept.columns == docs.columns
-    got = sorted(str(r["doc_id"]) for r in kept.collect())
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    want = sorted({(d, t) for (d, t), row in zip(rows, rows) if (str(d), str(d)) in
-                   {(x[0], x[2]) for x in brute(rows, 4, 85)}}, key=str)
-    assert got == sorted(str(d) for d, _ in want)
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == brute_kept(rows, 4, 85)
+
+
+def test_keep_first_decides_by_row(spark):
+    """One id, or none, on near copies of others, on texts of their own and on empty ones."""
+    other = " ".join(f"other{i}" for i in range(40))
+    rows = [(5, PROSE), (7, PROSE + " again"), (7, other), (7, "  "), (7, None), (7, ""), (7, ""), (None, PROSE), (None, PROSE + " and"),
+            (None, other + " more"), (None, ""), (None, "one of its own"), (None, "one of its own"), (9, "one of its own")] + [(7, PROSE)] * 50
+    kept = [(r["doc_id"], r["text"]) for r in q.keep_first(spark.createDataFrame(rows, "doc_id long, text string"), 4, 80).collect()]
+    assert sorted(kept, key=repr) == sorted([(5, PROSE), (7, other), (7, "  "), (7, None), (7, ""), (None, ""), (9, "one of its own")], key=repr)
+    nameless = [(None, PROSE), (None, PROSE + " again"), (None, other)]
+    kept = q.keep_first(spark.createDataFrame(nameless, "doc_id long, text string"), 4, 80).collect()
+    assert len(kept) == 2 and other in {r["text"] for r in kept}
 
 
 def test_empty_table(spark):
