@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 
 from keysweep.plans.job import check_run_lines, run_cleanup, run_store_cleanup
 from keysweep.sinks.snapshot import expire_snapshots, init_manifest, remove_orphans, run_report
-from keysweep.sources.manifest import commit_numbers, is_torn, read_commit
+from keysweep.sources.manifest import commit_numbers, is_torn, part_folder, read_commit
 
 
 def parse_args(argv: list[str]) -> argparse.Namespace:
@@ -88,7 +88,7 @@ def upkeep(spark: SparkSession, args: argparse.Namespace) -> None:
                 print(f"{number}: torn, not a version")
             else:
                 commit = read_commit(spark, root, number)
-                print(f"{number}: {commit.rows} rows in {len(commit.days)} folders" + (f", run {commit.run['folder']}" if commit.run else ""))
+                print(f"{number}: {commit.rows} rows in {len({(w, part_folder(w, p)) for p, (w, _) in commit.days.items()})} folders" + (f", run {commit.run['folder']}" if commit.run else ""))
     elif args.report is not None:
         print(run_report(spark, root, args.report))
     elif args.expire is not None:

@@ -9,6 +9,9 @@ name. A failure at any step leaves the previous version current and readable.
 Rows are rebalanced by part before they are written: each part is gathered, and a
 part larger than the advisory partition size is split over tasks again by adaptive
 execution. So the number of files follows the bytes of each part, not tasks x parts.
+Small buckets of a day share a folder (see :mod:`keysweep.sources.manifest`); all steps
+that cost something for each folder or file, such as listing, committing and opening
+them, so follow the rows, however small the buckets are.
 
 The commit is the only point of decision. Its number is the next free one after the
 version that the rows were computed from, and it is created exclusively and whole: of
@@ -34,15 +37,18 @@ from keysweep.sources.manifest import (
     COMMITS,
     DATA,
     DAY,
+    PART,
     Commit,
     commit_numbers,
     commit_path,
     current_version,
     day_path,
     etl_day,
+    folder_counts,
     newest_whole,
     published_versions,
     read_commit,
+    split_part,
     with_part,
     write_path,
     written_folders,
@@ -50,6 +56,8 @@ from keysweep.sources.manifest import (
 
 #: A day with more rows than this is cut into key buckets of about half to all of it (some gigabytes of parquet).
 BUCKET_ROWS = 20_000_000
+#: Buckets of a day share a folder up to about so many rows.
+FOLDER_ROWS = 1_000_000
 
 
 class PublishError(RuntimeError):
@@ -73,16 +81,28 @@ def day_buckets(rows: DataFrame, bucket_rows: int) -> dict[str, int]:
     return {r[DAY]: 1 << (-(-r["count"] // bucket_rows) - 1).bit_length() for r in counts.collect()}
 
 
-def _write(spark: SparkSession, rows: DataFrame, root: str, version: int, buckets: dict[str, int]) -> dict[str, tuple[str, int]]:
+def sharing_buckets(rows: int) -> int:
+    """How many buckets of about ``rows`` rows share a folder, a power of two."""
+    return 1 << max(0, (FOLDER_ROWS // max(1, rows)).bit_length() - 1)
+
+
+def _write(spark: SparkSession, rows: DataFrame, root: str, version: int, buckets: dict[str, int],
+           per_folder: int) -> dict[str, tuple[str, int]]:
     """Write rows by part into a new folder; part -> (folder, rows)."""
-    write = f"v{version:08d}-{uuid.uuid4().hex}"
+    write = f"v{version:08d}-{uuid.uuid4().hex}" + (f"-by{per_folder}" if buckets and per_folder > 1 else "")
     path = write_path(root, write)
-    with_part(_as_manifest(rows), buckets).hint("rebalance", F.col(DAY)).write.partitionBy(DAY).parquet(path)
+    if buckets and per_folder > 1:
+        named = with_part(with_part(_as_manifest(rows), buckets, out=PART), folder_counts(buckets, per_folder))
+        named.hint("rebalance", F.col(DAY)).sortWithinPartitions(DAY, PART).write.partitionBy(DAY).parquet(path)
+        name = PART
+    else:
+        with_part(_as_manifest(rows), buckets).hint("rebalance", F.col(DAY)).write.partitionBy(DAY).parquet(path)
+        name = DAY
     if not any(n.startswith(f"{DAY}=") for n in fs.list_names(spark, path)):
         return {}
-    # Reads the partition value of every file and the row counts of the footers.
-    counts = spark.read.schema(f"{DAY} string").parquet(path).groupBy(DAY).count()
-    return {r[DAY]: (write, int(r["count"])) for r in counts.collect()}
+    # Reads the parts' names, from the rows or from the folders alone, and the row counts of the footers.
+    counts = spark.read.schema(f"{name} string").parquet(path).groupBy(name).count()
+    return {r[name]: (write, int(r["count"])) for r in counts.collect()}
 
 
 def publish_snapshot(spark: SparkSession, rows: DataFrame | None, root: str, expected_rows: int | None = None,
@@ -115,7 +135,10 @@ def publish_snapshot(spark: SparkSession, rows: DataFrame | None, root: str, exp
     new = {d: v for d, v in old.days.items() if d not in replaced} if replaced is not None else {}
     if rows is not None:
         buckets = old.buckets if replaced is not None else day_buckets(rows, bucket_rows)
-        written = _write(spark, rows, root, base + 1, buckets)
+        if replaced is not None:   # as large as the buckets that are replaced
+            sizes = [n for d, (_, n) in old.days.items() if d in replaced and split_part(d)[1] > 1]
+            bucket_rows = -(-sum(sizes) // len(sizes)) if sizes else bucket_rows
+        written = _write(spark, rows, root, base + 1, buckets, sharing_buckets(bucket_rows))
         if replaced is not None and not set(written) <= replaced:
             raise PublishError(f"rows of days {sorted(set(written) - replaced)} aren't among the replaced days")
         new |= written
@@ -146,7 +169,7 @@ def init_manifest(spark: SparkSession, rows: DataFrame, root: str, bucket_rows:
 def expire_snapshots(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
     """Remove versions older than the newest ``keep``; returns the versions removed.
 
-    A day's folder goes when only removed versions name it. Folders that no
+    A folder goes when only removed versions name a part in it. Folders that no
     commit names are left alone: another cleanup may be writing them (see
     :func:`remove_orphans`).
     """
@@ -156,12 +179,12 @@ def expire_snapshots(spark: SparkSession, root: str, keep: int = 2) -> list[int]
     doomed, kept = published[:-keep], published[-keep:]
     if not doomed:
         return []
-    used = {(w, d) for v in kept for d, (w, _) in read_commit(spark, root, v).days.items()}
-    gone = {(w, d) for v in doomed for d, (w, _) in read_commit(spark, root, v).days.items()} - used
+    used = {day_path(root, w, d) for v in kept for d, (w, _) in read_commit(spark, root, v).days.items()}
+    gone = {day_path(root, w, d) for v in doomed for d, (w, _) in read_commit(spark, root, v).days.items()} - used
     for version in doomed:   # commits first: a version without one is never read
         fs.delete(spark, commit_path(root, version))
-    for write, day in sorted(gone):
-        fs.delete(spark, day_path(root, write, day))
+    for path in sorted(gone):
+        fs.delete(spark, path)
     return doomed
 
 

@@ -12,6 +12,16 @@ commit names every part's write and row count, so a version that replaced one pa
 shares all other folders with the version before it. It also says which run it was
 made for, and what that run deleted and skipped.
 
+A part has a folder of its own unless its buckets are small: the buckets of a day whose
+rows wouldn't fill a folder share one, so that folders and files grow with the rows
+and not with the number of buckets::
+
+    <root>/data/<write>-by512/day=17368/part-*.parquet         all of at most 512 buckets of the day
+    <root>/data/<write>-by512/day=17368.1-of-4/part-*.parquet  512 of the day's 2048 buckets
+
+The write's name says how many buckets share a folder; each row there holds the name of
+its part, and readers take the rows of those parts that their version has in that write.
+
 A version is visible only once its commit exists, and a commit gets its name only
 when it is written whole (:func:`keysweep.sources.fs.create_marker`). A commit that
 is torn all the same (its text ends early, or doesn't have the checksum at its end) is no
@@ -26,9 +36,11 @@ import json
 import zlib
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keysweep.schemas import DAY_SECONDS, ETL_TIME, EVENT_ID, FINGERPRINT, MANIFEST
 from keysweep.sources import fs
@@ -36,6 +48,8 @@ from keysweep.sources import fs
 COMMITS = "_commits"
 DATA = "data"
 DAY = "day"
+PART = "part"
+_BY = "-by"
 NO_DAY = "none"
 _OF = "-of-"
 
@@ -51,6 +65,27 @@ def split_part(part: str) -> tuple[str, int]:
     return day, int(bucket.partition(_OF)[2]) if bucket else 1
 
 
+def buckets_per_folder(write: str) -> int:
+    """How many buckets of a day share a folder of a write."""
+    return int(write.rpartition(_BY)[2]) if _BY in write else 1
+
+
+def folder_counts(buckets: dict[str, int], per_folder: int) -> dict[str, int]:
+    """Number of folders of every day that has more than one, from its number of buckets."""
+    return {day: n // per_folder for day, n in buckets.items() if n > per_folder}
+
+
+def part_folder(write: str, part: str) -> str:
+    """The folder of a part within a write, by the rule of :func:`with_part` for fewer buckets."""
+    day, of = split_part(part)
+    per_folder = buckets_per_folder(write)
+    if of == 1 or per_folder == 1:
+        return part
+    folders = folder_counts({day: of}, per_folder).get(day)
+    bucket = int(part.partition(".")[2].partition(_OF)[0])
+    return f"{day}.{bucket % folders}{_OF}{folders}" if folders else day
+
+
 def with_part(rows: DataFrame, buckets: dict[str, int], etl: str = ETL_TIME, out: str = DAY) -> DataFrame:
     """``rows`` with the name of the part that each key and ETL time belong to.
 
@@ -113,7 +148,8 @@ def write_path(root: str, write: str) -> str:
 
 
 def day_path(root: str, write: str, day: str) -> str:
-    return f"{write_path(root, write)}/{DAY}={day}"
+    """The folder that holds a part's rows, maybe among those of other buckets of its day."""
+    return f"{write_path(root, write)}/{DAY}={part_folder(write, day)}"
 
 
 def commit_path(root: str, version: int) -> str:
@@ -157,9 +193,28 @@ def current_version(spark: SparkSession, root: str) -> int | None:
 
 
 def read_days(spark: SparkSession, root: str, commit: Commit) -> DataFrame:
-    """Rows of the days of a commit: DataFrame[eventid, fingerprint, etltime]."""
-    paths = [day_path(root, write, day) for day, (write, _) in sorted(commit.days.items())]
-    return spark.read.schema(MANIFEST).parquet(*paths) if paths else spark.createDataFrame([], MANIFEST)
+    """Rows of the days of a commit: DataFrame[eventid, fingerprint, etltime].
+
+    Of folders that buckets share, the rows of the commit's parts are taken by a join
+    with their names, as long as the commit's list and broadcast.
+    """
+    own, shared = set(), {}
+    for part, (write, _) in commit.days.items():
+        path = day_path(root, write, part)
+        if split_part(part)[1] > 1 and buckets_per_folder(write) > 1:
+            shared.setdefault(path, []).append((write, part))
+        else:
+            own.add(path)
+    found = []
+    if own:
+        found.append(spark.read.schema(MANIFEST).parquet(*sorted(own)))
+    if shared:
+        wanted = spark.createDataFrame([pair for pairs in shared.values() for pair in pairs], f"_write string, {PART} string")
+        rows = spark.read.schema(T.StructType([*MANIFEST.fields, T.StructField(PART, T.StringType())])).parquet(*sorted(shared))
+        write = F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/", -3), "/", 1)
+        found.append(rows.withColumn("_write", write).join(F.broadcast(wanted), ["_write", PART], "left_semi")
+                     .select(*MANIFEST.names))
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], MANIFEST)
 
 
 def read_snapshot(spark: SparkSession, root: str, version: int) -> DataFrame:

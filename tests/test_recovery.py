@@ -26,7 +26,17 @@ from keysweep.plans.job import (
     store_outcome,
 )
 from keysweep.schemas import MANIFEST
-from keysweep.sinks import Ledger, PublishError, StoreError, init_manifest, publish_snapshot, remove_orphans, run_report
+from keysweep.sinks import (
+    Ledger,
+    PublishError,
+    StoreError,
+    expire_snapshots,
+    init_manifest,
+    publish_snapshot,
+    remove_orphans,
+    run_report,
+    snapshot,
+)
 from keysweep.sources import current_version, fs, read_current, read_enriched
 from keysweep.sources.manifest import Commit, commit_numbers, commit_path, day_path, published_versions, read_commit, split_part
 
@@ -256,6 +266,30 @@ def test_buckets_change_no_result(spark, tmp_folder, bucket_rows):
     assert sorted(map(repr, map(tuple, read_current(spark, root).collect()))) == sorted(repr(r) for r in rows if r not in gone)
 
 
+def test_small_buckets_share_folders(spark, tmp_folder, monkeypatch):
+    """Folders and files follow the rows, not the number of buckets; versions and their removal work as before."""
+    rows = [(f"e{k}", f"f{k % 3}", T) for k in range(1000)] + [(f"d{k}", "f", T - DAY) for k in range(3)] + [("n", "f", None)]
+    folders = {}
+    for limit in (10 ** 6, 80):
+        monkeypatch.setattr(snapshot, "FOLDER_ROWS", limit)
+        root = new_manifest(spark, f"{tmp_folder}/m{limit}", rows, bucket_rows=5)
+        first = read_commit(spark, root, 1)
+        assert first.buckets == {str(T // DAY): 256} and first.rows == 1004
+        folders[limit] = len({day_path(root, w, p) for p, (w, _) in first.days.items()})
+        write_lines(f"{tmp_folder}/run{limit}/part-0", [make_line(event_id=f"e{k}", fingerprint=f"f{k % 3}") for k in (5, 6, 7, 7)])
+        result = run_cleanup(spark, f"{tmp_folder}/run{limit}", root, quiet=True, verify=True, check_keys=True)
+        assert (result.deleted, result.skipped) == (3, 1)
+        changed = {p for p, v in first.days.items() if read_commit(spark, root, 2).days.get(p) != v}
+        assert 1 <= len(changed) <= 3
+        left = sorted(repr(r) for r in rows if r[0] not in ("e5", "e6", "e7"))
+        assert expire_snapshots(spark, root, 1) == [1]
+        for p in first.days.keys() - changed:   # still named by version 2, whatever shares its folder
+            assert os.path.exists(day_path(root, *(first.days[p][0], p)))
+        assert sorted(map(repr, map(tuple, read_current(spark, root).collect()))) == left
+        assert run_outcome(spark, run_cleanup(spark, f"{tmp_folder}/run{limit}", root, quiet=True), root).where("deleted").count() == 0
+    assert folders == {10 ** 6: 3, 80: 256 // 16 + 2}
+
+
 # -- A1-A3: reports from commits ---------------------------------------------------
 
 def test_a_report_can_be_read_from_its_commit(spark, tmp_folder, capsys):
