@@ -198,6 +198,8 @@ def write_run_folder(spark: SparkSession, lines: DataFrame, compression: str | N
 
 #: Files of an ordered run folder.
 ORDERED_FILES = 4
+#: Lines that one task sorts for it.
+ORDERED_LINES = 250_000
 _FILE_FOLDER = "part-file"   # a folder of this name matches the run folder's glob
 
 
@@ -206,14 +208,51 @@ def write_ordered_run_folder(spark: SparkSession, lines: DataFrame) -> str:
 
     An event's file is its id (half the rid) modulo the number of files, and lines stand in the order of
     their rid, so the place of every line is fixed by the data.
+
+    Lines are dealt by ranges of (file, rid) and sorted in pieces of about ``ORDERED_LINES``, whatever
+    their number; a task for each file then copies its pieces one after another. Where the scratch folder
+    isn't mounted as a path, a task for each file sorts it whole.
     """
     folder = scratch_path(spark, "run")
-    number = F.pmod(F.floor(F.col(ROW_ID) / 2), F.lit(ORDERED_FILES)).alias(_FILE_FOLDER)
-    (lines.select(LINE, ROW_ID, number).repartition(ORDERED_FILES, F.col(f"`{_FILE_FOLDER}`"))
-     .sortWithinPartitions(F.col(f"`{_FILE_FOLDER}`"), ROW_ID).drop(ROW_ID).write.partitionBy(_FILE_FOLDER).text(folder))
+    file, mounted = F.col(f"`{_FILE_FOLDER}`"), urlparse(folder).scheme in ("", "file")
+    lines = lines.select(LINE, ROW_ID, F.pmod(F.floor(F.col(ROW_ID) / 2), F.lit(ORDERED_FILES)).alias(_FILE_FOLDER))
+    if mounted:
+        dealt = lines.repartitionByRange(max(ORDERED_FILES, -(-lines.count() // ORDERED_LINES)), file, ROW_ID)
+        pieces = scratch_path(spark, "pieces")
+    else:
+        dealt, pieces = lines.repartition(ORDERED_FILES, file), folder
+    dealt.sortWithinPartitions(file, ROW_ID).drop(ROW_ID).write.partitionBy(_FILE_FOLDER).text(pieces)
+    if mounted:
+        _join_pieces(spark, pieces, folder)
     return folder
 
 
+def _join_pieces(spark: SparkSession, pieces: str, folder: str) -> None:
+    """One file for every folder of ``pieces``, its files in the order of their names (the tasks'); these are removed."""
+    source, target = urlparse(pieces).path, urlparse(folder).path
+
+    def join(work):
+        import os
+        import shutil
+        import uuid
+
+        name, files = work
+        os.makedirs(os.path.join(target, name), exist_ok=True)
+        temporary = os.path.join(target, name, f"_{uuid.uuid4().hex}")   # a task that runs again makes the same file
+        with open(temporary, "wb") as out:
+            for file in files:
+                with open(os.path.join(source, name, file), "rb") as piece:
+                    shutil.copyfileobj(piece, out, 1 << 20)
+        os.replace(temporary, os.path.join(target, name, "part-00000.txt"))
+
+    folders = [n for n in fs.list_names(spark, pieces) if n.startswith(f"{_FILE_FOLDER}=")]
+    work = [(n, sorted((f for f in fs.list_names(spark, f"{pieces}/{n}") if f.startswith("part-")),
+                       key=lambda f: (int(f.split("-")[1]), f))) for n in sorted(folders)]
+    if work:
+        spark.sparkContext.parallelize(work, len(work)).foreach(join)
+    fs.delete(spark, pieces)
+
+
 def ordered_file_number(file: Column) -> Column:
     """The number of a file of an ordered run folder, from its path."""
     return F.regexp_extract(file, f"/{_FILE_FOLDER}=([0-9]+)/", 1).cast("int")

@@ -91,7 +91,8 @@ def line_positions(rows: DataFrame) -> DataFrame:
     them, with the ``rid`` that :func:`pyspark.sql.functions.monotonically_increasing_id`
     gave them in the scan: within a split it counts lines. The lines of a file's
     earlier splits are added up over one row per split, and files are numbered
-    over one row per file, so neither depends on where files were cut.
+    over one row per file, so neither depends on where files were cut. The rows
+    meet these by a broadcast, and are neither shuffled nor sorted.
     """
     splits = rows.groupBy(FILE, BLOCK).agg(F.min(ROW_ID).alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
@@ -102,6 +103,6 @@ def line_positions(rows: DataFrame) -> DataFrame:
               .select(F.col("_file"), F.col(BLOCK).alias("_block"), "_first", "_before", "_index"))
     line = (F.col("_before") + F.col(ROW_ID) - F.col("_first") + 1).alias(LINE_NUMBER)
     keep = [c for c in rows.columns if c != ROW_ID]
-    numbered = (rows.join(places, (F.col(FILE) == F.col("_file")) & (F.col(BLOCK) == F.col("_block")))
+    numbered = (rows.join(F.broadcast(places), (F.col(FILE) == F.col("_file")) & (F.col(BLOCK) == F.col("_block")))
                 .select(*keep, line, "_index"))
     return numbered.select(*keep, LINE_NUMBER, (F.col("_index") * (1 << LINE_BITS) + F.col(LINE_NUMBER)).alias(ROW_ID))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, make_line
 from keysweep.__main__ import main, parse_args
+from keysweep.plans import derived
 from keysweep.plans.derived import FolderStore, manifest_table, read_table, run_lines
 from keysweep.plans.job import (
     located_failures,
@@ -230,6 +231,40 @@ def test_files_follow_bytes_not_tasks_times_days(spark, tmp_folder):
     assert [len(f) for f in files.values()][0] >= 4 and read_current(spark, f"{tmp_folder}/big").count() == 400_000
 
 
+def test_an_ordered_run_folder_is_sorted_in_pieces(spark, monkeypatch):
+    """No task sorts a whole file; files and the places of lines are as if one did."""
+    sizes = []
+    join = derived._join_pieces
+
+    def looked(session, pieces, folder):
+        found = session.read.text(f"{pieces}/part-*").select(F.col("_metadata.file_path").alias("f"))
+        sizes.extend(r["count"] for r in found.groupBy("f").count().collect())
+        join(session, pieces, folder)
+
+    monkeypatch.setattr(derived, "_join_pieces", looked)
+    monkeypatch.setattr(derived, "ORDERED_LINES", 100)
+    ids = [k for k in range(2000) if k % 4 != 2]   # a file number without lines
+    random.Random(5).shuffle(ids)
+    lines = spark.createDataFrame([(f"line {k} {c}", 2 * k + c) for k in ids for c in range(1 + (k % 7 == 0))], "value string, rid long")
+    folder = derived.write_ordered_run_folder(spark, lines.repartition(5))
+    assert len(sizes) > 8 and max(sizes) <= 400 and sum(sizes) == lines.count()
+    want = {n: [f"line {k} {c}" for k in sorted(ids) if k % 4 == n for c in range(1 + (k % 7 == 0))] for n in (0, 1, 3)}
+    path = folder.removeprefix("file:")
+    got = {int(d[-1]): [os.path.join(path, d, f) for f in os.listdir(os.path.join(path, d)) if f.startswith("part-")]
+           for d in os.listdir(path) if d.startswith("part-")}
+    assert all(len(files) == 1 for files in got.values())
+    assert {n: open(files[0]).read().splitlines() for n, files in got.items()} == want
+
+
+def test_lines_are_numbered_without_a_shuffle_of_the_run(spark, tmp_folder):
+    write_lines(f"{tmp_folder}/run/part-0", [make_line(event_id=f"e{k}") for k in range(50)])
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        staged = stage_triples(spark, read_enriched(spark, f"{tmp_folder}/run", positions=True))
+        plan = read_positioned(spark, staged.path)._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        assert sorted(r["line"] for r in read_positioned(spark, staged.path).collect()) == list(range(1, 51))
+
+
 def test_a_small_late_run_rewrites_only_its_buckets(spark, tmp_folder):
     rows = [(f"e{k}", f"f{k % 3}", T) for k in range(1000)] + [(f"d{k}", "f", T - DAY) for k in range(30)] + [("n", "f", None)]
     root = new_manifest(spark, f"{tmp_folder}/m", rows, bucket_rows=100)
