@@ -47,7 +47,12 @@ CACHE_WORDS = 400_000
 #: Texts of 1000 words that the tokenizer holds at a time.
 LEARN_TEXTS = 8
 
-_END_MARKS = re.compile(rb"([a-z0-9])([.,;:!?]+)(?=[ \t-\r]|$)")
+#: Marks that end a word after a letter or digit: ASCII without the apostrophe, which some tokens start with.
+_MARK = rb"[!-&(-/:-@\[-`{-~]"
+_LATIN = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]"
+_END_MARKS = re.compile(_MARK + rb"(?:(?<=[a-z0-9].)|(?<=" + _LATIN + rb".))" + _MARK + rb"*(?=[ \t-\r]|$)")
+#: Letters of ASCII and Latin-1 alone: one word of the tokenizer, whose last token has the suffix of word ends.
+_LETTERS = re.compile(rb"(?:[a-z]|" + _LATIN + rb")+")
 
 COLUMNS = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
@@ -58,7 +63,7 @@ class WordTokens:
     The tokenizer lower-cases, drops white space and parts letters and digits
     from other characters, so the ids of a text are those of its words one
     after another, where A-Z may be lower-cased first and marks that end a word
-    after an ASCII letter or digit count as a word of their own. Texts that
+    after an ASCII digit or a letter of ASCII or Latin-1 count as a word of their own. Texts that
     hold the start of a special token are left as they are.
     """
 
@@ -72,47 +77,63 @@ class WordTokens:
         self.token = token.content
         self.special_starts = {t.content[:2].encode() for t in specials.values()}
         self.known: dict[bytes, bytes] = {}
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.ends_word[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
     def _special(self, text: bytes) -> bool:
         return any(s in text for s in self.special_starts)
 
     def _learn(self, words: list[bytes]) -> None:
-        """Words are joined by a special token, at which the ids are parted again."""
-        glue = f" {self.token} ".encode()
-        groups = [words[i:i + 1000] for i in range(0, len(words), 1000)]
-        texts = [glue.join(g) for g in groups]
-        alone = [g for g, t in zip(groups, texts) if t.count(self.token.encode()) != len(g) - 1]
-        if alone:   # a word holds the special token itself
-            groups, texts = [], []
-            for word in words:
+        """Words of letters alone are joined by spaces, their ids parted after word ends; others by a special token."""
+        if self.ends_word.any():
+            self._learn_joined([w for w in words if _LETTERS.fullmatch(w)], b" ", lambda ids: self.ends_word[ids], 1)
+        others, token = [w for w in words if w not in self.known], self.token.encode()
+        self._learn_joined([w for w in others if token not in w], b" " + token + b" ", lambda ids: ids == self.separator, 0)
+        for word in others:
+            if word not in self.known:   # it holds the special token itself
                 ids = self.tokenizer.encode(word.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
                 self.known[word] = np.array(ids, np.uint32).tobytes()
+
+    def _learn_joined(self, words: list[bytes], glue: bytes, at_end, keep: int) -> None:
+        """Learn words from joined texts; of a text whose ids have other than one end for each word, learn none.
+
+        ``keep`` is 1 where the id at an end belongs to the word, and 0 where it parts two words.
+        """
+        groups = [words[i:i + 1000] for i in range(0, len(words), 1000)]
         for k in range(0, len(groups), LEARN_TEXTS):
-            some = [t.decode("utf-8", "surrogatepass") for t in texts[k:k + LEARN_TEXTS]]
+            some = [glue.join(g).decode("utf-8", "surrogatepass") for g in groups[k:k + LEARN_TEXTS]]
             for group, encoded in zip(groups[k:], self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
                 ids = np.array(encoded.ids, np.uint32)
-                ends = np.flatnonzero(ids == self.separator)
+                ends = np.flatnonzero(at_end(ids))
+                if not keep:
+                    ends = np.r_[ends, len(ids)]
+                elif len(ends) and ends[-1] != len(ids) - 1:
+                    continue
+                if len(ends) != len(group):
+                    continue
                 raw = ids.tobytes()
-                starts, stops = (np.r_[0, ends + 1] * 4).tolist(), (np.r_[ends, len(ids)] * 4).tolist()
-                for word, a, b in zip(group, starts, stops):
-                    self.known[word] = raw[a:b]
+                starts, stops = (np.r_[0, ends[:-1] + 1] * 4).tolist(), ((ends + keep) * 4).tolist()
+                self.known.update(zip(group, [raw[a:b] for a, b in zip(starts, stops)]))
 
     def words(self, text: bytes) -> list[bytes]:
         if self._special(text):
             return text.split()
-        return _END_MARKS.sub(rb"\1 \2", text.lower()).split()
+        return _END_MARKS.sub(rb" \g<0>", text.lower()).split()
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         lists = [self.words(t) for t in texts]
-        different = {w for words in lists for w in words}
+        different = set().union(*lists)
         new = [w for w in different if w not in self.known]
         if len(self.known) + len(new) > CACHE_WORDS:
             newest = dict(islice(self.known.items(), len(self.known) // 2, None))
             self.known = newest | {w: self.known[w] for w in different if w in self.known}
         self._learn(new)
-        known = self.known
+        ids_of = {w: self.known[w] for w in different}.__getitem__   # small, unlike all that is known: it stays near
         for words in lists:
-            yield np.frombuffer(b"".join([known[w] for w in words]), np.uint32)
+            yield np.frombuffer(b"".join(map(ids_of, words)), np.uint32)
 
 
 _ENCODERS: dict[str, WordTokens] = {}

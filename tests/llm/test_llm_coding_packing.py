@@ -167,6 +167,26 @@ def test_words_of_a_text_have_its_ids():
         assert ids.tolist() == tk.encode(text, add_special_tokens=False).ids, text
 
 
+def test_words_are_parted_and_learned_cheaply(monkeypatch):
+    """All ASCII marks but the apostrophe end words, after Latin-1 letters too; few words need the special token."""
+    encoder, tk = packing.WordTokens(WORDS), Tokenizer.from_file(WORDS)
+    text = "Foo*** caf\u00e9$$$ \u00c9t\u00c9&&. x'*** 2\u00d7* \u00f7# a_b~ \u4e2d! z" .encode()
+    assert [w.decode() for w in encoder.words(text)] == ["foo", "***", "caf\u00e9", "$$$", "\u00c9t\u00c9", "&&.", "x'***", "2\u00d7*", "\u00f7#", "a_b", "~",
+                                                         "\u4e2d!", "z"]
+    rng = random.Random(3)
+    signs = "abZ19\u00e9\u00c9\u00df\u00ff\u00d7\u00f7\u00aa\u0301\u0338'*$&%#_^`~<>=|!.sdm" + "    \n"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(1, 60))) for _ in range(1500)]
+    for text, ids in zip(texts, encoder.encode([t.encode() for t in texts])):
+        assert ids.tolist() == tk.encode(text, add_special_tokens=False).ids, text
+    glued = []
+    join = packing.WordTokens._learn_joined
+    monkeypatch.setattr(packing.WordTokens, "_learn_joined", lambda self, words, glue, *a: (glued.extend(words if glue != b" " else []),
+                                                                                           join(self, words, glue, *a))[1])
+    words = ["".join(rng.choice("abcdexyz\u00e9\u00f1\u00fc") for _ in range(9)) for _ in range(3000)]
+    got = list(packing.WordTokens(WORDS).encode([" ".join(words).encode()]))[0]
+    assert got.tolist() == tk.encode(" ".join(words), add_special_tokens=False).ids and not glued
+
+
 def test_known_words_are_bounded(monkeypatch):
     monkeypatch.setattr(packing, "CACHE_WORDS", 50)
     encoder = packing.WordTokens(WORDS)
