@@ -36,7 +36,6 @@ import json
 import zlib
 from collections.abc import Iterable
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -195,26 +194,22 @@ def current_version(spark: SparkSession, root: str) -> int | None:
 def read_days(spark: SparkSession, root: str, commit: Commit) -> DataFrame:
     """Rows of the days of a commit: DataFrame[eventid, fingerprint, etltime].
 
-    Of folders that buckets share, the rows of the commit's parts are taken by a join
-    with their names, as long as the commit's list and broadcast.
+    Where buckets share folders, the rows of the commit's parts are taken by a join with
+    their names, as long as the commit's list and broadcast. It is one scan all the same:
+    a union would have the joins above done for each of its sides.
     """
-    own, shared = set(), {}
-    for part, (write, _) in commit.days.items():
-        path = day_path(root, write, part)
-        if split_part(part)[1] > 1 and buckets_per_folder(write) > 1:
-            shared.setdefault(path, []).append((write, part))
-        else:
-            own.add(path)
-    found = []
-    if own:
-        found.append(spark.read.schema(MANIFEST).parquet(*sorted(own)))
-    if shared:
-        wanted = spark.createDataFrame([pair for pairs in shared.values() for pair in pairs], f"_write string, {PART} string")
-        rows = spark.read.schema(T.StructType([*MANIFEST.fields, T.StructField(PART, T.StringType())])).parquet(*sorted(shared))
-        write = F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/", -3), "/", 1)
-        found.append(rows.withColumn("_write", write).join(F.broadcast(wanted), ["_write", PART], "left_semi")
-                     .select(*MANIFEST.names))
-    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], MANIFEST)
+    paths = sorted({day_path(root, write, part) for part, (write, _) in commit.days.items()})
+    if not paths:
+        return spark.createDataFrame([], MANIFEST)
+    if all(buckets_per_folder(write) == 1 for write, _ in commit.days.values()):
+        return spark.read.schema(MANIFEST).parquet(*paths)
+    # Rows of writes whose parts have folders of their own hold no name.
+    wanted = {(write, part if buckets_per_folder(write) > 1 else "") for part, (write, _) in commit.days.items()}
+    rows = spark.read.schema(T.StructType([*MANIFEST.fields, T.StructField(PART, T.StringType())])).parquet(*paths)
+    write = F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/", -3), "/", 1)
+    named = rows.select(*MANIFEST.names, write.alias("_write"), F.coalesce(F.col(PART), F.lit("")).alias(PART))
+    wanted = spark.createDataFrame(sorted(wanted), f"_write string, {PART} string")
+    return named.join(F.broadcast(wanted), ["_write", PART], "left_semi").select(*MANIFEST.names)
 
 
 def read_snapshot(spark: SparkSession, root: str, version: int) -> DataFrame:

@@ -322,6 +322,10 @@ def test_small_buckets_share_folders(spark, tmp_folder, monkeypatch):
             assert os.path.exists(day_path(root, *(first.days[p][0], p)))
         assert sorted(map(repr, map(tuple, read_current(spark, root).collect()))) == left
         assert run_outcome(spark, run_cleanup(spark, f"{tmp_folder}/run{limit}", root, quiet=True), root).where("deleted").count() == 0
+        monkeypatch.setattr(snapshot, "FOLDER_ROWS", 1)   # from now on buckets have folders of their own
+        write_lines(f"{tmp_folder}/more{limit}/part-0", [make_line(event_id="e9", fingerprint="f0")])
+        assert run_cleanup(spark, f"{tmp_folder}/more{limit}", root, quiet=True, verify=True).deleted == 1
+        assert sorted(map(repr, map(tuple, read_current(spark, root).collect()))) == [r for r in left if not r.startswith("('e9',")]
     assert folders == {10 ** 6: 3, 80: 256 // 16 + 2}
 
 
